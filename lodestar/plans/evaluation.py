@@ -1 +1,72 @@
-"""Registered queries."""
+"""Registered evaluation queries.  Truth is ``embeddings.label``; the
+prediction is the label voted by each vector's nearest neighbours."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluation as EV
+from ..sources.tables import table
+from .registry import register
+from .retrieval import K_SEARCH, _PAIRS_SQL, _knn
+
+_VOCAB_SQL = "vocab AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{n}')" for i, n in enumerate(EV.CLASS_NAMES)) + ") v(class_id, class_name))"
+
+_PAIRS_W = "WITH " + _PAIRS_SQL + f""",
+lab AS (SELECT r.query_id, r.rank, e.label FROM ranked r JOIN embeddings e ON e.vec_id = r.neighbor_id
+        WHERE r.rank <= {K_SEARCH}),
+votes AS (SELECT query_id, label, count(*) AS n, min(rank) AS best FROM lab GROUP BY 1, 2),
+pred AS (SELECT query_id, label AS pred_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, best) AS r FROM votes) WHERE r = 1),
+evpairs AS (SELECT e.label AS true_id, p.pred_id FROM pred p JOIN embeddings e ON e.vec_id = p.query_id),
+cnt AS (SELECT true_id, pred_id, count(*) AS n FROM evpairs GROUP BY 1, 2), {_VOCAB_SQL}"""
+
+
+def _pairs(spark, d):
+    e = table(spark, d, "embeddings")
+    pred = EV.vote(_knn(spark, d, K_SEARCH), e.select(F.col("vec_id").alias("id"), "label"))
+    return pred.join(e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("true_id")), "query_id") \
+        .select("true_id", "pred_id")
+
+
+@register("knn_accuracy", _PAIRS_W + """
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, round(avg(CASE WHEN true_id = pred_id THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM evpairs""")
+def knn_accuracy(spark, d):
+    return EV.accuracy(_pairs(spark, d)).withColumn("accuracy", F.round("accuracy", 6))
+
+
+_N = len(EV.CLASS_NAMES)
+
+
+@register("confusion_matrix", _PAIRS_W + "\nSELECT v.class_id AS true_id, v.class_name AS true_name, " + ", ".join(
+    f"CAST(coalesce(sum(c.n) FILTER (WHERE c.pred_id = {i}), 0) AS BIGINT) AS pred_{i}" for i in range(_N))
+    + " FROM vocab v LEFT JOIN cnt c ON c.true_id = v.class_id GROUP BY v.class_id, v.class_name")
+def confusion_matrix(spark, d):
+    return EV.confusion_dense(_pairs(spark, d), EV.vocabulary(spark), _N)
+
+
+@register("classification_report", _PAIRS_W + """,
+sup AS (SELECT true_id AS class_id, sum(n) AS support FROM cnt GROUP BY 1),
+npr AS (SELECT pred_id AS class_id, sum(n) AS n_pred FROM cnt GROUP BY 1),
+tp AS (SELECT true_id AS class_id, n AS tp FROM cnt WHERE true_id = pred_id),
+cls AS (SELECT class_id FROM sup UNION SELECT class_id FROM npr),
+per0 AS (SELECT cls.class_id, coalesce(support, 0) AS support, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp
+         FROM cls LEFT JOIN sup USING (class_id) LEFT JOIN npr USING (class_id) LEFT JOIN tp USING (class_id)),
+per1 AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+                   CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per0),
+per AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END
+                  AS f1_score FROM per1),
+allrows AS (
+  SELECT coalesce(v.class_name, CAST(per.class_id AS VARCHAR)) AS class_name, precision, recall, f1_score,
+         CAST(support AS BIGINT) AS support FROM per LEFT JOIN vocab v ON v.class_id = per.class_id
+  UNION ALL SELECT 'accuracy', NULL, NULL, coalesce(sum(tp) / sum(support), 0.0), CAST(sum(support) AS BIGINT) FROM per
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), CAST(sum(support) AS BIGINT) FROM per
+  UNION ALL SELECT 'weighted avg', coalesce(sum(precision * support) / nullif(sum(support), 0), 0.0),
+                   coalesce(sum(recall * support) / nullif(sum(support), 0), 0.0),
+                   coalesce(sum(f1_score * support) / nullif(sum(support), 0), 0.0), CAST(sum(support) AS BIGINT) FROM per)
+SELECT class_name, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1_score, 4) AS f1_score,
+       support FROM allrows""")
+def classification_report(spark, d):
+    return EV.classification_report(_pairs(spark, d), EV.vocabulary(spark))
