@@ -1 +1,267 @@
-"""Registered queries."""
+"""Registered ticket queries.  Tickets and model answers are composed from
+``events`` by SQL expressions that Spark (``selectExpr``) and DuckDB read
+identically; the operators under test then work on the nested ticket
+struct in Spark, while the oracle re-implements each rule in SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import tickets as TK
+from ..operators import tickets as OT
+from ..sources.tables import table
+from .registry import register
+
+_NAMES = list(TK.LANES)  # trigger names in lane order
+
+
+def _lane(i: str) -> str:
+    return "CASE " + i + " " + " ".join(f"WHEN {n} THEN '{v}'" for n, v in enumerate(_NAMES)) + " END"
+
+
+def _lane_key(x: str) -> str:
+    return "CASE " + x + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TK.LANES.items()) + " END"
+
+
+_NL = "chr(10)"
+_WS = "[ \\t\\n\\r\\f\\x0B\\x{3000}]"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _falsy(x: str) -> str:
+    return f"({x} IS NULL OR {x} = '')"
+
+
+# ---------------------------------------------------------------- composition
+_K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+_BASE_COLS = [
+    ("event_id", "event_id"), ("user_id", "user_id"), ("event_type", "event_type"), ("k", _K),
+    ("eventId", "'EV-' || CAST(event_id AS STRING)"),
+    ("description", f"CASE WHEN {_K} % 10 = 0 THEN '' WHEN {_K} % 10 = 1 THEN NULL "
+                    "ELSE event_type || ' 遗洒 ' || CAST(user_id AS STRING) END"),
+    ("reportLocation", f"CASE WHEN {_K} % 9 = 0 THEN NULL ELSE 'district-' || CAST(user_id % 50 AS STRING) END"),
+    ("sourceEntity", f"CASE WHEN user_id % 6 = 5 THEN '  ' ELSE {_lane('user_id % 6')} END"),
+    ("imageDescription", f"CASE WHEN {_K} % 7 = 0 THEN NULL WHEN {_K} % 7 = 1 THEN '' ELSE "
+                         "'[' || substr(md5(CAST(event_id AS STRING)), 1, 12) || ': 一辆' || event_type || '车辆]' END"),
+    ("dispatchTarget", f"CASE event_id % 7 WHEN 0 THEN '   ' WHEN 1 THEN {_lane(f'{_K} % 5')} WHEN 2 THEN 'X' "
+                       f"WHEN 3 THEN ' ' || {_lane(f'({_K} + 1) % 5')} || ' ' ELSE NULL END"),
+    ("resultTarget", f"CASE {_K} % 4 WHEN 0 THEN {_lane(f'({_K} + user_id) % 5')} WHEN 1 THEN 'nobody' ELSE NULL END"),
+    # check tickets: exact dispatch target, results, actions, checklist
+    ("checkTarget", f"CASE WHEN event_id % 11 = 0 THEN NULL WHEN {_K} % 6 = 5 THEN 'X' "
+                    f"ELSE {_lane(f'{_K} % 6')} END"),
+    ("n_res", "CAST(user_id % 4 AS INT)"),
+    ("act_kind", "CAST(event_id % 3 AS INT)"),
+    ("act_target", _lane(f"({_K} + 2) % 5")),
+    ("list_kind", f"CAST({_K} % 3 AS INT)"),
+    ("review1", f"CASE WHEN {_K} % 2 = 0 THEN '已完成' ELSE '未完成' END"),
+    ("review2", "CASE WHEN user_id % 2 = 0 THEN '已完成' ELSE '未完成' END"),
+    # scene tickets: image count
+    ("n_img", "CAST(user_id % 3 AS INT)"),
+]
+for _i in range(3):
+    _BASE_COLS += [(f"ent{_i}", _lane(f"({_K} + {_i}) % 5")),
+                   (f"res{_i}", f"CASE WHEN (event_id + {_i}) % 4 = 0 THEN '' ELSE CASE ({_K} + {_i}) % 3 "
+                                "WHEN 0 THEN '已完成清洗' WHEN 1 THEN '处理中' ELSE '现场已摆放警示锥' END END")]
+for _i in range(2):
+    _BASE_COLS += [(f"url{_i}", "'http://img.example.com/p/' || substr(md5(CAST(event_id * 10 + " + str(_i)
+                    + " AS STRING)), 1, 16) || '.jpg?sig=" + str(_i) + "'"),
+                   (f"cap{_i}", f"CASE WHEN (event_id + {_i}) % 5 = 0 THEN NULL ELSE "
+                                "'一辆' || event_type || '车辆停在路边 ' END"),
+                   (f"err{_i}", f"CASE WHEN (event_id + {_i}) % 5 = 0 THEN 'timeout' END")]
+
+
+def _answer_sql(i: str) -> str:
+    """Composed dispatch answer (numbered sections, optional think blocks)."""
+    lane = _lane(f"k % 5")
+    return (f"CASE ({i}) % 6 "
+            f"WHEN 0 THEN '<think>' || {_NL} || '分析 ' || event_type || {_NL} || '</think>' || {_NL} || {_NL} || "
+            f"'1. 责任主体：' || {lane} || {_NL} || '2. 决策理由（包括参考的法规）：' || {_NL} || '- 依据第' || "
+            f"CAST(k AS STRING) || '条' || {_NL} || {_NL} || '- 现场核实' || {_NL} || '3. 应执行的具体操作：' || "
+            f"{_NL} || '   - 立即措施：清理' "
+            f"WHEN 1 THEN '1. 责任主体 ' || {lane} || {_NL} || '2. 决策理由：' || {_NL} || 'reason ' || "
+            f"CAST(user_id AS STRING) "
+            f"WHEN 2 THEN '<think>a</think><think>b</think>答案 ' || event_type || {_NL} || '1. 责任主体：甲：乙' || "
+            f"{_NL} || '2. 决策理由：' || {_NL} || '  x  ' "
+            f"WHEN 3 THEN '  ' || {_NL} || '1. 其他' || {_NL} || '2. 决策理由' || {_NL} || '1. 不是标题' || "
+            f"{_NL} || 'y' "
+            f"WHEN 4 THEN '</think>only close ' || event_type ELSE '' END")
+
+
+_VERDICT_SQL = (f"CASE event_id % 7 "
+                f"WHEN 0 THEN '<think>核对照片</think>' || {_NL} || "
+                "'{\"completed\": true, \"reason\": \"已清洗 ' || event_type || '\"}' "
+                "WHEN 1 THEN '结论如下 {\"completed\": \"false\", \"reason\": \"仍有残留\"} 完毕' "
+                "WHEN 2 THEN '{\"reason\": \"信息不足\"}' "
+                "WHEN 3 THEN '<think>思考</think>处理已完成，无需跟进' "
+                "WHEN 4 THEN '现场情况不明' "
+                "WHEN 5 THEN '{\"completed\": true}{\"completed\": false}' "
+                "ELSE '{\"completed\": false, \"reason\": \"未完成\"}' END")
+_EVIDENCE_SQL = f"CASE k % 3 WHEN 0 THEN '已完成清洗' WHEN 1 THEN '等待处理' ELSE '无' END"
+_SCENE_RESP_SQL = (f"CASE event_id % 5 WHEN 0 THEN '<think>对比</think>' || {_NL} || '是，图片与场景一致。' "
+                   "WHEN 1 THEN '否，图片显示的是道路。' WHEN 2 THEN '不是的，场景不符。' WHEN 3 THEN '' "
+                   "ELSE '  结论：是' END")
+
+_BASE_SQL = "base AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _BASE_COLS) + " FROM events)"
+
+
+def _base(spark, d):
+    return table(spark, d, "events").selectExpr(*[f"{e} AS {n}" for n, e in _BASE_COLS])
+
+
+def _tickets(spark, d):
+    """Nested ticket structs built from the composed columns."""
+    b = _base(spark, d)
+    slots = F.expr("slice(array(" + ", ".join(
+        f"named_struct('handleEntity', ent{i}, 'handleResult', res{i}, "
+        f"'handleResultImageUrls', array_repeat('http://img.example.com/r.jpg', {i}))" for i in range(3))
+        + "), 1, n_res)")
+    actions = F.expr("CASE act_kind WHEN 0 THEN NULL WHEN 1 THEN slice(array(named_struct('target', act_target, "
+                     "'content', '整改', 'action', 'PUSH_API', 'timeLimit', 60)), 1, 0) ELSE array(named_struct("
+                     "'target', act_target, 'content', '整改', 'action', 'PUSH_API', 'timeLimit', 60)) END")
+    checklist = F.expr("CASE list_kind WHEN 0 THEN NULL WHEN 1 THEN named_struct('handleItems', "
+                       "array(named_struct('item', '复查结果', 'result', review1))) ELSE named_struct('handleItems', "
+                       "array(named_struct('item', '备注', 'result', '无'), named_struct('item', '复查结果', "
+                       "'result', review2))) END")
+    urls = F.expr("slice(array(url0, url1), 1, n_img)")
+    ticket = F.struct(
+        F.col("eventId"), F.lit("Check").alias("eventType"), F.lit("EventHandlerLookup").alias("processActionCode"),
+        F.struct(F.col("sourceEntity"), F.col("event_type").alias("sceneType"), F.col("reportLocation"),
+                 F.col("description"), urls.alias("imageUrls")).alias("processDataParams"),
+        F.struct(F.col("imageDescription"), F.col("dispatchTarget"), actions.alias("actions")).alias("context"),
+        F.struct(F.col("resultTarget").alias("target")).alias("processResultData"),
+        slots.alias("resultInfo"), checklist.alias("checklistInfo"))
+    check_ticket = ticket.withField("context.dispatchTarget", F.col("checkTarget"))
+    return b.select("*", ticket.alias("ticket"), check_ticket.alias("check_ticket"))
+
+
+# ---------------------------------------------------------------- validation / routing
+_MISSING_SQL = ("concat_ws(', ', " + ", ".join(
+    f"CASE WHEN {_falsy(c)} THEN '{c}' END" for c in ("description", "reportLocation", "sourceEntity",
+                                                       "imageDescription")) + ")")
+
+
+@register("ticket_validate_dispatch", f"WITH {_BASE_SQL}, m AS (SELECT eventId, {_MISSING_SQL} AS missing FROM base)"
+          f" SELECT eventId, missing = '' AS valid, missing AS missing_fields, CASE WHEN missing <> '' THEN "
+          f"'{TK.MISSING_FIELDS_PREFIX}' || missing END AS error FROM m")
+def ticket_validate_dispatch(spark, d):
+    t = _tickets(spark, d)
+    miss = TK.dispatch_missing(F.col("ticket"))
+    return t.select("eventId", (F.size(miss) == 0).alias("valid"), F.array_join(miss, ", ").alias("missing_fields"),
+                    TK.dispatch_error(miss).alias("error"))
+
+
+_ROUTE_SQL = (f"r0 AS (SELECT eventId, {_strip('dispatchTarget')} AS dts, {_strip('resultTarget')} AS tgs, "
+              f"{_strip('coalesce(sourceEntity, ' + chr(39) + chr(39) + ')')} AS src FROM base), "
+              f"r1 AS (SELECT eventId, coalesce(length(dts) > 0, false) AS use_dt, {_lane_key('dts')} AS l_dt, "
+              f"{_lane_key('tgs')} AS l_tg, {_lane_key('src')} AS l_src FROM r0), "
+              "r2 AS (SELECT eventId, use_dt, CASE WHEN use_dt THEN l_dt WHEN l_tg IS NOT NULL THEN l_tg ELSE l_src END "
+              "AS lane FROM r1), "
+              "route AS (SELECT eventId, lane, CASE WHEN lane IS NOT NULL THEN 'routed' WHEN use_dt THEN 'unroutable' "
+              "ELSE 'end' END AS route_status FROM r2)")
+
+
+@register("ticket_route_dispatch", f"WITH {_BASE_SQL}, {_ROUTE_SQL} SELECT eventId, lane, route_status FROM route")
+def ticket_route_dispatch(spark, d):
+    r = TK.dispatch_route(F.col("ticket"))
+    return _tickets(spark, d).select("eventId", r["lane"].alias("lane"), r["route_status"].alias("route_status"))
+
+
+@register("ticket_validate_check", f"WITH {_BASE_SQL} SELECT eventId, NOT ({_falsy('description')} OR "
+          f"{_falsy('imageDescription')} OR {_falsy('checkTarget')} OR n_res = 0 OR {_falsy('res0')}) AS valid, "
+          f"{_lane_key('checkTarget')} AS lane FROM base")
+def ticket_validate_check(spark, d):
+    t = F.col("check_ticket")
+    return _tickets(spark, d).select("eventId", TK.check_valid(t).alias("valid"), TK.check_route(t).alias("lane"))
+
+
+# ---------------------------------------------------------------- responses
+def _after_think_sql(r: str) -> str:
+    return _strip(f"string_split({r}, '</think>')[-1]")
+
+
+def _sections_sql(src: str, keys: str, txt: str) -> str:
+    """CTE chain parsing numbered sections of ``txt`` per key (window form)."""
+    return f"""
+sl AS (SELECT {keys}, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS raw FROM (
+  SELECT {keys}, regexp_split_to_array({_strip(txt)}, '\\r\\n|\\r|\\n') AS ls FROM {src})),
+s2 AS (SELECT {keys}, i, {_strip('raw')} AS ln FROM sl),
+s3 AS (SELECT *, CASE WHEN ln = '' THEN NULL
+                      WHEN starts_with(ln, '1.') AND contains(ln, '{TK.TARGET_HEADER}') THEN 't'
+                      WHEN starts_with(ln, '2.') AND contains(ln, '{TK.REASON_HEADER}') THEN 'r' END AS hdr FROM s2),
+s4 AS (SELECT *, last_value(hdr IGNORE NULLS) OVER (PARTITION BY {keys} ORDER BY i
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sec FROM s3),
+sec AS (SELECT {keys},
+  coalesce(arg_max({_strip("regexp_extract(ln, '(?s)^[^：]*：(.*)$', 1)")}, i)
+           FILTER (WHERE hdr = 't' AND contains(ln, '：')), '') AS target,
+  {_strip("coalesce(string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE hdr IS NULL AND ln <> '' AND sec = 'r'), '')")}
+    AS reason
+  FROM s4 GROUP BY {keys})"""
+
+
+@register("response_think_split", f"""WITH {_BASE_SQL}, r AS (SELECT eventId, {_answer_sql('event_id')} AS resp FROM base)
+SELECT eventId, {_after_think_sql('resp')} AS answer,
+  CASE WHEN contains(resp, '</think>') THEN string_split(resp, '</think>')[1] ELSE '' END AS think_prefix,
+  {_strip("regexp_extract(resp, '(?s)<think>(.*?)</think>', 1)")} AS think_body,
+  {_strip("regexp_replace(resp, '(?s)<think>.*?</think>', '', 'g')")} AS answer_clean FROM r""")
+def response_think_split(spark, d):
+    r = F.expr(_answer_sql("event_id"))
+    b = _base(spark, d).select("eventId", r.alias("resp"))
+    return b.select("eventId", TK.answer_after_think("resp").alias("answer"),
+                    TK.think_before("resp").alias("think_prefix"), TK.think_block("resp").alias("think_body"),
+                    TK.without_think("resp").alias("answer_clean"))
+
+
+@register("response_sections", f"""WITH {_BASE_SQL},
+r AS (SELECT eventId, {_after_think_sql(_answer_sql('event_id'))} AS ans FROM base),
+{_sections_sql('r', 'eventId', 'ans')}
+SELECT r.eventId, coalesce(sec.target, '') AS target, coalesce(sec.reason, '') AS reason
+FROM r LEFT JOIN sec ON sec.eventId = r.eventId""")
+def response_sections(spark, d):
+    b = _base(spark, d).select("eventId", TK.answer_after_think(F.expr(_answer_sql("event_id"))).alias("ans"))
+    s = TK.sections("ans")
+    return b.select("eventId", s["target"].alias("target"), s["reason"].alias("reason"))
+
+
+def _contains_any_sql(x: str, words) -> str:
+    return "(" + " OR ".join(f"coalesce(contains({x}, '{w}'), false)" for w in words) + ")"
+
+
+def _verdict_sql(src: str, keys: str, resp: str, evidence: str, kws) -> str:
+    says = lambda d: f"CASE WHEN {d} THEN '{TK.DONE_TEXT}' ELSE '{TK.NOT_DONE_TEXT}' END"
+    return f"""
+v0 AS (SELECT {keys}, {resp} AS resp, {evidence} AS evid FROM {src}),
+v1 AS (SELECT *, {_strip("regexp_extract(resp, '(?s)<think>(.*?)</think>', 1)")} AS think,
+              {_strip("regexp_replace(resp, '(?s)<think>.*?</think>', '', 'g')")} AS content FROM v0),
+v2 AS (SELECT *, regexp_extract(content, '(?s)(\\{{.*\\}})', 1) AS js FROM v1),
+v3 AS (SELECT *, js = '' AS no_json,
+         CASE WHEN json_valid('[' || js || ']') THEN json_array_length('[' || js || ']') = 1
+              AND starts_with({_strip('js')}, '{{') ELSE false END AS ok,
+         {_contains_any_sql('resp', TK.DONE_KEYWORDS)} AS kw_done, {_contains_any_sql('evid', kws)} AS ev_done
+       FROM v2),
+v4 AS (SELECT *, CASE WHEN ok THEN coalesce(TRY_CAST(json_extract_string(js, '$.completed') AS BOOLEAN), false) END
+                   AS j_completed,
+                 CASE WHEN ok THEN coalesce(json_extract_string(js, '$.reason'), '{TK.DEFAULT_REASON}') END AS j_reason
+       FROM v3),
+verdict AS (SELECT {keys},
+  CASE WHEN no_json THEN kw_done WHEN ok THEN j_completed ELSE ev_done END AS completed,
+  CASE WHEN no_json THEN '{TK.ANALYSIS_PREFIX}' || {says('kw_done')} WHEN ok THEN j_reason
+       ELSE '{TK.JSON_FAIL_PREFIX}' || {says('ev_done')} END AS reason,
+  CASE WHEN no_json THEN CASE WHEN length(think) > 0 THEN think ELSE substr(content, 1, 200) || '...' END
+       WHEN ok THEN CASE WHEN length(think) > 0 THEN think ELSE j_reason END
+       ELSE '{TK.JSON_FAIL_THINK}' END AS think,
+  CASE WHEN no_json THEN 'no_json' WHEN ok THEN 'json' ELSE 'bad_json' END AS parse_status
+FROM v4)"""
+
+
+_CONSTRUCTION_KW = OT.CHECK_LANES["construction_site"][1]
+
+
+@register("response_verdict", f"WITH {_BASE_SQL}, {_verdict_sql('base', 'eventId', _VERDICT_SQL, _EVIDENCE_SQL, _CONSTRUCTION_KW)}"
+          " SELECT eventId, completed, reason, think, parse_status FROM verdict")
+def response_verdict(spark, d):
+    b = _base(spark, d).select("eventId", F.expr(_VERDICT_SQL).alias("resp"), F.expr(_EVIDENCE_SQL).alias("evid"))
+    v = TK.verdict("resp", "evid", _CONSTRUCTION_KW)
+    return b.select("eventId", *[v[c].alias(c) for c in ("completed", "reason", "think", "parse_status")])
