@@ -112,7 +112,7 @@ def dispatch_actions(requests: DataFrame, response_col: str = "response") -> Dat
     reason = TK.sections(TK.answer_after_think(r))["reason"]
     think = F.when(F.col("keep_think"), TK.think_before(r))
     return requests.select("*", reason.alias("content"), think.alias("think"),
-                           F.when(F.col("lane").isin(*NAMED_TARGET_LANES),
+                           F.when(F.col("lane").isin(*NAMED_TARGET_LANES) & F.col("action_pos").isNotNull(),
                                   TK.summary_line(F.col("target"), reason, F.col("time_limit"))).alias("summary_line"))
 
 

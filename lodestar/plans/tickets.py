@@ -229,23 +229,23 @@ def _contains_any_sql(x: str, words) -> str:
     return "(" + " OR ".join(f"coalesce(contains({x}, '{w}'), false)" for w in words) + ")"
 
 
-def _verdict_sql(src: str, keys: str, resp: str, evidence: str, kws) -> str:
+def _verdict_sql(src: str, keys: str, resp: str, evidence: str, kws, p: str = "v") -> str:
     says = lambda d: f"CASE WHEN {d} THEN '{TK.DONE_TEXT}' ELSE '{TK.NOT_DONE_TEXT}' END"
     return f"""
-v0 AS (SELECT {keys}, {resp} AS resp, {evidence} AS evid FROM {src}),
-v1 AS (SELECT *, {_strip("regexp_extract(resp, '(?s)<think>(.*?)</think>', 1)")} AS think,
-              {_strip("regexp_replace(resp, '(?s)<think>.*?</think>', '', 'g')")} AS content FROM v0),
-v2 AS (SELECT *, regexp_extract(content, '(?s)(\\{{.*\\}})', 1) AS js FROM v1),
-v3 AS (SELECT *, js = '' AS no_json,
+{p}0 AS (SELECT {keys}, {resp} AS resp, {evidence} AS evid FROM {src}),
+{p}1 AS (SELECT *, {_strip("regexp_extract(resp, '(?s)<think>(.*?)</think>', 1)")} AS think,
+              {_strip("regexp_replace(resp, '(?s)<think>.*?</think>', '', 'g')")} AS content FROM {p}0),
+{p}2 AS (SELECT *, regexp_extract(content, '(?s)(\\{{.*\\}})', 1) AS js FROM {p}1),
+{p}3 AS (SELECT *, js = '' AS no_json,
          CASE WHEN json_valid('[' || js || ']') THEN json_array_length('[' || js || ']') = 1
               AND starts_with({_strip('js')}, '{{') ELSE false END AS ok,
          {_contains_any_sql('resp', TK.DONE_KEYWORDS)} AS kw_done, {_contains_any_sql('evid', kws)} AS ev_done
-       FROM v2),
-v4 AS (SELECT *, CASE WHEN ok THEN coalesce(TRY_CAST(json_extract_string(js, '$.completed') AS BOOLEAN), false) END
+       FROM {p}2),
+{p}4 AS (SELECT *, CASE WHEN ok THEN coalesce(TRY_CAST(json_extract_string(js, '$.completed') AS BOOLEAN), false) END
                    AS j_completed,
                  CASE WHEN ok THEN coalesce(json_extract_string(js, '$.reason'), '{TK.DEFAULT_REASON}') END AS j_reason
-       FROM v3),
-verdict AS (SELECT {keys},
+       FROM {p}3),
+{p}verdict AS (SELECT {keys},
   CASE WHEN no_json THEN kw_done WHEN ok THEN j_completed ELSE ev_done END AS completed,
   CASE WHEN no_json THEN '{TK.ANALYSIS_PREFIX}' || {says('kw_done')} WHEN ok THEN j_reason
        ELSE '{TK.JSON_FAIL_PREFIX}' || {says('ev_done')} END AS reason,
@@ -253,15 +253,161 @@ verdict AS (SELECT {keys},
        WHEN ok THEN CASE WHEN length(think) > 0 THEN think ELSE j_reason END
        ELSE '{TK.JSON_FAIL_THINK}' END AS think,
   CASE WHEN no_json THEN 'no_json' WHEN ok THEN 'json' ELSE 'bad_json' END AS parse_status
-FROM v4)"""
+FROM {p}4)"""
 
 
 _CONSTRUCTION_KW = OT.CHECK_LANES["construction_site"][1]
 
 
 @register("response_verdict", f"WITH {_BASE_SQL}, {_verdict_sql('base', 'eventId', _VERDICT_SQL, _EVIDENCE_SQL, _CONSTRUCTION_KW)}"
-          " SELECT eventId, completed, reason, think, parse_status FROM verdict")
+          " SELECT eventId, completed, reason, think, parse_status FROM vverdict")
 def response_verdict(spark, d):
     b = _base(spark, d).select("eventId", F.expr(_VERDICT_SQL).alias("resp"), F.expr(_EVIDENCE_SQL).alias("evid"))
     v = TK.verdict("resp", "evid", _CONSTRUCTION_KW)
     return b.select("eventId", *[v[c].alias(c) for c in ("completed", "reason", "think", "parse_status")])
+
+
+# ---------------------------------------------------------------- scene consistency
+def _img_part_sql(i: int) -> str:
+    return (f"CASE WHEN cap{i} IS NOT NULL THEN '[' || substr(split_part(string_split(url{i}, '/')[-1], '?', 1), 1, 12)"
+            f" || ': ' || {_strip(f'cap{i}')} || ']' ELSE '[image_{i + 1}: {TK.CAPTION_FAILURE}: ' || "
+            f"coalesce(err{i}, '') || ']' END")
+
+
+@register("scene_consistency", f"""WITH {_BASE_SQL},
+s0 AS (SELECT eventId, event_type, {_SCENE_RESP_SQL} AS resp,
+              CASE n_img WHEN 0 THEN '' WHEN 1 THEN {_img_part_sql(0)}
+                   ELSE {_img_part_sql(0)} || ' ' || {_img_part_sql(1)} END AS image_description FROM base),
+s1 AS (SELECT *, (resp IS NULL OR resp = '') AS empty, substr({_after_think_sql('resp')}, 1, 5) AS head5 FROM s0),
+s2 AS (SELECT *, CASE WHEN empty THEN false ELSE coalesce(contains(head5, '是'), false) END AS is_consistent,
+              CASE WHEN empty THEN false ELSE coalesce(contains(head5, '不是'), false) END AS negated,
+              contains(' ' || image_description, ' {TK.CAPTION_FAILURE}') OR empty AS has_error,
+              CASE WHEN empty THEN '{OT.SCENE_EMPTY_REASON}' ELSE resp END AS reason FROM s1)
+SELECT eventId, image_description, is_consistent, negated, has_error,
+  CASE WHEN has_error THEN '1' ELSE '0' END AS result_code,
+  CASE WHEN is_consistent THEN '{OT.SCENE_OK_MSG}' ELSE '{OT.SCENE_BAD_MSG}' END AS result_msg,
+  '<p><b>提示：</b>场景 <span style="color:blue;">“' || coalesce(event_type, '') || '”</span> <span style="color:'
+  || CASE WHEN is_consistent THEN 'green;">一致' ELSE 'red;">不一致' END || '</span><br/><b>图片显示：</b>'
+  || image_description || '<br/><b>模型分析：</b>' || reason || '</p>' AS hint_html
+FROM s2""")
+def scene_consistency(spark, d):
+    t = _tickets(spark, d).select("eventId", "ticket",
+                                  F.expr("slice(array(cap0, cap1), 1, n_img)").alias("captions"),
+                                  F.expr("slice(array(err0, err1), 1, n_img)").alias("caption_errors"),
+                                  F.expr(_SCENE_RESP_SQL).alias("response"))
+    return OT.scene_consistency(t).select("eventId", "image_description", "is_consistent", "negated", "has_error",
+                                          "result_code", "result_msg", "hint_html")
+
+
+# ---------------------------------------------------------------- dispatch actions
+def _lanes_values_sql() -> str:
+    rows = []
+    for lane, acts in OT.DISPATCH_LANES.items():
+        for i, (tg, ac, tl, th, sx) in enumerate(acts):
+            tl_sql = "CAST(NULL AS INTEGER)" if tl is None else f"CAST({tl} AS INTEGER)"
+            rows.append(f"('{lane}', CAST({i} AS INTEGER), '{tg}', '{ac}', {tl_sql}, {str(th).lower()}, '{sx}')")
+    return "lanes AS (SELECT * FROM (VALUES " + ", ".join(rows) + \
+        ") t(lane, action_pos, target, action, time_limit, keep_think, suffix))"
+
+
+_NAMED_SQL = ", ".join(f"'{x}'" for x in sorted(OT.NAMED_TARGET_LANES))
+_PROMPT_SQL = ("concat_ws(chr(10), '【工单信息】', '事件描述: ' || coalesce(description, ''), "
+               "'图片描述: ' || coalesce(imageDescription, ''), '上报位置: ' || coalesce(reportLocation, ''), "
+               "'上报人所属单位: ' || coalesce(sourceEntity, ''), '【法规内容】', '', "
+               f"CASE WHEN lane IN ({_NAMED_SQL}) THEN '请为' || target || '制定处理方案。' "
+               "ELSE '请判断责任主体并说明应执行的操作。' END, '回答格式：', "
+               f"CASE WHEN lane IN ({_NAMED_SQL}) THEN '1. 责任主体：' || target ELSE '1. 责任主体：' END, "
+               "'2. 决策理由（包括参考的法规）：', '3. 应执行的具体操作：')")
+
+
+@register("ticket_dispatch_actions", f"""WITH {_BASE_SQL}, {_ROUTE_SQL}, {_lanes_values_sql()},
+dv AS (SELECT b.*, {_MISSING_SQL} AS missing, route.lane AS rlane, route.route_status
+       FROM base b JOIN route ON route.eventId = b.eventId),
+req AS (SELECT dv.*, dv.rlane AS lane_key, l.action_pos, l.target, l.action, l.time_limit, l.keep_think, l.suffix
+        FROM dv LEFT JOIN lanes l ON dv.missing = '' AND dv.route_status = 'routed' AND l.lane = dv.rlane),
+rq AS (SELECT *, rlane AS lane, CASE WHEN action_pos IS NOT NULL THEN {_answer_sql('event_id + action_pos')} END AS resp
+       FROM req),
+ans AS (SELECT eventId, action_pos, {_after_think_sql('resp')} AS ans FROM rq WHERE action_pos IS NOT NULL),
+{_sections_sql('ans', 'eventId, action_pos', 'ans')}
+SELECT rq.eventId, rq.lane, rq.route_status,
+  CASE WHEN rq.missing <> '' THEN '{TK.MISSING_FIELDS_PREFIX}' || rq.missing END AS error,
+  rq.action_pos, rq.target, rq.action, rq.time_limit,
+  CASE WHEN rq.action_pos IS NOT NULL THEN coalesce(rq.description, '') || chr(10) || coalesce(rq.imageDescription, '')
+       || rq.suffix END AS query,
+  CASE WHEN rq.action_pos IS NOT NULL THEN {_PROMPT_SQL.replace('description', 'rq.description').replace('imageDescription', 'rq.imageDescription').replace('reportLocation', 'rq.reportLocation').replace('sourceEntity', 'rq.sourceEntity').replace('lane IN', 'rq.lane IN').replace('|| target', '|| rq.target')} END AS prompt,
+  sec.reason AS content,
+  CASE WHEN rq.keep_think THEN CASE WHEN contains(rq.resp, '</think>') THEN string_split(rq.resp, '</think>')[1]
+       ELSE '' END END AS think,
+  CASE WHEN rq.lane IN ({_NAMED_SQL}) AND rq.action_pos IS NOT NULL THEN '- ' || coalesce(rq.target, '') || '：'
+       || substr(coalesce(sec.reason, ''), 1, 100) || '...' || CASE WHEN coalesce(rq.time_limit, 0) <> 0
+       THEN '，' || CAST(rq.time_limit AS VARCHAR) || '分钟内完成' ELSE '' END END AS summary_line
+FROM rq LEFT JOIN sec ON sec.eventId = rq.eventId AND sec.action_pos = rq.action_pos""")
+def ticket_dispatch_actions(spark, d):
+    req = OT.dispatch_requests(_tickets(spark, d).drop("check_ticket"))
+    req = req.withColumn("response", F.when(F.col("action_pos").isNotNull(),
+                                            F.expr(_answer_sql("event_id + action_pos"))))
+    p = F.col("ticket.processDataParams")
+    named = F.col("lane").isin(*OT.NAMED_TARGET_LANES)
+    prompt = OT.dispatch_prompt(p["description"], F.col("ticket.context.imageDescription"), p["reportLocation"],
+                                p["sourceEntity"], F.lit(""), F.when(named, F.col("target")))
+    out = OT.dispatch_actions(req).withColumn("prompt", F.when(F.col("action_pos").isNotNull(), prompt))
+    return out.select("eventId", "lane", "route_status", "error", "action_pos", "target", "action", "time_limit",
+                      "query", "prompt", "content", "think", "summary_line")
+
+
+# ---------------------------------------------------------------- completion check
+_CS_KW, _CH_KW = OT.CHECK_LANES["construction_site"][1], OT.CHECK_LANES["city_housekeeper"][1]
+_MERGED_SQL = "concat_ws(' ', " + ", ".join(
+    f"CASE WHEN n_res >= {i + 1} AND res{i} <> '' THEN '[' || ent{i} || ': ' || res{i} || ']' END" for i in range(3)) + ")"
+
+
+def _next_sql(v: str, lane: str) -> str:
+    _, _, done_t, default_t = OT.CHECK_LANES[lane]
+    return (f"CASE WHEN {v}.completed AND has_results THEN '{done_t}' WHEN has_results THEN CASE WHEN orig <> '' "
+            f"THEN orig ELSE '{default_t}' END WHEN acts_given THEN orig ELSE '{default_t}' END")
+
+
+@register("ticket_check_result", f"""WITH {_BASE_SQL},
+c1 AS (SELECT eventId, {_lane_key('checkTarget')} AS lane, n_res > 0 AS has_results,
+         CASE WHEN n_res >= 1 THEN res0 ELSE '' END AS first_res, {_MERGED_SQL} AS merged,
+         CASE act_kind WHEN 2 THEN act_target ELSE '' END AS orig, act_kind <> 0 AS acts_given,
+         list_kind <> 0 AS has_list,
+         list_kind <> 0 AND (CASE list_kind WHEN 1 THEN review1 ELSE review2 END) = '已完成' AS sub_done,
+         NOT ({_falsy('description')} OR {_falsy('imageDescription')} OR {_falsy('checkTarget')} OR n_res = 0
+              OR {_falsy('res0')}) AS valid,
+         {_VERDICT_SQL} AS resp FROM base),
+{_verdict_sql('c1', 'eventId', 'resp', 'first_res', _CS_KW, 'a')},
+{_verdict_sql('c1', 'eventId', 'resp', 'merged', _CH_KW, 'b')},
+j AS (SELECT c1.*, a.completed AS a_completed, a.reason AS a_reason, a.think AS a_think,
+             b.completed AS b_completed, b.reason AS b_reason, b.think AS b_think,
+             {_next_sql('a', 'construction_site')} AS a_next, {_next_sql('b', 'city_housekeeper')} AS b_next
+      FROM c1 JOIN averdict a ON a.eventId = c1.eventId JOIN bverdict b ON b.eventId = c1.eventId),
+s AS (SELECT *, CASE WHEN lane IS NULL THEN 'unroutable' WHEN lane IN ('construction_site', 'city_housekeeper')
+                     THEN 'checked' WHEN lane = 'subdistrict_office' THEN CASE WHEN sub_done THEN 'closed'
+                     WHEN has_list THEN 'redispatch' ELSE 'pending' END WHEN valid THEN 'pass' ELSE 'invalid' END
+                AS status FROM j)
+SELECT eventId, lane, status,
+  CASE lane WHEN 'construction_site' THEN CASE WHEN has_results THEN a_completed ELSE false END
+            WHEN 'city_housekeeper' THEN CASE WHEN has_results THEN b_completed ELSE false END
+            WHEN 'subdistrict_office' THEN sub_done END AS completed,
+  status = 'closed' AS closed,
+  CASE lane WHEN 'construction_site' THEN CASE WHEN has_results THEN a_reason ELSE '{OT.NO_RESULTS_REASON}' END
+            WHEN 'city_housekeeper' THEN CASE WHEN has_results THEN b_reason ELSE '{OT.NO_RESULTS_REASON}' END
+            WHEN 'subdistrict_office' THEN CASE WHEN sub_done THEN '{OT.CLOSED_REASON}' WHEN has_list THEN NULL
+                                               ELSE '{OT.NO_CHECKLIST_REASON}' END END AS reason,
+  CASE lane WHEN 'construction_site' THEN CASE WHEN has_results THEN a_think ELSE '{OT.NO_RESULTS_THINK}' END
+            WHEN 'city_housekeeper' THEN CASE WHEN has_results THEN b_think ELSE '{OT.NO_RESULTS_THINK}' END
+            END AS think,
+  coalesce(CASE lane WHEN 'construction_site' THEN a_next WHEN 'city_housekeeper' THEN b_next
+            WHEN 'subdistrict_office' THEN CASE WHEN sub_done THEN '' WHEN has_list THEN orig ELSE '' END END, '')
+    AS next_targets,
+  CASE lane WHEN 'construction_site' THEN CASE WHEN has_results THEN first_res ELSE '' END
+            WHEN 'city_housekeeper' THEN CASE WHEN has_results THEN merged ELSE '' END END AS evidence,
+  CASE WHEN status = 'invalid' THEN 1 WHEN status IN ('pass', 'unroutable') THEN NULL ELSE 0 END AS result_code
+FROM s""")
+def ticket_check_result(spark, d):
+    t = _tickets(spark, d).select("eventId", F.col("check_ticket").alias("ticket"),
+                                  F.expr(_VERDICT_SQL).alias("response"))
+    out = OT.check_results(t)
+    return out.select("eventId", "lane", "status", "completed", "closed", "reason", "think",
+                      F.array_join("next_targets", ",").alias("next_targets"), "evidence", "result_code")
