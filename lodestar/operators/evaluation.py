@@ -95,3 +95,103 @@ def classification_report(pairs: DataFrame, vocab: DataFrame, digits: int = 4) -
     out = rows.unionByName(acc).unionByName(macro).unionByName(weighted)
     return out.select("class_name", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1_score")],
                       "support")
+
+
+# ---------------------------------------------------------------- prediction files
+FENCE_RE = "```(?:json)?\\s*([\\s\\S]*?)```"
+
+
+def _class_id(name) -> "F.Column":
+    m = F.create_map(*[x for i, n in enumerate(CLASS_NAMES) for x in (F.lit(n), F.lit(i))])
+    return F.try_element_at(m, name)
+
+
+def strict_json_value(text) -> "F.Column":
+    """True when the text is exactly one JSON value other than ``null``."""
+    from ..functions.text import strip
+    arr = F.concat(F.lit("["), text, F.lit("]"))
+    return F.coalesce((F.json_array_length(arr) == 1) & (strip(text) != "null"), F.lit(False))
+
+
+def prediction_json(content) -> "F.Column":
+    """The JSON text a prediction file holds, tried in order: each fenced
+    block, the whole text, then glued objects (``}{`` -> ``},{``) wrapped in
+    brackets.  NULL when nothing parses."""
+    from ..functions.text import strip
+    c = strip(content)
+    blocks = F.transform(F.regexp_extract_all(c, F.lit(FENCE_RE), 1), lambda b: strip(b))
+    fenced = F.try_element_at(F.filter(blocks, lambda b: strict_json_value(b)), F.lit(1))
+    glued = F.concat(F.lit("["), F.replace(c, F.lit("}{"), F.lit("},{")), F.lit("]"))
+    return (F.when(F.length(c) == 0, F.lit(None).cast("string"))
+            .when(c.contains("```") & fenced.isNotNull(), fenced)
+            .when(strict_json_value(c), c)
+            .when(strict_json_value(glued), glued))
+
+
+def prediction_items(js) -> "F.Column":
+    """Detection objects in the parsed prediction, in document order: a list
+    as is; ``results[].detections[]``; ``detections[]``; else every list
+    value's objects that carry ``cls`` or ``class``."""
+    v = F.try_parse_json(js)
+    arr = F.try_variant_get(v, "$", "array<variant>")
+    obj = F.try_variant_get(v, "$", "map<string,variant>")
+    results = F.try_variant_get(v, "$.results", "array<variant>")
+    from_results = F.flatten(F.transform(results, lambda r: F.coalesce(
+        F.try_variant_get(r, "$.detections", "array<variant>"), F.array().cast("array<variant>"))))
+    dets = F.try_variant_get(v, "$.detections", "array<variant>")
+    # map<string,string> from_json keeps document key order; list values come back as JSON text
+    values = F.map_values(F.from_json(js, "map<string,string>"))
+    lists = F.transform(values, lambda s: F.coalesce(F.try_variant_get(F.try_parse_json(s), "$", "array<variant>"),
+                                                     F.array().cast("array<variant>")))
+
+    def keyed(o):
+        m = F.try_variant_get(o, "$", "map<string,variant>")
+        return F.coalesce(F.map_contains_key(m, "cls") | F.map_contains_key(m, "class"), F.lit(False))
+
+    fallback = F.filter(F.flatten(lists), keyed)
+    return (F.when(arr.isNotNull(), arr)
+            .when(obj.isNotNull() & results.isNotNull(), from_results)
+            .when(obj.isNotNull() & dets.isNotNull(), dets)
+            .when(obj.isNotNull(), fallback))
+
+
+def parse_predictions(files: DataFrame, name_col: str = "name", content_col: str = "content") -> tuple[DataFrame, DataFrame]:
+    """Prediction files -> (stem, pos, cls_name, pred_id) plus rejects.
+    Non-objects, empty names and unknown names are dropped before positions
+    are numbered, so later items shift as in the reference."""
+    from ..functions.text import file_stem, strip
+    items = files.select(file_stem(F.col(name_col)).alias("stem"),
+                         F.posexplode(prediction_items(prediction_json(F.col(content_col)))).alias("_i", "_item"))
+    is_obj = F.try_variant_get("_item", "$", "map<string,variant>").isNotNull()
+    cls = F.try_variant_get("_item", "$.cls", "string")
+    klass = F.try_variant_get("_item", "$.class", "string")
+    name = strip(F.coalesce(F.nullif(cls, F.lit("")), F.nullif(klass, F.lit("")), F.lit("")))
+    named = items.filter(is_obj).select("stem", "_i", name.alias("cls_name")).filter(F.length("cls_name") > 0)
+    named = named.withColumn("pred_id", _class_id(F.col("cls_name")))
+    rejects = named.filter(F.col("pred_id").isNull()).select("stem", "cls_name")
+    known = named.filter(F.col("pred_id").isNotNull())
+    w = Window.partitionBy("stem").orderBy("_i")
+    return (known.select("stem", (F.row_number().over(w) - 1).alias("pos"), "cls_name", "pred_id"), rejects)
+
+
+def parse_label_lines(files: DataFrame, name_col: str = "name", content_col: str = "content") -> DataFrame:
+    """Label files -> (stem, pos, true_id): blank lines skipped, first
+    whitespace-separated token as the class id; positions count kept lines."""
+    from ..functions.text import file_stem, strip
+    lines = F.filter(F.split(F.col(content_col), "\r\n|\r|\n"), lambda l: F.length(strip(l)) > 0)
+    rows = files.select(file_stem(F.col(name_col)).alias("stem"), F.posexplode(lines).alias("pos", "_l"))
+    return rows.select("stem", "pos", F.split(strip(F.col("_l")), "\\s+")[0].try_cast("int").alias("true_id"))
+
+
+def latest_by_stem(files: DataFrame, name_col: str = "name") -> DataFrame:
+    """One file per stem: the later name in sorted order wins."""
+    from ..functions.text import file_stem
+    keyed = files.withColumn("_stem", file_stem(F.col(name_col)))
+    best = keyed.groupBy("_stem").agg(F.max(name_col).alias("_keep"))
+    return keyed.join(best, (keyed["_stem"] == best["_stem"]) & (keyed[name_col] == best["_keep"]), "left_semi") \
+        .drop("_stem")
+
+
+def align(truth: DataFrame, preds: DataFrame) -> DataFrame:
+    """Pair item i with item i per stem; the shorter list decides."""
+    return truth.join(preds, ["stem", "pos"], "inner").select("stem", "pos", "true_id", "pred_id")

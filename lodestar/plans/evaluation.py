@@ -70,3 +70,120 @@ SELECT class_name, round(precision, 4) AS precision, round(recall, 4) AS recall,
        support FROM allrows""")
 def classification_report(spark, d):
     return EV.classification_report(_pairs(spark, d), EV.vocabulary(spark))
+
+
+# ---------------------------------------------------------------- detection files
+# Label and prediction "files" composed per order from its line items, one
+# shape per order (list, glued objects, fenced results, detections with
+# "class", any-list fallback); every 13th order has no prediction file.
+def _name_sql(i: str) -> str:
+    return "CASE " + i + " " + " ".join(f"WHEN {n} THEN '{v}'" for n, v in enumerate(EV.CLASS_NAMES)) + " END"
+
+
+_PRED_NAME = ("CASE WHEN l_linenumber = 3 AND o_orderkey % 5 = 0 THEN '??' "
+              "WHEN l_linenumber = 2 AND o_orderkey % 7 = 0 THEN ' ' "
+              "WHEN l_linenumber = 1 AND o_orderkey % 2 = 0 THEN ' ' || "
+              + _name_sql("(l_partkey + CASE WHEN l_suppkey % 4 = 0 THEN 1 ELSE 0 END) % 11") + " || ' ' ELSE "
+              + _name_sql("(l_partkey + CASE WHEN l_suppkey % 4 = 0 THEN 1 ELSE 0 END) % 11") + " END")
+_ITEM_SQL = ("CASE WHEN o_orderkey % 5 = 3 THEN '{\"class\": \"' || " + _PRED_NAME + " || '\"}' "
+             "ELSE '{\"cls\": \"' || " + _PRED_NAME + " || '\", \"conf\": 0.5}' END")
+_TRUTH_LINE = ("CASE WHEN l_linenumber = 2 AND o_orderkey % 3 = 0 THEN '' "
+               "ELSE CAST(l_partkey % 11 AS STRING) || ' 0.5 0.5 0.1 0.1' END")
+
+
+def _wrap_sql(items: str, glued: str) -> str:
+    return ("CASE o_orderkey % 5 WHEN 0 THEN '[' || " + items + " || ']' WHEN 1 THEN " + glued + " "
+            "WHEN 2 THEN 'Result:' || chr(10) || '```json' || chr(10) || '{\"results\": [{\"detections\": [' || "
+            + items + " || ']}]}' || chr(10) || '```' "
+            "WHEN 3 THEN '{\"detections\": [' || " + items + " || ']}' "
+            "ELSE '{\"meta\": \"v1\", \"items\": [' || " + items + " || ', 7]}' END")
+
+
+def _files(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    o = table(spark, d, "orders").select("o_orderkey")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
+        "o_orderkey", "l_linenumber", f"{_TRUTH_LINE} AS tline", f"{_ITEM_SQL} AS item")
+    per = rows.groupBy("o_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "tline", "item")))
+                                         .alias("_xs"))
+    per = per.select("o_orderkey", F.array_join(F.transform("_xs", lambda x: x["tline"]), "\n").alias("truth"),
+                     F.array_join(F.transform("_xs", lambda x: x["item"]), ", ").alias("items"),
+                     F.array_join(F.transform("_xs", lambda x: x["item"]), "").alias("glued"))
+    per = per.selectExpr("o_orderkey", "truth", f"{_wrap_sql('items', 'glued')} AS pred")
+    truth = per.selectExpr("'img_' || CAST(o_orderkey AS STRING) || '.txt' AS name", "truth AS content")
+    preds = per.filter("o_orderkey % 13 <> 0").selectExpr(
+        "'img_' || CAST(o_orderkey AS STRING) || '.json' AS name", "pred AS content")
+    return truth, preds
+
+
+_WSR = "[ \\t\\n\\r\\f\\x0B\\x{3000}]"
+
+
+def _st(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WSR}+|{_WSR}+$', '', 'g')"
+
+
+def _valid(x: str) -> str:
+    a = f"'[' || {x} || ']'"
+    return f"(CASE WHEN json_valid({a}) THEN json_array_length({a}) = 1 AND {_st(x)} <> 'null' ELSE false END)"
+
+
+_FILES_SQL = f"""
+fr AS (SELECT o_orderkey, l_linenumber, {_TRUTH_LINE} AS tline, {_ITEM_SQL} AS item
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+fo AS (SELECT o_orderkey, string_agg(tline, chr(10) ORDER BY l_linenumber, tline, item) AS truth,
+              string_agg(item, ', ' ORDER BY l_linenumber, tline, item) AS items, string_agg(item, '' ORDER BY l_linenumber, tline, item) AS glued
+       FROM fr GROUP BY o_orderkey),
+files AS (SELECT o_orderkey, truth, {_wrap_sql('items', 'glued')} AS pred FROM fo),
+truthf AS (SELECT 'img_' || CAST(o_orderkey AS VARCHAR) AS stem, truth AS content FROM files),
+predf AS (SELECT 'img_' || CAST(o_orderkey AS VARCHAR) AS stem, pred AS content FROM files WHERE o_orderkey % 13 <> 0),
+tl AS (SELECT stem, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM (
+  SELECT stem, list_filter(regexp_split_to_array(content, '\\r\\n|\\r|\\n'), lambda l: length({_st('l')}) > 0) AS ls
+  FROM truthf)),
+truth AS (SELECT stem, CAST(pos AS INTEGER) AS pos,
+                 TRY_CAST(regexp_split_to_array({_st('line')}, '\\s+')[1] AS INTEGER) AS true_id FROM tl),
+p0 AS (SELECT stem, {_st('content')} AS c FROM predf),
+p1 AS (SELECT stem, c, list_filter(list_transform(regexp_extract_all(c, '{EV.FENCE_RE}', 1), lambda b: {_st('b')}),
+                                   lambda b: {_valid('b')})[1] AS fenced,
+              '[' || replace(c, '}}{{', '}},{{') || ']' AS glued FROM p0),
+p2 AS (SELECT stem, CASE WHEN c = '' THEN NULL WHEN contains(c, '```') AND fenced IS NOT NULL THEN fenced
+                         WHEN {_valid('c')} THEN c WHEN {_valid('glued')} THEN glued END AS js FROM p1),
+p3 AS (SELECT stem, js, json_type(js) AS jt FROM p2 WHERE js IS NOT NULL),
+p4 AS (SELECT stem, CASE
+   WHEN jt = 'ARRAY' THEN json_extract(js, '$[*]')
+   WHEN jt = 'OBJECT' AND json_type(js, '$.results') = 'ARRAY' THEN flatten(list_transform(
+        json_extract(js, '$.results[*]'), lambda r: CASE WHEN json_type(r, '$.detections') = 'ARRAY'
+        THEN json_extract(r, '$.detections[*]') ELSE CAST([] AS JSON[]) END))
+   WHEN jt = 'OBJECT' AND json_type(js, '$.detections') = 'ARRAY' THEN json_extract(js, '$.detections[*]')
+   WHEN jt = 'OBJECT' THEN list_filter(flatten(list_transform(json_keys(js), lambda k:
+        CASE WHEN json_type(json_extract(js, '$."' || k || '"')) = 'ARRAY'
+             THEN json_extract(json_extract(js, '$."' || k || '"'), '$[*]') ELSE CAST([] AS JSON[]) END)),
+        lambda o: json_type(o) = 'OBJECT' AND (json_exists(o, '$.cls') OR json_exists(o, '$.class')))
+   END AS items FROM p3),
+p5 AS (SELECT stem, unnest(range(0, len(items))) AS i, unnest(items) AS item FROM p4),
+p6 AS (SELECT stem, i, {_st("coalesce(nullif(json_extract_string(item, '$.cls'), ''), nullif(json_extract_string(item, '$.class'), ''), '')")}
+              AS cls_name FROM p5 WHERE json_type(item) = 'OBJECT'),
+vocab2 AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(EV.CLASS_NAMES))}) v(class_id, class_name)),
+p7 AS (SELECT p6.stem, p6.i, p6.cls_name, v.class_id AS pred_id FROM p6 JOIN vocab2 v ON v.class_name = p6.cls_name
+       WHERE length(p6.cls_name) > 0),
+preds AS (SELECT stem, CAST(row_number() OVER (PARTITION BY stem ORDER BY i) - 1 AS INTEGER) AS pos, cls_name, pred_id
+          FROM p7)"""
+
+
+def _det_parse(spark, d):
+    truth_files, pred_files = _files(spark, d)
+    preds, _rejects = EV.parse_predictions(EV.latest_by_stem(pred_files))
+    truth = EV.parse_label_lines(truth_files)
+    return truth, preds
+
+
+@register("detections_parse", f"WITH {_FILES_SQL} SELECT stem, pos, cls_name, pred_id FROM preds")
+def detections_parse(spark, d):
+    return _det_parse(spark, d)[1]
+
+
+@register("detections_align", f"WITH {_FILES_SQL} SELECT t.stem, t.pos, t.true_id, p.pred_id "
+          "FROM truth t JOIN preds p ON p.stem = t.stem AND p.pos = t.pos")
+def detections_align(spark, d):
+    truth, preds = _det_parse(spark, d)
+    return EV.align(truth, preds)
