@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -195,3 +197,149 @@ def latest_by_stem(files: DataFrame, name_col: str = "name") -> DataFrame:
 def align(truth: DataFrame, preds: DataFrame) -> DataFrame:
     """Pair item i with item i per stem; the shorter list decides."""
     return truth.join(preds, ["stem", "pos"], "inner").select("stem", "pos", "true_id", "pred_id")
+
+
+# ---------------------------------------------------------------- detection mAP
+IOU_THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]
+
+_MATCH = "image long, class_id int, pred_id long, score double, threshold double, tp int"
+
+
+def _greedy(thresholds, loop_above: int = 64):
+    import numpy as np
+
+    cols = ("image", "class_id", "pred_id", "score", "threshold", "tp")
+
+    def iou(p, g):
+        ix = np.clip(np.minimum(p[..., 2], g[..., 2]) - np.maximum(p[..., 0], g[..., 0]), 0, None)
+        iy = np.clip(np.minimum(p[..., 3], g[..., 3]) - np.maximum(p[..., 1], g[..., 1]), 0, None)
+        inter = ix * iy
+        union = (p[..., 2] - p[..., 0]) * (p[..., 3] - p[..., 1]) + (g[..., 2] - g[..., 0]) * (g[..., 3] - g[..., 1]) - inter
+        return inter / np.maximum(union, 1e-12)
+
+    def fn(gt: pd.DataFrame, pr: pd.DataFrame) -> pd.DataFrame:
+        if pr.empty:
+            return pd.DataFrame({c: [] for c in cols})
+        pr = pr.sort_values(["image", "class_id", "score", "pred_id"],
+                            ascending=[True, True, False, True]).reset_index(drop=True)
+        n, nt = len(pr), len(thresholds)
+        tp = np.zeros((nt, n), np.int32)
+        pb = pr[["x1", "y1", "x2", "y2"]].to_numpy(float)
+        gb = gt[["x1", "y1", "x2", "y2"]].to_numpy(float)
+        keys = pr[["image", "class_id"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        sizes = np.diff(np.r_[starts, n])
+        gid = np.repeat(np.arange(len(starts)), sizes)
+        rank = np.arange(n) - np.repeat(starts, sizes)
+        big = np.repeat(sizes > loop_above, sizes)
+        # candidate pairs inside each (image, class) group of ordinary size
+        left = pd.DataFrame({"image": keys[:, 0], "class_id": keys[:, 1], "pi": np.arange(n)})[~big]
+        right = pd.DataFrame({"image": gt["image"].to_numpy(), "class_id": gt["class_id"].to_numpy(),
+                              "gj": np.arange(len(gt))})
+        pairs = left.merge(right, on=["image", "class_id"])
+        pi, gj = pairs["pi"].to_numpy(), pairs["gj"].to_numpy()
+        v = iou(pb[pi], gb[gj]) if len(pairs) else np.zeros(0)
+        order = np.lexsort((gj, -v, pi))  # per prediction: best IoU first, ties on truth order
+        pi, gj, v, rk = pi[order], gj[order], v[order], rank[pi[order]]
+        for ti, t in enumerate(thresholds):
+            used = np.zeros(len(gt), bool)
+            ok = v >= t - 1e-12
+            for r in range(int(rk.max()) + 1 if len(rk) else 0):  # rounds: r-th prediction of every group
+                sel = np.flatnonzero((rk == r) & ok & ~used[gj])
+                if not len(sel):
+                    continue
+                first = sel[np.r_[True, pi[sel][1:] != pi[sel][:-1]]]
+                used[gj[first]] = True
+                tp[ti, pi[first]] = 1
+        # very large groups: one prediction at a time, IoU row computed on the fly
+        if big.any():
+            gidx = gt.groupby(["image", "class_id"], sort=False).indices
+            for s0, sz in zip(starts[sizes > loop_above], sizes[sizes > loop_above]):
+                g = gidx.get((keys[s0][0], keys[s0][1]))
+                if g is None:
+                    continue
+                boxes = gb[g]
+                for ti, t in enumerate(thresholds):
+                    used = np.zeros(len(g), bool)
+                    for i in range(s0, s0 + sz):
+                        row = iou(pb[i][None, :], boxes)
+                        cand = np.where(~used & (row >= t - 1e-12), row, -1.0)
+                        j = int(cand.argmax())
+                        if cand[j] >= 0:
+                            used[j] = True
+                            tp[ti, i] = 1
+        return pd.DataFrame({"image": np.tile(pr["image"].to_numpy(), nt),
+                             "class_id": np.tile(pr["class_id"].to_numpy(), nt),
+                             "pred_id": np.tile(pr["pred_id"].to_numpy(), nt),
+                             "score": np.tile(pr["score"].to_numpy(), nt),
+                             "threshold": np.repeat(np.asarray(thresholds, float), n),
+                             "tp": tp.ravel()})
+    return fn
+
+
+def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
+                     rows_per_bucket: int = 200_000) -> DataFrame:
+    """TP/FP flag per prediction and IoU threshold.  Truth and predictions
+    are co-grouped by a hash bucket of the image (bucket count from the
+    prediction count, so a bucket stays a bounded pandas batch); inside a
+    bucket each (image, class) group is matched greedily: predictions in
+    score order take their best unmatched truth box (a sequential rule,
+    hence the pandas step)."""
+    import math
+    n = preds.count()
+    spark = preds.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_bucket))
+    b = F.pmod(F.xxhash64("image"), F.lit(buckets))
+    g = gt.select(b.alias("_b"), "image", "class_id", "x1", "y1", "x2", "y2")
+    p = preds.select(b.alias("_b"), "image", "class_id", "pred_id", "score", "x1", "y1", "x2", "y2")
+    return g.groupBy("_b").cogroup(p.groupBy("_b")).applyInPandas(_greedy(list(thresholds)), _MATCH)
+
+
+def average_precision(matches: DataFrame, gt: DataFrame) -> DataFrame:
+    """AP per (class, threshold): cumulative TP/FP in score order, precision
+    envelope (max precision at equal or higher recall), area under the
+    stepwise curve.  Classes with truth boxes but no predictions get 0."""
+    n_gt = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt"))
+    key = ["class_id", "threshold"]
+    w = Window.partitionBy(*key).orderBy(F.desc("score"), F.col("image"), F.col("pred_id"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # envelope = max precision at this or any lower score: a running max over
+    # the reversed order (an unbounded-following frame would be re-scanned
+    # for every row)
+    rev = Window.partitionBy(*key).orderBy(F.col("score"), F.desc("image"), F.desc("pred_id")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    m = matches.join(n_gt, "class_id")
+    m = (m.withColumn("ctp", F.sum("tp").over(run)).withColumn("cfp", F.sum(1 - F.col("tp")).over(run))
+         .withColumn("prec", F.col("ctp") / (F.col("ctp") + F.col("cfp")))
+         .withColumn("rec", F.col("ctp") / F.col("n_gt")))
+    m = m.withColumn("env", F.max("prec").over(rev)).withColumn("drec", F.col("rec") - F.lag("rec", 1, 0.0).over(w))
+    ap = m.groupBy(*key).agg(F.sum(F.col("drec") * F.col("env")).alias("ap"))
+    return ap
+
+
+def detection_map(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS) -> DataFrame:
+    """Per class present in truth: AP@0.5, AP@0.5:0.95, truth/prediction
+    counts, precision and recall at IoU 0.5; then an ``all`` row with
+    mAP@0.5 and mAP@0.5:0.95 (means over classes)."""
+    matches = match_detections(gt, preds, thresholds).cache()
+    ap = average_precision(matches, gt)
+    n_gt = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt"))
+    at50 = matches.filter(F.col("threshold") == thresholds[0]).groupBy("class_id").agg(
+        F.count(F.lit(1)).alias("n_pred"), F.sum("tp").alias("tp50"))
+    per_t = ap.groupBy("class_id").agg(
+        F.sum(F.when(F.col("threshold") == thresholds[0], F.col("ap"))).alias("ap50"),
+        (F.sum("ap") / F.lit(len(thresholds))).alias("ap50_95"))
+    per = (n_gt.join(per_t, "class_id", "left").join(at50, "class_id", "left")
+           .select("class_id", F.coalesce("ap50", F.lit(0.0)).alias("ap50"),
+                   F.coalesce("ap50_95", F.lit(0.0)).alias("ap50_95"), "n_gt",
+                   F.coalesce("n_pred", F.lit(0)).alias("n_pred"), F.coalesce("tp50", F.lit(0)).alias("tp50")))
+    rows = per.select(F.col("class_id").cast("string").alias("class"), "ap50", "ap50_95", "n_gt", "n_pred",
+                      F.when(F.col("n_pred") > 0, F.col("tp50") / F.col("n_pred")).otherwise(F.lit(0.0)).alias("precision"),
+                      (F.col("tp50") / F.col("n_gt")).alias("recall"))
+    total = per.agg(F.avg("ap50").alias("ap50"), F.avg("ap50_95").alias("ap50_95"), F.sum("n_gt").alias("n_gt"),
+                    F.sum("n_pred").alias("n_pred"),
+                    (F.sum("tp50") / F.when(F.sum("n_pred") > 0, F.sum("n_pred"))).alias("precision"),
+                    (F.sum("tp50") / F.sum("n_gt")).alias("recall"))
+    total = total.select(F.lit("all").alias("class"), "ap50", "ap50_95", "n_gt", "n_pred",
+                         F.coalesce("precision", F.lit(0.0)).alias("precision"), "recall")
+    return rows.unionByName(total)

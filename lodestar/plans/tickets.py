@@ -411,3 +411,26 @@ def ticket_check_result(spark, d):
     out = OT.check_results(t)
     return out.select("eventId", "lane", "status", "completed", "closed", "reason", "think",
                       F.array_join("next_targets", ",").alias("next_targets"), "evidence", "result_code")
+
+
+# ---------------------------------------------------------------- message stream
+@register("ticket_stream", f"""WITH {_BASE_SQL}, {_ROUTE_SQL}, m AS (SELECT eventId, {_MISSING_SQL} AS missing FROM base
+  WHERE event_id % 50 <> 0)
+SELECT m.eventId, 'EventHandlerLookup' AS processActionCode, m.missing = '' AS valid,
+  CASE WHEN m.missing <> '' THEN '{TK.MISSING_FIELDS_PREFIX}' || m.missing END AS error, route.lane, route.route_status
+FROM m JOIN route ON route.eventId = m.eventId""")
+def ticket_stream(spark, d):
+    """Tickets written as JSON-line messages (every 50th line corrupted by a
+    glued second object, which the strict parser must reject), drained by a
+    Structured Streaming run, read back from its Parquet sink."""
+    from ..session import shared_dir
+    from ..streaming.tickets import run_dispatch
+
+    root = shared_dir(spark, "ticket-stream")
+    t = _tickets(spark, d)
+    raw = F.to_json(F.col("ticket").withField("processActionCode", F.lit("Intake")))
+    lines = t.select(F.when(F.col("event_id") % 50 == 0, F.concat(raw, F.lit('{"x": 1}'))).otherwise(raw)
+                     .alias("value"))
+    lines.write.mode("overwrite").text(root + "/in")
+    run_dispatch(spark, root + "/in", root + "/out", root + "/reject", root + "/ckpt")
+    return spark.read.parquet(root + "/out")
