@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so its queries register."""
-    from . import cohort, retrieval, evaluation, tickets, power, htmlrecords, messages  # noqa: F401
+    from . import cohort, retrieval, evaluation, tickets, power, htmlrecords, messages, files  # noqa: F401
