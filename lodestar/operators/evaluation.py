@@ -130,11 +130,11 @@ def prediction_json(content) -> "F.Column":
             .when(strict_json_value(glued), glued))
 
 
-def prediction_items(js) -> "F.Column":
-    """Detection objects in the parsed prediction, in document order: a list
-    as is; ``results[].detections[]``; ``detections[]``; else every list
-    value's objects that carry ``cls`` or ``class``."""
-    v = F.try_parse_json(js)
+def prediction_items(js, v) -> "F.Column":
+    """Detection objects in the parsed prediction ``v`` (variant of the
+    JSON text ``js``), in document order: a list as is;
+    ``results[].detections[]``; ``detections[]``; else every list value's
+    objects that carry ``cls`` or ``class``."""
     arr = F.try_variant_get(v, "$", "array<variant>")
     obj = F.try_variant_get(v, "$", "map<string,variant>")
     results = F.try_variant_get(v, "$.results", "array<variant>")
@@ -160,20 +160,30 @@ def prediction_items(js) -> "F.Column":
 def parse_predictions(files: DataFrame, name_col: str = "name", content_col: str = "content") -> tuple[DataFrame, DataFrame]:
     """Prediction files -> (stem, pos, cls_name, pred_id) plus rejects.
     Non-objects, empty names and unknown names are dropped before positions
-    are numbered, so later items shift as in the reference."""
+    are numbered, so later items shift as in the reference.  The JSON text is
+    parsed once into a variant column, and positions come from filtering the
+    item array before ``posexplode`` (no regrouping by file)."""
     from ..functions.text import file_stem, strip
-    items = files.select(file_stem(F.col(name_col)).alias("stem"),
-                         F.posexplode(prediction_items(prediction_json(F.col(content_col)))).alias("_i", "_item"))
-    is_obj = F.try_variant_get("_item", "$", "map<string,variant>").isNotNull()
-    cls = F.try_variant_get("_item", "$.cls", "string")
-    klass = F.try_variant_get("_item", "$.class", "string")
-    name = strip(F.coalesce(F.nullif(cls, F.lit("")), F.nullif(klass, F.lit("")), F.lit("")))
-    named = items.filter(is_obj).select("stem", "_i", name.alias("cls_name")).filter(F.length("cls_name") > 0)
-    named = named.withColumn("pred_id", _class_id(F.col("cls_name")))
-    rejects = named.filter(F.col("pred_id").isNull()).select("stem", "cls_name")
-    known = named.filter(F.col("pred_id").isNotNull())
-    w = Window.partitionBy("stem").orderBy("_i")
-    return (known.select("stem", (F.row_number().over(w) - 1).alias("pos"), "cls_name", "pred_id"), rejects)
+    base = files.select(file_stem(F.col(name_col)).alias("stem"), prediction_json(F.col(content_col)).alias("_js"))
+    base = base.select("stem", "_js", F.try_parse_json("_js").alias("_v"))
+    items = base.select("stem", prediction_items(F.col("_js"), F.col("_v")).alias("_items"))
+
+    def named(o):
+        cls = F.try_variant_get(o, "$.cls", "string")
+        klass = F.try_variant_get(o, "$.class", "string")
+        nm = strip(F.coalesce(F.nullif(cls, F.lit("")), F.nullif(klass, F.lit("")), F.lit("")))
+        is_obj = F.try_variant_get(o, "$", "map<string,variant>").isNotNull()
+        return F.struct(F.when(is_obj, nm).otherwise(F.lit("")).alias("cls_name"))
+
+    names = items.select("stem", F.filter(F.transform("_items", named), lambda x: F.length(x["cls_name"]) > 0)
+                         .alias("_n"))
+    ided = names.select("stem", F.transform("_n", lambda x: F.struct(
+        x["cls_name"].alias("cls_name"), _class_id(x["cls_name"]).alias("pred_id"))).alias("_k"))
+    known = ided.select("stem", F.posexplode(F.filter("_k", lambda x: x["pred_id"].isNotNull())).alias("pos", "_x")) \
+        .select("stem", "pos", F.col("_x.cls_name").alias("cls_name"), F.col("_x.pred_id").alias("pred_id"))
+    rejects = ided.select("stem", F.explode(F.filter("_k", lambda x: x["pred_id"].isNull())).alias("_x")) \
+        .select("stem", F.col("_x.cls_name").alias("cls_name"))
+    return known, rejects
 
 
 def parse_label_lines(files: DataFrame, name_col: str = "name", content_col: str = "content") -> DataFrame:

@@ -73,7 +73,7 @@ def classification_report(spark, d):
 
 
 # ---------------------------------------------------------------- detection files
-# Label and prediction "files" composed per order from its line items, one
+# Label and prediction "files" composed per order key from its line items, one
 # shape per order (list, glued objects, fenced results, detections with
 # "class", any-list fallback); every 13th order has no prediction file.
 def _name_sql(i: str) -> str:
@@ -100,10 +100,9 @@ def _wrap_sql(items: str, glued: str) -> str:
 
 
 def _files(spark, d):
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    o = table(spark, d, "orders").select("o_orderkey")
-    rows = li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
-        "o_orderkey", "l_linenumber", f"{_TRUTH_LINE} AS tline", f"{_ITEM_SQL} AS item")
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_suppkey",
+                                            "l_linenumber")
+    rows = li.selectExpr("o_orderkey", "l_linenumber", f"{_TRUTH_LINE} AS tline", f"{_ITEM_SQL} AS item")
     per = rows.groupBy("o_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "tline", "item")))
                                          .alias("_xs"))
     per = per.select("o_orderkey", F.array_join(F.transform("_xs", lambda x: x["tline"]), "\n").alias("truth"),
@@ -130,7 +129,7 @@ def _valid(x: str) -> str:
 
 _FILES_SQL = f"""
 fr AS (SELECT o_orderkey, l_linenumber, {_TRUTH_LINE} AS tline, {_ITEM_SQL} AS item
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+       FROM (SELECT l_orderkey AS o_orderkey, * FROM lineitem)),
 fo AS (SELECT o_orderkey, string_agg(tline, chr(10) ORDER BY l_linenumber, tline, item) AS truth,
               string_agg(item, ', ' ORDER BY l_linenumber, tline, item) AS items, string_agg(item, '' ORDER BY l_linenumber, tline, item) AS glued
        FROM fr GROUP BY o_orderkey),

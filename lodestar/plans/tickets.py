@@ -424,7 +424,7 @@ def ticket_stream(spark, d):
     glued second object, which the strict parser must reject), drained by a
     Structured Streaming run, read back from its Parquet sink."""
     from ..session import shared_dir
-    from ..streaming.tickets import run_dispatch
+    from ..streaming.tickets import read_outcomes, run_dispatch
 
     root = shared_dir(spark, "ticket-stream")
     t = _tickets(spark, d)
@@ -432,5 +432,5 @@ def ticket_stream(spark, d):
     lines = t.select(F.when(F.col("event_id") % 50 == 0, F.concat(raw, F.lit('{"x": 1}'))).otherwise(raw)
                      .alias("value"))
     lines.write.mode("overwrite").text(root + "/in")
-    run_dispatch(spark, root + "/in", root + "/out", root + "/reject", root + "/ckpt")
-    return spark.read.parquet(root + "/out")
+    run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
+    return read_outcomes(spark, root + "/out")

@@ -33,26 +33,49 @@ def intake(spark: SparkSession, folder: str, action_code: str | None = None,
 
 
 def dispatch_outcome(messages: DataFrame) -> DataFrame:
-    """Validation and lane decision per accepted ticket (stateless)."""
-    ok = messages.filter(F.col("ticket").isNotNull())
-    miss = TK.dispatch_missing(F.col("ticket"))
-    route = TK.dispatch_route(F.col("ticket"))
-    return ok.select(F.col("ticket.eventId").alias("eventId"),
-                     F.col("ticket.processActionCode").alias("processActionCode"),
-                     (F.size(miss) == 0).alias("valid"), TK.dispatch_error(miss).alias("error"),
-                     route["lane"].alias("lane"), route["route_status"].alias("route_status"))
+    """Validation and lane decision per message (stateless).  Rejected lines
+    keep their raw text and NULL outcome columns, so one pass over a batch
+    yields both outputs."""
+    t = F.col("ticket")
+    miss = TK.dispatch_missing(t)
+    route = TK.dispatch_route(t)
+    ok = t.isNotNull()
+    return messages.select(ok.alias("accepted"), F.when(~ok, F.col("raw")).alias("raw"),
+                           t["eventId"].alias("eventId"), t["processActionCode"].alias("processActionCode"),
+                           F.when(ok, F.size(miss) == 0).alias("valid"),
+                           F.when(ok, TK.dispatch_error(miss)).alias("error"),
+                           F.when(ok, route["lane"]).alias("lane"), F.when(ok, route["route_status"]).alias("route_status"))
 
 
-def run_dispatch(spark: SparkSession, in_folder: str, out_path: str, reject_path: str, checkpoint: str,
+def run_dispatch(spark: SparkSession, in_folder: str, out_path: str, checkpoint: str,
                  action_code: str = "EventHandlerLookup") -> None:
-    """Drain the message folder once (``availableNow``) into Parquet sinks:
-    outcomes and rejected raw lines.  Exactly-once through the file sink's
-    commit log and the checkpoint."""
+    """Drain the message folder once (``availableNow``) into a Parquet table
+    partitioned by ``accepted`` (outcomes under ``accepted=true``, rejected
+    raw lines under ``accepted=false``).  Each micro-batch is parsed once and
+    written once under its batch id, so a batch retried after a failure
+    overwrites its own files instead of duplicating them; progress lives in
+    the checkpoint, so a restarted run resumes where it stopped."""
     msgs = intake(spark, in_folder, action_code)
-    q1 = (dispatch_outcome(msgs).writeStream.format("parquet").option("path", out_path)
-          .option("checkpointLocation", checkpoint + "/outcome").trigger(availableNow=True).start())
-    q2 = (msgs.filter(F.col("ticket").isNull()).select("raw").writeStream.format("parquet")
-          .option("path", reject_path).option("checkpointLocation", checkpoint + "/reject")
-          .trigger(availableNow=True).start())
-    q1.awaitTermination()
-    q2.awaitTermination()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The ticket struct is read field by field; letting the optimizer push
+        # each field access into its own pruned from_json would parse every
+        # message once per field.  The micro-batch runs in the stream's own
+        # cloned session, so this does not leak into the caller's session.
+        batch.sparkSession.conf.set("spark.sql.optimizer.enableJsonExpressionOptimization", "false")
+        (dispatch_outcome(batch).write.mode("overwrite").partitionBy("accepted")
+         .parquet(f"{out_path}/batch={batch_id}"))
+
+    q = (msgs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def read_outcomes(spark: SparkSession, out_path: str) -> DataFrame:
+    """Accepted outcomes of all micro-batches."""
+    return (spark.read.option("basePath", out_path).parquet(out_path)
+            .filter(F.col("accepted").cast("string") == "true").drop("accepted", "raw", "batch"))
+
+
+def read_rejects(spark: SparkSession, out_path: str) -> DataFrame:
+    return spark.read.parquet(out_path).filter(F.col("accepted").cast("string") == "false").select("raw")
