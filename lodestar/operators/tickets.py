@@ -240,3 +240,81 @@ def attach_responses(requests: DataFrame, responses: DataFrame, key: str = "prom
     """Precomputed answers joined on their prompt id (left join: a missing
     answer stays NULL and is handled by the parsers' fallbacks)."""
     return requests.join(responses, key, "left")
+
+
+def describe_images(images: DataFrame, fn: Callable[[list[bytes]], list[str]], content_col: str = "content",
+                    out_col: str = "caption", error_col: str = "caption_error") -> DataFrame:
+    """Image -> text hook over a ``binaryFile`` table (one call per Arrow
+    batch).  Failures become per-row ``caption_error`` values, which the
+    caption merger renders as ``[image_<i>: 图片处理失败: <error>]``."""
+    schema = T.StructType(images.schema.fields + [T.StructField(out_col, T.StringType()),
+                                                  T.StructField(error_col, T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            caps, errs = [], []
+            for b in pdf[content_col]:
+                try:
+                    caps.append(fn([bytes(b)])[0])
+                    errs.append(None)
+                except Exception as e:  # per-image failure capture
+                    caps.append(None)
+                    errs.append(str(e))
+            pdf[out_col], pdf[error_col] = caps, errs
+            yield pdf
+
+    return images.mapInPandas(run, schema)
+
+
+def score_pairs(pairs: DataFrame, fn: Callable[[list[str], list[str]], list[float]], query_col: str = "query",
+                text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """(query, text) -> relevance score hook for reranking, batched."""
+    schema = T.StructType(pairs.schema.fields + [T.StructField(out_col, T.DoubleType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf[out_col] = [float(x) for x in fn(pdf[query_col].fillna("").tolist(), pdf[text_col].fillna("").tolist())]
+            yield pdf
+
+    return pairs.mapInPandas(run, schema)
+
+
+def stamped(df: DataFrame, start_col: str = "processStartAt", end_col: str = "processStartEnd") -> DataFrame:
+    """Processing stamps in ISO form.  Both come from the query's start time
+    (one value per query, the same on every row), so re-running a failed
+    task does not change them."""
+    ts = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+    return df.withColumn(start_col, ts).withColumn(end_col, ts)
+
+
+def dispatch_result_tickets(actions: DataFrame, summary_col: str = "summary") -> DataFrame:
+    """Result ticket per dispatched event, as the nested JSON the reference
+    emits: error tickets for invalid/unroutable events, a single forwarded
+    action for one-action lanes, an action list plus summary for lanes that
+    keep think text.  Actions are regrouped per event (at most the lane's
+    action count per group), ordered by position."""
+    act = F.struct(F.col("target"), F.col("content"), F.col("action"), F.col("time_limit").alias("timeLimit"),
+                   F.col("think"))
+    per = actions.groupBy("eventId", "lane", "route_status", "error", "processActionCode").agg(
+        F.array_sort(F.collect_list(F.when(F.col("action_pos").isNotNull(),
+                                           F.struct(F.col("action_pos"), act.alias("a"))))).alias("_acts"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("action_pos").isNotNull(),
+                                                        F.struct("action_pos", "summary_line")))
+                                  ).getField("summary_line"), "\n").alias(summary_col))
+    acts = F.transform("_acts", lambda x: x["a"])
+    single = F.element_at(acts, 1)
+    multi = F.col("lane").isin(*NAMED_TARGET_LANES)
+    none_s = F.lit(None).cast("string")
+    none_a = F.lit(None).cast("array<struct<target:string,content:string,action:string,timeLimit:int,think:string>>")
+
+    def data_struct(error, target, content, action, actions, summary):
+        return F.struct(error.alias("error"), target.alias("target"), content.alias("content"),
+                        action.alias("action"), actions.alias("actions"), summary.alias("summary"))
+
+    data = (F.when(F.col("error").isNotNull(), data_struct(F.col("error"), none_s, none_s, none_s, none_a, none_s))
+            .when(multi, data_struct(none_s, none_s, none_s, none_s, acts, F.col(summary_col)))
+            .when(F.col("lane").isNotNull(), data_struct(none_s, single["target"], single["content"],
+                                                         single["action"], none_a, none_s)))
+    code = F.when(F.col("error").isNotNull(), F.lit(1)).when(multi, F.lit(0))
+    out = per.select("eventId", code.alias("processResultCode"), "processActionCode", data.alias("processResultData"))
+    return stamped(out)

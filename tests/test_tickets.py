@@ -64,3 +64,32 @@ def test_dispatch_actions_named_lane(spark):
     assert row.content == "依法整改" and row.think == "<think>t"
     assert row.summary_line == "- 工地企业：依法整改...，120分钟内完成"
     assert row.query.startswith("d\n[i: c]\n提醒肇事人员")
+
+
+def test_result_ticket_json_and_hooks(spark):
+    t = tickets(spark, [{"eventId": "a", "processActionCode": "EventHandlerLookup",
+                         "processDataParams": {"description": "d", "reportLocation": "l", "sourceEntity": "城市管家"},
+                         "context": {"imageDescription": "[i: c]"}},
+                        {"eventId": "b", "processActionCode": "EventHandlerLookup",
+                         "processDataParams": {"description": "d"}, "context": {}}])
+    req = OT.dispatch_requests(t).withColumn("response", F.lit("1. 责任主体：x\n2. 决策理由：\n理由"))
+    acts = OT.dispatch_actions(req).withColumn("processActionCode", F.col("ticket.processActionCode")) \
+        .withColumn("eventId", F.col("ticket.eventId"))
+    res = {r.eventId: r for r in OT.dispatch_result_tickets(acts).collect()}
+    assert [a.target for a in res["a"].processResultData.actions] == ["执法队", "城市管家"]
+    assert res["a"].processResultData.summary.count("\n") == 1 and res["a"].processResultCode == 0
+    assert res["b"].processResultCode == 1 and res["b"].processResultData.error.startswith("工单缺失必要字段")
+    js = OT.dispatch_result_tickets(acts).select(F.to_json(F.struct("*")).alias("j")).collect()[0].j
+    assert "工单" in js or "执法队" in js  # non-ASCII kept literal
+    imgs = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"bad"),)], "content binary")
+
+    def cap(bs):
+        if bs[0] == b"bad":
+            raise ValueError("timeout")
+        return ["a truck"]
+
+    got = [(r.caption, r.caption_error) for r in OT.describe_images(imgs, cap).collect()]
+    assert got == [("a truck", None), (None, "timeout")]
+    pairs = spark.createDataFrame([("q", "q x"), ("q", "y")], "query string, text string")
+    sc = OT.score_pairs(pairs, lambda qs, ts: [float(q in t) for q, t in zip(qs, ts)]).collect()
+    assert [r.score for r in sc] == [1.0, 0.0]
