@@ -40,42 +40,65 @@ def exclude(df: DataFrame, ids: DataFrame, key: str = "subject_id") -> DataFrame
     return df.join(ids.select(F.col("subject_id").alias(key)), on=key, how="left_anti")
 
 
-def seeded_sample(ids: DataFrame, n: int, seed: int = 42, id_col: str = "subject_id",
-                  prefix_hex: int = 4) -> DataFrame:
-    """Exactly ``n`` ids: the first ``n`` in the order of
-    ``md5('<seed>:<id>')`` (ties on id).  Repeatable and identical in SQL.
-
-    Distributed selection without funnelling the sample through one task:
-    ids are bucketed by the first ``prefix_hex`` hex digits of the hash
-    (at most 16**prefix_hex buckets, so the histogram that reaches the driver
-    has a fixed size whatever the data size).  Whole buckets below the cut
-    are kept with a filter; only the single boundary bucket is ranked."""
+def _hashed(ids: DataFrame, seed: int, id_col: str, prefix_hex: int) -> DataFrame:
+    """Ids with their md5 draw key, cut to a reliable checkpoint in the
+    cluster's shared checkpoint folder: the histogram and the selection then
+    read it instead of recomputing the upstream joins."""
+    from ..session import ensure_checkpoint_dir
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     keyed = ids.select(F.col(id_col), key.alias("_h")).withColumn("_b", F.substring("_h", 1, prefix_hex))
-    if n <= 0:
-        return keyed.limit(0).select(id_col)
-    hist = keyed.groupBy("_b").count().orderBy("_b").collect()  # <= 16**prefix_hex rows
+    ensure_checkpoint_dir(ids.sparkSession)
+    return keyed.checkpoint(eager=True)
+
+
+def _histogram(keyed: DataFrame) -> list[tuple[str, int]]:
+    # at most 16**prefix_hex rows, whatever the data size
+    return [(r["_b"], r["count"]) for r in keyed.groupBy("_b").count().orderBy("_b").collect()]
+
+
+def _take_first(keyed: DataFrame, hist: list[tuple[str, int]], n: int, id_col: str) -> DataFrame:
     taken, cut, need = 0, None, 0
-    for row in hist:
-        if taken + row["count"] <= n:
-            taken += row["count"]
+    for b, c in hist:
+        if taken + c <= n:
+            taken += c
             continue
-        cut, need = row["_b"], n - taken
+        cut, need = b, n - taken
         break
     if cut is None:
         return keyed.select(id_col)
     whole = keyed.filter(F.col("_b") < cut).select(id_col)
     if need == 0:
         return whole
-    boundary = (keyed.filter(F.col("_b") == cut)
-                .orderBy("_h", id_col).limit(need).select(id_col))
+    boundary = keyed.filter(F.col("_b") == cut).orderBy("_h", id_col).limit(need).select(id_col)
     return whole.unionByName(boundary)
 
 
-def control_sample(pool: DataFrame, n_cases: int, seed: int = 42) -> DataFrame:
-    """Same-size control draw: min(cases, pool) ids from the pool."""
-    n_pool = pool.count()
-    return seeded_sample(pool, min(n_cases, n_pool), seed)
+def seeded_sample(ids: DataFrame, n: int, seed: int = 42, id_col: str = "subject_id",
+                  prefix_hex: int = 4) -> DataFrame:
+    """Exactly ``n`` ids: the first ``n`` in the order of
+    ``md5('<seed>:<id>')`` (ties on id).  Repeatable and identical in SQL.
+
+    Distributed selection without funnelling the sample through one task:
+    ids are bucketed by the first ``prefix_hex`` hex digits of the hash
+    (at most 16**prefix_hex buckets, so the histogram that reaches the driver
+    has a fixed size whatever the data size).  Whole buckets below the cut
+    are kept with a filter; only the single boundary bucket is ranked."""
+    if n <= 0:
+        return ids.select(id_col).limit(0)
+    keyed = _hashed(ids, seed, id_col, prefix_hex)
+    return _take_first(keyed, _histogram(keyed), n, id_col)
+
+
+def control_sample(pool: DataFrame, n_cases: int, seed: int = 42, id_col: str = "subject_id",
+                   prefix_hex: int = 4) -> DataFrame:
+    """Same-size control draw: min(cases, pool) ids from the pool; the pool
+    size is the histogram total, so the pool is computed once."""
+    keyed = _hashed(pool, seed, id_col, prefix_hex)
+    hist = _histogram(keyed)
+    n = min(n_cases, sum(c for _, c in hist))
+    if n <= 0:
+        return keyed.select(id_col).limit(0)
+    return _take_first(keyed, hist, n, id_col)
 
 
 def count_rows(named: Iterable[tuple[str, DataFrame]]) -> DataFrame:
@@ -134,5 +157,8 @@ def lab_wide(labs: DataFrame, labels: Sequence[str], key: str = "subject_id",
     """One row per subject, one column per label (mean), missing = NULL.
     ``labels`` fixes the output schema, so pivot needs no extra job to
     discover its values."""
-    return (labs.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
-            .groupBy(key).pivot(label, list(labels)).agg(F.avg(value)))
+    # One aggregation with a conditional mean per label: a single shuffle on
+    # the subject with map-side partial (sum, count) pairs, instead of
+    # pivot's aggregate-by-(subject, label) followed by a second pivot pass.
+    rows = labs.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
+    return rows.groupBy(key).agg(*[F.avg(F.when(F.col(label) == lab, F.col(value))).alias(lab) for lab in labels])

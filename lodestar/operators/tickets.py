@@ -139,17 +139,27 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
         "array<struct<target:string,content:string,action:string,timeLimit:int>>")), lambda a: a["target"])
     acts_given = t["context"]["actions"].isNotNull()
 
+    # The verdict of the row's own lane is computed once into a column (a
+    # CASE on the lane), then its fields are picked; repeating the verdict
+    # expression in every output column would re-run its regex/JSON work.
+    vcol = F.lit(None).cast("struct<completed:boolean,reason:string,think:string,parse_status:string>")
+    ecol = F.lit(None).cast("string")
+    for ln, (evid, kws, _, _) in CHECK_LANES.items():
+        evidence = first if evid == "first" else merged
+        vcol = F.when(lane == ln, F.when(has_results, TK.verdict(F.col(response_col), evidence, kws))
+                      .otherwise(_no_results())).otherwise(vcol)
+        ecol = F.when(lane == ln, F.when(has_results, evidence).otherwise(F.lit(""))).otherwise(ecol)
+    tickets = tickets.withColumn("_verdict", vcol).withColumn("_evidence", ecol)
     out = {}
     for ln, (evid, kws, done_target, default_target) in CHECK_LANES.items():
-        evidence = first if evid == "first" else merged
-        v = F.when(has_results, TK.verdict(F.col(response_col), evidence, kws)).otherwise(_no_results())
+        v = F.col("_verdict")
         done = v["completed"]
         # not done: the original actions if any, else the lane default target
         redo = F.when(has_results, F.when(F.size(orig_targets) > 0, orig_targets)
                       .otherwise(F.array(F.lit(default_target)))) \
             .otherwise(F.when(acts_given, orig_targets).otherwise(F.array(F.lit(default_target))))
         nxt = F.when(done, F.array(F.lit(done_target))).otherwise(redo)
-        out[ln] = (v, F.when(has_results, evidence).otherwise(F.lit("")), nxt)
+        out[ln] = (v, F.col("_evidence"), nxt)
 
     items = t["checklistInfo"]["handleItems"]
     review = TK.first_match(F.coalesce(items, F.array().cast("array<struct<item:string,result:string>>")),
@@ -182,9 +192,10 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
                     F.lit(None).cast("string"))
     code = F.when(status == "invalid", F.lit(1)).when(status == "pass", F.lit(None).cast("int")) \
         .when(status == "unroutable", F.lit(None).cast("int")).otherwise(F.lit(0))
-    return tickets.select("*", lane.alias("lane"), status.alias("status"), completed.alias("completed"),
-                          (status == "closed").alias("closed"), reason.alias("reason"), think.alias("think"),
-                          nxt.alias("next_targets"), evidence.alias("evidence"), code.alias("result_code"))
+    out_df = tickets.select("*", lane.alias("lane"), status.alias("status"), completed.alias("completed"),
+                            (status == "closed").alias("closed"), reason.alias("reason"), think.alias("think"),
+                            nxt.alias("next_targets"), evidence.alias("evidence"), code.alias("result_code"))
+    return out_df.drop("_verdict", "_evidence")
 
 
 def scene_consistency(tickets: DataFrame, ticket_col: str = "ticket", captions_col: str = "captions",
