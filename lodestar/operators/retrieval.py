@@ -259,3 +259,18 @@ def chunk_counts(chunks: DataFrame, source_col: str = "source", unknown: str = "
 def hit_preview(text_col: str = "chunk", max_chars: int = 100) -> "F.Column":
     """Hit preview: first 100 characters with ``...`` always appended."""
     return F.concat(F.substring(strip(text_col), 1, max_chars), F.lit("..."))
+
+
+def answer_prompt(question, context) -> "F.Column":
+    """Question-answering prompt (template of our own): the question, the
+    retrieved passages joined by blank lines, an instruction to stay within
+    them."""
+    return F.concat(F.lit("问题: "), F.coalesce(question, F.lit("")), F.lit("\n\n相关片段:\n"),
+                    F.coalesce(context, F.lit("")), F.lit("\n\n请只根据以上片段作答，不要编造信息。"))
+
+
+def ordered_join(df: DataFrame, key: str, order_col: str, text_col: str, sep: str) -> DataFrame:
+    """Per key: texts joined in ``order_col`` order (groups bounded by k)."""
+    return df.groupBy(key).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(text_col).alias("t")))),
+        lambda x: F.coalesce(x["t"], F.lit(""))), sep).alias("context"))

@@ -106,3 +106,45 @@ def rerank_topk(spark, d):
 def embed_hashing(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return R.hashing_embed(docs).select("doc_id", "embedding")
+
+
+_ST = "regexp_replace({x}, '^[ \\t\\n\\r\\f\\x0B\\x{{3000}}]+|[ \\t\\n\\r\\f\\x0B\\x{{3000}}]+$', '', 'g')"
+
+
+@register("retrieval_hits", "WITH " + _PAIRS_SQL + f"""
+SELECT r.query_id, r.rank, r.neighbor_id,
+       substr({_ST.format(x='doc.text')}, 1, 100) || '...' AS preview
+FROM ranked r LEFT JOIN documents doc ON doc.doc_id = r.neighbor_id WHERE r.rank <= {K_CONTEXT}""")
+def retrieval_hits(spark, d):
+    hits = _knn(spark, d, K_CONTEXT)
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("neighbor_id"), F.col("text").alias("chunk"))
+    return hits.join(docs, "neighbor_id", "left").select("query_id", "rank", "neighbor_id",
+                                                         R.hit_preview("chunk").alias("preview"))
+
+
+_RERANK_CTE = f"""
+, cand AS (SELECT * FROM ranked WHERE rank <= {K_SEARCH})
+, scored AS (
+  SELECT c.query_id, c.neighbor_id, c.rank AS knn_rank,
+         CAST(len(list_intersect({_TOK_SQL.format(t='qd.text')}, {_TOK_SQL.format(t='cd.text')})) AS INTEGER) AS score
+  FROM cand c JOIN documents qd ON qd.doc_id = c.query_id JOIN documents cd ON cd.doc_id = c.neighbor_id)
+, rr AS (SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, knn_rank) AS INTEGER) AS rerank
+  FROM scored) WHERE rerank <= {K_RERANK})"""
+
+
+@register("rag_prompt", "WITH " + _PAIRS_SQL + _RERANK_CTE + """
+, ctx AS (SELECT rr.query_id, string_agg(coalesce(cd.text, ''), chr(10) || chr(10) ORDER BY rr.rerank) AS context
+          FROM rr LEFT JOIN documents cd ON cd.doc_id = rr.neighbor_id GROUP BY rr.query_id)
+SELECT ctx.query_id, '问题: ' || coalesce(string_split(q.text, chr(10))[1], '') || chr(10) || chr(10) || '相关片段:'
+       || chr(10) || coalesce(ctx.context, '') || chr(10) || chr(10) || '请只根据以上片段作答，不要编造信息。' AS prompt
+FROM ctx LEFT JOIN documents q ON q.doc_id = ctx.query_id""")
+def rag_prompt(spark, d):
+    docs = table(spark, d, "documents")
+    top = R.lexical_rerank(_knn(spark, d, K_SEARCH), docs.select(F.col("doc_id").alias("query_id"), "text"),
+                           docs.select("doc_id", "text"), top=K_RERANK)
+    texts = top.join(docs.select(F.col("doc_id").alias("neighbor_id"), "text"), "neighbor_id", "left")
+    ctx = R.ordered_join(texts, "query_id", "rerank", "text", "\n\n")
+    q = docs.select(F.col("doc_id").alias("query_id"), F.split("text", "\n")[0].alias("question"))
+    return ctx.join(q, "query_id", "left").select("query_id", R.answer_prompt(F.col("question"), F.col("context"))
+                                                  .alias("prompt"))
