@@ -306,24 +306,25 @@ def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
 
 
 def average_precision(matches: DataFrame, gt: DataFrame) -> DataFrame:
-    """AP per (class, threshold): cumulative TP/FP in score order, precision
-    envelope (max precision at equal or higher recall), area under the
-    stepwise curve.  Classes with truth boxes but no predictions get 0."""
+    """AP per (class, threshold): cumulative TP in score order gives
+    precision and recall; the precision envelope (max precision at this or
+    any lower score) is a running max over the reversed order; AP is
+    sum(tp_i / n_gt * envelope_i).  Both running passes use the range-split
+    running aggregate, so a class holding most predictions is not one task.
+    Classes with truth boxes but no predictions get 0 (added by the caller)."""
+    from .running import running
     n_gt = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    key = ["class_id", "threshold"]
-    w = Window.partitionBy(*key).orderBy(F.desc("score"), F.col("image"), F.col("pred_id"))
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # envelope = max precision at this or any lower score: a running max over
-    # the reversed order (an unbounded-following frame would be re-scanned
-    # for every row)
-    rev = Window.partitionBy(*key).orderBy(F.col("score"), F.desc("image"), F.desc("pred_id")) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    m = matches.join(n_gt, "class_id")
-    m = (m.withColumn("ctp", F.sum("tp").over(run)).withColumn("cfp", F.sum(1 - F.col("tp")).over(run))
-         .withColumn("prec", F.col("ctp") / (F.col("ctp") + F.col("cfp")))
-         .withColumn("rec", F.col("ctp") / F.col("n_gt")))
-    m = m.withColumn("env", F.max("prec").over(rev)).withColumn("drec", F.col("rec") - F.lag("rec", 1, 0.0).over(w))
-    ap = m.groupBy(*key).agg(F.sum(F.col("drec") * F.col("env")).alias("ap"))
+    tidx = F.round(F.col("threshold") * 100).cast("long")
+    m = matches.select((F.col("class_id").cast("long") * 1000 + tidx).alias("_g"), "class_id", "threshold",
+                       (-F.col("score")).alias("_o1"), F.col("image").alias("_o2"), F.col("pred_id").alias("_o3"),
+                       F.col("tp").cast("double").alias("tp"))
+    fwd = running(m, "_g", ["_o1", "_o2", "_o3"], sums=["tp"])
+    fwd = fwd.withColumn("prec", F.col("tp_run") / F.col("_rn"))
+    rev = fwd.select("_g", "class_id", "threshold", "tp", "prec", (-F.col("_o1")).alias("_r1"),
+                     (-F.col("_o2")).alias("_r2"), (-F.col("_o3")).alias("_r3"))
+    env = running(rev, "_g", ["_r1", "_r2", "_r3"], maxes=["prec"])
+    ap = env.join(F.broadcast(n_gt), "class_id").groupBy("class_id", "threshold").agg(
+        (F.sum(F.col("tp") * F.col("prec_runmax")) / F.first("n_gt")).alias("ap"))
     return ap
 
 

@@ -23,13 +23,14 @@ ROUTE_OPTIONS = [FINISH] + WORKERS
 def history(msgs: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
             text: str = "text") -> DataFrame:
     """Per message: how many messages (and characters) the conversation
-    state holds after appending it, and who spoke before."""
-    w = Window.partitionBy(conv).orderBy(turn)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return msgs.select(conv, turn, role,
-                       F.count(F.lit(1)).over(run).alias("history_turns"),
-                       F.sum(F.coalesce(F.length(text), F.lit(0))).over(run).cast("long").alias("history_chars"),
-                       F.lag(role).over(w).alias("prev_role"))
+    state holds after appending it, and who spoke before.  Running values
+    come from the range-split running aggregate, so one very long
+    conversation is spread over many tasks instead of one."""
+    from .running import running
+    base = msgs.select(conv, turn, role, F.coalesce(F.length(text), F.lit(0)).alias("_chars"))
+    r = running(base, conv, [turn], sums=["_chars"], prev=[role])
+    return r.select(conv, turn, role, F.col("_rn").alias("history_turns"),
+                    F.col("_chars_run").cast("long").alias("history_chars"), F.col(f"{role}_prev").alias("prev_role"))
 
 
 def parse_route(call_json, options: Sequence[str] = ROUTE_OPTIONS) -> "F.Column":
