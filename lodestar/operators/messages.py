@@ -33,6 +33,14 @@ def history(msgs: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
                     F.col("_chars_run").cast("long").alias("history_chars"), F.col(f"{role}_prev").alias("prev_role"))
 
 
+def next_value(msgs: DataFrame, conv: str, turn: str, col: str) -> DataFrame:
+    """``<col>_next``: the value on the following turn of the same
+    conversation (NULL on the last turn)."""
+    from .running import running
+    r = running(msgs, conv, [turn], prev=[col], descending=True)
+    return r.withColumnRenamed(f"{col}_prev", f"{col}_next").drop("_rn")
+
+
 def parse_route(call_json, options: Sequence[str] = ROUTE_OPTIONS) -> "F.Column":
     """``next`` field of a function-call payload, NULL unless it is one of
     the allowed options."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import messages as M
@@ -46,8 +45,10 @@ SELECT conv_id, turn, next,
        CASE WHEN next IS NULL THEN 'reject' WHEN next = 'FINISH' THEN 'finish' ELSE 'route' END AS status
 FROM v""")
 def next_worker(spark, d):
-    c = table(spark, d, "conversations")
-    nr = F.lead("role").over(Window.partitionBy("conv_id").orderBy("turn"))
-    calls = c.select("conv_id", "turn", _call_spark(nr).alias("call"))
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role")
+    # who speaks next = the previous speaker in descending turn order
+    # (range-split running aggregate: no single task per conversation)
+    nxt_role = M.next_value(c, "conv_id", "turn", "role")
+    calls = nxt_role.select("conv_id", "turn", _call_spark(F.col("role_next")).alias("call"))
     nxt = M.parse_route(F.col("call"))
     return calls.select("conv_id", "turn", nxt.alias("next"), M.route_status(nxt).alias("status"))
