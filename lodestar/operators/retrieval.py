@@ -194,16 +194,76 @@ def _block_topk(k: int, exclude_self: bool):
     return fn
 
 
+def _partition_topk(k: int, exclude_self: bool, bq, qchunk: int = 1024):
+    """Per corpus partition: the k best rows for every broadcast query,
+    merged across the partition's Arrow batches (state = k per query)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        qid, Q = bq.value
+        best_d = np.full((len(qid), 0), np.inf)
+        best_i = np.zeros((len(qid), 0), np.int64)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            C = np.stack(pdf["cv"].to_numpy()).astype(np.float64)
+            cid = pdf["cid"].to_numpy(np.int64)
+            cdf = pd.DataFrame({"cid": cid, "cv": list(C)})
+            # score in query chunks so the distance matrix stays bounded
+            part = pd.concat([_block_topk(k, exclude_self)(
+                pd.DataFrame({"qid": qid[s0:s0 + qchunk], "qv": list(Q[s0:s0 + qchunk])}), cdf)
+                for s0 in range(0, len(qid), qchunk)], ignore_index=True)
+            if part.empty:
+                continue
+            # fold this batch's candidates into the running k best per query
+            pos = pd.Series(np.arange(len(qid)), index=qid)
+            rows = pos.loc[part["query_id"].to_numpy()].to_numpy()
+            d = np.full((len(qid), k), np.inf)
+            i = np.zeros((len(qid), k), np.int64)
+            slot = part.groupby("query_id").cumcount().to_numpy()
+            d[rows, slot] = part["distance"].to_numpy()
+            i[rows, slot] = part["neighbor_id"].to_numpy()
+            all_d = np.concatenate([best_d, d], axis=1)
+            all_i = np.concatenate([best_i, i], axis=1)
+            order = np.lexsort((all_i, all_d), axis=1)[:, :k]
+            r = np.arange(len(qid))[:, None]
+            best_d, best_i = all_d[r, order], all_i[r, order]
+        if best_d.shape[1]:
+            keep = np.isfinite(best_d)
+            yield pd.DataFrame({"query_id": np.repeat(qid, best_d.shape[1])[keep.ravel()],
+                                "neighbor_id": best_i.ravel()[keep.ravel()], "distance": best_d.ravel()[keep.ravel()]})
+    return run
+
+
 def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id",
         query_vec: str = "embedding", corpus_id: str = "id", corpus_vec: str = "embedding",
-        exclude_self: bool = False, block_rows: int = 4096) -> DataFrame:
+        exclude_self: bool = False, block_rows: int = 4096, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Exact top-k by squared L2 distance (ties on neighbour id).
 
-    Output ``query_id, rank, neighbor_id, distance``.  Block counts come
-    from two row counts; each side is replicated once per block of the other
-    side (the inherent cost of exact all-pairs search), and each task scores
-    one bounded block pair."""
-    nq, nc = queries.count(), corpus.count()
+    Output ``query_id, rank, neighbor_id, distance``.  Two plans, chosen by a
+    checked size:
+
+    * few queries (count x dimension x 8 bytes within ``broadcast_bytes``):
+      the queries are broadcast and every corpus partition is scored where it
+      lies, emitting k rows per query per partition -- the corpus is never
+      shuffled;
+    * otherwise both sides are cut into blocks of ``block_rows``; each side
+      is replicated once per block of the other side (the inherent cost of
+      exact all-pairs search) and each task scores one bounded block pair.
+
+    A windowed top-k merges the per-partition / per-block candidates."""
+    nq = queries.count()
+    if nq == 0:
+        return queries.sparkSession.createDataFrame([], "query_id long, rank int, neighbor_id long, distance double")
+    dim = len(queries.select(query_vec).first()[0] or [])
+    if nq * max(dim, 1) * 8 <= broadcast_bytes:
+        qp = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv")).toPandas()
+        bq = queries.sparkSession.sparkContext.broadcast(
+            (qp["qid"].to_numpy(np.int64), np.stack(qp["qv"].to_numpy()).astype(np.float64)))
+        c = corpus.select(F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).alias("cv"))
+        cand = c.mapInPandas(_partition_topk(k, exclude_self, bq), _CAND)
+        w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+        return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                .select("query_id", "rank", "neighbor_id", "distance"))
+    nc = corpus.count()
     qb = max(1, math.ceil(nq / block_rows))
     cb = max(1, math.ceil(nc / block_rows))
     q = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv")) \

@@ -41,10 +41,15 @@ def test_fixed_chunks(spark):
     assert [len(r.chunk) for r in rows] == [500, 500, 200]
 
 
-def test_knn_matches_brute_force(spark):
-    e = table(spark, SF001, "embeddings")
+import pytest
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_knn_matches_brute_force(spark, broadcast_bytes):
+    e = table(spark, SF001, "embeddings").repartition(3)
     got = R.knn(e.select(F.col("vec_id").alias("query_id"), "embedding"),
-                e.select(F.col("vec_id").alias("id"), "embedding"), 5, exclude_self=True, block_rows=128)
+                e.select(F.col("vec_id").alias("id"), "embedding"), 5, exclude_self=True, block_rows=128,
+                broadcast_bytes=broadcast_bytes)
     got = {(r.query_id, r.rank): r.neighbor_id for r in got.collect()}
     pdf = e.toPandas()
     m = np.stack(pdf.embedding.to_numpy()).astype(np.float64)
