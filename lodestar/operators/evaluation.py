@@ -53,9 +53,13 @@ def confusion_dense(pairs: DataFrame, vocab: DataFrame, n_classes: int) -> DataF
     classes, columns ``pred_<id>``.  Pivot values are fixed, so no job is
     spent discovering them; missing rows come from the vocabulary."""
     ids = list(range(n_classes))
-    wide = pair_counts(pairs).groupBy("true_id").pivot("pred_id", ids).agg(F.sum("n"))
-    full = F.broadcast(vocab).select(F.col("class_id").alias("true_id"), F.col("class_name").alias("true_name")) \
-        .join(wide, "true_id", "left")
+    # one aggregation straight to the wide form (conditional counts), then
+    # every vocabulary row; the wide side has at most one row per class, so
+    # it is the side broadcast into the vocabulary's left join
+    wide = pairs.groupBy("true_id").agg(*[F.count(F.when(F.col("pred_id") == i, F.lit(1))).alias(str(i))
+                                          for i in ids])
+    full = vocab.select(F.col("class_id").alias("true_id"), F.col("class_name").alias("true_name")) \
+        .join(F.broadcast(wide), "true_id", "left")
     return full.select("true_id", "true_name",
                        *[F.coalesce(F.col(str(i)), F.lit(0)).cast("long").alias(f"pred_{i}") for i in ids])
 
@@ -64,7 +68,9 @@ def classification_report(pairs: DataFrame, vocab: DataFrame, digits: int = 4) -
     """Per class present in truth or prediction: precision, recall, f1 and
     support (zero division -> 0), then ``accuracy``, ``macro avg`` and
     ``weighted avg`` rows.  Values rounded to ``digits``."""
-    cnt = pair_counts(pairs)
+    # the count table is at most vocabulary**2 rows; cached so the pairs
+    # (and whatever produced them) are computed once for all report branches
+    cnt = pair_counts(pairs).cache()
     support = cnt.groupBy(F.col("true_id").alias("class_id")).agg(F.sum("n").alias("support"))
     npred = cnt.groupBy(F.col("pred_id").alias("class_id")).agg(F.sum("n").alias("n_pred"))
     tp = cnt.filter(F.col("true_id") == F.col("pred_id")).select(F.col("true_id").alias("class_id"),
