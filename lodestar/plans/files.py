@@ -35,3 +35,15 @@ def document_scan(spark, d):
     scanned = FS.scan_documents(spark, root + "/docs")
     per = scanned.select(F.regexp_extract("source", "source=([^/]*)/", 1).alias("src"), "text")
     return per.groupBy("src").agg(F.sum(F.length("text")).cast("long").alias("n_chars"))
+
+
+@register("image_data_url", """
+SELECT item_id, 'data:image/jpeg;base64,' || to_base64(encode(text || chr(10))) AS data_url FROM benchmark""")
+def image_data_url(spark, d):
+    """Binary files (one per benchmark item) read with the binaryFile source
+    and encoded as base64 data URLs JVM-side."""
+    root = shared_dir(spark, "image-data-url")
+    table(spark, d, "benchmark").select("item_id", "text").write.mode("overwrite") \
+        .partitionBy("item_id").text(root + "/files")
+    imgs = FS.image_data_url(FS.read_images(spark, root + "/files"))
+    return imgs.select(F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("long").alias("item_id"), "data_url")

@@ -95,8 +95,10 @@ def _re_escape(s: str) -> str:
 
 
 def image_data_url(df: DataFrame, content_col: str = "content", mime: str = "image/jpeg") -> DataFrame:
-    """``data:<mime>;base64,<...>`` for image bytes (JVM-side base64)."""
-    return df.withColumn("data_url", F.concat(F.lit(f"data:{mime};base64,"), F.base64(F.col(content_col))))
+    """``data:<mime>;base64,<...>`` for image bytes (JVM-side base64; line
+    breaks of MIME-chunked output removed, a data URL is one string)."""
+    b64 = F.regexp_replace(F.base64(F.col(content_col)), "[\r\n]", "")
+    return df.withColumn("data_url", F.concat(F.lit(f"data:{mime};base64,"), b64))
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
