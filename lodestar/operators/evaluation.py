@@ -218,13 +218,14 @@ def align(truth: DataFrame, preds: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- detection mAP
 IOU_THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]
 
-_MATCH = "image long, class_id int, pred_id long, score double, threshold double, tp int"
+def _match_schema(n: int) -> str:
+    return "image long, class_id int, pred_id long, score double, " + ", ".join(f"tp_{i} int" for i in range(n))
 
 
 def _greedy(thresholds, loop_above: int = 64):
     import numpy as np
 
-    cols = ("image", "class_id", "pred_id", "score", "threshold", "tp")
+    cols = ["image", "class_id", "pred_id", "score"] + [f"tp_{i}" for i in range(len(thresholds))]
 
     def iou(p, g):
         ix = np.clip(np.minimum(p[..., 2], g[..., 2]) - np.maximum(p[..., 0], g[..., 0]), 0, None)
@@ -284,18 +285,17 @@ def _greedy(thresholds, loop_above: int = 64):
                         if cand[j] >= 0:
                             used[j] = True
                             tp[ti, i] = 1
-        return pd.DataFrame({"image": np.tile(pr["image"].to_numpy(), nt),
-                             "class_id": np.tile(pr["class_id"].to_numpy(), nt),
-                             "pred_id": np.tile(pr["pred_id"].to_numpy(), nt),
-                             "score": np.tile(pr["score"].to_numpy(), nt),
-                             "threshold": np.repeat(np.asarray(thresholds, float), n),
-                             "tp": tp.ravel()})
+        out = pd.DataFrame({"image": pr["image"].to_numpy(), "class_id": pr["class_id"].to_numpy(),
+                            "pred_id": pr["pred_id"].to_numpy(), "score": pr["score"].to_numpy()})
+        for ti in range(nt):
+            out[f"tp_{ti}"] = tp[ti]
+        return out
     return fn
 
 
 def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
                      rows_per_bucket: int = 200_000) -> DataFrame:
-    """TP/FP flag per prediction and IoU threshold.  Truth and predictions
+    """TP flag per prediction for every IoU threshold (``tp_<i>`` columns).  Truth and predictions
     are co-grouped by a hash bucket of the image (bucket count from the
     prediction count, so a bucket stays a bounded pandas batch); inside a
     bucket each (image, class) group is matched greedily: predictions in
@@ -308,44 +308,47 @@ def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
     b = F.pmod(F.xxhash64("image"), F.lit(buckets))
     g = gt.select(b.alias("_b"), "image", "class_id", "x1", "y1", "x2", "y2")
     p = preds.select(b.alias("_b"), "image", "class_id", "pred_id", "score", "x1", "y1", "x2", "y2")
-    return g.groupBy("_b").cogroup(p.groupBy("_b")).applyInPandas(_greedy(list(thresholds)), _MATCH)
-
-
-def average_precision(matches: DataFrame, gt: DataFrame) -> DataFrame:
-    """AP per (class, threshold): cumulative TP in score order gives
-    precision and recall; the precision envelope (max precision at this or
-    any lower score) is a running max over the reversed order; AP is
-    sum(tp_i / n_gt * envelope_i).  Both running passes use the range-split
-    running aggregate, so a class holding most predictions is not one task.
-    Classes with truth boxes but no predictions get 0 (added by the caller)."""
+    return g.groupBy("_b").cogroup(p.groupBy("_b")).applyInPandas(_greedy(list(thresholds)),
+                                                                    _match_schema(len(thresholds)))
+
+
+def average_precision(matches: DataFrame, gt: DataFrame, n_thresholds: int) -> DataFrame:
+    """AP per (class, threshold index): cumulative TP in score order gives
+    precision; the precision envelope (max precision at this or any lower
+    score) is a running max over the reversed order; AP is
+    sum(tp_i / n_gt * envelope_i).  The score order is the same for every
+    threshold, so one row per prediction carries all thresholds and both
+    running passes run once per class.  They use the range-split running
+    aggregate, so a class holding most predictions is not one task."""
     from .running import running
+    tps = [f"tp_{i}" for i in range(n_thresholds)]
     n_gt = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    tidx = F.round(F.col("threshold") * 100).cast("long")
-    m = matches.select((F.col("class_id").cast("long") * 1000 + tidx).alias("_g"), "class_id", "threshold",
-                       (-F.col("score")).alias("_o1"), F.col("image").alias("_o2"), F.col("pred_id").alias("_o3"),
-                       F.col("tp").cast("double").alias("tp"))
-    fwd = running(m, "_g", ["_o1", "_o2", "_o3"], sums=["tp"])
-    fwd = fwd.withColumn("prec", F.col("tp_run") / F.col("_rn"))
-    rev = fwd.select("_g", "class_id", "threshold", "tp", "prec", (-F.col("_o1")).alias("_r1"),
-                     (-F.col("_o2")).alias("_r2"), (-F.col("_o3")).alias("_r3"))
-    env = running(rev, "_g", ["_r1", "_r2", "_r3"], maxes=["prec"])
-    ap = env.join(F.broadcast(n_gt), "class_id").groupBy("class_id", "threshold").agg(
-        (F.sum(F.col("tp") * F.col("prec_runmax")) / F.first("n_gt")).alias("ap"))
-    return ap
+    m = matches.select(F.col("class_id").cast("long").alias("class_id"), (-F.col("score")).alias("_o1"),
+                       F.col("image").alias("_o2"), F.col("pred_id").alias("_o3"),
+                       *[F.col(t).cast("double").alias(t) for t in tps])
+    fwd = running(m, "class_id", ["_o1", "_o2", "_o3"], sums=tps)
+    rev = fwd.select("class_id", (-F.col("_o1")).alias("_r1"), (-F.col("_o2")).alias("_r2"),
+                     (-F.col("_o3")).alias("_r3"), *tps,
+                     *[(F.col(f"{t}_run") / F.col("_rn")).alias(f"p_{i}") for i, t in enumerate(tps)])
+    env = running(rev, "class_id", ["_r1", "_r2", "_r3"], maxes=[f"p_{i}" for i in range(n_thresholds)])
+    sums = env.groupBy("class_id").agg(*[F.sum(F.col(t) * F.col(f"p_{i}_runmax")).alias(f"a_{i}")
+                                         for i, t in enumerate(tps)])
+    return sums.join(n_gt.withColumn("class_id", F.col("class_id").cast("long")), "class_id").select(
+        "class_id", *[(F.col(f"a_{i}") / F.col("n_gt")).alias(f"ap_{i}") for i in range(n_thresholds)])
 
 
 def detection_map(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS) -> DataFrame:
     """Per class present in truth: AP@0.5, AP@0.5:0.95, truth/prediction
     counts, precision and recall at IoU 0.5; then an ``all`` row with
     mAP@0.5 and mAP@0.5:0.95 (means over classes)."""
+    nt = len(thresholds)
     matches = match_detections(gt, preds, thresholds).cache()
-    ap = average_precision(matches, gt)
-    n_gt = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    at50 = matches.filter(F.col("threshold") == thresholds[0]).groupBy("class_id").agg(
-        F.count(F.lit(1)).alias("n_pred"), F.sum("tp").alias("tp50"))
-    per_t = ap.groupBy("class_id").agg(
-        F.sum(F.when(F.col("threshold") == thresholds[0], F.col("ap"))).alias("ap50"),
-        (F.sum("ap") / F.lit(len(thresholds))).alias("ap50_95"))
+    ap = average_precision(matches, gt, nt)
+    n_gt = gt.groupBy(F.col("class_id").cast("long").alias("class_id")).agg(F.count(F.lit(1)).alias("n_gt"))
+    at50 = matches.groupBy(F.col("class_id").cast("long").alias("class_id")).agg(
+        F.count(F.lit(1)).alias("n_pred"), F.sum("tp_0").alias("tp50"))
+    per_t = ap.select("class_id", F.col("ap_0").alias("ap50"),
+                      (sum(F.col(f"ap_{i}") for i in range(nt)) / F.lit(nt)).alias("ap50_95"))
     per = (n_gt.join(per_t, "class_id", "left").join(at50, "class_id", "left")
            .select("class_id", F.coalesce("ap50", F.lit(0.0)).alias("ap50"),
                    F.coalesce("ap50_95", F.lit(0.0)).alias("ap50_95"), "n_gt",
