@@ -112,6 +112,28 @@ def count_rows(named: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
+def count_by_membership(named_tables: Iterable[tuple[str, DataFrame]], groups: Sequence[tuple[str, DataFrame]],
+                        key: str = "subject_id") -> DataFrame:
+    """(dataset, n_rows) for every table x disjoint id group, with one join
+    and one scan per table: the groups are tagged and unioned, each table
+    row meets at most one tag (the groups are disjoint), and a grouped count
+    per tag follows.  Tags with no rows still report 0."""
+    tagged = None
+    for tag, ids in groups:
+        t = ids.select(F.col("subject_id").alias(key), F.lit(tag).alias("_tag"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    parts = []
+    for name, df in named_tables:
+        got = df.select(key).join(tagged, key).groupBy("_tag").agg(F.count(F.lit(1)).alias("n_rows"))
+        zeros = df.sparkSession.createDataFrame([(tag, 0) for tag, _ in groups], "_tag string, n_rows long")
+        full = got.unionByName(zeros).groupBy("_tag").agg(F.sum("n_rows").cast("long").alias("n_rows"))
+        parts.append(full.select(F.concat(F.lit(f"{name}_"), F.col("_tag")).alias("dataset"), "n_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
     """Row union with column union: a column missing on one side is NULL."""
     out = frames[0]

@@ -66,11 +66,9 @@ def cohort_counts(spark, d):
     controls = C.control_sample(C.exclude(S.patients(spark, d).select("subject_id"), cases),
                                 cases.count(), seed=42).persist()
     pats, adm, nts = S.patients(spark, d), S.admissions(spark, d), S.notes(spark, d)
-    return C.count_rows([
-        ("patients_case", C.restrict(pats, cases)), ("patients_control", C.restrict(pats, controls)),
-        ("admissions_case", C.restrict(adm, cases)), ("admissions_control", C.restrict(adm, controls)),
-        ("notes_case", C.restrict(nts, cases)), ("notes_control", C.restrict(nts, controls)),
-    ])
+    # cases and controls are disjoint: one join and one scan per table
+    return C.count_by_membership([("patients", pats), ("admissions", adm), ("notes", nts)],
+                                 [("case", cases), ("control", controls)])
 
 
 @register("notes_union", _W + ", " + S.SQL_NOTES + """
