@@ -122,7 +122,8 @@ def recursive_chunks(df: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK
 def tokens(c) -> "F.Column":
     """Lower-cased word tokens (letters and digits), empties removed."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.split(F.lower(col), "[^\\p{L}\\p{N}]+"), lambda t: F.length(t) > 0)
+    # array_remove is code-generated; a lambda filter would be interpreted per token
+    return F.array_remove(F.split(F.lower(col), "[^\\p{L}\\p{N}]+"), "")
 
 
 def hashing_embed(df: DataFrame, text_col: str = "text", dim: int = 64,
@@ -298,10 +299,15 @@ def assemble_context(hits: DataFrame, docs: DataFrame, sep: str = "\n", doc_id:
 def lexical_rerank(cands: DataFrame, query_text: DataFrame, cand_text: DataFrame, top: int = 3) -> DataFrame:
     """Score (query, candidate) pairs by the number of distinct shared word
     tokens, keep the ``top`` best per query (ties: earlier retrieval rank)."""
-    j = (cands.join(query_text.select("query_id", tokens("text").alias("_qt")), "query_id")
-         .join(cand_text.select(F.col("doc_id").alias("neighbor_id"), tokens("text").alias("_ct")),
-               "neighbor_id"))
-    scored = j.withColumn("score", F.size(F.array_intersect(F.array_distinct("_qt"), F.array_distinct("_ct"))))
+    # tokenize only texts the candidates reference, each once (semi join first)
+    qids = cands.select("query_id").distinct()
+    nids = cands.select(F.col("neighbor_id").alias("doc_id")).distinct()
+    qtok = query_text.join(qids, "query_id", "left_semi").select(
+        "query_id", F.array_distinct(tokens("text")).alias("_qt"))
+    ctok = cand_text.join(nids, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("neighbor_id"), F.array_distinct(tokens("text")).alias("_ct"))
+    j = cands.join(qtok, "query_id").join(ctok, "neighbor_id")
+    scored = j.withColumn("score", F.size(F.array_intersect("_qt", "_ct")))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("rank"))
     return (scored.withColumn("rerank", F.row_number().over(w)).filter(F.col("rerank") <= top)
             .select("query_id", "rerank", "neighbor_id", "score", F.col("rank").alias("knn_rank")))

@@ -9,7 +9,17 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it
+    (both pass through the round-robin repartition below).
+
+    A scan that yields fewer splits than the cluster can run at once (a
+    single-row-group file is one task) is spread round-robin to the default
+    parallelism, so row-local work (tokenizing, regex, JSON) does not run in
+    one task.  Large inputs already have many splits and are left alone."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
