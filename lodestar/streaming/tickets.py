@@ -47,15 +47,28 @@ def dispatch_outcome(messages: DataFrame) -> DataFrame:
                            F.when(ok, route["lane"]).alias("lane"), F.when(ok, route["route_status"]).alias("route_status"))
 
 
+def parse_messages(raw: DataFrame, action_code: str | None = None) -> DataFrame:
+    """(raw, ticket) from a DataFrame of raw JSON lines (batch or stream)."""
+    t = parse_ticket(F.col("raw"))
+    if action_code is not None:
+        t = F.when(t.isNotNull(), t.withField("processActionCode", F.lit(action_code)))
+    return raw.select("raw", t.alias("ticket"))
+
+
 def run_dispatch(spark: SparkSession, in_folder: str, out_path: str, checkpoint: str,
                  action_code: str = "EventHandlerLookup") -> None:
     """Drain the message folder once (``availableNow``) into a Parquet table
     partitioned by ``accepted`` (outcomes under ``accepted=true``, rejected
-    raw lines under ``accepted=false``).  Each micro-batch is parsed once and
-    written once under its batch id, so a batch retried after a failure
-    overwrites its own files instead of duplicating them; progress lives in
-    the checkpoint, so a restarted run resumes where it stopped."""
-    msgs = intake(spark, in_folder, action_code)
+    raw lines under ``accepted=false``).
+
+    The stream itself carries only raw lines; each micro-batch is parsed and
+    written once inside ``foreachBatch`` (a micro-batch arrives there as an
+    already-planned scan, so parsing in the stream plan could not be pruned
+    or re-optimized per batch).  Writes go under the batch id, so a batch
+    retried after a failure overwrites its own files instead of duplicating
+    them; progress lives in the checkpoint, so a restarted run resumes where
+    it stopped."""
+    raw = spark.readStream.format("text").load(in_folder).select(F.col("value").alias("raw"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The ticket struct is read field by field; letting the optimizer push
@@ -63,10 +76,10 @@ def run_dispatch(spark: SparkSession, in_folder: str, out_path: str, checkpoint:
         # message once per field.  The micro-batch runs in the stream's own
         # cloned session, so this does not leak into the caller's session.
         batch.sparkSession.conf.set("spark.sql.optimizer.enableJsonExpressionOptimization", "false")
-        (dispatch_outcome(batch).write.mode("overwrite").partitionBy("accepted")
+        (dispatch_outcome(parse_messages(batch, action_code)).write.mode("overwrite").partitionBy("accepted")
          .parquet(f"{out_path}/batch={batch_id}"))
 
-    q = (msgs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    q = (raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
