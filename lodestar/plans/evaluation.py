@@ -191,24 +191,24 @@ def detections_align(spark, d):
 # ---------------------------------------------------------------- detection mAP
 # Boxes composed from line items: truth box per line item, a jittered
 # prediction with a score, sometimes with the neighbouring class.
-_GT_BOX = ("SELECT l_orderkey AS image, CAST(l_partkey % 11 AS INT) AS class_id, "
-           "CAST((l_suppkey % 50) * 10 AS DOUBLE) AS x1, CAST((l_partkey % 40) * 10 AS DOUBLE) AS y1, "
-           "CAST((l_suppkey % 50) * 10 + 20 + l_quantity AS DOUBLE) AS x2, "
-           "CAST((l_partkey % 40) * 10 + 20 + l_quantity AS DOUBLE) AS y2")
-_PRED_BOX = ("SELECT l_orderkey AS image, CAST((l_partkey + CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END) % 11 AS INT)"
-             " AS class_id, l_orderkey * 8 + l_linenumber AS pred_id, 1.0 - l_discount + l_tax AS score, "
-             "CAST((l_suppkey % 50) * 10 + (l_linenumber % 4) * 3 AS DOUBLE) AS x1, "
-             "CAST((l_partkey % 40) * 10 + (l_linenumber % 3) * 2 AS DOUBLE) AS y1, "
-             "CAST((l_suppkey % 50) * 10 + 20 + l_quantity + (l_linenumber % 5) AS DOUBLE) AS x2, "
-             "CAST((l_partkey % 40) * 10 + 20 + l_quantity AS DOUBLE) AS y2")
+_GT_BOX = ["l_orderkey AS image", "CAST(l_partkey % 11 AS INT) AS class_id",
+           "CAST((l_suppkey % 50) * 10 AS DOUBLE) AS x1", "CAST((l_partkey % 40) * 10 AS DOUBLE) AS y1",
+           "CAST((l_suppkey % 50) * 10 + 20 + l_quantity AS DOUBLE) AS x2",
+           "CAST((l_partkey % 40) * 10 + 20 + l_quantity AS DOUBLE) AS y2"]
+_PRED_BOX = ["l_orderkey AS image",
+             "CAST((l_partkey + CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END) % 11 AS INT) AS class_id",
+             "l_orderkey * 8 + l_linenumber AS pred_id", "1.0 - l_discount + l_tax AS score",
+             "CAST((l_suppkey % 50) * 10 + (l_linenumber % 4) * 3 AS DOUBLE) AS x1",
+             "CAST((l_partkey % 40) * 10 + (l_linenumber % 3) * 2 AS DOUBLE) AS y1",
+             "CAST((l_suppkey % 50) * 10 + 20 + l_quantity + (l_linenumber % 5) AS DOUBLE) AS x2",
+             "CAST((l_partkey % 40) * 10 + 20 + l_quantity AS DOUBLE) AS y2"]
 
 
 @register("detection_map")
 def detection_map(spark, d):
     li = table(spark, d, "lineitem")
-    li.createOrReplaceTempView("_lodestar_lineitem")
-    gt = spark.sql(_GT_BOX + " FROM _lodestar_lineitem")
-    preds = spark.sql(_PRED_BOX + " FROM _lodestar_lineitem")
+    gt = li.selectExpr(*_GT_BOX)
+    preds = li.selectExpr(*_PRED_BOX)
     out = EV.detection_map(gt, preds)
     return out.select("class", *[F.round(c, 6).alias(c) for c in ("ap50", "ap50_95")], "n_gt", "n_pred",
                       F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
