@@ -434,3 +434,18 @@ def ticket_stream(spark, d):
     lines.write.mode("overwrite").text(root + "/in")
     run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
     return read_outcomes(spark, root + "/out")
+
+
+@register("ticket_result_json")
+def ticket_result_json(spark, d):
+    """Result ticket per event as the nested JSON text the dispatch step
+    emits (error ticket, single forwarded action, or action list + summary),
+    stamped with processing times.  Rows-only: JSON text formatting differs
+    between engines; the fields themselves are checked by
+    ``ticket_dispatch_actions``."""
+    req = OT.dispatch_requests(_tickets(spark, d).drop("check_ticket"))
+    req = req.withColumn("response", F.when(F.col("action_pos").isNotNull(),
+                                            F.expr(_answer_sql("event_id + action_pos"))))
+    acts = OT.dispatch_actions(req).withColumn("processActionCode", F.col("ticket.processActionCode"))
+    res = OT.dispatch_result_tickets(acts)
+    return res.select("eventId", F.to_json(F.struct(*res.columns)).alias("json"))
