@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import tickets as TK
-from ..functions.text import strip
 
 # Per-lane requested actions (target, action, time limit,
 # whether think/summary are kept, retrieval query suffix), as in the
@@ -51,9 +50,6 @@ SCENE_OK_MSG = "Success: Event type matched successfully."
 SCENE_BAD_MSG = "Warning: Event type mismatch detected."
 SCENE_EMPTY_REASON = "一致性判断失败: 模型响应为空"
 
-_ACTION = "struct<pos:int,target:string,action:string,timeLimit:int,keepThink:boolean,suffix:string>"
-
-
 def _lane_actions() -> Column:
     entries = []
     for lane, acts in DISPATCH_LANES.items():
@@ -68,7 +64,6 @@ def dispatch_prompt(description, image_desc, location, source, law_context, targ
     """Dispatch question for the model (template of our own): ticket facts,
     retrieved rules and the numbered answer format the section parser
     reads.  ``target`` NULL asks the model to name the responsible party."""
-    nl = F.lit("\n")
     ask = F.when(target.isNull(), F.lit("请判断责任主体并说明应执行的操作。")) \
         .otherwise(F.concat(F.lit("请为"), target, F.lit("制定处理方案。")))
     head = F.when(target.isNull(), F.lit("1. 责任主体：")).otherwise(F.concat(F.lit("1. 责任主体："), target))

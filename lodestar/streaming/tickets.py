@@ -21,15 +21,13 @@ from ..sources.tickets import parse_ticket
 def intake(spark: SparkSession, folder: str, action_code: str | None = None,
            max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming messages: (raw, ticket) with ``ticket`` NULL when the line is
-    not exactly one JSON object."""
+    not exactly one JSON object; the action code, when given, is set on every
+    accepted message."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(folder).select(F.col("value").alias("raw"))
-    t = parse_ticket(F.col("raw"))
-    if action_code is not None:
-        t = F.when(t.isNotNull(), t.withField("processActionCode", F.lit(action_code)))
-    return raw.select("raw", t.alias("ticket"))
+    return parse_messages(raw, action_code)
 
 
 def dispatch_outcome(messages: DataFrame) -> DataFrame:
