@@ -251,19 +251,25 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id
       exact all-pairs search) and each task scores one bounded block pair.
 
     A windowed top-k merges the per-partition / per-block candidates."""
+    spark = queries.sparkSession
+    qsel = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv"))
+    # one bounded probe: at most broadcast_rows + 1 rows reach the driver; if
+    # they are all there and fit the byte budget, they are the whole query set
+    head = qsel.select(F.size("qv").alias("d")).limit(1).collect()
+    if not head:
+        return spark.createDataFrame([], "query_id long, rank int, neighbor_id long, distance double")
+    broadcast_rows = max(1, broadcast_bytes // (8 * max(head[0]["d"], 1)))
+    probe = qsel.limit(broadcast_rows + 1).toPandas() if broadcast_bytes > 0 else None
+    if probe is not None and len(probe) <= broadcast_rows:
+        Q = np.stack(probe["qv"].to_numpy()).astype(np.float64)
+        if Q.nbytes <= broadcast_bytes:
+            bq = spark.sparkContext.broadcast((probe["qid"].to_numpy(np.int64), Q))
+            c = corpus.select(F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).alias("cv"))
+            cand = c.mapInPandas(_partition_topk(k, exclude_self, bq), _CAND)
+            w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+            return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                    .select("query_id", "rank", "neighbor_id", "distance"))
     nq = queries.count()
-    if nq == 0:
-        return queries.sparkSession.createDataFrame([], "query_id long, rank int, neighbor_id long, distance double")
-    dim = len(queries.select(query_vec).first()[0] or [])
-    if nq * max(dim, 1) * 8 <= broadcast_bytes:
-        qp = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv")).toPandas()
-        bq = queries.sparkSession.sparkContext.broadcast(
-            (qp["qid"].to_numpy(np.int64), np.stack(qp["qv"].to_numpy()).astype(np.float64)))
-        c = corpus.select(F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).alias("cv"))
-        cand = c.mapInPandas(_partition_topk(k, exclude_self, bq), _CAND)
-        w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-        return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-                .select("query_id", "rank", "neighbor_id", "distance"))
     nc = corpus.count()
     qb = max(1, math.ceil(nq / block_rows))
     cb = max(1, math.ceil(nc / block_rows))
