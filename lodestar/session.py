@@ -29,6 +29,9 @@ def build_session(master: str | None = None, app: str = "lodestar",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEM", "16g"))
     )
+    log_dir = os.environ.get("LODESTAR_EVENT_LOG_DIR")
+    if log_dir:  # opt-in: per-task metrics for offline analysis (no UI/server)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
