@@ -83,3 +83,21 @@ def test_index_round_trip(spark, tmp_dir):
                                "chunk_id long, source string, pos int, text string, embedding array<float>")
     FS.write_index(df, tmp_dir + "/idx")
     assert FS.read_index(spark, tmp_dir + "/idx").count() == 1
+
+
+def test_sample_edges(spark):
+    ids = spark.range(0, 300).select(F.col("id").alias("subject_id"))
+    assert C.seeded_sample(ids, 0).count() == 0
+    assert C.seeded_sample(ids, 300).count() == 300
+    assert C.seeded_sample(ids, 1000).count() == 300        # n beyond the pool keeps everything
+    assert C.control_sample(ids, 10_000).count() == 300      # min(cases, pool)
+    empty = ids.filter("subject_id < 0")
+    assert C.control_sample(empty, 5).count() == 0
+
+
+def test_count_by_membership_reports_zero(spark):
+    t = spark.createDataFrame([(1,), (2,), (2,)], "subject_id long")
+    a = spark.createDataFrame([(2,)], "subject_id long")
+    b = spark.createDataFrame([(9,)], "subject_id long")
+    got = {r.dataset: r.n_rows for r in C.count_by_membership([("t", t)], [("a", a), ("b", b)]).collect()}
+    assert got == {"t_a": 2, "t_b": 0}

@@ -75,3 +75,17 @@ def test_context_assembly_orders_and_cites(spark):
     docs = spark.createDataFrame([(10, "first", "s2"), (20, "second", "s1")], "doc_id long, text string, source string")
     row = R.assemble_context(hits, docs).collect()[0]
     assert row.context == "first\nsecond" and row.citations == ["s1", "s2"]
+
+
+def test_recursive_split_without_separators():
+    text = "x" * 1234
+    parts = R.recursive_split(text, 500, 100)
+    assert all(len(p) <= 500 for p in parts) and "".join(parts).count("x") >= 1234
+
+
+def test_rerank_ties_keep_retrieval_order(spark):
+    cands = spark.createDataFrame([(1, 1, 10), (1, 2, 11), (1, 3, 12)], "query_id long, rank int, neighbor_id long")
+    q = spark.createDataFrame([(1, "a b")], "query_id long, text string")
+    c = spark.createDataFrame([(10, "z"), (11, "a"), (12, "a")], "doc_id long, text string")
+    got = [(r.rerank, r.neighbor_id) for r in R.lexical_rerank(cands, q, c, top=2).orderBy("rerank").collect()]
+    assert got == [(1, 11), (2, 12)]
