@@ -201,13 +201,14 @@ def parse_label_lines(files: DataFrame, name_col: str = "name", content_col: str
     return rows.select("stem", "pos", F.split(strip(F.col("_l")), "\\s+")[0].try_cast("int").alias("true_id"))
 
 
-def latest_by_stem(files: DataFrame, name_col: str = "name") -> DataFrame:
-    """One file per stem: the later name in sorted order wins."""
+def latest_by_stem(files: DataFrame, name_col: str = "name", content_col: str = "content") -> DataFrame:
+    """One file per stem: the later name in sorted order wins.  A single
+    aggregation (``max_by``) with map-side reduction, so contents are
+    shuffled once and only the winners after partial aggregation."""
     from ..functions.text import file_stem
     keyed = files.withColumn("_stem", file_stem(F.col(name_col)))
-    best = keyed.groupBy("_stem").agg(F.max(name_col).alias("_keep"))
-    return keyed.join(best, (keyed["_stem"] == best["_stem"]) & (keyed[name_col] == best["_keep"]), "left_semi") \
-        .drop("_stem")
+    return keyed.groupBy("_stem").agg(F.max(name_col).alias(name_col),
+                                      F.max_by(content_col, name_col).alias(content_col)).drop("_stem")
 
 
 def align(truth: DataFrame, preds: DataFrame) -> DataFrame:
