@@ -93,3 +93,25 @@ def test_result_ticket_json_and_hooks(spark):
     pairs = spark.createDataFrame([("q", "q x"), ("q", "y")], "query string, text string")
     sc = OT.score_pairs(pairs, lambda qs, ts: [float(q in t) for q, t in zip(qs, ts)]).collect()
     assert [r.score for r in sc] == [1.0, 0.0]
+
+
+def test_model_hook_in_dispatch_flow(spark):
+    t = tickets(spark, [{"eventId": "E1", "processActionCode": "x",
+                         "processDataParams": {"description": "d", "reportLocation": "l", "sourceEntity": "城市管家"},
+                         "context": {"imageDescription": "[i: c]"}}])
+    t = t.select("ticket", F.col("ticket.eventId").alias("eventId"),
+                 F.col("ticket.processActionCode").alias("processActionCode"))
+    req = OT.dispatch_requests(t).withColumn("prompt", F.col("query"))
+
+    def model(prompts):
+        return ["1. 责任主体：x\n2. 决策理由：\nok"] * len(prompts)
+
+    answers = OT.ask_model(req, model)
+    res = OT.dispatch_result_tickets(OT.dispatch_actions(answers)).collect()[0]
+    assert [a.content for a in res.processResultData.actions] == ["ok", "ok"]
+
+    def broken(prompts):
+        raise RuntimeError("endpoint down")
+
+    failed = OT.ask_model(req, broken).collect()
+    assert all(r.response is None and "endpoint down" in r.model_error for r in failed)
