@@ -136,7 +136,7 @@ _RERANK_CTE = f"""
 @register("rag_prompt", "WITH " + _PAIRS_SQL + _RERANK_CTE + """
 , ctx AS (SELECT rr.query_id, string_agg(coalesce(cd.text, ''), chr(10) || chr(10) ORDER BY rr.rerank) AS context
           FROM rr LEFT JOIN documents cd ON cd.doc_id = rr.neighbor_id GROUP BY rr.query_id)
-SELECT ctx.query_id, '问题: ' || coalesce(string_split(q.text, chr(10))[1], '') || chr(10) || chr(10) || '相关片段:'
+SELECT ctx.query_id, '问题: ' || coalesce(q.text, '') || chr(10) || chr(10) || '相关片段:'
        || chr(10) || coalesce(ctx.context, '') || chr(10) || chr(10) || '请只根据以上片段作答，不要编造信息。' AS prompt
 FROM ctx LEFT JOIN documents q ON q.doc_id = ctx.query_id""")
 def rag_prompt(spark, d):
@@ -145,6 +145,6 @@ def rag_prompt(spark, d):
                            docs.select("doc_id", "text"), top=K_RERANK)
     texts = top.join(docs.select(F.col("doc_id").alias("neighbor_id"), "text"), "neighbor_id", "left")
     ctx = R.ordered_join(texts, "query_id", "rerank", "text", "\n\n")
-    q = docs.select(F.col("doc_id").alias("query_id"), F.split("text", "\n")[0].alias("question"))
+    q = docs.select(F.col("doc_id").alias("query_id"), F.col("text").alias("question"))
     return ctx.join(q, "query_id", "left").select("query_id", R.answer_prompt(F.col("question"), F.col("context"))
                                                   .alias("prompt"))
