@@ -240,6 +240,9 @@ def _greedy(thresholds, loop_above: int = 64):
             return pd.DataFrame({c: [] for c in cols})
         pr = pr.sort_values(["image", "class_id", "score", "pred_id"],
                             ascending=[True, True, False, True]).reset_index(drop=True)
+        # truth rows arrive in shuffle-fetch order; a fixed order makes IoU
+        # ties resolve the same way when a task is re-executed
+        gt = gt.sort_values(["image", "class_id", "x1", "y1", "x2", "y2"], kind="mergesort").reset_index(drop=True)
         n, nt = len(pr), len(thresholds)
         tp = np.zeros((nt, n), np.int32)
         pb = pr[["x1", "y1", "x2", "y2"]].to_numpy(float)
