@@ -89,3 +89,17 @@ def test_rerank_ties_keep_retrieval_order(spark):
     c = spark.createDataFrame([(10, "z"), (11, "a"), (12, "a")], "doc_id long, text string")
     got = [(r.rerank, r.neighbor_id) for r in R.lexical_rerank(cands, q, c, top=2).orderBy("rerank").collect()]
     assert got == [(1, 11), (2, 12)]
+
+
+def test_knn_blocked_unequal_sides(spark):
+    rng = np.random.default_rng(7)
+    q = rng.normal(size=(37, 8)).astype(np.float32)
+    c = rng.normal(size=(301, 8)).astype(np.float32)
+    qdf = spark.createDataFrame([(i, q[i].tolist()) for i in range(len(q))], "query_id long, embedding array<float>")
+    cdf = spark.createDataFrame([(1000 + j, c[j].tolist()) for j in range(len(c))], "id long, embedding array<float>")
+    got = R.knn(qdf, cdf, 4, block_rows=16, broadcast_bytes=0)
+    got = {(r.query_id, r.rank): r.neighbor_id for r in got.collect()}
+    d = ((q.astype(np.float64)[:, None, :] - c.astype(np.float64)[None, :, :]) ** 2).sum(2)
+    for i in range(len(q)):
+        for rank, j in enumerate(np.lexsort((np.arange(len(c)), d[i]))[:4], start=1):
+            assert got[(i, rank)] == 1000 + int(j)

@@ -29,3 +29,11 @@ def test_running_descending(spark):
     rows = sorted(running(df, "k", ["o"], sums=["v"], descending=True, num_partitions=2).collect(),
                   key=lambda r: -r.o)
     assert [r.v_run for r in rows] == [1.0, 3.0, 7.0]
+
+
+def test_running_switches_to_range_path_by_count(spark):
+    df = spark.range(0, 600).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"),
+                                    F.lit(1.0).alias("v"))
+    got = running(df, "k", ["o"], sums=["v"], rows_per_partition=100)   # 600 rows > bound -> range path
+    rows = {(r.k, r.o): (r._rn, r.v_run) for r in got.collect()}
+    assert rows[(0, 597)] == (200, 200.0) and rows[(2, 2)] == (1, 1.0)
