@@ -71,22 +71,19 @@ def source_targets(sizes: DataFrame, *, source_col: str, weights: Sequence[float
     return table.select(*sizes.columns, F.least(F.col("__weight") * rate, cap).alias("target"))
 
 
-def flight(probability: np.ndarray, size: np.ndarray, draws: np.ndarray, landing: bool) -> np.ndarray:
+def flight(probability: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Cube method over one block: probabilities move along the null space of
     the constraints (number of documents, number of words) until at most two
     are fractional.  Three fractional documents always leave one direction
     (the cross product of the two constraint rows); a fair step along it
-    takes one of them, at least, to 0 or 1 and keeps both totals.  With
-    ``landing`` the last ones are settled too: two keep the sum of their
-    probabilities, so that the document total stays."""
-    p = [float(x) for x in probability]
+    takes one of them, at least, to 0 or 1 and keeps both totals."""
+    done = [float(x) for x in probability]
     z = [float(x) for x in size]
-    done = list(p)
-    u = iter([float(x) for x in draws])  # a draw a step, and three for the landing
+    draw = iter(draws.tolist())
     held: list[int] = []
-    for k in range(len(p)):
-        if p[k] <= EPS or p[k] >= 1 - EPS:
-            done[k] = round(p[k])
+    for k in range(len(done)):
+        if done[k] <= EPS or done[k] >= 1 - EPS:
+            done[k] = float(round(done[k]))
             continue
         held.append(k)
         if len(held) == 3:
@@ -96,29 +93,45 @@ def flight(probability: np.ndarray, size: np.ndarray, draws: np.ndarray, landing
                 v = (1.0, -1.0, 0.0)
             up = min(((1 - done[i]) / d if d > 0 else done[i] / -d) for i, d in zip(held, v) if d)
             down = min((done[i] / d if d > 0 else (1 - done[i]) / -d) for i, d in zip(held, v) if d)
-            step = up if next(u) * (up + down) < down else -down
+            step = up if next(draw) * (up + down) < down else -down
             for i, d in zip(held, v):
                 done[i] = min(1.0, max(0.0, done[i] + step * d))
-            for i in held:
                 if done[i] <= EPS or done[i] >= 1 - EPS:
                     done[i] = float(round(done[i]))
             held = [i for i in held if 0.0 < done[i] < 1.0]
-    if landing and len(held) == 2:
-        a, b = held
-        both, draw = done[a] + done[b], next(u)
-        if both <= 1:
-            first = draw * both < done[a]
-            done[a], done[b] = (both, 0.0) if first else (0.0, both)
-        else:
-            first = draw * (2 - both) < 1 - done[b]
-            done[a], done[b] = (1.0, both - 1) if first else (both - 1, 1.0)
-    if landing:
-        for i in held:
-            done[i] = 1.0 if 0 < done[i] < 1 and next(u) < done[i] else float(done[i] >= 1)
     return np.array(done)
 
 
-def balanced_sample(units: DataFrame, *, seed: int = 0, block: int = 2048) -> DataFrame:
+def land(done: np.ndarray, size: np.ndarray, promised: float, swaps: int = 8) -> np.ndarray:
+    """Settle the two documents at most that a flight leaves: the larger
+    probabilities go up, so that the number of documents is the nearest
+    integer.  The words that this costs (a long text may be among the two)
+    are won back by trading a taken for an untaken document of the block
+    whose sizes differ by nearly that much, a few times at most."""
+    done = done.copy()
+    loose = np.flatnonzero((done > 0) & (done < 1))
+    ups = int(round(float(done[loose].sum())))
+    order = loose[np.argsort(-done[loose], kind="stable")]
+    done[order[:ups]], done[order[ups:]] = 1.0, 0.0
+    for _ in range(swaps):
+        error = float((done * size).sum()) - promised
+        inside, outside = np.flatnonzero(done == 1), np.flatnonzero(done == 0)
+        if abs(error) < 1 or not len(inside) or not len(outside):
+            break
+        outside = outside[np.argsort(size[outside], kind="stable")]
+        want = size[inside] - error
+        at = np.searchsorted(size[outside], want)
+        near = np.stack([np.clip(at - 1, 0, len(outside) - 1), np.clip(at, 0, len(outside) - 1)])
+        gap = np.abs(size[outside[near]] - want)
+        side = gap.argmin(0)
+        best = int(gap.min(0).argmin())
+        if gap.min() >= abs(error):
+            break
+        done[inside[best]], done[outside[near[side[best], best]]] = 0.0, 1.0
+    return done
+
+
+def balanced_sample(units: DataFrame, *, seed: int = 0, block: int = 2048, reserve: int = 1024) -> DataFrame:
     """Rows with ``stratum`` (long), ``unit`` (long, a hash of the row), ``size``
     and ``p`` (double), and any other columns, which travel along -> the same
     rows with ``p`` settled to 0 or 1, so that the number of rows and the sum
@@ -127,37 +140,50 @@ def balanced_sample(units: DataFrame, *, seed: int = 0, block: int = 2048) -> Da
     A stratum is cut into blocks of about ``block`` rows by a hash of the
     unit, so a hot stratum is many tasks; the flight runs in each block and
     leaves two rows at most.  What is left over meets again, a block's worth
-    at a time, until each stratum is one block, which lands.  Rows of one
-    unit must be equal; which of them is taken then makes no difference."""
-    schema = T.StructType([*units.schema.fields, T.StructField("__block", T.LongType())])
+    at a time, until each stratum is one block.  That block's leftovers and a
+    hashed ``reserve`` of the stratum, kept for this, take the last flight
+    and land.  Rows of one unit must be equal; which of them is taken then
+    makes no difference."""
+    extra = [T.StructField("__block", T.LongType())]
+    schema = T.StructType([*units.schema.fields, *extra])
 
     def step(round_no: int, landing: bool):
         def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-            # long texts first: what is left for the landing is short
-            table = table.sort_by([("size", "descending"), ("unit", "ascending")])
+            table = table.sort_by([("unit", "ascending"), ("size", "ascending")])
             rng = np.random.default_rng([seed, round_no, key[0].as_py() % 2 ** 63, key[1].as_py()])
-            p = flight(table["p"].to_numpy(), table["size"].to_numpy(), rng.random(len(table) + 4), landing)
-            return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p, pa.float64()))
+            p, size = table["p"].to_numpy(), table["size"].to_numpy().astype(np.float64)
+            done = flight(p, size, rng.random(len(table)))
+            if landing:
+                done = land(done, size, float((p * size).sum()))
+            return table.set_column(table.schema.get_field_index("p"), "p", pa.array(done, pa.float64()))
         return run
 
-    open_, closed = units, []
+    def flown(df: DataFrame, round_no: int, landing: bool) -> DataFrame:
+        return materialize(df.select(schema.names).groupBy("stratum", "__block")
+                           .applyInArrow(step(round_no, landing), schema), "flight").drop("__block")
+
+    loose = (F.col("p") > 0) & (F.col("p") < 1)
+    rows = units.groupBy("stratum").agg(F.count(F.lit(1)).alias("__rows"))
+    split = units.join(rows, "stratum").withColumn(
+        "__kept", F.pmod(F.xxhash64("unit", F.lit("reserve")), F.col("__rows")) < reserve)
+    last = split.filter("__kept").select(units.columns)
+    open_, settled = split.filter("not __kept").select(units.columns), []
     while True:
-        counts = open_.groupBy("stratum").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__blocks"))
+        counts = open_.groupBy("stratum").agg(F.ceil(F.count(F.lit(1)) / block).alias("__blocks"))
         most = counts.agg(F.max("__blocks")).first()[0] or 0
         if most == 0:
             break
         dealt = open_.join(counts, "stratum").withColumn(
-            "__block", F.pmod(F.xxhash64("unit", F.lit(len(closed))), F.col("__blocks"))).select(schema.names)
-        flown = materialize(dealt.groupBy("stratum", "__block").applyInArrow(step(len(closed), most == 1), schema),
-                            "flight").drop("__block")
-        closed.append(flown.filter(~((F.col("p") > 0) & (F.col("p") < 1))))
-        open_ = flown.filter((F.col("p") > 0) & (F.col("p") < 1))
+            "__block", F.pmod(F.xxhash64("unit", F.lit(len(settled))), F.col("__blocks")))
+        moved = flown(dealt, len(settled), False)
+        settled.append(moved.filter(~loose))
+        open_ = moved.filter(loose)
         if most == 1:
             break
-    rows = closed[0] if closed else units
-    for more in closed[1:]:
-        rows = rows.unionByName(more)
-    return rows
+    result = flown(last.unionByName(open_).withColumn("__block", F.lit(0).cast("long")), len(settled), True)
+    for more in settled:
+        result = result.unionByName(more)
+    return result
 
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
