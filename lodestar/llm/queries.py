@@ -8,8 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import canonical_turns, conversation_records, format_chat, read_chat
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .token_counts import length_histogram, token_lengths
+from .topk_search import exact_topk, finite_vectors
+from .toxicity import fit_severity, score_severity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +32,66 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_CHAT = "regexp_extract_all({0}, '(<\\||<s>|</s>|<<SYS>>|<</SYS>>|\\[INST\\]|\\[/INST\\])')"
+_ESCAPED = "(length({0}) + len(string_split({0}, chr(8288))) - 1 + len(" + _CHAT + "))"
+
+
+@query("op3_chat_format", f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(23 + {_ESCAPED.format("role")} + {_ESCAPED.format("text")}) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id""")
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.explode(F.array(*[
+        F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"),
+                 F.lit("</s>[INST] ok [/INST]").alias("text")) for i, role in enumerate(("user", "assistant"))]))
+        .alias("r")).select("conv_id", "r.*")
+    chats = format_chat(canonical_turns(conversation_records(rows.unionByName(probe)), "record"))
+    back = chats.select("conv_id", "formatted", "layout", read_chat(F.col("formatted")).alias("back"))
+    line = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join(F.transform(F.filter("back", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    return back.select(
+        "conv_id", F.size("back").cast("long").alias("n_turns"), F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op4_topk_search", """
+WITH v AS (SELECT vec_id, [floor(256 * e::DOUBLE) FOR e IN embedding] AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+best AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+         FROM scored)
+SELECT query_id, rank, vec_id, score FROM best WHERE rank <= 5""")
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = finite_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
+    whole = rows.select("vec_id", F.transform(
+        "embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long")).alias("vector"))
+    return exact_topk(whole.filter(F.col("vec_id") % 50 == 0), whole, k=5)
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(token_lengths(read(spark, sf_dir, "documents")))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = fit_severity(docs.select("doc_id", "text"), labels)
+    return score_severity(docs.select("doc_id", "text"), model).select(
+        "doc_id", "severity", "severity_grade", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 @query("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
