@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import canonical_turns, conversation_records, format_chat, read_chat
+from .embed_dedup import embedding_links
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .token_counts import length_histogram, token_lengths
@@ -32,6 +33,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_embedding_dedup", """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, [e::DOUBLE FOR e IN embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+    AND len([e FOR e IN embedding IF e <> 0]) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
+          AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(v, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, reach.r FROM reach JOIN links l ON l.a = reach.v),
+roots AS (SELECT v, min(r) AS root FROM reach GROUP BY v),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.root AS component_id, e.vec_id = r.root AS kept
+FROM embeddings e JOIN roots r ON r.v = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id""")
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 _CHAT = "regexp_extract_all({0}, '(<\\||<s>|</s>|<<SYS>>|<</SYS>>|\\[INST\\]|\\[/INST\\])')"
 _ESCAPED = "(length({0}) + len(string_split({0}, chr(8288))) - 1 + len(" + _CHAT + "))"
 
