@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import canonical_turns, conversation_records, format_chat, read_chat
+from .chunk_dedup import repeated_spans
 from .embed_dedup import embedding_links
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
@@ -109,6 +110,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "severity", "severity_grade", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
+@query("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = repeated_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.select("doc_id", "n_chars", "repeated_chars", "dropped_chars", "dropped_spans",
+                        (F.col("repeated_chars") > 0).alias("has_repeats"))
+
+
 @query("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
