@@ -39,11 +39,12 @@ def _drop_all() -> None:
             release(spark, path)
 
 
-def documents_like(df: DataFrame, columns: list[str], keep: list[str]) -> list[str]:
-    """Names of ``keep`` that ``df`` has and that do not clash with the
-    operator's own output columns."""
-    own = {c.lower() for c in columns}
-    return [c for c in keep if c in df.columns and c.lower() not in own]
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches are counted in rows; whole texts can be long, so a
+    session that runs these operators gets smaller batches than the default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

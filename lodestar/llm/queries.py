@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from .chat_format import canonical_turns, conversation_records, format_chat, read_chat
 from .chunk_dedup import repeated_spans
+from .common import bounded_batches
 from .embed_dedup import embedding_links
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .token_counts import length_histogram, token_lengths
 from .topk_search import exact_topk, finite_vectors
 from .toxicity import fit_severity, score_severity
+from .weighted_minhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +33,7 @@ def query(name: str, sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -50,6 +53,12 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+@query("op2_minhash_dedup")
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return classes.select("doc_id", "class_id", "kept")
+
+
 _CHAT = "regexp_extract_all({0}, '(<\\||<s>|</s>|<<SYS>>|<</SYS>>|\\[INST\\]|\\[/INST\\])')"
 _ESCAPED = "(length({0}) + len(string_split({0}, chr(8288))) - 1 + len(" + _CHAT + "))"
 
