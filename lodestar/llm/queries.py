@@ -14,6 +14,7 @@ from .common import bounded_batches
 from .embed_dedup import embedding_links
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .piece_sampling import sample_segmentations
 from .token_counts import length_histogram, token_lengths
 from .topk_search import exact_topk, finite_vectors
 from .toxicity import fit_severity, score_severity
@@ -126,6 +127,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("repeated_chars") > 0).alias("has_repeats"))
 
 
+@query("op7_piece_sampling")
+def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = sample_segmentations(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sampled.select("doc_id", "sample", F.size("pieces").cast("long").alias("n_pieces"),
+                          F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "score", "log_inclusion", "exact")
+
+
 @query("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
