@@ -102,12 +102,14 @@ def flight(probability: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.n
     return np.array(done)
 
 
-def land(done: np.ndarray, size: np.ndarray, promised: float, swaps: int = 8) -> np.ndarray:
+def land(done: np.ndarray, size: np.ndarray, promised: float, swaps: int = 8, near: float = 0.005) -> np.ndarray:
     """Settle the two documents at most that a flight leaves: the larger
     probabilities go up, so that the number of documents is the nearest
     integer.  The words that this costs (a long text may be among the two)
     are won back by trading a taken for an untaken document of the block
-    whose sizes differ by nearly that much, a few times at most."""
+    whose sizes differ by nearly that much, a few times at most.  Where one
+    text is so long that words stay over ``near`` of the promise off, words
+    go before documents: documents are dropped or added, the best fit first."""
     done = done.copy()
     loose = np.flatnonzero((done > 0) & (done < 1))
     ups = int(round(float(done[loose].sum())))
@@ -121,13 +123,20 @@ def land(done: np.ndarray, size: np.ndarray, promised: float, swaps: int = 8) ->
         outside = outside[np.argsort(size[outside], kind="stable")]
         want = size[inside] - error
         at = np.searchsorted(size[outside], want)
-        near = np.stack([np.clip(at - 1, 0, len(outside) - 1), np.clip(at, 0, len(outside) - 1)])
-        gap = np.abs(size[outside[near]] - want)
+        beside = np.stack([np.clip(at - 1, 0, len(outside) - 1), np.clip(at, 0, len(outside) - 1)])
+        gap = np.abs(size[outside[beside]] - want)
         side = gap.argmin(0)
         best = int(gap.min(0).argmin())
         if gap.min() >= abs(error):
             break
-        done[inside[best]], done[outside[near[side[best], best]]] = 0.0, 1.0
+        done[inside[best]], done[outside[beside[side[best], best]]] = 0.0, 1.0
+    for _ in range(len(done)):
+        error = float((done * size).sum()) - promised
+        able = np.flatnonzero((done == (error > 0)) & (size < 2 * abs(error)) & (size > 0))
+        if abs(error) <= near * promised or not len(able):
+            break
+        flip = able[int(np.abs(size[able] - abs(error)).argmin())]
+        done[flip] = 1 - done[flip]
     return done
 
 
