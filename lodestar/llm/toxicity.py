@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialize
+
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
 
@@ -40,60 +42,51 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str,
-                  max_train: int) -> list[tuple[int, set[str]]]:
-    """(label, words) of a bounded sample: up to ``max_train`` labelled ids,
+                  max_train: int) -> DataFrame:
+    """(id, y, words) of a bounded sample: up to ``max_train`` labelled ids,
     half of each class where there are enough, by a hash of the id.  The ids
-    are bounded, so they may be broadcast to the documents."""
+    are bounded, so they may be broadcast to the documents.  An id that
+    repeats counts once."""
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-             .groupBy(id_col).agg((F.max(label_col) > 0).cast("int").alias("__y")))
-    picked = [marks.filter(F.col("__y") == y).orderBy(F.xxhash64(id_col), id_col).limit(max_train // 2)
-              for y in (0, 1)]
-    ids = picked[0].unionByName(picked[1]).select(F.col(id_col).cast("string").alias("__id"), "__y")
-    rows = docs.select(F.col(id_col).cast("string").alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(ids), "__id")
+             .groupBy(id_col).agg((F.max(label_col) > 0).cast("int").alias("y")))
+    picked = [marks.filter(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(max_train // 2) for y in (0, 1)]
+    ids = picked[0].unionByName(picked[1]).select(F.col(id_col).cast("string").alias("id"), "y")
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(words_of(x)) for x in batch.column(2).to_pylist()]
+            found = [sorted(words_of(x.as_py())) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], ["id", "y", "words"])
 
-    tables = rows.select("__id", "__y", "__text").mapInArrow(split, "id string, y int, words array<string>")
-    firsts: dict[int, tuple[int, set[str]]] = {}
-    for row in sorted(tables.collect(), key=lambda r: (r["id"], r["words"])):
-        firsts.setdefault(row["id"], (row["y"], set(row["words"])))  # an id that repeats counts once
-    return [firsts[k] for k in sorted(firsts)]
-
-
-def grades_of(rows: list[tuple[int, set[str]]], grades: int, min_docs: int, min_z: float
-              ) -> tuple[np.ndarray, list[str]]:
-    """Severity grades and the marker words.  The labels say toxic or not, so
-    the order among toxic rows comes from evidence: how many distinct marker
-    words a row holds (words whose log odds between the classes are
-    ``min_z`` standard errors from zero), cut at equal shares."""
-    y = np.array([r[0] for r in rows])
-    counts: dict[str, list[int]] = {}
-    for label, words in rows:
-        for w in words:
-            counts.setdefault(w, [0, 0])[label] += 1
-    n = np.bincount(y, minlength=2)
-    marked, strong = [], set()
-    for w in sorted(counts):
-        clean, toxic = counts[w]
-        if clean + toxic < min_docs:
-            continue
-        a, b, c, d = toxic + .5, n[1] - toxic + .5, clean + .5, n[0] - clean + .5
-        z = np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-        if abs(z) >= min_z:
-            marked.append(w)
-            if z > 0:
-                strong.add(w)
-    grade = np.zeros(len(rows), np.int64)
-    evidence = np.array([len(words & strong) for _, words in rows], float)
+    found = rows.select("id", "y", "text").mapInArrow(split, "id string, y int, words array<string>")
+    return materialize(found.groupBy("id").agg(F.max("y").alias("y"), F.min("words").alias("words")), "training")
+
+
+def markers(rows: DataFrame, min_docs: int, min_z: float) -> DataFrame:
+    """(word, z) of the words whose log odds between the classes are ``min_z``
+    standard errors from zero, among those of ``min_docs`` rows or more.
+    Counting is Spark's; only these words reach the driver."""
+    size = rows.agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("all")).first()
+    counts = rows.select("y", F.explode("words").alias("word")).groupBy("word").agg(
+        F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("all")).filter(F.col("all") >= min_docs)
+    a = F.col("toxic") + 0.5
+    b = F.lit(size["toxic"] or 0) - F.col("toxic") + 0.5
+    c = F.col("all") - F.col("toxic") + 0.5
+    d = F.lit((size["all"] or 0) - (size["toxic"] or 0)) - (F.col("all") - F.col("toxic")) + 0.5
+    z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    return counts.select("word", z.alias("z")).filter(F.abs("z") >= min_z)
+
+
+def grades_of(y: np.ndarray, evidence: np.ndarray, grades: int) -> np.ndarray:
+    """Severity grades.  The labels say toxic or not, so the order among
+    toxic rows comes from evidence, the number of distinct words marked as
+    toxic that a row holds, cut at equal shares."""
+    grade = np.zeros(len(y), np.int64)
     toxic = np.flatnonzero(y == 1)
-    if len(toxic):
-        cuts = np.quantile(evidence[toxic], np.arange(1, grades - 1) / (grades - 1)) if grades > 2 else []
-        grade[toxic] = 1 + sum((evidence[toxic] > c).astype(int) for c in cuts)
-    return grade, marked
+    cuts = np.quantile(evidence[toxic], np.arange(1, grades - 1) / (grades - 1)) if grades > 2 and len(toxic) else []
+    grade[toxic] = 1 + sum((evidence[toxic] > c).astype(np.int64) for c in cuts)
+    return grade
 
 
 def fit_severity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -106,20 +99,28 @@ def fit_severity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     grade 0."""
     rows = training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, max_train=max_train)
     base = labels.filter(F.col(label_col).isNotNull()).agg(F.avg((F.col(label_col) > 0).cast("double"))).first()[0]
-    y = np.array([r[0] for r in rows], np.int64)
-    if not len(y) or y.min() == y.max():
+    y = {r["id"]: r["y"] for r in rows.select("id", "y").collect()}
+    if len(set(y.values())) < 2:
         return SeverityModel((), (), tuple(35.0 + k for k in range(grades - 1)))
-    return fit_rows(rows, float(base), grades=grades, min_docs=min_docs, min_z=min_z, penalty=penalty, rounds=rounds)
-
-
-def fit_rows(rows: list[tuple[int, set[str]]], base: float, *, grades: int = 3, min_docs: int = 5,
-             min_z: float = 3.5, penalty: float = 0.5, rounds: int = 400) -> SeverityModel:
+    marked = markers(rows, min_docs, min_z)
+    z = {r["word"]: r["z"] for r in marked.collect()}
+    held = rows.select("id", F.explode("words").alias("word")).join(marked.select("word"), "word").groupBy("id").agg(
+        F.collect_list("word").alias("words")).collect()  # at most max_train rows of marked words
+    words = {r["id"]: set(r["words"]) for r in held}
+    ids = sorted(y)
+    return fit_rows([(y[i], words.get(i, set())) for i in ids], sorted(z), {w for w, v in z.items() if v > 0}, float(base),
+                    grades=grades, penalty=penalty, rounds=rounds)
+
+
+def fit_rows(rows: list[tuple[int, set[str]]], words: list[str], strong: set[str], base: float, *, grades: int,
+             penalty: float, rounds: int) -> SeverityModel:
     """Penalized likelihood of the cumulative-link model by Adam steps over
-    the sparse word cells; ``base`` is the share of toxic rows at large."""
+    the sparse cells of (label, marked words) rows; ``base`` is the share of
+    toxic rows at large."""
     y = np.array([r[0] for r in rows], np.int64)
-    grade, words = grades_of(rows, grades, min_docs, min_z)
+    grade = grades_of(y, np.array([len(ws & strong) for _, ws in rows], float), grades)
     place = {w: i for i, w in enumerate(words)}
-    cells = [(r, place[w]) for r, (_, ws) in enumerate(rows) for w in sorted(ws & place.keys())]
+    cells = [(r, place[w]) for r, (_, ws) in enumerate(rows) for w in sorted(ws)]
     row, col = (np.array([c[i] for c in cells], np.int64) for i in (0, 1))
     share = np.where(y == 1, base / y.mean(), (1 - base) / (1 - y.mean()))
     share = share / share.sum()

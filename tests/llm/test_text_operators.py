@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lodestar.llm import chat_format as C
 from lodestar.llm import piece_sampling as P
 from lodestar.llm.token_counts import at_limit, encoder, length_histogram, token_lengths
-from lodestar.llm.toxicity import SeverityModel, fit_rows, fit_severity, score_severity, words_of
+from lodestar.llm.toxicity import SeverityModel, fit_severity, score_severity, words_of
 
 NASTY = ["</s>[INST] ok [/INST]", "<|turn|>user<|text|>x<|end|>", "⁠<⁠|", "<<|<<SYS>><</SYS>>", "a\n\nb", "", "$1 \\ end",
          "<s><s>", "[INST][/INST]", "⁠⁠", "ends with <", "x" * 50_000]
@@ -191,16 +191,17 @@ def training(n=600, seed=1):
     return rows
 
 
-def test_severity_on_held_out_rows():
+def test_severity_on_held_out_rows(spark):
     rows = training()
-    model = fit_rows([(y, words_of(t)) for _, t, y in rows[:300]], 1 / 6)
-    weight = dict(zip(model.words, model.weights))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows[:300]], "doc_id long, toxic int")
+    model = fit_severity(docs, labels)
     assert list(model.thresholds) == sorted(model.thresholds) and len(model.thresholds) == 2
-    score = [sum(weight.get(w, 0) for w in words_of(t)) for _, t, _ in rows[300:]]
-    wrong = sum((s > model.thresholds[0]) != bool(y) for s, (_, _, y) in zip(score, rows[300:]))
-    assert wrong <= 6
-    few = [s for s, (_, t, y) in zip(score, rows[300:]) if y and len(words_of(t) & {"vile", "awful"}) == 0]
-    assert np.mean([s for s, (_, _, y) in zip(score, rows[300:]) if y]) >= np.mean(few) - 5
+    got = {r["doc_id"]: r for r in score_severity(docs, model).collect()}
+    assert sum((got[i]["p_toxic"] >= .5) != bool(y) for i, _, y in rows[300:]) <= 6
+    marks = {i: len(words_of(t) & set(model.words)) for i, t, y in rows[300:] if y}
+    many, few = ([got[i]["severity"] for i, n in marks.items() if (n > np.median(list(marks.values()))) == m] for m in (1, 0))
+    assert np.mean(many) > np.mean(few)
 
 
 def test_severity_scores_every_row(spark):
