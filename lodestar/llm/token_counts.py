@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import materialize
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-token pattern that belongs to this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -52,11 +54,12 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     every document is cut to this length; ``quantile`` share of documents at
     or below it.  Null lengths are left out; no rows give no rows.
 
-    Counting combines before the shuffle.  The suffix sums run inside buckets
+    Counting combines before the shuffle, and the counts are written once, so
+    that no text is encoded twice.  The suffix sums run inside buckets
     of lengths; only one total per bucket meets in one ordered window."""
-    hist = (lengths.filter(F.col(length_col).isNotNull()).groupBy(F.col(length_col).cast("long").alias("n_tokens"))
-            .agg(F.count(F.lit(1)).alias("n_docs"))
-            .withColumn("__bucket", F.floor(F.col("n_tokens") / BUCKET)))
+    hist = materialize(lengths.filter(F.col(length_col).isNotNull()).groupBy(
+        F.col(length_col).cast("long").alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
+        .withColumn("__bucket", F.floor(F.col("n_tokens") / BUCKET)), "lengths")
     tokens = F.col("n_docs") * F.col("n_tokens")
     above = Window.orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     buckets = (hist.groupBy("__bucket").agg(F.sum("n_docs").alias("__docs"), F.sum(tokens).alias("__tokens"))
