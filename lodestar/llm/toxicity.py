@@ -30,11 +30,11 @@ class SeverityModel:
 
 
 def words_of(text: str | None) -> set[str]:
-    """The text's sparse features: its words in lower case, and for longer
-    words their first letters (``STEMS`` lengths, marked ``~``), which stand
-    for the many endings that one stem takes."""
+    """The text's sparse features: its words in lower case, and their first
+    letters (``STEMS`` lengths, marked ``~``), which stand for the many
+    endings that one stem takes."""
     words = set(WORD.findall(text.lower())) if text else set()
-    return words.union(*({w[:n] + "~" for w in words if len(w) > n} for n in STEMS))
+    return words.union(*({w[:n] + "~" for w in words if len(w) >= n} for n in STEMS))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
