@@ -16,7 +16,7 @@ from typing import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,6 @@ from ..functions.text import strip
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 100
 RECURSIVE_SEPARATORS = ["\n\n", "\n", " ", ""]
-UNKNOWN_SOURCE = "未知文档"
 
 
 # ---------------------------------------------------------------- chunking
@@ -40,16 +39,20 @@ def split_on(df: DataFrame, sep: str, text_col: str = "text", keep=("doc_id",))
 def fixed_chunks(df: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                  text_col: str = "text", keep=("doc_id",)) -> DataFrame:
     """Character windows of ``size`` with ``overlap``: starts 0, step,
-    2*step, ... until the window reaches the end of the text.  Pure native
-    expression (``sequence`` + ``substring``)."""
+    2*step, ... until the window reaches the end of the text."""
     step = size - overlap
-    n = F.length(text_col)
-    last = F.when(n <= size, F.lit(0)).otherwise(F.ceil((n - size) / F.lit(step)).cast("int"))
-    starts = F.sequence(F.lit(0), last)
+    last = chunk_count(F.col(text_col), size, overlap) - 1
+    starts = F.sequence(F.lit(0), last.cast("int"))
     return (df.select(*keep, F.col(text_col), F.posexplode(starts).alias("pos", "_k"))
             .select(*keep, "pos", F.expr(f"substring({text_col}, _k * {step} + 1, {size})").alias("chunk")))
 
 
+def chunk_count(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
+    """Number of ``fixed_chunks`` of a text, by arithmetic alone."""
+    n = F.length(text)
+    return F.when(n <= size, F.lit(1)).otherwise(F.ceil((n - size) / F.lit(size - overlap)) + 1).cast("long")
+
+
 def _split_keep_start(text: str, sep: str) -> list[str]:
     """Split keeping each separator at the start of the following piece."""
     if sep == "":
@@ -160,130 +163,151 @@ def embed_with(df: DataFrame, fn: Callable[[list[str]], np.ndarray], dim: int,
 
 
 # ---------------------------------------------------------------- search
-_CAND = T.StructType([
-    T.StructField("query_id", T.LongType()), T.StructField("neighbor_id", T.LongType()),
-    T.StructField("distance", T.DoubleType())])
-
-
-def _block_topk(k: int, exclude_self: bool):
-    def fn(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "neighbor_id": pd.Series(dtype="int64"),
-                                 "distance": pd.Series(dtype="float64")})
-        Q = np.stack(qpdf["qv"].to_numpy()).astype(np.float64)
-        C = np.stack(cpdf["cv"].to_numpy()).astype(np.float64)
-        qid = qpdf["qid"].to_numpy(np.int64)
-        cid = cpdf["cid"].to_numpy(np.int64)
-        # Matrix form to find candidates, exact differences to rank them.
-        approx = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
-        if exclude_self:
-            approx[qid[:, None] == cid[None, :]] = np.inf
-        m = min(C.shape[0], k + 8)
-        cand = np.argpartition(approx, m - 1, axis=1)[:, :m] if m < C.shape[0] else \
-            np.tile(np.arange(C.shape[0]), (Q.shape[0], 1))
-        diff = Q[:, None, :] - C[cand]
-        exact = (diff * diff).sum(2)
+def valid_vectors(df: DataFrame, vec_col: str, dim: int | None = None) -> Column:
+    """Condition: the vector is not NULL or empty, holds finite components
+    only, and has ``dim`` of them (if given)."""
+    v = F.col(vec_col)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    ok = v.isNotNull() & (F.size(v) > 0) & ~bad
+    return ok & (F.size(v) == dim) if dim is not None else ok
+
+
+def vector_rejects(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
+    """(id, reason) of the rows that a search over ``dim`` components leaves
+    out: the rejects report of ``knn``."""
+    v = F.col(vec_col)
+    reason = (F.when(F.col(id_col).isNull(), "no id").when(v.isNull(), "no vector").when(F.size(v) != dim, "other length")
+              .when(~valid_vectors(df, vec_col), "component not finite"))
+    return df.select(F.col(id_col).alias("id"), reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def _nearest(qkey: np.ndarray, qid: np.ndarray, Q: np.ndarray, cid: np.ndarray, C: np.ndarray, k: int,
+             exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query key, neighbour id, distance): the k nearest rows of one corpus
+    block for every query, ties on neighbour id, exactly.
+
+    Copies of one vector beyond the k + 1 smallest ids can be no answer and
+    drop out first.  The matrix form only shortlists: every row within the
+    k-th approximate distance plus a bound on its rounding error stays, and
+    the differences themselves decide."""
+    order = np.argsort(cid, kind="stable")
+    cid, C = cid[order], C[order]
+    _, group = np.unique(C, axis=0, return_inverse=True)
+    by_group = np.argsort(group.reshape(-1), kind="stable")
+    sizes = np.bincount(group.reshape(-1))
+    nth = np.empty(len(cid), np.int64)
+    nth[by_group] = np.arange(len(cid)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    cid, C = cid[nth <= k], C[nth <= k]
+    out = []
+    cc = (C * C).sum(1)
+    for s in range(0, len(qid), 512):
+        q, ids = Q[s:s + 512], qid[s:s + 512]
+        qq = (q * q).sum(1)
+        approx = qq[:, None] + cc[None, :] - 2.0 * (q @ C.T)
         if exclude_self:
-            exact[qid[:, None] == cid[cand]] = np.inf
-        ids = cid[cand]
-        order = np.lexsort((ids, exact), axis=1)[:, :k]
-        rows = np.arange(Q.shape[0])[:, None]
-        d, n = exact[rows, order], ids[rows, order]
-        qq = np.repeat(qid, order.shape[1])
-        out = pd.DataFrame({"query_id": qq, "neighbor_id": n.ravel(), "distance": d.ravel()})
-        return out[np.isfinite(out["distance"].to_numpy())]
-    return fn
-
-
-def _partition_topk(k: int, exclude_self: bool, bq, qchunk: int = 1024):
-    """Per corpus partition: the k best rows for every broadcast query,
-    merged across the partition's Arrow batches (state = k per query)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qid, Q = bq.value
-        best_d = np.full((len(qid), 0), np.inf)
-        best_i = np.zeros((len(qid), 0), np.int64)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            C = np.stack(pdf["cv"].to_numpy()).astype(np.float64)
-            cid = pdf["cid"].to_numpy(np.int64)
-            cdf = pd.DataFrame({"cid": cid, "cv": list(C)})
-            # score in query chunks so the distance matrix stays bounded
-            part = pd.concat([_block_topk(k, exclude_self)(
-                pd.DataFrame({"qid": qid[s0:s0 + qchunk], "qv": list(Q[s0:s0 + qchunk])}), cdf)
-                for s0 in range(0, len(qid), qchunk)], ignore_index=True)
-            if part.empty:
-                continue
-            # fold this batch's candidates into the running k best per query
-            pos = pd.Series(np.arange(len(qid)), index=qid)
-            rows = pos.loc[part["query_id"].to_numpy()].to_numpy()
-            d = np.full((len(qid), k), np.inf)
-            i = np.zeros((len(qid), k), np.int64)
-            slot = part.groupby("query_id").cumcount().to_numpy()
-            d[rows, slot] = part["distance"].to_numpy()
-            i[rows, slot] = part["neighbor_id"].to_numpy()
-            all_d = np.concatenate([best_d, d], axis=1)
-            all_i = np.concatenate([best_i, i], axis=1)
-            order = np.lexsort((all_i, all_d), axis=1)[:, :k]
-            r = np.arange(len(qid))[:, None]
-            best_d, best_i = all_d[r, order], all_i[r, order]
-        if best_d.shape[1]:
-            keep = np.isfinite(best_d)
-            yield pd.DataFrame({"query_id": np.repeat(qid, best_d.shape[1])[keep.ravel()],
-                                "neighbor_id": best_i.ravel()[keep.ravel()], "distance": best_d.ravel()[keep.ravel()]})
-    return run
+            approx[ids[:, None] == cid[None, :]] = np.inf
+        kth = np.partition(approx, min(k, len(cid)) - 1, axis=1)[:, min(k, len(cid)) - 1]
+        slack = 1e-9 * (qq + (cc.max() if len(cc) else 0.0)) + 1e-300
+        row, col = np.nonzero((approx <= (kth + 2 * slack)[:, None]) & np.isfinite(approx))
+        exact = np.concatenate([((q[row[i:i + 32768]] - C[col[i:i + 32768]]) ** 2).sum(1)
+                                for i in range(0, len(row), 32768)] or [np.zeros(0)])
+        best = np.lexsort((cid[col], exact, row))
+        row, col, exact = row[best], col[best], exact[best]
+        first = np.searchsorted(row, np.arange(len(q)))
+        keep = np.arange(len(row)) - first[row] < k
+        out.append((qkey[s:s + 512][row[keep]], cid[col[keep]], exact[keep]))
+    return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id",
-        query_vec: str = "embedding", corpus_id: str = "id", corpus_vec: str = "embedding",
-        exclude_self: bool = False, block_rows: int = 4096, broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """Exact top-k by squared L2 distance (ties on neighbour id).
+_CAND = "q long, neighbor_id long, distance double"
+
 
-    Output ``query_id, rank, neighbor_id, distance``.  Two plans, chosen by a
-    checked size:
+def _frame(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("q", "neighbor_id", "distance"), found)))
 
-    * few queries (count x dimension x 8 bytes within ``broadcast_bytes``):
-      the queries are broadcast and every corpus partition is scored where it
-      lies, emitting k rows per query per partition -- the corpus is never
-      shuffled;
-    * otherwise both sides are cut into blocks of ``block_rows``; each side
-      is replicated once per block of the other side (the inherent cost of
-      exact all-pairs search) and each task scores one bounded block pair.
 
-    A windowed top-k merges the per-partition / per-block candidates."""
+def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id",
+        query_vec: str = "embedding", corpus_id: str = "id", corpus_vec: str = "embedding",
+        exclude_self: bool = False, block_rows: int = 4096, broadcast_bytes: int = 64 << 20,
+        candidate_rows: int = 20_000_000) -> DataFrame:
+    """Exact top-k by squared L2 distance, ties on neighbour id:
+    ``query_id, rank, neighbor_id, distance``.
+
+    Every distinct (id, vector) of ``queries`` is one query, so an id that
+    stands for two vectors gets k rows for each.  Rows with a NULL id, a NULL
+    vector, a component that is not finite, or another length than the first
+    usable query take no part; ``vector_rejects`` reports them.
+
+    Both plans score with the same rule and give the same rows.  Where the
+    queries are few (their bytes, and the k rows a query that every corpus
+    partition returns, within ``broadcast_bytes`` and ``candidate_rows``),
+    they are broadcast and each corpus partition is scored where it lies.
+    Otherwise both sides are cut into blocks of about ``block_rows`` and each
+    pair of blocks meets in one task; a side is copied once per block of the
+    other, the inherent cost of an exact search."""
     spark = queries.sparkSession
-    qsel = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv"))
-    # one bounded probe: at most broadcast_rows + 1 rows reach the driver; if
-    # they are all there and fit the byte budget, they are the whole query set
-    head = qsel.select(F.size("qv").alias("d")).limit(1).collect()
+    usable = queries.filter(F.col(query_id).isNotNull() & valid_vectors(queries, query_vec))
+    head = usable.select(F.size(query_vec)).limit(1).collect()
     if not head:
         return spark.createDataFrame([], "query_id long, rank int, neighbor_id long, distance double")
-    broadcast_rows = max(1, broadcast_bytes // (8 * max(head[0]["d"], 1)))
-    probe = qsel.limit(broadcast_rows + 1).toPandas() if broadcast_bytes > 0 else None
-    if probe is not None and len(probe) <= broadcast_rows:
-        Q = np.stack(probe["qv"].to_numpy()).astype(np.float64)
-        if Q.nbytes <= broadcast_bytes:
-            bq = spark.sparkContext.broadcast((probe["qid"].to_numpy(np.int64), Q))
-            c = corpus.select(F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).alias("cv"))
-            cand = c.mapInPandas(_partition_topk(k, exclude_self, bq), _CAND)
-            w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-            return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-                    .select("query_id", "rank", "neighbor_id", "distance"))
-    nq = queries.count()
-    nc = corpus.count()
-    qb = max(1, math.ceil(nq / block_rows))
-    cb = max(1, math.ceil(nc / block_rows))
-    q = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv")) \
-        .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int")) \
-        .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
-    c = corpus.select(F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).alias("cv")) \
-        .withColumn("cb", F.pmod(F.xxhash64("cid"), F.lit(cb)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    cand = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-            .applyInPandas(_block_topk(k, exclude_self), _CAND))
-    w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "neighbor_id", "distance"))
+    dim = head[0][0]
+    q = usable.filter(F.size(query_vec) == dim).select(
+        F.col(query_id).cast("long").alias("qid"), F.col(query_vec).cast("array<double>").alias("qv")).distinct()
+    c = corpus.filter(F.col(corpus_id).isNotNull() & valid_vectors(corpus, corpus_vec, dim)).select(
+        F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).cast("array<double>").alias("cv"))
+    few = max(0, min(broadcast_bytes // (8 * dim), candidate_rows // (k * max(1, c.rdd.getNumPartitions()))))
+    probe = q.limit(few + 1).toPandas() if few else None  # one bounded read; all of it is used if it is all there is
+    if probe is not None and len(probe) <= few:
+        vectors = np.stack(probe["qv"].to_numpy()).astype(np.float64)
+        ids = probe["qid"].to_numpy(np.int64)
+        known = spark.sparkContext.broadcast((ids, vectors))
+
+        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            qid, Q = known.value
+            key = np.arange(len(qid))
+            best = None
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                found = _frame(_nearest(key, qid, Q, pdf["cid"].to_numpy(np.int64),
+                                        np.stack(pdf["cv"].to_numpy()).astype(np.float64), k, exclude_self))
+                best = found if best is None else pd.concat([best, found], ignore_index=True)
+                best = best.sort_values(["q", "distance", "neighbor_id"]).groupby("q").head(k)
+            if best is not None:
+                yield best
+
+        cand = c.mapInPandas(scan, _CAND)
+        names = spark.createDataFrame(pd.DataFrame({"q": np.arange(len(ids)), "query_id": ids}))
+        named = _ranked(cand, k).join(F.broadcast(names), "q")  # bounded by the same check
+        return named.select("query_id", "rank", "neighbor_id", "distance")
+
+    nq, nc = q.count(), c.count()
+    qb, cb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nc / block_rows))
+    # a query's key is a hash of all it is: two vectors of one id stay apart
+    left = (q.withColumn("q", F.xxhash64("qid", "qv")).withColumn("qb", F.pmod(F.col("q"), F.lit(qb)).cast("int"))
+            .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
+    right = (c.withColumn("cb", F.pmod(F.xxhash64("cid"), F.lit(cb)).cast("int"))
+             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+
+    def pair(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or cpdf.empty:
+            return pd.DataFrame({"q": pd.Series(dtype="int64"), "query_id": pd.Series(dtype="int64"),
+                                 "neighbor_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
+        qid = qpdf["qid"].to_numpy(np.int64)
+        row, near, dist = _nearest(np.arange(len(qid)), qid, np.stack(qpdf["qv"].to_numpy()).astype(np.float64),
+                                   cpdf["cid"].to_numpy(np.int64), np.stack(cpdf["cv"].to_numpy()).astype(np.float64),
+                                   k, exclude_self)
+        return pd.DataFrame({"q": qpdf["q"].to_numpy(np.int64)[row], "query_id": qid[row], "neighbor_id": near,
+                             "distance": dist})
+
+    cand = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(
+        pair, "q long, query_id long, neighbor_id long, distance double")
+    return _ranked(cand, k, "query_id").select("query_id", "rank", "neighbor_id", "distance")
+
+
+def _ranked(cand: DataFrame, k: int, *more: str) -> DataFrame:
+    w = Window.partitionBy("q", *more).orderBy("distance", "neighbor_id")
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 # ---------------------------------------------------------------- assembly
@@ -320,9 +344,10 @@ def lexical_rerank(cands: DataFrame, query_text: DataFrame, cand_text: DataFrame
 
 
 def chunk_counts(chunks: DataFrame, source_col: str = "source", unknown: str = "unknown") -> DataFrame:
-    """Chunks per source (missing source -> ``unknown``) plus a total row."""
-    per = chunks.groupBy(F.coalesce(F.col(source_col), F.lit(unknown)).alias("source")) \
-        .agg(F.count(F.lit(1)).alias("n_chunks"))
+    """Chunks per source (missing source -> ``unknown``) plus a total row;
+    rows are chunks, or documents with their ``n_chunks``."""
+    how_many = F.sum("n_chunks") if "n_chunks" in chunks.columns else F.count(F.lit(1))
+    per = chunks.groupBy(F.coalesce(F.col(source_col), F.lit(unknown)).alias("source")).agg(how_many.alias("n_chunks"))
     total = per.agg(F.sum("n_chunks").cast("long").alias("n_chunks")).select(F.lit("*total*").alias("source"),
                                                                              "n_chunks")
     return per.unionByName(total)
@@ -334,11 +359,10 @@ def hit_preview(text_col: str = "chunk", max_chars: int = 100) -> "F.Column":
 
 
 def answer_prompt(question, context) -> "F.Column":
-    """Question-answering prompt (template of our own): the question, the
-    retrieved passages joined by blank lines, an instruction to stay within
-    them."""
-    return F.concat(F.lit("问题: "), F.coalesce(question, F.lit("")), F.lit("\n\n相关片段:\n"),
-                    F.coalesce(context, F.lit("")), F.lit("\n\n请只根据以上片段作答，不要编造信息。"))
+    """Question-answering prompt: passages between markers first, then the
+    question and how to answer."""
+    return F.concat(F.lit("<passages>\n"), F.coalesce(context, F.lit("")), F.lit("\n</passages>\nQ: "),
+                    F.coalesce(question, F.lit("")), F.lit("\nA (from the passages alone; say so if they do not tell): "))
 
 
 def ordered_join(df: DataFrame, key: str, order_col: str, text_col: str, sep: str) -> DataFrame:

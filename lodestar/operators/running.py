@@ -2,126 +2,71 @@
 
 A window ``partitionBy(key).orderBy(o)`` sends every row of a key to one
 task; a key holding a third of the data then serialises a third of the job.
-Here rows are range-partitioned on ``(key, o)`` instead, so a hot key spans
-many partitions.  Each partition computes its local running values in one
-pass, a summary with one row per (partition, key) gives each partition the
-carry-in from earlier partitions of the same key, and only keys that cross a
-partition boundary need a carry (at most two per partition, so the carry
-table is bounded by twice the partition count and is broadcast with that
-proven bound).  The range-partitioned input is checkpointed to the shared
-checkpoint folder first, so every pass sees the same partitioning."""
+Here rows are range-partitioned on ``(key, o)``, so a hot key spans many
+partitions, and written once to the shared checkpoint folder, so that every
+later pass sees the same partitions.  A window inside each (partition, key)
+gives local running values; a summary with one row per (partition, key) gives
+each the carry-in from the key's earlier partitions.  Everything is native,
+streams and spills, and there is one path whatever the size."""
 
 from __future__ import annotations
 
-import math
-from typing import Iterator, Sequence
+from typing import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 
+def _plus(a: Column, b: Column) -> Column:
+    """Sum of two partial sums: NULL only if both are, like SQL's ``sum``."""
+    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0)))
+
+
 def running(df: DataFrame, key: str, order: Sequence[str], sums: Sequence[str] = (), maxes: Sequence[str] = (),
-            prev: Sequence[str] = (), descending: bool = False, rows_per_partition: int = 1_000_000,
-            num_partitions: int | None = None) -> DataFrame:
+            prev: Sequence[str] = (), descending: bool = False, num_partitions: int | None = None) -> DataFrame:
     """Add per-key running columns in ``order`` (ties must not occur):
     ``<c>_run`` inclusive running sum for ``sums``, ``<c>_runmax`` running
     max for ``maxes``, ``<c>_prev`` previous row's value for ``prev`` (NULL on
     a key's first row), and ``_rn`` (1-based row number).  ``descending``
-    orders every ``order`` column descending."""
+    orders every ``order`` column descending.  NULL values, keys and previous
+    values read as in the SQL window: NULL keys are one group."""
     spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ocols = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    if num_partitions is None:
-        n = df.count()
-        if n <= rows_per_partition:
-            # the whole input fits the per-task bound: no group can be hot
-            return _window_running(df, key, ocols, sums, maxes, prev)
-        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_partition))
     ensure_checkpoint_dir(spark)
-    ranged = df.repartitionByRange(num_partitions, F.col(key), *ocols) \
-        .sortWithinPartitions(F.col(key), *ocols).checkpoint(eager=True)
-
-    # pass 1: per (partition, key) totals, maxima and last values
-    fields = [T.StructField("_pid", T.IntegerType()), T.StructField(key, df.schema[key].dataType),
-              T.StructField("_n", T.LongType())]
-    fields += [T.StructField(f"{c}_tot", T.DoubleType()) for c in sums]
-    fields += [T.StructField(f"{c}_mx", T.DoubleType()) for c in maxes]
-    fields += [T.StructField(f"{c}_last", df.schema[c].dataType) for c in prev]
-    summary_schema = T.StructType(fields)
-
-    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        parts = [b for b in batches]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-        g = pdf.groupby(key, sort=False)
-        out = pd.DataFrame({key: g.size().index, "_n": g.size().to_numpy().astype("int64")})
-        out.insert(0, "_pid", pid)
-        for c in sums:
-            out[f"{c}_tot"] = g[c].sum().to_numpy(dtype=float)
-        for c in maxes:
-            out[f"{c}_mx"] = g[c].max().to_numpy(dtype=float)
-        for c in prev:
-            out[f"{c}_last"] = g[c].last().to_numpy()
-        yield out
-
-    summary = ranged.mapInPandas(summarize, summary_schema)
-    # keys present in more than one partition need a carry-in (<= 2 per partition)
-    spans = summary.groupBy(key).agg(F.count(F.lit(1)).alias("_parts")).filter("_parts > 1")
-    multi = summary.join(spans.select(key), key, "left_semi")
-    w = Window.partitionBy(key).orderBy("_pid")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    carry = multi.select("_pid", key,
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_in"),
-                         *[F.coalesce(F.sum(f"{c}_tot").over(before), F.lit(0.0)).alias(f"{c}_in") for c in sums],
-                         *[F.max(f"{c}_mx").over(before).alias(f"{c}_mxin") for c in maxes],
-                         *[F.lag(f"{c}_last").over(w).alias(f"{c}_lastin") for c in prev])
-    carry_pdf = carry.toPandas()  # bounded: at most 2 * num_partitions rows
-    bc = spark.sparkContext.broadcast(carry_pdf)
-
-    out_fields = list(df.schema.fields) + [T.StructField("_rn", T.LongType())]
-    out_fields += [T.StructField(f"{c}_run", T.DoubleType()) for c in sums]
-    out_fields += [T.StructField(f"{c}_runmax", T.DoubleType()) for c in maxes]
-    out_fields += [T.StructField(f"{c}_prev", df.schema[c].dataType) for c in prev]
-
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        parts = [b for b in batches if not b.empty]
-        if not parts:
-            return
-        # one partition (bounded by rows_per_partition), sorted by (key, order)
-        pdf = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-        cp = bc.value
-        cp = cp[cp["_pid"] == pid].set_index(key)
-        g = pdf.groupby(key, sort=False)
-        k = pdf[key]
-        pdf["_rn"] = (g.cumcount() + 1 + k.map(cp["_n_in"]).fillna(0)).astype("int64")
-        for c in sums:
-            pdf[f"{c}_run"] = g[c].cumsum().astype(float) + k.map(cp[f"{c}_in"]).fillna(0.0)
-        for c in maxes:
-            pdf[f"{c}_runmax"] = np.fmax(g[c].cummax().astype(float).to_numpy(),
-                                         k.map(cp[f"{c}_mxin"]).astype(float).to_numpy())
-        for c in prev:
-            shifted = g[c].shift(1)
-            first = g.cumcount() == 0
-            carried = k.map(cp[f"{c}_lastin"])
-            pdf[f"{c}_prev"] = shifted.where(~first, carried)
-        yield pdf
-
-    return ranged.mapInPandas(finish, T.StructType(out_fields))
+    ranged = (df.repartitionByRange(n, F.col(key), *ocols).withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
 
+    local = Window.partitionBy("_pid", key).orderBy(*ocols)
+    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = ranged.select(
+        "*", F.row_number().over(local).cast("long").alias("_lrn"),
+        *[F.sum(F.col(c).cast("double")).over(upto).alias(f"_s_{c}") for c in sums],
+        *[F.max(F.col(c).cast("double")).over(upto).alias(f"_m_{c}") for c in maxes],
+        *[F.lag(c).over(local).alias(f"_p_{c}") for c in prev])
 
-def _window_running(df: DataFrame, key: str, ocols, sums, maxes, prev) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*ocols)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.row_number().over(w).cast("long").alias("_rn")]
-    cols += [F.sum(F.col(c).cast("double")).over(run).alias(f"{c}_run") for c in sums]
-    cols += [F.max(F.col(c).cast("double")).over(run).alias(f"{c}_runmax") for c in maxes]
-    cols += [F.lag(c).over(w).alias(f"{c}_prev") for c in prev]
-    return df.select("*", *cols)
+    # the last row of a (partition, key) in the asked order; NULLs sort lowest in either direction
+    at = F.struct(*order)
+    last = F.min_by if descending else F.max_by
+    summary = ranged.groupBy("_pid", key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.col(c).cast("double")).alias(f"_st_{c}") for c in sums],
+        *[F.max(F.col(c).cast("double")).alias(f"_mt_{c}") for c in maxes],
+        *[last(F.struct(F.col(c).alias("v")), at).alias(f"_lt_{c}") for c in prev])
+    by_part = Window.partitionBy(key).orderBy("_pid")
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        F.col("_pid").alias("_cpid"), F.col(key).alias("_ckey"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_in"),
+        *[F.sum(f"_st_{c}").over(before).alias(f"_si_{c}") for c in sums],
+        *[F.max(f"_mt_{c}").over(before).alias(f"_mi_{c}") for c in maxes],
+        *[F.lag(f"_lt_{c}").over(by_part).getField("v").alias(f"_li_{c}") for c in prev],
+    ).filter(F.col("_n_in") > 0)  # keys that cross a partition edge: at most one row per partition
+    joined = rows.join(F.broadcast(carry), (F.col("_pid") == F.col("_cpid")) & F.col(key).eqNullSafe(F.col("_ckey")), "left")
+    return joined.select(
+        *df.columns, (F.col("_lrn") + F.coalesce("_n_in", F.lit(0))).alias("_rn"),
+        *[_plus(F.col(f"_s_{c}"), F.col(f"_si_{c}")).alias(f"{c}_run") for c in sums],
+        *[F.greatest(f"_m_{c}", f"_mi_{c}").alias(f"{c}_runmax") for c in maxes],
+        *[F.when(F.col("_lrn") == 1, F.col(f"_li_{c}")).otherwise(F.col(f"_p_{c}")).alias(f"{c}_prev") for c in prev])

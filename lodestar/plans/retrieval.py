@@ -43,8 +43,8 @@ WITH per AS (SELECT coalesce(source, 'unknown') AS source, CAST(sum({_LAST_SQL}
              FROM documents GROUP BY 1)
 SELECT source, n_chunks FROM per UNION ALL SELECT '*total*', CAST(sum(n_chunks) AS BIGINT) FROM per""")
 def corpus_stats(spark, d):
-    chunks = R.fixed_chunks(table(spark, d, "documents"), keep=("doc_id", "source"))
-    return R.chunk_counts(chunks)
+    docs = table(spark, d, "documents").select("source", R.chunk_count(F.col("text")).alias("n_chunks"))
+    return R.chunk_counts(docs)
 
 
 _PAIRS_SQL = """pairs AS (
@@ -69,6 +69,25 @@ def knn_topk(spark, d):
     return _knn(spark, d, K_SEARCH).withColumn("distance", F.round("distance", 6))
 
 
+SHIFT = 1_000_000_000
+
+
+@register("knn_ties", "WITH " + _PAIRS_SQL.split(",\nranked")[0] + f""",
+copies AS (SELECT query_id, neighbor_id + j * {SHIFT} AS neighbor_id, distance
+           FROM (SELECT query_id, neighbor_id, distance FROM pairs
+                 UNION ALL SELECT vec_id, vec_id, 0.0 FROM embeddings) CROSS JOIN range(0, 21) t(j)),
+near AS (SELECT query_id, neighbor_id, distance,
+                CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank
+         FROM copies WHERE neighbor_id <> query_id)
+SELECT query_id, rank, neighbor_id, round(distance, 6) AS distance FROM near WHERE rank <= {K_SEARCH}""")
+def knn_ties(spark, d):
+    """Every vector stands 21 times in the corpus: ties on the id decide."""
+    e = table(spark, d, "embeddings")
+    corpus = e.select((F.col("vec_id") + F.explode(F.sequence(F.lit(0), F.lit(20))) * SHIFT).alias("id"), "embedding")
+    hits = R.knn(e.select(F.col("vec_id").alias("query_id"), "embedding"), corpus, K_SEARCH, exclude_self=True)
+    return hits.withColumn("distance", F.round("distance", 6))
+
+
 @register("retrieval_context", "WITH " + _PAIRS_SQL + f"""
 , hits AS (SELECT r.query_id, r.rank, doc.text, doc.source FROM ranked r
            LEFT JOIN documents doc ON doc.doc_id = r.neighbor_id WHERE r.rank <= {K_CONTEXT})
@@ -112,13 +131,13 @@ _ST = "regexp_replace({x}, '^[ \\t\\n\\r\\f\\x0B\\x{{3000}}]+|[ \\t\\n\\r\\f\\x0
 
 
 @register("retrieval_hits", "WITH " + _PAIRS_SQL + f"""
-SELECT r.query_id, r.rank, r.neighbor_id,
+SELECT r.query_id, r.rank, r.neighbor_id, doc.source,
        substr({_ST.format(x='doc.text')}, 1, 100) || '...' AS preview
 FROM ranked r LEFT JOIN documents doc ON doc.doc_id = r.neighbor_id WHERE r.rank <= {K_CONTEXT}""")
 def retrieval_hits(spark, d):
     hits = _knn(spark, d, K_CONTEXT)
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("neighbor_id"), F.col("text").alias("chunk"))
-    return hits.join(docs, "neighbor_id", "left").select("query_id", "rank", "neighbor_id",
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("neighbor_id"), F.col("text").alias("chunk"), "source")
+    return hits.join(docs, "neighbor_id", "left").select("query_id", "rank", "neighbor_id", "source",
                                                          R.hit_preview("chunk").alias("preview"))
 
 
@@ -136,8 +155,8 @@ _RERANK_CTE = f"""
 @register("rag_prompt", "WITH " + _PAIRS_SQL + _RERANK_CTE + """
 , ctx AS (SELECT rr.query_id, string_agg(coalesce(cd.text, ''), chr(10) || chr(10) ORDER BY rr.rerank) AS context
           FROM rr LEFT JOIN documents cd ON cd.doc_id = rr.neighbor_id GROUP BY rr.query_id)
-SELECT ctx.query_id, '问题: ' || coalesce(q.text, '') || chr(10) || chr(10) || '相关片段:'
-       || chr(10) || coalesce(ctx.context, '') || chr(10) || chr(10) || '请只根据以上片段作答，不要编造信息。' AS prompt
+SELECT ctx.query_id, '<passages>' || chr(10) || coalesce(ctx.context, '') || chr(10) || '</passages>' || chr(10) || 'Q: '
+       || coalesce(q.text, '') || chr(10) || 'A (from the passages alone; say so if they do not tell): ' AS prompt
 FROM ctx LEFT JOIN documents q ON q.doc_id = ctx.query_id""")
 def rag_prompt(spark, d):
     docs = table(spark, d, "documents")

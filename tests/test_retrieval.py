@@ -103,3 +103,18 @@ def test_knn_blocked_unequal_sides(spark):
     for i in range(len(q)):
         for rank, j in enumerate(np.lexsort((np.arange(len(c)), d[i]))[:4], start=1):
             assert got[(i, rank)] == 1000 + int(j)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_knn_ties_repeated_queries_and_bad_vectors(spark, broadcast_bytes):
+    corpus = [(i, [1.0, 0.0]) for i in range(60)] + [(100, None), (101, [1.0]), (102, [float("nan"), 0.0]), (None, [1.0, 0.0]),
+                                                      (103, [0.0, None]), (104, [5.0, 5.0])]
+    queries = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [5.0, 5.0]), (2, None), (3, [1.0]), (59, [1.0, 0.0])]
+    q = spark.createDataFrame(queries, "query_id long, embedding array<double>")
+    c = spark.createDataFrame(corpus, "id long, embedding array<double>").repartition(3)
+    got = sorted((r.query_id, r.distance, r.rank, r.neighbor_id)
+                 for r in R.knn(q, c, 3, block_rows=16, broadcast_bytes=broadcast_bytes).collect())
+    assert got == sorted([(1, 0.0, 1, 0), (1, 0.0, 2, 1), (1, 0.0, 3, 2), (1, 0.0, 1, 104), (1, 41.0, 2, 0), (1, 41.0, 3, 1),
+                          (59, 0.0, 1, 0), (59, 0.0, 2, 1), (59, 0.0, 3, 2)])
+    bad = {r.id: r.reason for r in R.vector_rejects(c, "id", "embedding", 2).collect()}
+    assert bad == {100: "no vector", 101: "other length", 102: "component not finite", 103: "component not finite", None: "no id"}

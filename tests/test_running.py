@@ -31,9 +31,13 @@ def test_running_descending(spark):
     assert [r.v_run for r in rows] == [1.0, 3.0, 7.0]
 
 
-def test_running_switches_to_range_path_by_count(spark):
-    df = spark.range(0, 600).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"),
-                                    F.lit(1.0).alias("v"))
-    got = running(df, "k", ["o"], sums=["v"], rows_per_partition=100)   # 600 rows > bound -> range path
-    rows = {(r.k, r.o): (r._rn, r.v_run) for r in got.collect()}
-    assert rows[(0, 597)] == (200, 200.0) and rows[(2, 2)] == (1, 1.0)
+def test_running_reads_nulls_as_the_window_does(spark):
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 3, i, None if i % 4 else float(i), None if i % 2 else f"r{i}")
+                                for i in range(200)], "k long, o long, v double, role string")
+    got = running(df, "k", ["o"], sums=["v"], maxes=["v"], prev=["role"], num_partitions=9)
+    w = Window.partitionBy("k").orderBy("o")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.select("k", "o", F.row_number().over(w), F.sum("v").over(run), F.max("v").over(run), F.lag("role").over(w))
+    rows = got.select("k", "o", "_rn", "v_run", "v_runmax", "role_prev").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, map(tuple, want.collect())))
+    assert running(df.limit(0), "k", ["o"], sums=["v"]).count() == 0
