@@ -29,6 +29,9 @@ DONE_TEXT = "该工单已经完成处理"
 NOT_DONE_TEXT = "该工单处理不充分或未完成"
 JSON_FAIL_PREFIX = "JSON解析失败，使用备用判断："
 JSON_FAIL_THINK = "JSON解析异常"
+# Wording of the fallback after a failed model call.
+CALL_FAIL_PREFIX, CALL_FAIL_MIDDLE = "大模型调用失败(", ")，使用备用判断："
+CALL_FAIL_THINK, CALL_FAIL_THINK_END = "由于大模型调用异常，根据处理结果描述", "进行简单判断。"
 DONE_KEYWORDS = ["完成", "充分", "解决"]
 CAPTION_FAILURE = "图片处理失败"
 THINK_CLOSE = "</think>"
@@ -165,12 +168,16 @@ def strict_json_object(text) -> Column:
     return F.coalesce((F.json_array_length(arr) == 1) & strip(t).startswith("{"), F.lit(False))
 
 
-def verdict(resp, evidence, fallback_keywords: Sequence[str]) -> Column:
+def verdict(resp, evidence, fallback_keywords: Sequence[str], error=None, quote_evidence: bool = False) -> Column:
     """struct(completed, reason, think, parse_status) from a completion
     verdict: greedy ``{...}`` -> strict JSON -> ``completed`` (boolean,
     default false) and ``reason``; no braces -> keyword test on the whole
-    response; bad JSON -> lane keywords in the evidence text."""
+    response; bad JSON -> lane keywords in the evidence text.  A call that
+    failed (``error`` is set, or there is no answer) falls back to the same
+    keywords and says so; ``quote_evidence`` repeats the evidence there."""
     r = _c(resp)
+    err = F.lit(None).cast("string") if error is None else _c(error)
+    failed = err.isNotNull() | r.isNull()
     think = think_block(r)
     content = without_think(r)
     js = F.regexp_extract(content, "(?s)(\\{.*\\})", 1)
@@ -185,14 +192,18 @@ def verdict(resp, evidence, fallback_keywords: Sequence[str]) -> Column:
         return F.when(done, F.lit(DONE_TEXT)).otherwise(F.lit(NOT_DONE_TEXT))
 
     no_json = F.length(js) == 0
-    completed = F.when(no_json, kw_done).when(ok, j_completed).otherwise(ev_done)
-    reason = (F.when(no_json, F.concat(F.lit(ANALYSIS_PREFIX), says(kw_done)))
+    told = F.concat(F.lit("'"), F.coalesce(_c(evidence), F.lit("")), F.lit("'")) if quote_evidence else F.lit("")
+    completed = F.when(failed, ev_done).when(no_json, kw_done).when(ok, j_completed).otherwise(ev_done)
+    reason = (F.when(failed, F.concat(F.lit(CALL_FAIL_PREFIX), F.coalesce(err, F.lit("")), F.lit(CALL_FAIL_MIDDLE),
+                                      says(ev_done)))
+              .when(no_json, F.concat(F.lit(ANALYSIS_PREFIX), says(kw_done)))
               .when(ok, j_reason).otherwise(F.concat(F.lit(JSON_FAIL_PREFIX), says(ev_done))))
-    th = (F.when(no_json, F.when(F.length(think) > 0, think)
+    th = (F.when(failed, F.concat(F.lit(CALL_FAIL_THINK), told, F.lit(CALL_FAIL_THINK_END)))
+          .when(no_json, F.when(F.length(think) > 0, think)
                  .otherwise(F.concat(F.substring(content, 1, 200), F.lit("..."))))
           .when(ok, F.when(F.length(think) > 0, think).otherwise(j_reason))
           .otherwise(F.lit(JSON_FAIL_THINK)))
-    status = F.when(no_json, F.lit("no_json")).when(ok, F.lit("json")).otherwise(F.lit("bad_json"))
+    status = F.when(failed, F.lit("call_failed")).when(no_json, F.lit("no_json")).when(ok, F.lit("json")).otherwise(F.lit("bad_json"))
     return F.struct(completed.alias("completed"), reason.alias("reason"), th.alias("think"),
                     status.alias("parse_status"))
 
@@ -221,14 +232,15 @@ def failed_caption(desc, marker: str = CAPTION_FAILURE) -> Column:
 def caption_text(urls, captions, errors) -> Column:
     """``[id: caption]`` per image in order, failures as
     ``[image_<i>: 图片处理失败: <error>]``, joined by a space.  Arrays are
-    aligned by position, so no regrouping is needed."""
+    aligned by position, so no regrouping is needed; a list that is shorter
+    than the URLs, or NULL, reads as NULL there."""
     idx = F.sequence(F.lit(1), F.size(_c(urls)))
     parts = F.transform(idx, lambda i: F.when(
-        F.element_at(_c(captions), i).isNotNull(),
+        F.try_element_at(_c(captions), i).isNotNull(),
         F.concat(F.lit("["), image_id(F.element_at(_c(urls), i)), F.lit(": "),
-                 strip(F.element_at(_c(captions), i)), F.lit("]")))
+                 strip(F.try_element_at(_c(captions), i)), F.lit("]")))
         .otherwise(F.concat(F.lit("[image_"), i.cast("string"), F.lit(f": {CAPTION_FAILURE}: "),
-                            F.coalesce(F.element_at(_c(errors), i), F.lit("")), F.lit("]"))))
+                            F.coalesce(F.try_element_at(_c(errors), i), F.lit("")), F.lit("]"))))
     return F.when(F.size(_c(urls)) > 0, F.array_join(parts, " ")).otherwise(F.lit(""))
 
 
@@ -247,6 +259,13 @@ def result_image_urls(result_info) -> Column:
                                  lambda x: F.coalesce(x["handleResultImageUrls"], F.array().cast("array<string>"))))
 
 
+def required_content(actions, target: str) -> Column:
+    """What the dispatch asked of ``target``: the content of its first action
+    that has any, else ''."""
+    hit = first_match(_c(actions), lambda a: (a["target"] == target) & ~falsy(a["content"]))
+    return F.coalesce(hit["content"], F.lit(""))
+
+
 def first_match(arr, pred) -> Column:
     """First array element satisfying ``pred`` (NULL when none)."""
     return F.try_element_at(F.filter(_c(arr), pred), F.lit(1))

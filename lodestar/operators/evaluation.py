@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # The class vocabulary (name -> id in list order), as in the
 # reference.
 CLASS_NAMES = ["Ascarid", "Hookworm", "Mansoni", "Hexacanth larva", "Egg sac", "Fluke",
@@ -56,7 +58,7 @@ def confusion_dense(pairs: DataFrame, vocab: DataFrame, n_classes: int) -> DataF
     # one aggregation straight to the wide form (conditional counts), then
     # every vocabulary row; the wide side has at most one row per class, so
     # it is the side broadcast into the vocabulary's left join
-    wide = pairs.groupBy("true_id").agg(*[F.count(F.when(F.col("pred_id") == i, F.lit(1))).alias(str(i))
+    wide = pairs.filter(F.col("true_id").isin(ids)).groupBy("true_id").agg(*[F.count(F.when(F.col("pred_id") == i, F.lit(1))).alias(str(i))
                                           for i in ids])
     full = vocab.select(F.col("class_id").alias("true_id"), F.col("class_name").alias("true_name")) \
         .join(F.broadcast(wide), "true_id", "left")
@@ -68,45 +70,51 @@ def classification_report(pairs: DataFrame, vocab: DataFrame, digits: int = 4) -
     """Per class present in truth or prediction: precision, recall, f1 and
     support (zero division -> 0), then ``accuracy``, ``macro avg`` and
     ``weighted avg`` rows.  Values rounded to ``digits``."""
-    # the count table is at most vocabulary**2 rows; cached so the pairs
-    # (and whatever produced them) are computed once for all report branches
-    cnt = pair_counts(pairs).cache()
-    support = cnt.groupBy(F.col("true_id").alias("class_id")).agg(F.sum("n").alias("support"))
-    npred = cnt.groupBy(F.col("pred_id").alias("class_id")).agg(F.sum("n").alias("n_pred"))
-    tp = cnt.filter(F.col("true_id") == F.col("pred_id")).select(F.col("true_id").alias("class_id"),
-                                                                  F.col("n").alias("tp"))
-    classes = support.select("class_id").union(npred.select("class_id")).distinct()
-    per = (classes.join(support, "class_id", "left").join(npred, "class_id", "left").join(tp, "class_id", "left")
-           .select("class_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("support", "n_pred", "tp")]))
+    # every count row says one thing about its true class and one about its predicted class
+    zero, hit = F.lit(0).cast("long"), F.col("true_id") == F.col("pred_id")
+
+    def told(class_id: str, *numbers):
+        return F.struct(F.col(class_id).cast("long").alias("class_id"),
+                        *[x.alias(c) for x, c in zip(numbers, ("support", "n_pred", "tp"))])
+
+    said = pair_counts(pairs).select(F.explode(F.array(
+        told("true_id", F.col("n"), zero, F.when(hit, F.col("n")).otherwise(zero)),
+        told("pred_id", zero, F.col("n"), zero))).alias("c")).select("c.*")
+    per = said.groupBy("class_id").agg(*[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")])
     p = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     per = per.withColumn("precision", p).withColumn("recall", r)
     per = per.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
                                             2 * F.col("precision") * F.col("recall")
                                             / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0)))
-    per = per.join(F.broadcast(vocab), "class_id", "left").cache()
+    # one row per class: written once, so the pairs are computed once for both parts of the report
+    ensure_checkpoint_dir(pairs.sparkSession)
+    per = per.join(F.broadcast(vocab), "class_id", "left").checkpoint()
     rows = per.select(F.coalesce("class_name", F.col("class_id").cast("string")).alias("class_name"),
                       "precision", "recall", "f1_score", F.col("support").cast("long").alias("support"))
     tot = F.sum("support")
-    acc = per.agg((F.sum("tp") / tot).alias("f1_score"), tot.cast("long").alias("support")).select(
-        F.lit("accuracy").alias("class_name"), F.lit(None).cast("double").alias("precision"),
-        F.lit(None).cast("double").alias("recall"), F.coalesce("f1_score", F.lit(0.0)).alias("f1_score"), "support")
-    macro = per.agg(F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
-                    F.avg("f1_score").alias("f1_score"), tot.cast("long").alias("support")) \
-        .select(F.lit("macro avg").alias("class_name"), "precision", "recall", "f1_score", "support")
-
-    def wavg(c):
-        return F.coalesce(F.sum(F.col(c) * F.col("support")) / F.when(tot > 0, tot), F.lit(0.0)).alias(c)
-
-    weighted = per.agg(wavg("precision"), wavg("recall"), wavg("f1_score"), tot.cast("long").alias("support")) \
-        .select(F.lit("weighted avg").alias("class_name"), "precision", "recall", "f1_score", "support")
-    out = rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+
+    def weighted(c: str):
+        return F.coalesce(F.sum(F.col(c) * F.col("support")) / F.when(tot > 0, tot), F.lit(0.0))
+
+    scores = ("precision", "recall", "f1_score")
+    none = F.lit(None).cast("double")
+    totals = per.agg(tot.cast("long").alias("support"), F.coalesce(F.sum("tp") / F.when(tot > 0, tot), F.lit(0.0)).alias("acc"),
+                     *[F.avg(c).alias(f"m_{c}") for c in scores], *[weighted(c).alias(f"w_{c}") for c in scores])
+
+    def line(name: str, values):
+        return F.struct(F.lit(name).alias("class_name"), *[v.alias(c) for v, c in zip(values, scores)], F.col("support"))
+
+    summary = totals.select(F.explode(F.array(
+        line("accuracy", (none, none, F.col("acc"))), line("macro avg", [F.col(f"m_{c}") for c in scores]),
+        line("weighted avg", [F.col(f"w_{c}") for c in scores]))).alias("s")).select("s.*")
+    out = rows.unionByName(summary)
     return out.select("class_name", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1_score")],
                       "support")
 
 
 # ---------------------------------------------------------------- prediction files
-FENCE_RE = "```(?:json)?\\s*([\\s\\S]*?)```"
+FENCE_RE = "(?s)```[a-zA-Z]*\\n(.*?)```"
 
 
 def _class_id(name) -> "F.Column":
@@ -164,7 +172,8 @@ def prediction_items(js, v) -> "F.Column":
 
 
 def parse_predictions(files: DataFrame, name_col: str = "name", content_col: str = "content") -> tuple[DataFrame, DataFrame]:
-    """Prediction files -> (stem, pos, cls_name, pred_id) plus rejects.
+    """Prediction files -> (stem, pos, cls_name, pred_id), and rejects (stem,
+    reason, cls_name): names outside the vocabulary and files without JSON.
     Non-objects, empty names and unknown names are dropped before positions
     are numbered, so later items shift as in the reference.  The JSON text is
     parsed once into a variant column, and positions come from filtering the
@@ -188,7 +197,9 @@ def parse_predictions(files: DataFrame, name_col: str = "name", content_col: str
     known = ided.select("stem", F.posexplode(F.filter("_k", lambda x: x["pred_id"].isNotNull())).alias("pos", "_x")) \
         .select("stem", "pos", F.col("_x.cls_name").alias("cls_name"), F.col("_x.pred_id").alias("pred_id"))
     rejects = ided.select("stem", F.explode(F.filter("_k", lambda x: x["pred_id"].isNull())).alias("_x")) \
-        .select("stem", F.col("_x.cls_name").alias("cls_name"))
+        .select("stem", F.lit("unknown class").alias("reason"), F.col("_x.cls_name").alias("cls_name"))
+    rejects = rejects.unionByName(base.filter(F.col("_v").isNull()).select(
+        "stem", F.lit("no JSON").alias("reason"), F.lit(None).cast("string").alias("cls_name")))
     return known, rejects
 
 
@@ -212,8 +223,18 @@ def latest_by_stem(files: DataFrame, name_col: str = "name", content_col: str =
 
 
 def align(truth: DataFrame, preds: DataFrame) -> DataFrame:
-    """Pair item i with item i per stem; the shorter list decides."""
-    return truth.join(preds, ["stem", "pos"], "inner").select("stem", "pos", "true_id", "pred_id")
+    """Pair item i with item i per stem; the shorter list decides.  Label
+    lines without a class id keep their place but make no pair."""
+    return truth.filter(F.col("true_id").isNotNull()).join(preds, ["stem", "pos"], "inner").select("stem", "pos", "true_id", "pred_id")
+
+
+def missing_files(truth_files: DataFrame, pred_files: DataFrame, name_col: str = "name") -> DataFrame:
+    """(stem, lacks): images with a label file but no prediction file, and the
+    other way round."""
+    from ..functions.text import file_stem
+    t, p = (f.select(file_stem(F.col(name_col)).alias("stem")).distinct() for f in (truth_files, pred_files))
+    return (t.join(p, "stem", "left_anti").select("stem", F.lit("prediction").alias("lacks"))
+            .unionByName(p.join(t, "stem", "left_anti").select("stem", F.lit("label").alias("lacks"))))
 
 
 # ---------------------------------------------------------------- detection mAP
@@ -300,7 +321,7 @@ def _greedy(thresholds, loop_above: int = 64):
 def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
                      rows_per_bucket: int = 200_000) -> DataFrame:
     """TP flag per prediction for every IoU threshold (``tp_<i>`` columns).  Truth and predictions
-    are co-grouped by a hash bucket of the image (bucket count from the
+    are co-grouped by a hash bucket of (image, class) (bucket count from the
     prediction count, so a bucket stays a bounded pandas batch); inside a
     bucket each (image, class) group is matched greedily: predictions in
     score order take their best unmatched truth box (a sequential rule,
@@ -309,7 +330,7 @@ def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
     n = preds.count()
     spark = preds.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_bucket))
-    b = F.pmod(F.xxhash64("image"), F.lit(buckets))
+    b = F.pmod(F.xxhash64("image", F.col("class_id").cast("int")), F.lit(buckets))
     g = gt.select(b.alias("_b"), "image", "class_id", "x1", "y1", "x2", "y2")
     p = preds.select(b.alias("_b"), "image", "class_id", "pred_id", "score", "x1", "y1", "x2", "y2")
     return g.groupBy("_b").cogroup(p.groupBy("_b")).applyInPandas(_greedy(list(thresholds)),

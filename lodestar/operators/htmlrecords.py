@@ -32,13 +32,19 @@ def _default(c, value: str) -> "F.Column":
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(value))
 
 
-def extract_records(pages: DataFrame, html_col: str = "html", keep=("page_id",),
-                    block_re: str = BLOCK_RE) -> DataFrame:
+def extract_records(pages: DataFrame, html_col: str = "html", keep=("page_id",), block_re: str = BLOCK_RE,
+                    title_re: str = TITLE_RE, link_re: str = LINK_RE, snippet_re: str = SNIPPET_RE,
+                    pdf_re: str = PDF_RE) -> DataFrame:
+    """One row per result block.  The link is the title's own anchor; only a
+    title without one takes the block's first anchor.  Every pattern is a
+    parameter with one group, so other page shapes need no code."""
     blocks = pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(block_re), 1))
                           .alias("pos", "_b"))
+    blocks = blocks.withColumn("_t", F.regexp_extract("_b", title_re, 1))
+    own = F.nullif(F.regexp_extract("_t", link_re, 1), F.lit(""))
     return blocks.select(
         *keep, "pos",
-        _default(_text(F.regexp_extract("_b", TITLE_RE, 1)), NO_TITLE).alias("title"),
-        _default(F.regexp_extract("_b", LINK_RE, 1), NO_LINK).alias("link"),
-        _default(_text(F.regexp_extract("_b", SNIPPET_RE, 1)), NO_SNIPPET).alias("snippet"),
-        _default(F.regexp_extract("_b", PDF_RE, 1), NO_PDF).alias("pdf_link"))
+        _default(_text(F.col("_t")), NO_TITLE).alias("title"),
+        F.coalesce(own, _default(F.regexp_extract("_b", link_re, 1), NO_LINK)).alias("link"),
+        _default(_text(F.regexp_extract("_b", snippet_re, 1)), NO_SNIPPET).alias("snippet"),
+        _default(F.regexp_extract("_b", pdf_re, 1), NO_PDF).alias("pdf_link"))

@@ -44,11 +44,12 @@ def k_proportion(r: DataFrame, stratum: str, alpha: float = 0.05, power: float =
                  n_bins: int = 2) -> DataFrame:
     """Cohen's w = sqrt(sum((p_i - mean p)**2) / mean p) over the arms of a
     stratum, total n of the goodness-of-fit chi-square test (df = n_bins - 1)
-    and equal per-group n = ceil(n_total / k)."""
+    and equal per-group n = ceil(n_total / k); a stratum whose rates are all 0
+    has no effect size and no n."""
     nc = noncentrality(alpha, power, n_bins - 1)
     m = r.withColumn("_m", F.avg("p").over(Window.partitionBy(stratum)))
     agg = m.groupBy(stratum).agg(F.count(F.lit(1)).alias("k"),
-                                 F.sqrt(F.sum((F.col("p") - F.col("_m")) ** 2 / F.col("_m"))).alias("effect_w"))
+                                 F.sqrt(F.sum((F.col("p") - F.col("_m")) ** 2 / F.nullif(F.col("_m"), F.lit(0.0)))).alias("effect_w"))
     n_total = F.lit(nc) / F.nullif(F.col("effect_w") ** 2, F.lit(0.0))
     return agg.select(stratum, F.col("k").cast("long").alias("k"), "effect_w", n_total.alias("n_total"),
                       F.ceil(n_total / F.col("k")).alias("n_per_group"))

@@ -137,29 +137,26 @@ def hashing_embed(df: DataFrame, text_col: str = "text", dim: int = 64,
     from pyspark.ml.feature import HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
 
-    tmp = df.withColumn("_tok", tokens(text_col))
+    tmp = df.withColumn("_tok", tokens(F.coalesce(F.col(text_col), F.lit(""))))  # NULL text: no tokens
     tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim).transform(tmp)
     nz = Normalizer(inputCol="_tf", outputCol="_nv", p=2.0).transform(tf)
     return nz.withColumn(out_col, vector_to_array("_nv", "float32")).drop("_tok", "_tf", "_nv")
 
 
-def embed_with(df: DataFrame, fn: Callable[[list[str]], np.ndarray], dim: int,
-               text_col: str = "text", out_col: str = "embedding", normalize: bool = True) -> DataFrame:
-    """User model hook: ``fn`` maps a batch of texts to a (n, dim) matrix.
-    Called once per Arrow batch (iterator form, so a model loads once per
-    partition), never per row."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
+def embed_with(df: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, text_col: str = "text",
+               out_col: str = "embedding", normalize: bool = True, error_col: str = "embed_error") -> DataFrame:
+    """User model hook: ``load`` runs once per partition inside the task and
+    returns a function from a batch of texts to a (n, dim) matrix.  A row
+    that fails on its own has a NULL vector and its error."""
+    from .tickets import model_hook
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            m = np.asarray(fn(pdf[text_col].fillna("").tolist()), dtype=np.float32).reshape(len(pdf), dim)
-            if normalize:
-                nrm = np.linalg.norm(m, axis=1, keepdims=True)
-                m = np.where(nrm > 0, m / np.where(nrm > 0, nrm, 1), m)
-            pdf[out_col] = list(m)
-            yield pdf
+    def unit(row) -> list[float]:
+        v = np.asarray(row, dtype=np.float32).reshape(dim)
+        norm = float(np.linalg.norm(v)) if normalize else 0.0
+        return (v / norm if norm > 0 else v).tolist()
 
-    return df.mapInPandas(run, schema)
+    return model_hook(df.withColumn(text_col, F.coalesce(text_col, F.lit(""))), load, [text_col], out_col,
+                      T.ArrayType(T.FloatType()), error_col, unit)
 
 
 # ---------------------------------------------------------------- search

@@ -5,7 +5,8 @@ exploded against: no join, no shuffle, and the same code runs on a stream."""
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+import itertools
+from typing import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import tickets as TK
+from ..functions.text import strip
+from . import retrieval as R
 
 # Per-lane requested actions (target, action, time limit,
 # whether think/summary are kept, retrieval query suffix), as in the
@@ -50,6 +53,9 @@ SCENE_OK_MSG = "Success: Event type matched successfully."
 SCENE_BAD_MSG = "Warning: Event type mismatch detected."
 SCENE_EMPTY_REASON = "一致性判断失败: 模型响应为空"
 
+ACTION_TYPE = "array<struct<target:string,content:string,action:string,timeLimit:int>>"
+
+
 def _lane_actions() -> Column:
     entries = []
     for lane, acts in DISPATCH_LANES.items():
@@ -61,20 +67,66 @@ def _lane_actions() -> Column:
 
 
 def dispatch_prompt(description, image_desc, location, source, law_context, target) -> Column:
-    """Dispatch question for the model (template of our own): ticket facts,
-    retrieved rules and the numbered answer format the section parser
-    reads.  ``target`` NULL asks the model to name the responsible party."""
-    ask = F.when(target.isNull(), F.lit("请判断责任主体并说明应执行的操作。")) \
-        .otherwise(F.concat(F.lit("请为"), target, F.lit("制定处理方案。")))
-    head = F.when(target.isNull(), F.lit("1. 责任主体：")).otherwise(F.concat(F.lit("1. 责任主体："), target))
-    return F.concat_ws("\n", F.lit("【工单信息】"),
-                       F.concat(F.lit("事件描述: "), F.coalesce(description, F.lit(""))),
-                       F.concat(F.lit("图片描述: "), F.coalesce(image_desc, F.lit(""))),
-                       F.concat(F.lit("上报位置: "), F.coalesce(location, F.lit(""))),
-                       F.concat(F.lit("上报人所属单位: "), F.coalesce(source, F.lit(""))),
-                       F.lit("【法规内容】"), F.coalesce(law_context, F.lit("")),
-                       ask, F.lit("回答格式："), head, F.lit("2. 决策理由（包括参考的法规）："),
-                       F.lit("3. 应执行的具体操作："))
+    """Dispatch question for the model: the rules first, the report as one
+    sentence, then the two headers that the section parser reads.  ``target``
+    NULL asks the model to name the responsible party."""
+    said = F.concat(F.lit("A report"), F.when(TK.falsy(location), F.lit("")).otherwise(F.concat(F.lit(" from "), location)),
+                    F.when(TK.falsy(source), F.lit("")).otherwise(F.concat(F.lit(" by "), source)),
+                    F.lit(" says: "), F.coalesce(description, F.lit("")), F.lit(" | photo: "),
+                    F.coalesce(image_desc, F.lit("")))
+    who = F.coalesce(target, F.lit("?"))
+    return F.concat_ws("\n", F.concat(F.lit("Rules: "), F.coalesce(law_context, F.lit(""))), said,
+                       F.lit("Answer in Chinese under these two headers and nothing else:"),
+                       F.concat(F.lit("1. 责任主体："), who), F.lit("2. 决策理由："))
+
+
+def check_prompt(description, image_desc, required, evidence, evidence_images, target: str) -> Column:
+    """Completion question for the model; the verdict parser reads the JSON
+    object it asks for."""
+    def part(name: str, value) -> Column:
+        return F.concat(F.lit(name + ": "), F.coalesce(value, F.lit("")))
+
+    return F.concat_ws("\n", F.lit(f"Has {target} finished the work below?"), part("Work", required),
+                       part("Reported", description), part("Photo then", image_desc), part("Done", evidence),
+                       part("Photo now", evidence_images),
+                       F.lit('Reply with one JSON object: {"completed": true or false, "reason": "why"}'))
+
+
+def scene_prompt(scene, image_desc) -> Column:
+    """Yes/no question whether the photos show the reported scene; the answer
+    parser reads 是 near its start."""
+    return F.concat(F.lit("Photos: "), F.coalesce(image_desc, F.lit("")), F.lit("\nReported scene: "),
+                    F.coalesce(scene, F.lit("")), F.lit("\nDo they agree? Begin with 是 or 否, then one reason."))
+
+
+def summary_prompt(lines) -> Column:
+    """Request for one summary of an event's action lines (array)."""
+    return F.concat(F.lit("Sum up these orders in two sentences:\n"), F.array_join(lines, "\n"))
+
+
+def law_prompt(question, context) -> Column:
+    """Question about retrieved rules with a JSON answer."""
+    return F.concat(F.lit("Rules:\n"), F.coalesce(context, F.lit("")), F.lit("\nQuestion: "),
+                    F.coalesce(question, F.lit("")), F.lit('\nReply as JSON: {"answer": "...", "citations": ["..."]}'))
+
+
+def dispatch_prompts(tickets: DataFrame, ticket_col: str = "ticket", contexts_col: str | None = None,
+                     out_col: str = "prompts") -> DataFrame:
+    """Adds the prompts of a ticket's lane actions as an array, in the order
+    ``dispatch_result_tickets`` reads answers; no actions, no prompts."""
+    t = F.col(ticket_col)
+    p = t["processDataParams"]
+    route = TK.dispatch_route(t)
+    ok = (F.size(TK.dispatch_missing(t)) == 0) & (route["route_status"] == "routed")
+    named = route["lane"].isin(*NAMED_TARGET_LANES)
+
+    def ask(a: Column) -> Column:
+        rules = F.try_element_at(F.col(contexts_col), a["pos"] + 1)["law_context"] if contexts_col else F.lit("")
+        return dispatch_prompt(p["description"], t["context"]["imageDescription"], p["reportLocation"], p["sourceEntity"],
+                               rules, F.when(named, a["target"]))
+
+    acts = F.when(ok, F.try_element_at(_lane_actions(), route["lane"]))
+    return tickets.withColumn(out_col, F.coalesce(F.transform(acts, ask), F.array().cast("array<string>")))
 
 
 def dispatch_requests(tickets: DataFrame, ticket_col: str = "ticket") -> DataFrame:
@@ -130,8 +182,11 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
     has_results = F.coalesce(F.size(ri) > 0, F.lit(False))
     first = F.coalesce(F.try_element_at(ri, F.lit(1))["handleResult"], F.lit(""))
     merged = TK.merged_results(ri)
-    orig_targets = F.transform(F.coalesce(t["context"]["actions"], F.array().cast(
-        "array<struct<target:string,content:string,action:string,timeLimit:int>>")), lambda a: a["target"])
+    orig = F.coalesce(F.transform(t["context"]["actions"], lambda a: F.struct(
+        *[a[c].alias(c) for c in ("target", "content", "action", "timeLimit")])), F.array().cast(ACTION_TYPE))
+    caption_cols = [F.col(c) if c in tickets.columns else F.lit(None).cast("array<string>")
+                    for c in ("result_captions", "result_caption_errors")]
+    error = F.col("model_error") if "model_error" in tickets.columns else None
     acts_given = t["context"]["actions"].isNotNull()
 
     # The verdict of the row's own lane is computed once into a column (a
@@ -141,7 +196,8 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
     ecol = F.lit(None).cast("string")
     for ln, (evid, kws, _, _) in CHECK_LANES.items():
         evidence = first if evid == "first" else merged
-        vcol = F.when(lane == ln, F.when(has_results, TK.verdict(F.col(response_col), evidence, kws))
+        vcol = F.when(lane == ln, F.when(has_results, TK.verdict(F.col(response_col), evidence, kws, error,
+                                                                            evid == "first"))
                       .otherwise(_no_results())).otherwise(vcol)
         ecol = F.when(lane == ln, F.when(has_results, evidence).otherwise(F.lit(""))).otherwise(ecol)
     tickets = tickets.withColumn("_verdict", vcol).withColumn("_evidence", ecol)
@@ -149,12 +205,16 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
     for ln, (evid, kws, done_target, default_target) in CHECK_LANES.items():
         v = F.col("_verdict")
         done = v["completed"]
-        # not done: the original actions if any, else the lane default target
-        redo = F.when(has_results, F.when(F.size(orig_targets) > 0, orig_targets)
-                      .otherwise(F.array(F.lit(default_target)))) \
-            .otherwise(F.when(acts_given, orig_targets).otherwise(F.array(F.lit(default_target))))
-        nxt = F.when(done, F.array(F.lit(done_target))).otherwise(redo)
-        out[ln] = (v, F.col("_evidence"), nxt)
+        # not done: the original actions if any, else the lane's own target
+        own = F.array(_action(default_target))
+        redo = F.when(has_results, F.when(F.size(orig) > 0, orig).otherwise(own)).otherwise(
+            F.when(acts_given, orig).otherwise(own))
+        nxt = F.when(done, F.array(_action(done_target, "PUSH_API"))).otherwise(redo)
+        # captions of the lane's result images, and what the dispatch asked of it
+        urls = ri if evid == "merged" else F.slice(ri, 1, 1)
+        shown = F.when(has_results, TK.caption_text(F.coalesce(TK.result_image_urls(urls), F.array().cast("array<string>")),
+                                                    *caption_cols)).otherwise(F.lit(""))
+        out[ln] = (v, F.col("_evidence"), nxt, shown, TK.required_content(orig, default_target))
 
     items = t["checklistInfo"]["handleItems"]
     review = TK.first_match(F.coalesce(items, F.array().cast("array<struct<item:string,result:string>>")),
@@ -179,38 +239,69 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
                   .otherwise(F.lit(NO_CHECKLIST_REASON)), F.lit(None).cast("string"), F.lit(None).cast("string"))
     think = pick(lambda ln: out[ln][0]["think"], F.lit(None).cast("string"), F.lit(None).cast("string"),
                  F.lit(None).cast("string"))
+    none_s, no_actions = F.lit(None).cast("string"), F.array().cast(ACTION_TYPE)
+    shown = pick(lambda ln: out[ln][3], none_s, none_s, none_s)
+    required = pick(lambda ln: out[ln][4], none_s, none_s, none_s)
     nxt = pick(lambda ln: out[ln][2],
-               F.when(sub_done, F.array().cast("array<string>")).when(has_list, orig_targets)
-               .otherwise(F.array().cast("array<string>")),
-               F.array().cast("array<string>"), F.array().cast("array<string>"))
+               F.when(sub_done, no_actions).when(has_list, orig).otherwise(no_actions),
+               no_actions, no_actions)
     evidence = pick(lambda ln: out[ln][1], F.lit(None).cast("string"), F.lit(None).cast("string"),
                     F.lit(None).cast("string"))
     code = F.when(status == "invalid", F.lit(1)).when(status == "pass", F.lit(None).cast("int")) \
         .when(status == "unroutable", F.lit(None).cast("int")).otherwise(F.lit(0))
     out_df = tickets.select("*", lane.alias("lane"), status.alias("status"), completed.alias("completed"),
                             (status == "closed").alias("closed"), reason.alias("reason"), think.alias("think"),
-                            nxt.alias("next_targets"), evidence.alias("evidence"), code.alias("result_code"))
+                            nxt.alias("next_actions"), F.transform(nxt, lambda a: a["target"]).alias("next_targets"),
+                            evidence.alias("evidence"), shown.alias("result_image_description"),
+                            required.alias("required_content"), code.alias("result_code"))
     return out_df.drop("_verdict", "_evidence")
 
 
+def _action(target: str, action: str | None = None) -> Column:
+    return F.struct(F.lit(target).alias("target"), F.lit(None).cast("string").alias("content"),
+                    F.lit(action).cast("string").alias("action"), F.lit(None).cast("int").alias("timeLimit"))
+
+
+def check_result_tickets(checked: DataFrame, ticket_col: str = "ticket") -> DataFrame:
+    """Result ticket per checked event.  Pass-through lanes forward the ticket
+    without a result; an unknown lane or an invalid ticket says why."""
+    why = (F.when(F.col("status") == "unroutable", F.lit("no lane for the dispatch target"))
+           .when(F.col("status") == "invalid", F.lit("ticket lacks required fields")))
+    data = F.struct("completed", F.when(F.col("closed"), F.lit(True)).alias("closed"), "reason", "think",
+                    F.col("result_image_description").alias("handleResultImageDescription"),
+                    F.col("next_actions").alias("actions"), why.alias("error"))
+    return stamped(checked.select(F.col(ticket_col)["eventId"].alias("eventId"), F.col("result_code").alias("processResultCode"),
+                                  F.lit("CheckHandleResult").alias("processActionCode"),
+                                  F.when(F.col("status") != "pass", data).alias("processResultData")))
+
+
+def scene_result_tickets(scenes: DataFrame, ticket_col: str = "ticket") -> DataFrame:
+    """Result ticket per scene check."""
+    t = F.col(ticket_col)
+    data = F.struct(F.col("hint_html").alias("detectedEventType"), F.col("image_description").alias("imageDescription"),
+                    F.col("is_consistent").alias("isConsistency"))
+    return stamped(scenes.select(F.coalesce(t["eventId"], F.lit("")).alias("eventId"),
+                                 F.coalesce(t["processActionCode"], F.lit("")).alias("processActionCode"),
+                                 F.col("result_code").alias("processResultCode"), F.col("result_msg").alias("processResultMsg"),
+                                 data.alias("processResultData")))
+
+
 def scene_consistency(tickets: DataFrame, ticket_col: str = "ticket", captions_col: str = "captions",
                       errors_col: str = "caption_errors", response_col: str = "response") -> DataFrame:
     """Caption text per ticket, yes/no consistency verdict from the model
-    answer, error flag and an HTML hint (template of our own)."""
+    answer, error flag and an HTML hint; an answer of white space is empty."""
     t = F.col(ticket_col)
     urls = F.coalesce(t["processDataParams"]["imageUrls"], F.array().cast("array<string>"))
     desc = TK.caption_text(urls, F.col(captions_col), F.col(errors_col))
     r = F.col(response_col)
-    empty = F.coalesce(F.length(r) == 0, F.lit(True))
+    empty = F.coalesce(F.length(strip(r)) == 0, F.lit(True))
     consistent = F.when(empty, F.lit(False)).otherwise(TK.yes_answer(r))
     reason = F.when(empty, F.lit(SCENE_EMPTY_REASON)).otherwise(r)
     has_error = TK.failed_caption(desc) | empty
     scene = F.coalesce(t["processDataParams"]["sceneType"], F.lit(""))
-    hint = F.concat(F.lit("<p><b>提示：</b>场景 <span style=\"color:blue;\">“"), scene,
-                    F.lit("”</span> <span style=\"color:"),
-                    F.when(consistent, F.lit("green;\">一致")).otherwise(F.lit("red;\">不一致")),
-                    F.lit("</span><br/><b>图片显示：</b>"), desc, F.lit("<br/><b>模型分析：</b>"), reason,
-                    F.lit("</p>"))
+    hint = F.concat(F.lit("<div class=\"scene\"><h4>"), scene, F.lit(" · "),
+                    F.when(consistent, F.lit("match")).otherwise(F.lit("mismatch")), F.lit("</h4><figure>"), desc,
+                    F.lit("</figure><blockquote>"), reason, F.lit("</blockquote></div>"))
     return tickets.select("*", desc.alias("image_description"), consistent.alias("is_consistent"),
                           F.when(empty, F.lit(False)).otherwise(TK.negated_answer(r)).alias("negated"),
                           has_error.alias("has_error"),
@@ -220,107 +311,147 @@ def scene_consistency(tickets: DataFrame, ticket_col: str = "ticket", captions_c
 
 
 # ------------------------------------------------------------ model hooks
-def ask_model(df: DataFrame, fn: Callable[[list[str]], list[str]], prompt_col: str = "prompt",
-              out_col: str = "response", error_col: str = "model_error") -> DataFrame:
-    """Run a user text -> text callable over a prompt column, one Arrow batch
-    at a time (the model is loaded once per partition by the iterator form).
-    A failing batch turns into per-row error values, not a job failure."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType()),
-                                              T.StructField(error_col, T.StringType())])
+def _call(fn: Callable, inputs: list) -> tuple[list, list]:
+    """(outputs, errors) of a batch function: one call for the batch, and if
+    that fails one call a row, so a bad row costs no other its answer."""
+    if not inputs:
+        return [], []
+    try:
+        out = list(fn(inputs))
+        if len(out) == len(inputs):
+            return out, [None] * len(inputs)
+        failure = f"ValueError: {len(out)} results for {len(inputs)} inputs"
+    except Exception as e:  # a model's failure is data here
+        failure = f"{type(e).__name__}: {e}"
+    if len(inputs) == 1:
+        return [None], [failure]
+    rows = [_call(fn, [x]) for x in inputs]
+    return [r[0][0] for r in rows], [r[1][0] for r in rows]
+
+
+def model_hook(df: DataFrame, load: Callable[[], Callable[[list], list]], inputs: Sequence[str], out_col: str,
+               out_type: T.DataType, error_col: str, convert: Callable = lambda x: x) -> DataFrame:
+    """Adds a user model's result per row.  ``load`` runs inside the task,
+    once per partition, and returns the batch function, so a model is never
+    pickled and loads once; it gets one list entry per row (a tuple if there
+    are several inputs).  A row whose call fails has a NULL result and its
+    error in ``error_col``."""
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, out_type), T.StructField(error_col, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fn = load()
         for pdf in batches:
-            prompts = pdf[prompt_col].fillna("").tolist()
-            try:
-                pdf[out_col] = list(fn(prompts))
-                pdf[error_col] = None
-            except Exception as e:  # per-row failure capture
-                pdf[out_col] = None
-                pdf[error_col] = f"{type(e).__name__}: {e}"
+            cols = [pdf[c].tolist() for c in inputs]
+            out, errors = _call(fn, cols[0] if len(cols) == 1 else list(zip(*cols)))
+            pdf[out_col] = pd.Series([None if x is None else convert(x) for x in out], index=pdf.index, dtype=object)
+            pdf[error_col] = pd.Series(errors, index=pdf.index, dtype=object)
             yield pdf
 
     return df.mapInPandas(run, schema)
 
 
-def attach_responses(requests: DataFrame, responses: DataFrame, key: str = "prompt_id") -> DataFrame:
-    """Precomputed answers joined on their prompt id (left join: a missing
-    answer stays NULL and is handled by the parsers' fallbacks)."""
-    return requests.join(responses, key, "left")
+def ask_model(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], prompt_col: str = "prompt",
+              out_col: str = "response", error_col: str = "model_error") -> DataFrame:
+    """Prompt -> answer by a user model (see ``model_hook``)."""
+    return model_hook(df.withColumn(prompt_col, F.coalesce(prompt_col, F.lit(""))), load, [prompt_col], out_col,
+                      T.StringType(), error_col)
 
 
-def describe_images(images: DataFrame, fn: Callable[[list[bytes]], list[str]], content_col: str = "content",
-                    out_col: str = "caption", error_col: str = "caption_error") -> DataFrame:
-    """Image -> text hook over a ``binaryFile`` table (one call per Arrow
-    batch).  Failures become per-row ``caption_error`` values, which the
-    caption merger renders as ``[image_<i>: 图片处理失败: <error>]``."""
-    schema = T.StructType(images.schema.fields + [T.StructField(out_col, T.StringType()),
-                                                  T.StructField(error_col, T.StringType())])
+def ask_model_list(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], prompts_col: str = "prompts",
+                   out_col: str = "responses", error_col: str = "model_errors") -> DataFrame:
+    """Array of prompts -> array of answers per row, and the errors in the
+    same places: a ticket keeps its row while each of its actions is asked."""
+    texts = T.ArrayType(T.StringType())
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, texts), T.StructField(error_col, texts)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fn = load()
         for pdf in batches:
-            caps, errs = [], []
-            for b in pdf[content_col]:
-                try:
-                    caps.append(fn([bytes(b)])[0])
-                    errs.append(None)
-                except Exception as e:  # per-image failure capture
-                    caps.append(None)
-                    errs.append(str(e))
-            pdf[out_col], pdf[error_col] = caps, errs
+            lists = [[] if x is None else ["" if p is None else p for p in x] for x in pdf[prompts_col]]
+            out, errors = _call(fn, [p for x in lists for p in x])
+            ends = [0, *itertools.accumulate(len(x) for x in lists)]
+            for name, flat in ((out_col, out), (error_col, errors)):
+                pdf[name] = pd.Series([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], index=pdf.index, dtype=object)
             yield pdf
 
-    return images.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema)
+
 
+def describe_images(images: DataFrame, load: Callable[[], Callable[[list[bytes]], list[str]]], content_col: str = "content",
+                    out_col: str = "caption", error_col: str = "caption_error") -> DataFrame:
+    """Image bytes -> caption by a user model over a ``binaryFile`` table;
+    the caption merger renders errors as ``[image_<i>: 图片处理失败: <error>]``."""
+    return model_hook(images, load, [content_col], out_col, T.StringType(), error_col)
 
-def score_pairs(pairs: DataFrame, fn: Callable[[list[str], list[str]], list[float]], query_col: str = "query",
-                text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """(query, text) -> relevance score hook for reranking, batched."""
-    schema = T.StructType(pairs.schema.fields + [T.StructField(out_col, T.DoubleType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf[out_col] = [float(x) for x in fn(pdf[query_col].fillna("").tolist(), pdf[text_col].fillna("").tolist())]
-            yield pdf
+def score_pairs(pairs: DataFrame, load: Callable[[], Callable[[list[tuple[str, str]]], list[float]]],
+                query_col: str = "query", text_col: str = "text", out_col: str = "score",
+                error_col: str = "score_error") -> DataFrame:
+    """(query, text) -> relevance score by a user model, for reranking."""
+    return model_hook(pairs, load, [query_col, text_col], out_col, T.DoubleType(), error_col, float)
+
 
-    return pairs.mapInPandas(run, schema)
-
-
-def stamped(df: DataFrame, start_col: str = "processStartAt", end_col: str = "processStartEnd") -> DataFrame:
-    """Processing stamps in ISO form.  Both come from the query's start time
-    (one value per query, the same on every row), so re-running a failed
-    task does not change them."""
-    ts = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-    return df.withColumn(start_col, ts).withColumn(end_col, ts)
-
-
-def dispatch_result_tickets(actions: DataFrame, summary_col: str = "summary") -> DataFrame:
-    """Result ticket per dispatched event, as the nested JSON the reference
-    emits: error tickets for invalid/unroutable events, a single forwarded
-    action for one-action lanes, an action list plus summary for lanes that
-    keep think text.  Actions are regrouped per event (at most the lane's
-    action count per group), ordered by position."""
-    act = F.struct(F.col("target"), F.col("content"), F.col("action"), F.col("time_limit").alias("timeLimit"),
-                   F.col("think"))
-    per = actions.groupBy("eventId", "lane", "route_status", "error", "processActionCode").agg(
-        F.array_sort(F.collect_list(F.when(F.col("action_pos").isNotNull(),
-                                           F.struct(F.col("action_pos"), act.alias("a"))))).alias("_acts"),
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("action_pos").isNotNull(),
-                                                        F.struct("action_pos", "summary_line")))
-                                  ).getField("summary_line"), "\n").alias(summary_col))
-    acts = F.transform("_acts", lambda x: x["a"])
-    single = F.element_at(acts, 1)
-    multi = F.col("lane").isin(*NAMED_TARGET_LANES)
-    none_s = F.lit(None).cast("string")
-    none_a = F.lit(None).cast("array<struct<target:string,content:string,action:string,timeLimit:int,think:string>>")
-
-    def data_struct(error, target, content, action, actions, summary):
-        return F.struct(error.alias("error"), target.alias("target"), content.alias("content"),
-                        action.alias("action"), actions.alias("actions"), summary.alias("summary"))
-
-    data = (F.when(F.col("error").isNotNull(), data_struct(F.col("error"), none_s, none_s, none_s, none_a, none_s))
-            .when(multi, data_struct(none_s, none_s, none_s, none_s, acts, F.col(summary_col)))
-            .when(F.col("lane").isNotNull(), data_struct(none_s, single["target"], single["content"],
-                                                         single["action"], none_a, none_s)))
-    code = F.when(F.col("error").isNotNull(), F.lit(1)).when(multi, F.lit(0))
-    out = per.select("eventId", code.alias("processResultCode"), "processActionCode", data.alias("processResultData"))
-    return stamped(out)
+def stamped(df: DataFrame, start: Column | None = None, end: Column | None = None, start_col: str = "processStartAt",
+            end_col: str = "processStartEnd") -> DataFrame:
+    """Processing stamps in ISO form: the given timestamp columns (the model
+    call's begin and end, say), else the query's start, one value on every
+    row, so re-running a failed task does not change them."""
+    def iso(c: Column | None) -> Column:
+        return F.date_format(F.current_timestamp() if c is None else c, "yyyy-MM-dd'T'HH:mm:ss")
+
+    return df.withColumn(start_col, iso(start)).withColumn(end_col, iso(end if end is not None else start))
+
+
+def dispatch_result_tickets(tickets: DataFrame, ticket_col: str = "ticket", responses_col: str = "responses",
+                            contexts_col: str | None = None) -> DataFrame:
+    """Result ticket per dispatch ticket row: an error for invalid and
+    unroutable tickets, a single forwarded action for one-action lanes, an
+    action list with citations plus summary lines for lanes that keep think
+    text.  ``responses_col`` holds the model's answers in the order of the
+    lane's actions; ``contexts_col``, if given, structs with ``citations``.
+
+    The actions are an array on the ticket row: nothing is exploded or
+    regrouped, so two tickets of one event stay two."""
+    t = F.col(ticket_col)
+    missing, route = TK.dispatch_missing(t), TK.dispatch_route(t)
+    base = tickets.select(t.alias("_t"), F.col(responses_col).alias("_r"),
+                          (F.col(contexts_col) if contexts_col else F.lit(None)).alias("_x"),
+                          TK.dispatch_error(missing).alias("_bad"), route["lane"].alias("_lane"),
+                          route["route_status"].alias("_status"))
+    ok = F.col("_bad").isNull() & (F.col("_status") == "routed")
+    asked = F.when(ok, F.try_element_at(_lane_actions(), F.col("_lane")))
+
+    def told(a: Column) -> Column:
+        said = F.try_element_at(F.col("_r"), a["pos"] + 1)
+        reason = TK.sections(TK.answer_after_think(F.coalesce(said, F.lit(""))))["reason"]
+        cited = F.try_element_at(F.col("_x"), a["pos"] + 1)["citations"] if contexts_col else F.lit(None)
+        return F.struct(a["target"].alias("target"), reason.alias("content"), a["action"].alias("action"),
+                        a["timeLimit"].alias("timeLimit"), F.when(a["keepThink"], TK.think_before(said)).alias("think"),
+                        F.when(a["keepThink"], cited).cast("array<string>").alias("citations"))
+
+    acts = base.withColumn("_acts", F.transform(asked, told))
+    multi = F.col("_lane").isin(*NAMED_TARGET_LANES) & ok
+    one = F.when(ok & ~multi, F.try_element_at("_acts", F.lit(1)))
+    summary = F.array_join(F.transform("_acts", lambda a: TK.summary_line(a["target"], a["content"], a["timeLimit"])), "\n")
+    error = F.coalesce(F.col("_bad"), F.when(F.col("_status") != "routed", F.concat(F.lit("no lane: "), F.col("_status"))))
+    data = F.struct(error.alias("error"), one["target"].alias("target"), one["content"].alias("content"),
+                    one["action"].alias("action"), F.when(multi, F.col("_acts")).alias("actions"),
+                    F.when(multi, summary).alias("summary"))
+    code = F.when(error.isNotNull(), F.lit(1)).when(multi, F.lit(0))
+    return stamped(acts.select(F.col("_t.eventId").alias("eventId"), code.alias("processResultCode"),
+                               F.col("_t.processActionCode").alias("processActionCode"), data.alias("processResultData")))
+
+
+def retrieve_rules(requests: DataFrame, chunks: DataFrame, embed: Callable[[DataFrame, str], DataFrame], k: int = 10,
+                   query_col: str = "query") -> DataFrame:
+    """Rule context of dispatch requests: each distinct query text is embedded
+    (``embed(df, text_col)`` adds ``embedding``), the ``k`` nearest chunks
+    (doc_id, text, source, embedding) are joined in rank order, and their
+    distinct sources cited.  Adds ``law_context`` and ``citations``; requests
+    without a query have neither."""
+    asked = requests.select(F.col(query_col).alias("_q")).filter("_q is not null").distinct().withColumn(
+        "query_id", F.xxhash64("_q"))
+    hits = R.knn(embed(asked, "_q"), chunks, k, corpus_id="doc_id")
+    found = R.assemble_context(hits, chunks).join(asked, "query_id").select(
+        F.col("_q"), F.col("context").alias("law_context"), "citations")
+    return requests.join(found, requests[query_col] == F.col("_q"), "left").drop("_q")

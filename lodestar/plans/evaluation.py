@@ -188,6 +188,21 @@ def detections_align(spark, d):
     return EV.align(truth, preds)
 
 
+@register("detections_rejects", f"""WITH {_FILES_SQL}
+SELECT stem, 'unknown class' AS reason, cls_name FROM p6
+WHERE length(cls_name) > 0 AND cls_name NOT IN (SELECT class_name FROM vocab2)
+UNION ALL SELECT stem, 'no JSON', NULL FROM p2 WHERE js IS NULL""")
+def detections_rejects(spark, d):
+    return EV.parse_predictions(EV.latest_by_stem(_files(spark, d)[1]))[1]
+
+
+@register("detections_missing", f"""WITH {_FILES_SQL}
+SELECT stem, 'prediction' AS lacks FROM truthf WHERE stem NOT IN (SELECT stem FROM predf)
+UNION ALL SELECT stem, 'label' FROM predf WHERE stem NOT IN (SELECT stem FROM truthf)""")
+def detections_missing(spark, d):
+    return EV.missing_files(*_files(spark, d))
+
+
 # ---------------------------------------------------------------- detection mAP
 # Boxes composed from line items: truth box per line item, a jittered
 # prediction with a score, sometimes with the neighbouring class.

@@ -19,10 +19,26 @@ def csv_roundtrip(spark, d):
     input path does not exist and is skipped (optional sources)."""
     root = shared_dir(spark, "csv-roundtrip")
     FS.write_csv(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"), root + "/conv")
-    back = FS.read_optional_csv(spark, [root + "/conv", root + "/missing"], _CONV_SCHEMA)
+    back = FS.read_optional_csv(spark, [root + "/conv", root + "/missing"], _CONV_SCHEMA, multi_line=True)
     return back
 
 
+@register("csv_by_name", """
+SELECT c_custkey AS subject_id, c_mktsegment AS icd_code FROM customer
+UNION ALL SELECT o_custkey, o_orderpriority FROM orders""")
+def csv_by_name(spark, d):
+    """Two header files whose columns differ in number and order, and one that
+    does not exist: the declared columns are found by name."""
+    root = shared_dir(spark, "csv-by-name")
+    FS.write_csv(table(spark, d, "customer").select(
+        F.col("c_custkey").alias("subject_id"), F.col("c_acctbal").alias("hadm_id"), F.col("c_name").alias("seq_num"),
+        F.col("c_mktsegment").alias("icd_code")), root + "/wide")
+    FS.write_csv(table(spark, d, "orders").select(
+        F.col("o_orderpriority").alias("icd_code"), F.col("o_custkey").alias("subject_id")), root + "/turned")
+    return FS.read_optional_csv(spark, [root + "/wide", root + "/turned", root + "/missing"],
+                                "subject_id long, icd_code string")
+
+
 @register("document_scan", """
 SELECT source AS src, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars
 FROM documents GROUP BY source""")
@@ -40,10 +56,8 @@ def document_scan(spark, d):
 @register("image_data_url", """
 SELECT item_id, 'data:image/jpeg;base64,' || to_base64(encode(text || chr(10))) AS data_url FROM benchmark""")
 def image_data_url(spark, d):
-    """Binary files (one per benchmark item) read with the binaryFile source
-    and encoded as base64 data URLs JVM-side."""
-    root = shared_dir(spark, "image-data-url")
-    table(spark, d, "benchmark").select("item_id", "text").write.mode("overwrite") \
-        .partitionBy("item_id").text(root + "/files")
-    imgs = FS.image_data_url(FS.read_images(spark, root + "/files"))
-    return imgs.select(F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("long").alias("item_id"), "data_url")
+    """Binary content encoded as base64 data URLs JVM-side (the file reader
+    itself is unit-tested on a small folder)."""
+    bytes_ = table(spark, d, "benchmark").select(
+        "item_id", F.encode(F.concat("text", F.lit("\n")), "UTF-8").alias("content"))
+    return FS.image_data_url(bytes_).select("item_id", "data_url")

@@ -43,13 +43,16 @@ def power_two_prop(spark, d):
 
 
 @register("power_k_prop", _RATES_SQL + f""",
-m AS (SELECT *, avg(p) OVER (PARTITION BY stratum) AS m FROM r),
-a AS (SELECT stratum, CAST(count(*) AS BIGINT) AS k, sqrt(sum((p - m) ** 2 / m)) AS effect_w FROM m GROUP BY 1),
+r2 AS (SELECT stratum, arm, p FROM r UNION ALL SELECT 'none of ' || stratum, arm, 0.0 FROM r),
+m AS (SELECT *, avg(p) OVER (PARTITION BY stratum) AS m FROM r2),
+a AS (SELECT stratum, CAST(count(*) AS BIGINT) AS k, sqrt(sum((p - m) ** 2 / nullif(m, 0.0))) AS effect_w FROM m GROUP BY 1),
 n AS (SELECT *, {_NC1} / nullif(effect_w ** 2, 0.0) AS n_total FROM a)
 SELECT stratum, k, round(effect_w, 6) AS effect_w, round(n_total, 4) AS n_total,
        CAST(ceil(n_total / k) AS BIGINT) AS n_per_group FROM n""")
 def power_k_prop(spark, d):
-    out = P.k_proportion(_rates(spark, d), "stratum")
+    rates = _rates(spark, d).select("stratum", "arm", "p")  # and strata in which nobody had success
+    none = rates.select(F.concat(F.lit("none of "), "stratum").alias("stratum"), "arm", F.lit(0.0).alias("p"))
+    out = P.k_proportion(rates.unionByName(none), "stratum")
     return out.select("stratum", "k", _r("effect_w"), _r("n_total", 4), "n_per_group")
 
 

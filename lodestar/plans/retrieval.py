@@ -73,7 +73,7 @@ SHIFT = 1_000_000_000
 
 
 @register("knn_ties", "WITH " + _PAIRS_SQL.split(",\nranked")[0] + f""",
-copies AS (SELECT query_id, neighbor_id + j * {SHIFT} AS neighbor_id, distance
+copies AS (SELECT query_id, neighbor_id + j * CAST({SHIFT} AS BIGINT) AS neighbor_id, distance
            FROM (SELECT query_id, neighbor_id, distance FROM pairs
                  UNION ALL SELECT vec_id, vec_id, 0.0 FROM embeddings) CROSS JOIN range(0, 21) t(j)),
 near AS (SELECT query_id, neighbor_id, distance,
@@ -83,7 +83,8 @@ SELECT query_id, rank, neighbor_id, round(distance, 6) AS distance FROM near WHE
 def knn_ties(spark, d):
     """Every vector stands 21 times in the corpus: ties on the id decide."""
     e = table(spark, d, "embeddings")
-    corpus = e.select((F.col("vec_id") + F.explode(F.sequence(F.lit(0), F.lit(20))) * SHIFT).alias("id"), "embedding")
+    corpus = e.select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("j")).select(
+        (F.col("vec_id") + F.col("j") * F.lit(SHIFT).cast("long")).alias("id"), "embedding")
     hits = R.knn(e.select(F.col("vec_id").alias("query_id"), "embedding"), corpus, K_SEARCH, exclude_self=True)
     return hits.withColumn("distance", F.round("distance", 6))
 

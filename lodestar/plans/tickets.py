@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import tickets as TK
 from ..operators import tickets as OT
+from ..sources import tickets as TS
 from ..sources.tables import table
-from .registry import register
+from .registry import ORACLE, register
 
 _NAMES = list(TK.LANES)  # trigger names in lane order
 
@@ -101,7 +102,7 @@ _VERDICT_SQL = (f"CASE event_id % 7 "
                 "ELSE '{\"completed\": false, \"reason\": \"未完成\"}' END")
 _EVIDENCE_SQL = f"CASE k % 3 WHEN 0 THEN '已完成清洗' WHEN 1 THEN '等待处理' ELSE '无' END"
 _SCENE_RESP_SQL = (f"CASE event_id % 5 WHEN 0 THEN '<think>对比</think>' || {_NL} || '是，图片与场景一致。' "
-                   "WHEN 1 THEN '否，图片显示的是道路。' WHEN 2 THEN '不是的，场景不符。' WHEN 3 THEN '' "
+                   "WHEN 1 THEN '否，图片显示的是道路。' WHEN 2 THEN '不是的，场景不符。' WHEN 3 THEN CASE WHEN event_id % 2 = 0 THEN '' ELSE '  ' || chr(10) END "
                    "ELSE '  结论：是' END")
 
 _BASE_SQL = "base AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _BASE_COLS) + " FROM events)"
@@ -238,13 +239,15 @@ def _contains_any_sql(x: str, words) -> str:
     return "(" + " OR ".join(f"coalesce(contains({x}, '{w}'), false)" for w in words) + ")"
 
 
-def _verdict_sql(src: str, keys: str, resp: str, evidence: str, kws, p: str = "v") -> str:
+def _verdict_sql(src: str, keys: str, resp: str, evidence: str, kws, p: str = "v",
+                 err: str = "CAST(NULL AS VARCHAR)", quote: bool = False) -> str:
+    told = "chr(39) || coalesce(evid, '') || chr(39)" if quote else "''"
     says = lambda d: f"CASE WHEN {d} THEN '{TK.DONE_TEXT}' ELSE '{TK.NOT_DONE_TEXT}' END"
     return f"""
-{p}0 AS (SELECT {keys}, {resp} AS resp, {evidence} AS evid FROM {src}),
+{p}0 AS (SELECT {keys}, {resp} AS resp, {evidence} AS evid, {err} AS err FROM {src}),
 {p}1 AS (SELECT *, {_strip("regexp_extract(resp, '(?s)<think>(.*?)</think>', 1)")} AS think,
               {_strip("regexp_replace(resp, '(?s)<think>.*?</think>', '', 'g')")} AS content FROM {p}0),
-{p}2 AS (SELECT *, regexp_extract(content, '(?s)(\\{{.*\\}})', 1) AS js FROM {p}1),
+{p}2 AS (SELECT *, (err IS NOT NULL OR resp IS NULL) AS failed, regexp_extract(content, '(?s)(\\{{.*\\}})', 1) AS js FROM {p}1),
 {p}3 AS (SELECT *, js = '' AS no_json,
          CASE WHEN json_valid('[' || js || ']') THEN json_array_length('[' || js || ']') = 1
               AND starts_with({_strip('js')}, '{{') ELSE false END AS ok,
@@ -255,30 +258,39 @@ def _verdict_sql(src: str, keys: str, resp: str, evidence: str, kws, p: str = "v
                  CASE WHEN ok THEN coalesce(json_extract_string(js, '$.reason'), '{TK.DEFAULT_REASON}') END AS j_reason
        FROM {p}3),
 {p}verdict AS (SELECT {keys},
-  CASE WHEN no_json THEN kw_done WHEN ok THEN j_completed ELSE ev_done END AS completed,
-  CASE WHEN no_json THEN '{TK.ANALYSIS_PREFIX}' || {says('kw_done')} WHEN ok THEN j_reason
+  CASE WHEN failed THEN ev_done WHEN no_json THEN kw_done WHEN ok THEN j_completed ELSE ev_done END AS completed,
+  CASE WHEN failed THEN '{TK.CALL_FAIL_PREFIX}' || coalesce(err, '') || '{TK.CALL_FAIL_MIDDLE}' || {says('ev_done')}
+       WHEN no_json THEN '{TK.ANALYSIS_PREFIX}' || {says('kw_done')} WHEN ok THEN j_reason
        ELSE '{TK.JSON_FAIL_PREFIX}' || {says('ev_done')} END AS reason,
-  CASE WHEN no_json THEN CASE WHEN length(think) > 0 THEN think ELSE substr(content, 1, 200) || '...' END
+  CASE WHEN failed THEN '{TK.CALL_FAIL_THINK}' || {told} || '{TK.CALL_FAIL_THINK_END}'
+       WHEN no_json THEN CASE WHEN length(think) > 0 THEN think ELSE substr(content, 1, 200) || '...' END
        WHEN ok THEN CASE WHEN length(think) > 0 THEN think ELSE j_reason END
        ELSE '{TK.JSON_FAIL_THINK}' END AS think,
-  CASE WHEN no_json THEN 'no_json' WHEN ok THEN 'json' ELSE 'bad_json' END AS parse_status
+  CASE WHEN failed THEN 'call_failed' WHEN no_json THEN 'no_json' WHEN ok THEN 'json' ELSE 'bad_json' END AS parse_status
 FROM {p}4)"""
 
 
 _CONSTRUCTION_KW = OT.CHECK_LANES["construction_site"][1]
 
 
-@register("response_verdict", f"WITH {_BASE_SQL}, {_verdict_sql('base', 'eventId', _VERDICT_SQL, _EVIDENCE_SQL, _CONSTRUCTION_KW)}"
+# failed calls: every 13th has no answer and no error, the next one an error
+_CALL_SQL = f"CASE WHEN event_id % 13 < 2 THEN NULL ELSE {_VERDICT_SQL} END"
+_CALL_ERROR_SQL = "CASE WHEN event_id % 13 = 1 THEN 'TimeoutError: late' END"
+
+
+@register("response_verdict", f"WITH {_BASE_SQL}, {_verdict_sql('base', 'eventId', _CALL_SQL, _EVIDENCE_SQL, _CONSTRUCTION_KW, 'v', _CALL_ERROR_SQL, True)}"
           " SELECT eventId, completed, reason, think, parse_status FROM vverdict")
 def response_verdict(spark, d):
-    b = _base(spark, d).select("eventId", F.expr(_VERDICT_SQL).alias("resp"), F.expr(_EVIDENCE_SQL).alias("evid"))
-    v = TK.verdict("resp", "evid", _CONSTRUCTION_KW)
+    b = _base(spark, d).select("eventId", F.expr(_CALL_SQL).alias("resp"), F.expr(_CALL_ERROR_SQL).alias("err"),
+                               F.expr(_EVIDENCE_SQL).alias("evid"))
+    v = TK.verdict("resp", "evid", _CONSTRUCTION_KW, "err", quote_evidence=True)
     return b.select("eventId", *[v[c].alias(c) for c in ("completed", "reason", "think", "parse_status")])
 
 
 # ---------------------------------------------------------------- scene consistency
 def _img_part_sql(i: int) -> str:
-    return (f"CASE WHEN cap{i} IS NOT NULL THEN '[' || substr(split_part(string_split(url{i}, '/')[-1], '?', 1), 1, 12)"
+    # every 8th ticket's caption list is one shorter than its images
+    return (f"CASE WHEN cap{i} IS NOT NULL AND NOT (event_id % 8 = 0 AND n_img = {i + 1}) THEN '[' || substr(split_part(string_split(url{i}, '/')[-1], '?', 1), 1, 12)"
             f" || ': ' || {_strip(f'cap{i}')} || ']' ELSE '[image_{i + 1}: {TK.CAPTION_FAILURE}: ' || "
             f"coalesce(err{i}, '') || ']' END")
 
@@ -287,7 +299,7 @@ def _img_part_sql(i: int) -> str:
 s0 AS (SELECT eventId, event_type, {_SCENE_RESP_SQL} AS resp,
               CASE n_img WHEN 0 THEN '' WHEN 1 THEN {_img_part_sql(0)}
                    ELSE {_img_part_sql(0)} || ' ' || {_img_part_sql(1)} END AS image_description FROM base),
-s1 AS (SELECT *, (resp IS NULL OR resp = '') AS empty, substr({_after_think_sql('resp')}, 1, 5) AS head5 FROM s0),
+s1 AS (SELECT *, (resp IS NULL OR {_strip('resp')} = '') AS empty, substr({_after_think_sql('resp')}, 1, 5) AS head5 FROM s0),
 s2 AS (SELECT *, CASE WHEN empty THEN false ELSE coalesce(contains(head5, '是'), false) END AS is_consistent,
               CASE WHEN empty THEN false ELSE coalesce(contains(head5, '不是'), false) END AS negated,
               contains(' ' || image_description, ' {TK.CAPTION_FAILURE}') OR empty AS has_error,
@@ -295,17 +307,34 @@ s2 AS (SELECT *, CASE WHEN empty THEN false ELSE coalesce(contains(head5, '是')
 SELECT eventId, image_description, is_consistent, negated, has_error,
   CASE WHEN has_error THEN '1' ELSE '0' END AS result_code,
   CASE WHEN is_consistent THEN '{OT.SCENE_OK_MSG}' ELSE '{OT.SCENE_BAD_MSG}' END AS result_msg,
-  '<p><b>提示：</b>场景 <span style="color:blue;">“' || coalesce(event_type, '') || '”</span> <span style="color:'
-  || CASE WHEN is_consistent THEN 'green;">一致' ELSE 'red;">不一致' END || '</span><br/><b>图片显示：</b>'
-  || image_description || '<br/><b>模型分析：</b>' || reason || '</p>' AS hint_html
+  '<div class="scene"><h4>' || coalesce(event_type, '') || ' · ' || CASE WHEN is_consistent THEN 'match' ELSE 'mismatch' END
+  || '</h4><figure>' || image_description || '</figure><blockquote>' || reason || '</blockquote></div>' AS hint_html
 FROM s2""")
 def scene_consistency(spark, d):
-    t = _tickets(spark, d).select("eventId", "ticket",
-                                  F.expr("slice(array(cap0, cap1), 1, n_img)").alias("captions"),
-                                  F.expr("slice(array(err0, err1), 1, n_img)").alias("caption_errors"),
-                                  F.expr(_SCENE_RESP_SQL).alias("response"))
-    return OT.scene_consistency(t).select("eventId", "image_description", "is_consistent", "negated", "has_error",
-                                          "result_code", "result_msg", "hint_html")
+    return OT.scene_consistency(_scenes(spark, d)).select(
+        "eventId", "image_description", "is_consistent", "negated", "has_error", "result_code", "result_msg", "hint_html")
+
+
+def _scenes(spark, d):
+    return _tickets(spark, d).select(
+        "eventId", "ticket",
+        F.expr("slice(array(cap0, cap1), 1, CASE WHEN event_id % 8 = 0 THEN greatest(n_img - 1, 0) ELSE n_img END)")
+        .alias("captions"),
+        F.expr("slice(array(err0, err1), 1, n_img)").alias("caption_errors"), F.expr(_SCENE_RESP_SQL).alias("response"))
+
+
+@register("scene_result_ticket", f"""SELECT eventId, 'EventHandlerLookup' AS action_code, result_code, result_msg,
+  hint_html AS detected, image_description, is_consistent FROM ({ORACLE["scene_consistency"]})""")
+def scene_result_ticket(spark, d):
+    """Result tickets of the scene check, their fields read back from JSON."""
+    res = OT.scene_result_tickets(OT.scene_consistency(_scenes(spark, d)))
+    v = F.parse_json(F.to_json(F.struct(*res.columns)))
+    paths = {"eventId": "eventId", "action_code": "processActionCode", "result_code": "processResultCode",
+             "result_msg": "processResultMsg", "detected": "processResultData.detectedEventType",
+             "image_description": "processResultData.imageDescription"}
+    return res.select(v.alias("v")).select(
+        *[F.variant_get("v", f"$.{p}", "string").alias(c) for c, p in paths.items()],
+        F.variant_get("v", "$.processResultData.isConsistency", "boolean").alias("is_consistent"))
 
 
 # ---------------------------------------------------------------- dispatch actions
@@ -320,13 +349,12 @@ def _lanes_values_sql() -> str:
 
 
 _NAMED_SQL = ", ".join(f"'{x}'" for x in sorted(OT.NAMED_TARGET_LANES))
-_PROMPT_SQL = ("concat_ws(chr(10), '【工单信息】', '事件描述: ' || coalesce(description, ''), "
-               "'图片描述: ' || coalesce(imageDescription, ''), '上报位置: ' || coalesce(reportLocation, ''), "
-               "'上报人所属单位: ' || coalesce(sourceEntity, ''), '【法规内容】', '', "
-               f"CASE WHEN lane IN ({_NAMED_SQL}) THEN '请为' || target || '制定处理方案。' "
-               "ELSE '请判断责任主体并说明应执行的操作。' END, '回答格式：', "
-               f"CASE WHEN lane IN ({_NAMED_SQL}) THEN '1. 责任主体：' || target ELSE '1. 责任主体：' END, "
-               "'2. 决策理由（包括参考的法规）：', '3. 应执行的具体操作：')")
+_PROMPT_SQL = (f"concat_ws(chr(10), 'Rules: ', 'A report' || CASE WHEN {_falsy('rq.reportLocation')} THEN '' "
+               "ELSE ' from ' || rq.reportLocation END || "
+               f"CASE WHEN {_falsy('rq.sourceEntity')} THEN '' ELSE ' by ' || rq.sourceEntity END || ' says: ' || "
+               "coalesce(rq.description, '') || ' | photo: ' || coalesce(rq.imageDescription, ''), "
+               "'Answer in Chinese under these two headers and nothing else:', "
+               f"'1. 责任主体：' || CASE WHEN rq.lane IN ({_NAMED_SQL}) THEN rq.target ELSE '?' END, '2. 决策理由：')")
 
 
 @register("ticket_dispatch_actions", f"""WITH {_BASE_SQL}, {_ROUTE_SQL}, {_lanes_values_sql()},
@@ -343,7 +371,7 @@ SELECT rq.eventId, rq.lane, rq.route_status,
   rq.action_pos, rq.target, rq.action, rq.time_limit,
   CASE WHEN rq.action_pos IS NOT NULL THEN coalesce(rq.description, '') || chr(10) || coalesce(rq.imageDescription, '')
        || rq.suffix END AS query,
-  CASE WHEN rq.action_pos IS NOT NULL THEN {_PROMPT_SQL.replace('description', 'rq.description').replace('imageDescription', 'rq.imageDescription').replace('reportLocation', 'rq.reportLocation').replace('sourceEntity', 'rq.sourceEntity').replace('lane IN', 'rq.lane IN').replace('|| target', '|| rq.target')} END AS prompt,
+  CASE WHEN rq.action_pos IS NOT NULL THEN {_PROMPT_SQL} END AS prompt,
   sec.reason AS content,
   CASE WHEN rq.keep_think THEN CASE WHEN contains(rq.resp, '</think>') THEN string_split(rq.resp, '</think>')[1]
        ELSE '' END END AS think,
@@ -376,10 +404,20 @@ def _next_sql(v: str, lane: str) -> str:
             f"THEN orig ELSE '{default_t}' END WHEN acts_given THEN orig ELSE '{default_t}' END")
 
 
-@register("ticket_check_result", f"""WITH {_BASE_SQL},
+_NO_TARGET = "|||"
+
+
+def _next_actions_sql(v: str, lane: str) -> str:
+    _, _, done_t, default_t = OT.CHECK_LANES[lane]
+    return (f"CASE WHEN {v}.completed AND has_results THEN '{done_t}||PUSH_API|' WHEN has_results THEN CASE WHEN orig_s <> '' "
+            f"THEN orig_s ELSE '{default_t}{_NO_TARGET}' END WHEN acts_given THEN orig_s ELSE '{default_t}{_NO_TARGET}' END")
+
+
+_CHECK_SQL = f"""WITH {_BASE_SQL},
 c1 AS (SELECT eventId, {_lane_key('checkTarget')} AS lane, n_res > 0 AS has_results,
          CASE WHEN n_res >= 1 THEN res0 ELSE '' END AS first_res, {_MERGED_SQL} AS merged,
-         CASE act_kind WHEN 2 THEN act_target ELSE '' END AS orig, act_kind <> 0 AS acts_given,
+         CASE act_kind WHEN 2 THEN act_target ELSE '' END AS orig, n_res, act_kind, act_target,
+         CASE act_kind WHEN 2 THEN act_target || '|整改|PUSH_API|60' ELSE '' END AS orig_s, act_kind <> 0 AS acts_given,
          list_kind <> 0 AS has_list,
          list_kind <> 0 AND (CASE list_kind WHEN 1 THEN review1 ELSE review2 END) = '已完成' AS sub_done,
          NOT ({_falsy('description')} OR {_falsy('imageDescription')} OR {_falsy('checkTarget')} OR n_res = 0
@@ -389,13 +427,17 @@ c1 AS (SELECT eventId, {_lane_key('checkTarget')} AS lane, n_res > 0 AS has_resu
 {_verdict_sql('c1', 'eventId', 'resp', 'merged', _CH_KW, 'b')},
 j AS (SELECT c1.*, a.completed AS a_completed, a.reason AS a_reason, a.think AS a_think,
              b.completed AS b_completed, b.reason AS b_reason, b.think AS b_think,
-             {_next_sql('a', 'construction_site')} AS a_next, {_next_sql('b', 'city_housekeeper')} AS b_next
+             {_next_sql('a', 'construction_site')} AS a_next, {_next_sql('b', 'city_housekeeper')} AS b_next,
+             {_next_actions_sql('a', 'construction_site')} AS a_acts, {_next_actions_sql('b', 'city_housekeeper')} AS b_acts
       FROM c1 JOIN averdict a ON a.eventId = c1.eventId JOIN bverdict b ON b.eventId = c1.eventId),
 s AS (SELECT *, CASE WHEN lane IS NULL THEN 'unroutable' WHEN lane IN ('construction_site', 'city_housekeeper')
                      THEN 'checked' WHEN lane = 'subdistrict_office' THEN CASE WHEN sub_done THEN 'closed'
                      WHEN has_list THEN 'redispatch' ELSE 'pending' END WHEN valid THEN 'pass' ELSE 'invalid' END
                 AS status FROM j)
-SELECT eventId, lane, status,
+SELECT eventId, lane, status, n_res, act_kind, act_target,
+  coalesce(CASE lane WHEN 'construction_site' THEN a_acts WHEN 'city_housekeeper' THEN b_acts
+            WHEN 'subdistrict_office' THEN CASE WHEN sub_done THEN '' WHEN has_list THEN orig_s ELSE '' END END, '')
+    AS next_actions,
   CASE lane WHEN 'construction_site' THEN CASE WHEN has_results THEN a_completed ELSE false END
             WHEN 'city_housekeeper' THEN CASE WHEN has_results THEN b_completed ELSE false END
             WHEN 'subdistrict_office' THEN sub_done END AS completed,
@@ -413,16 +455,62 @@ SELECT eventId, lane, status,
   CASE lane WHEN 'construction_site' THEN CASE WHEN has_results THEN first_res ELSE '' END
             WHEN 'city_housekeeper' THEN CASE WHEN has_results THEN merged ELSE '' END END AS evidence,
   CASE WHEN status = 'invalid' THEN 1 WHEN status IN ('pass', 'unroutable') THEN NULL ELSE 0 END AS result_code
-FROM s""")
+FROM s"""
+
+
+def _checked(spark, d):
+    shown = [F.array(*[F.lit(x).cast("string") for x in xs]) for xs in (("清洁", None, "路面"), (None, "late", None))]
+    t = _tickets(spark, d).select("eventId", F.col("check_ticket").alias("ticket"), F.expr(_VERDICT_SQL).alias("response"),
+                                  shown[0].alias("result_captions"), shown[1].alias("result_caption_errors"))
+    return OT.check_results(t)
+
+
+@register("ticket_check_result", "SELECT eventId, lane, status, completed, closed, reason, think, next_targets, evidence, "
+          f"result_code FROM ({_CHECK_SQL})")
 def ticket_check_result(spark, d):
-    t = _tickets(spark, d).select("eventId", F.col("check_ticket").alias("ticket"),
-                                  F.expr(_VERDICT_SQL).alias("response"))
-    out = OT.check_results(t)
+    out = _checked(spark, d)
     return out.select("eventId", "lane", "status", "completed", "closed", "reason", "think",
                       F.array_join("next_targets", ",").alias("next_targets"), "evidence", "result_code")
 
 
+_SHOWN_SQL = ("CASE n_res WHEN 2 THEN '[r.jpg: 清洁]' WHEN 3 THEN '[r.jpg: 清洁] [image_2: " + TK.CAPTION_FAILURE
+              + ": late] [r.jpg: 路面]' ELSE '' END")
+_LANE_TARGET_SQL = "CASE lane WHEN 'construction_site' THEN '工地企业' WHEN 'city_housekeeper' THEN '城市管家' END"
+
+
+@register("ticket_check_ticket", f"""SELECT eventId, result_code, 'CheckHandleResult' AS action_code,
+  CASE WHEN status <> 'pass' THEN completed END AS completed, CASE WHEN status <> 'pass' AND closed THEN true END AS closed,
+  CASE WHEN status <> 'pass' THEN reason END AS reason, CASE WHEN status <> 'pass' THEN think END AS think,
+  CASE lane WHEN 'construction_site' THEN '' WHEN 'city_housekeeper' THEN {_SHOWN_SQL} END AS image_text,
+  CASE WHEN status <> 'pass' THEN next_actions END AS actions,
+  CASE status WHEN 'unroutable' THEN 'no lane for the dispatch target' WHEN 'invalid' THEN 'ticket lacks required fields' END
+    AS error,
+  CASE WHEN {_LANE_TARGET_SQL} IS NULL THEN NULL WHEN act_kind = 2 AND act_target = {_LANE_TARGET_SQL} THEN '整改' ELSE '' END
+    AS required
+FROM ({_CHECK_SQL})""")
+def ticket_check_ticket(spark, d):
+    """Result tickets of the completion check: verdict, captions of the result
+    images and the full follow-up actions."""
+    checked = _checked(spark, d)
+    need = checked.select("eventId", F.col("required_content").alias("required"))
+    r = F.col("processResultData")
+    acts = F.array_join(F.transform(r["actions"], lambda a: F.concat_ws(
+        "|", *[F.coalesce(a[c].cast("string"), F.lit("")) for c in ("target", "content", "action", "timeLimit")])), ";")
+    res = OT.check_result_tickets(checked).select(
+        "eventId", F.col("processResultCode").alias("result_code"), F.col("processActionCode").alias("action_code"),
+        r["completed"].alias("completed"), r["closed"].alias("closed"), r["reason"].alias("reason"), r["think"].alias("think"),
+        r["handleResultImageDescription"].alias("image_text"), acts.alias("actions"), r["error"].alias("error"))
+    return res.join(need, "eventId")
+
+
 # ---------------------------------------------------------------- message stream
+def _messages(spark, d):
+    """JSON lines, every 50th with a second object glued to it."""
+    raw = TS.to_json_text(F.col("ticket").withField("processActionCode", F.lit("Intake")))
+    return _tickets(spark, d).select(
+        F.when(F.col("event_id") % 50 == 0, F.concat(raw, F.lit('{"x": 1}'))).otherwise(raw).alias("value"))
+
+
 @register("ticket_stream", f"""WITH {_BASE_SQL}, {_ROUTE_SQL}, m AS (SELECT eventId, {_MISSING_SQL} AS missing FROM base
   WHERE event_id % 50 <> 0)
 SELECT m.eventId, 'EventHandlerLookup' AS processActionCode, m.missing = '' AS valid,
@@ -436,25 +524,52 @@ def ticket_stream(spark, d):
     from ..streaming.tickets import read_outcomes, run_dispatch
 
     root = shared_dir(spark, "ticket-stream")
-    t = _tickets(spark, d)
-    raw = F.to_json(F.col("ticket").withField("processActionCode", F.lit("Intake")))
-    lines = t.select(F.when(F.col("event_id") % 50 == 0, F.concat(raw, F.lit('{"x": 1}'))).otherwise(raw)
-                     .alias("value"))
-    lines.write.mode("overwrite").text(root + "/in")
+    _messages(spark, d).write.mode("overwrite").text(root + "/in")
     run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
     return read_outcomes(spark, root + "/out")
 
 
-@register("ticket_result_json")
+@register("ticket_stream_rejects", f"""WITH {_BASE_SQL} SELECT 'EV-' || CAST(event_id AS VARCHAR) AS eventId, true AS glued
+FROM base WHERE event_id % 50 = 0""")
+def ticket_stream_rejects(spark, d):
+    """The raw lines that the stream did not accept."""
+    from ..session import shared_dir
+    from ..streaming.tickets import read_rejects, run_dispatch
+
+    root = shared_dir(spark, "ticket-rejects")
+    _messages(spark, d).write.mode("overwrite").text(root + "/in")
+    run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
+    return read_rejects(spark, root + "/out").select(
+        F.regexp_extract("raw", '"eventId":"([^"]*)"', 1).alias("eventId"), F.col("raw").endswith('{"x": 1}').alias("glued"))
+
+
+@register("ticket_result_json", f"""
+WITH a AS ({ORACLE["ticket_dispatch_actions"]}),
+e AS (SELECT eventId, max(lane) AS lane, max(route_status) AS route_status, max(error) AS bad,
+             arg_min(target, action_pos) AS target, arg_min(content, action_pos) AS content, arg_min(action, action_pos) AS action,
+             count(action_pos) AS n, string_agg(coalesce(content, ''), '|' ORDER BY action_pos) AS contents,
+             string_agg(coalesce(think, ''), '|' ORDER BY action_pos) AS thinks,
+             string_agg(summary_line, chr(10) ORDER BY action_pos) AS lines FROM a GROUP BY eventId),
+f AS (SELECT *, coalesce(bad, CASE WHEN route_status <> 'routed' THEN 'no lane: ' || route_status END) AS error FROM e),
+g AS (SELECT *, error IS NULL AND lane IN ({_NAMED_SQL}) AS multi, error IS NULL AND lane NOT IN ({_NAMED_SQL}) AS one FROM f)
+SELECT eventId, CASE WHEN error IS NOT NULL THEN '1' WHEN multi THEN '0' END AS result_code, error,
+  CASE WHEN one THEN target END AS target, CASE WHEN one THEN content END AS content, CASE WHEN one THEN action END AS action,
+  CASE WHEN multi THEN contents END AS contents, CASE WHEN multi THEN thinks END AS thinks,
+  CASE WHEN multi THEN lines END AS summary
+FROM g""")
 def ticket_result_json(spark, d):
-    """Result ticket per event as the nested JSON text the dispatch step
-    emits (error ticket, single forwarded action, or action list + summary),
-    stamped with processing times.  Rows-only: JSON text formatting differs
-    between engines; the fields themselves are checked by
-    ``ticket_dispatch_actions``."""
-    req = OT.dispatch_requests(_tickets(spark, d).drop("check_ticket"))
-    req = req.withColumn("response", F.when(F.col("action_pos").isNotNull(),
-                                            F.expr(_answer_sql("event_id + action_pos"))))
-    acts = OT.dispatch_actions(req).withColumn("processActionCode", F.col("ticket.processActionCode"))
-    res = OT.dispatch_result_tickets(acts)
-    return res.select("eventId", F.to_json(F.struct(*res.columns)).alias("json"))
+    """Result ticket per dispatch ticket (error, one forwarded action, or the
+    action list with summary) written as JSON text; its fields read back."""
+    answers = F.array(*[F.expr(_answer_sql(f"event_id + {i}")) for i in range(2)])
+    t = _tickets(spark, d).select("ticket", answers.alias("responses"))
+    res = OT.dispatch_result_tickets(t)
+    v = F.parse_json(TS.to_json_text(F.struct(*res.columns)))
+    paths = {"eventId": "eventId", "result_code": "processResultCode", **{
+        c: f"processResultData.{c}" for c in ("error", "target", "content", "action", "summary")}}
+    acts = F.variant_get("v", "$.processResultData.actions", "array<struct<content:string,think:string>>")
+
+    def joined(c: str):
+        return F.when(acts.isNotNull(), F.array_join(F.transform(acts, lambda a: F.coalesce(a[c], F.lit(""))), "|"))
+
+    return res.select(v.alias("v")).select(*[F.variant_get("v", f"$.{p}", "string").alias(c) for c, p in paths.items()],
+                                          joined("content").alias("contents"), joined("think").alias("thinks"))

@@ -3,6 +3,7 @@ shared folder used to cut lineage (checkpoints, derived tables)."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -12,23 +13,26 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "lodestar",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Session tuned for the library's jobs; AQE on so partition counts,
-    join strategies and skewed partitions are re-planned at run time."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
+    """Session for the library's jobs; AQE on, so partition counts, join
+    strategies and skewed partitions are re-planned at run time.  Master,
+    shuffle partitions and driver memory are set only where the caller asks;
+    else what spark-submit was given stands (``local[*]`` if nothing was)."""
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEM", "16g"))
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("LODESTAR_DRIVER_MEM"):
+        builder = builder.config("spark.driver.memory", os.environ["LODESTAR_DRIVER_MEM"])
     log_dir = os.environ.get("LODESTAR_EVENT_LOG_DIR")
     if log_dir:  # opt-in: per-task metrics for offline analysis (no UI/server)
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
@@ -37,26 +41,45 @@ def build_session(master: str | None = None, app: str = "lodestar",
     return spark
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _root(spark: SparkSession) -> str:
+    """The shared checkpoint folder.  ``spark.checkpoint.dir`` names one that
+    every executor can reach; only a local master, whose executors share the
+    driver's disk, may do without and gets a private temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    return _private_root(spark.sparkContext.master)
+
+
+def _private_root(master: str) -> str:
+    if not master.startswith("local[") and master != "local":
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="lodestar-ckpt-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint location.
+    """A fresh folder below the shared checkpoint folder; it is removed when
+    the driver ends."""
+    ensure_checkpoint_dir(spark)
+    path = f"{_root(spark)}/lodestar/{purpose}-{uuid.uuid4().hex[:12]}"
+    if not _made:
+        atexit.register(_drop_all)
+    _made.append((spark, path))
+    return path
+
 
-    ``spark.checkpoint.dir`` names a folder every executor can reach; it is
-    read from the session.  Only when nothing is configured (unit tests on a
-    laptop) is a private temporary folder chosen and registered."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="lodestar-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    root = root.rstrip("/")
-    return f"{root}/lodestar/{purpose}-{uuid.uuid4().hex[:12]}"
+def _drop_all() -> None:
+    for spark, path in _made:
+        if spark.sparkContext._jsc is not None:
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable: reuse the configured folder,
     set one only where none is configured."""
-    if spark.sparkContext.getCheckpointDir():
-        return
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestar-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(_root(spark))

@@ -16,12 +16,26 @@ BINARY_DOC_EXTENSIONS = [".pdf", ".docx", ".xlsx", ".xls"]
 TEXT_DOC_EXTENSIONS = [".txt", ".md"]
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
-    """Header CSV with a declared schema (no inference pass; code columns
-    stay text).  Quoted fields may span lines and escape quotes by
-    doubling them."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').csv(paths if isinstance(paths, str) else list(paths)))
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
+             multi_line: bool = False) -> DataFrame:
+    """Header CSV: the declared columns, found by name in each path's own
+    header, whatever else the file holds and in whatever order.  A declared
+    column that a path lacks is an error that names both.  Values that do not
+    parse as their type are NULL; code columns stay text.  Quotes inside
+    fields are doubled.  Only ``multi_line`` files may hold line breaks
+    inside quotes; such a file is read by one task, others are split."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    out = None
+    for path in [paths] if isinstance(paths, str) else list(paths):
+        raw = (spark.read.option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
+               .option("quote", '"').option("escape", '"').csv(path))
+        lacking = [f.name for f in schema if f.name not in raw.columns]
+        if lacking:
+            raise ValueError(f"{path}: no column {', '.join(lacking)} in its header")
+        part = raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
@@ -36,10 +50,10 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return out
 
 
-def read_optional_csv(spark: SparkSession, paths: Sequence[str], schema) -> DataFrame | None:
-    """Union of the CSV files that exist; None when none does."""
+def read_optional_csv(spark: SparkSession, paths: Sequence[str], schema, multi_line: bool = False) -> DataFrame | None:
+    """Union of the CSV paths that exist; None when none does."""
     found = existing(spark, paths)
-    return read_csv(spark, found, schema) if found else None
+    return read_csv(spark, found, schema, multi_line) if found else None
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
@@ -58,10 +72,11 @@ def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_documents(spark: SparkSession, folder: str,
                    extractor: Callable[[str, bytes], str] | None = None) -> DataFrame:
-    """Recursive folder scan -> (source, ext, text).  ``source`` is the path
-    relative to the folder.  Plain-text files are decoded natively; binary
-    office/PDF formats go through the user ``extractor`` in Arrow batches
-    (no decoder is bundled); other extensions are skipped."""
+    """Recursive folder scan -> (source, ext, text, error).  ``source`` is the
+    path relative to the folder.  Plain-text files are decoded natively;
+    binary office/PDF formats go through the user ``extractor`` in batches
+    (no decoder is bundled), and a file that fails has NULL text and its
+    error; other extensions are skipped."""
     root = folder.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
              .select("path", "content"))
@@ -69,24 +84,24 @@ def scan_documents(spark: SparkSession, folder: str,
     rel = F.regexp_replace(F.regexp_replace("path", "^file:", ""), "^.*?" + _re_escape(root.replace("file:", "")) + "/", "")
     files = files.select(rel.alias("source"), ext.alias("ext"), "content")
     text = files.filter(F.col("ext").isin(TEXT_DOC_EXTENSIONS)).select(
-        "source", "ext", F.decode("content", "UTF-8").alias("text"))
+        "source", "ext", F.decode("content", "UTF-8").alias("text"), F.lit(None).cast("string").alias("error"))
     if extractor is None:
         return text
     binary = files.filter(F.col("ext").isin(BINARY_DOC_EXTENSIONS))
-    schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("ext", T.StringType()),
-                           T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = []
+            texts, errors = [], []
             for src, b in zip(pdf["source"], pdf["content"]):
                 try:
                     texts.append(extractor(src, bytes(b)))
-                except Exception:  # unreadable document -> NULL text
+                    errors.append(None)
+                except Exception as e:  # an unreadable document is a row with its reason
                     texts.append(None)
-            yield pd.DataFrame({"source": pdf["source"], "ext": pdf["ext"], "text": texts})
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({"source": pdf["source"], "ext": pdf["ext"], "text": texts, "error": errors})
 
-    return text.unionByName(binary.mapInPandas(run, schema))
+    return text.unionByName(binary.mapInPandas(run, "source string, ext string, text string, error string"))
 
 
 def _re_escape(s: str) -> str:

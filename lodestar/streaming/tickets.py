@@ -18,18 +18,6 @@ from ..functions import tickets as TK
 from ..sources.tickets import parse_ticket
 
 
-def intake(spark: SparkSession, folder: str, action_code: str | None = None,
-           max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming messages: (raw, ticket) with ``ticket`` NULL when the line is
-    not exactly one JSON object; the action code, when given, is set on every
-    accepted message."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(folder).select(F.col("value").alias("raw"))
-    return parse_messages(raw, action_code)
-
-
 def dispatch_outcome(messages: DataFrame) -> DataFrame:
     """Validation and lane decision per message (stateless).  Rejected lines
     keep their raw text and NULL outcome columns, so one pass over a batch

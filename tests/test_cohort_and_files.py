@@ -1,6 +1,7 @@
 import os
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators import cohort as C
@@ -40,7 +41,7 @@ def test_csv_round_trip_multiline_quotes(spark, tmp_dir):
     df = spark.createDataFrame([("t", 'he said "x"\nnext, line', "No PDF link available")],
                                "title string, snippet string, pdf_link string")
     FS.write_csv(df, tmp_dir + "/out")
-    back = FS.read_csv(spark, tmp_dir + "/out", "title string, snippet string, pdf_link string").collect()
+    back = FS.read_csv(spark, tmp_dir + "/out", "title string, snippet string, pdf_link string", multi_line=True).collect()
     assert len(back) == 1 and back[0].snippet == 'he said "x"\nnext, line'
 
 
@@ -54,6 +55,23 @@ def test_optional_sources(spark, tmp_dir):
     assert df.count() == 1
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    with open(tmp_dir + "/diag.csv", "w") as f:
+        f.write("subject_id,hadm_id,seq_num,icd_code,icd_version\n1,100,1,E11,10\nx,101,2,0250,9\n")
+    got = FS.read_csv(spark, tmp_dir + "/diag.csv", "icd_code string, subject_id long").collect()
+    assert [tuple(r) for r in got] == [("E11", 1), ("0250", None)]
+    with pytest.raises(ValueError, match="diag.csv.*no column gender"):
+        FS.read_csv(spark, tmp_dir + "/diag.csv", "subject_id long, gender string")
+
+
+def test_derived_folders_need_a_shared_place_off_one_machine():
+    from lodestar import session
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session._private_root(master)
+    assert os.path.isdir(session._private_root("local[2]"))
+
+
 def test_document_scan_and_data_url(spark, tmp_dir):
     os.makedirs(tmp_dir + "/docs/sub")
     with open(tmp_dir + "/docs/sub/a.txt", "w") as f:
@@ -63,8 +81,10 @@ def test_document_scan_and_data_url(spark, tmp_dir):
     with open(tmp_dir + "/docs/c.bin", "wb") as f:
         f.write(b"skip")
     got = FS.scan_documents(spark, tmp_dir + "/docs", extractor=lambda src, b: b.decode()[5:])
-    rows = {r.source: r.text for r in got.collect()}
-    assert rows == {"sub/a.txt": "rule one", "b.pdf": "fake"}
+    rows = {r.source: (r.text, r.error) for r in got.collect()}
+    assert rows == {"sub/a.txt": ("rule one", None), "b.pdf": ("fake", None)}
+    bad = FS.scan_documents(spark, tmp_dir + "/docs", extractor=lambda src, b: b.decode("utf-16"))
+    assert [r.error.split(":")[0] for r in bad.filter("ext = '.pdf'").collect()] == ["UnicodeDecodeError"]
     img = FS.image_data_url(FS.read_images(spark, tmp_dir + "/docs/b.pdf")).collect()[0]
     assert img.data_url == "data:image/jpeg;base64,JVBERiBmYWtl"
 

@@ -64,7 +64,7 @@ def test_knn_matches_brute_force(spark, broadcast_bytes):
 
 def test_embed_hook_and_hashing(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "")], "doc_id long, text string")
-    out = R.embed_with(df, lambda xs: np.ones((len(xs), 4)), 4).collect()
+    out = R.embed_with(df, lambda: lambda xs: np.ones((len(xs), 4)), 4).collect()
     assert np.allclose(np.linalg.norm(out[0].embedding), 1.0)
     h = R.hashing_embed(df, dim=16).collect()
     assert len(h[0].embedding) == 16 and abs(np.linalg.norm(h[0].embedding) - 1) < 1e-5

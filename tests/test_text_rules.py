@@ -74,3 +74,17 @@ def test_yes_no_quirk(spark):
 def test_failed_caption(spark):
     assert one(spark, TK.failed_caption(F.col("v")), "[a: ok] [image_2: 图片处理失败: timeout]") is True
     assert one(spark, TK.failed_caption(F.col("v")), "[a: ok]") is False
+
+
+def test_html_link_is_the_title_s_own(spark):
+    from lodestar.operators import htmlrecords as H
+    page = ('<article><a href="x.pdf">[PDF]</a><h1><a href="paper.html">Title</a></h1><p>s</p></article>'
+            '<article><a href="only.html">l</a><h1>Bare</h1></article><article></article>')
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    got = [tuple(r)[2:] for r in H.extract_records(df).orderBy("pos").collect()]
+    assert got == [("Title", "paper.html", "s", "x.pdf"), ("Bare", "only.html", H.NO_SNIPPET, H.NO_PDF),
+                   (H.NO_TITLE, H.NO_LINK, H.NO_SNIPPET, H.NO_PDF)]
+    shaped = '<div class="r"><h3><a href="t">T</a></h3></div>'
+    row = H.extract_records(spark.createDataFrame([(1, shaped)], "page_id long, html string"),
+                            block_re='(?s)<div class="r">(.*?)</div>', title_re="(?s)<h3>(.*?)</h3>").first()
+    assert (row.title, row.link) == ("T", "t")

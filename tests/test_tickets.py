@@ -66,52 +66,75 @@ def test_dispatch_actions_named_lane(spark):
     assert row.query.startswith("d\n[i: c]\n提醒肇事人员")
 
 
-def test_result_ticket_json_and_hooks(spark):
-    t = tickets(spark, [{"eventId": "a", "processActionCode": "EventHandlerLookup",
-                         "processDataParams": {"description": "d", "reportLocation": "l", "sourceEntity": "城市管家"},
-                         "context": {"imageDescription": "[i: c]"}},
-                        {"eventId": "b", "processActionCode": "EventHandlerLookup",
-                         "processDataParams": {"description": "d"}, "context": {}}])
-    req = OT.dispatch_requests(t).withColumn("response", F.lit("1. 责任主体：x\n2. 决策理由：\n理由"))
-    acts = OT.dispatch_actions(req).withColumn("processActionCode", F.col("ticket.processActionCode")) \
-        .withColumn("eventId", F.col("ticket.eventId"))
-    res = {r.eventId: r for r in OT.dispatch_result_tickets(acts).collect()}
-    assert [a.target for a in res["a"].processResultData.actions] == ["执法队", "城市管家"]
-    assert res["a"].processResultData.summary.count("\n") == 1 and res["a"].processResultCode == 0
-    assert res["b"].processResultCode == 1 and res["b"].processResultData.error.startswith("工单缺失必要字段")
-    js = OT.dispatch_result_tickets(acts).select(F.to_json(F.struct("*")).alias("j")).collect()[0].j
-    assert "工单" in js or "执法队" in js  # non-ASCII kept literal
+CITY = {"eventId": "a", "processActionCode": "EventHandlerLookup",
+        "processDataParams": {"description": "d", "reportLocation": "l", "sourceEntity": "城市管家"},
+        "context": {"imageDescription": "[i: c]"}}
+
+
+def test_result_tickets_stay_one_row_a_ticket(spark):
+    lacking = {"eventId": "b", "processActionCode": "x", "processDataParams": {"description": "d"}, "context": {}}
+    lost = {**CITY, "eventId": "c", "processDataParams": {**CITY["processDataParams"], "sourceEntity": "nobody"}}
+    t = tickets(spark, [CITY, CITY, lacking, lost])
+    asked = OT.dispatch_prompts(t)
+    assert [len(r.prompts) for r in asked.collect()] == [2, 2, 0, 0]
+    answers = OT.ask_model_list(asked, lambda: lambda ps: ["1. 责任主体：x\n2. 决策理由：\nok"] * len(ps))
+    ctx = answers.withColumn("ctx", F.array(*[F.struct(F.array(F.lit(c)).alias("citations")) for c in ("s1", "s2")]))
+    res = OT.dispatch_result_tickets(ctx, contexts_col="ctx").collect()
+    by = {}
+    for r in res:
+        by.setdefault(r.eventId, []).append(r)
+    assert [len(by[k]) for k in "abc"] == [2, 1, 1]
+    one = by["a"][0].processResultData
+    assert [(a.target, a.content, a.citations) for a in one.actions] == [("执法队", "ok", ["s1"]), ("城市管家", "ok", ["s2"])]
+    assert one.summary.count("\n") == 1 and by["a"][0].processResultCode == 0
+    assert by["b"][0].processResultCode == 1 and by["b"][0].processResultData.error.startswith("工单缺失必要字段")
+    assert by["c"][0].processResultCode == 1 and by["c"][0].processResultData.error.startswith("no lane")
+    js = OT.dispatch_result_tickets(answers).select(F.to_json(F.struct("*")).alias("j")).collect()[0].j
+    assert "执法队" in js  # non-ASCII kept literal
+
+
+def test_hooks_load_in_the_task_and_a_bad_row_costs_itself_alone(spark):
+    def load():
+        def model(prompts):
+            if any(p == "bad" for p in prompts):
+                raise RuntimeError("endpoint down")
+            return [p.upper() for p in prompts]
+        return model
+
+    df = spark.createDataFrame([("a",), ("bad",), (None,), ("b",)], "prompt string").coalesce(1)
+    got = [(r.response, r.model_error) for r in OT.ask_model(df, load).collect()]
+    assert got == [("A", None), (None, "RuntimeError: endpoint down"), ("", None), ("B", None)]
     imgs = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"bad"),)], "content binary")
 
-    def cap(bs):
-        if bs[0] == b"bad":
+    def captions(bs):
+        if bytes(bs[0]) != b"ok" or len(bs) > 1:
             raise ValueError("timeout")
         return ["a truck"]
 
-    got = [(r.caption, r.caption_error) for r in OT.describe_images(imgs, cap).collect()]
-    assert got == [("a truck", None), (None, "timeout")]
+    assert [(r.caption, r.caption_error) for r in OT.describe_images(imgs, lambda: captions).collect()] == [
+        ("a truck", None), (None, "ValueError: timeout")]
     pairs = spark.createDataFrame([("q", "q x"), ("q", "y")], "query string, text string")
-    sc = OT.score_pairs(pairs, lambda qs, ts: [float(q in t) for q, t in zip(qs, ts)]).collect()
-    assert [r.score for r in sc] == [1.0, 0.0]
-
-
-def test_model_hook_in_dispatch_flow(spark):
-    t = tickets(spark, [{"eventId": "E1", "processActionCode": "x",
-                         "processDataParams": {"description": "d", "reportLocation": "l", "sourceEntity": "城市管家"},
-                         "context": {"imageDescription": "[i: c]"}}])
-    t = t.select("ticket", F.col("ticket.eventId").alias("eventId"),
-                 F.col("ticket.processActionCode").alias("processActionCode"))
-    req = OT.dispatch_requests(t).withColumn("prompt", F.col("query"))
-
-    def model(prompts):
-        return ["1. 责任主体：x\n2. 决策理由：\nok"] * len(prompts)
-
-    answers = OT.ask_model(req, model)
-    res = OT.dispatch_result_tickets(OT.dispatch_actions(answers)).collect()[0]
-    assert [a.content for a in res.processResultData.actions] == ["ok", "ok"]
-
-    def broken(prompts):
-        raise RuntimeError("endpoint down")
-
-    failed = OT.ask_model(req, broken).collect()
-    assert all(r.response is None and "endpoint down" in r.model_error for r in failed)
+    sc = OT.score_pairs(pairs, lambda: lambda xs: [float(q in t) for q, t in xs]).collect()
+    assert [(r.score, r.score_error) for r in sc] == [(1.0, None), (0.0, None)]
+    few = OT.ask_model(df, lambda: lambda ps: []).collect()
+    assert all(r.response is None and "0 results" in r.model_error for r in few)
+
+
+def test_rules_are_retrieved_for_distinct_queries(spark):
+    from lodestar.operators import retrieval as R
+    rules = spark.createDataFrame([(1, "wash the road", "law-a"), (2, "guard the site", "law-b"), (3, "tax forms", None)],
+                                  "doc_id long, text string, source string")
+    chunks = R.hashing_embed(rules, dim=512)
+    req = spark.createDataFrame([("x", "wash road"), ("y", "wash road"), ("z", None)], "eventId string, query string")
+    got = {r.eventId: r for r in OT.retrieve_rules(req, chunks, lambda df, c: R.hashing_embed(df, c, dim=512), k=2).collect()}
+    assert got["x"].law_context.split("\n")[0] == "wash the road" and got["x"].law_context == got["y"].law_context
+    assert "law-a" in got["x"].citations and got["z"].law_context is None
+
+
+def test_prompts_hold_what_the_parsers_need(spark):
+    one = spark.range(1).select(
+        OT.check_prompt(*[F.lit(x) for x in ("d", "i", "need", "done", None)], "工地企业").alias("check"),
+        OT.scene_prompt(F.lit("scene"), F.lit("photo")).alias("scene"), OT.law_prompt(F.lit("q"), F.lit("c")).alias("law"),
+        OT.summary_prompt(F.array(F.lit("- a"), F.lit("- b"))).alias("summary")).first()
+    assert '"completed"' in one.check and "need" in one.check and "是" in one.scene and "- a\n- b" in one.summary
+    assert '"answer"' in one.law
