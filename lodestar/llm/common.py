@@ -3,7 +3,6 @@ shared folder, Arrow text buffers, counter-based random numbers."""
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,31 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
 
-_made: dict[str, SparkSession] = {}
-
-
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: the
     lineage is cut and a lost executor costs no recomputation.  The folder is
     removed when the driver ends."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
+    path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    if not _made:
-        atexit.register(_drop_all)
-    _made[path] = spark
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def _drop_all() -> None:
-    for path, spark in _made.items():
-        if spark.sparkContext._jsc is not None:
-            release(spark, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
