@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
+from ..session import ensure_checkpoint_dir
 
 # Fixed values taken from the reference's chunking setup.
 CHUNK_SIZE = 500
@@ -326,6 +327,9 @@ def assemble_context(hits: DataFrame, docs: DataFrame, sep: str = "\n", doc_id:
 def lexical_rerank(cands: DataFrame, query_text: DataFrame, cand_text: DataFrame, top: int = 3) -> DataFrame:
     """Score (query, candidate) pairs by the number of distinct shared word
     tokens, keep the ``top`` best per query (ties: earlier retrieval rank)."""
+    # k rows a query, read three times below: the search behind them runs once
+    ensure_checkpoint_dir(cands.sparkSession)
+    cands = cands.checkpoint()
     # tokenize only texts the candidates reference, each once (semi join first)
     qids = cands.select("query_id").distinct()
     nids = cands.select(F.col("neighbor_id").alias("doc_id")).distinct()

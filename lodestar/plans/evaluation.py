@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluation as EV
+from ..session import shared_dir
+from ..sources import files as FS
 from ..sources.tables import table
-from .registry import register
+from .registry import ORACLE, register
 from .retrieval import K_SEARCH, _PAIRS_SQL, _knn
 
 _VOCAB_SQL = "vocab AS (SELECT * FROM (VALUES " + ", ".join(
@@ -72,6 +74,15 @@ def classification_report(spark, d):
     return EV.classification_report(_pairs(spark, d), EV.vocabulary(spark))
 
 
+@register("confusion_matrix_csv", "SELECT * EXCLUDE (true_name) FROM (" + ORACLE["confusion_matrix"] + ")")
+def confusion_matrix_csv(spark, d):
+    """The matrix written as a CSV without header, read back by position."""
+    root = shared_dir(spark, "confusion-matrix")
+    matrix = EV.confusion_dense(_pairs(spark, d), EV.vocabulary(spark), len(EV.CLASS_NAMES)).drop("true_name")
+    FS.write_csv(matrix, root + "/matrix", header=False)
+    return spark.read.schema(matrix.schema).csv(root + "/matrix")
+
+
 # ---------------------------------------------------------------- detection files
 # Label and prediction "files" composed per order key from its line items, one
 # shape per order (list, glued objects, fenced results, detections with

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import retrieval as R
+from ..session import shared_dir
+from ..sources import files as FS
 from ..sources.tables import table
-from .registry import register
+from .registry import ORACLE, register
 
 K_SEARCH = 5      # retrieval depth before rerank
 K_CONTEXT = 3     # hits per question context
@@ -38,6 +40,20 @@ def chunk_recursive(spark, d):
     return R.recursive_chunks(table(spark, d, "documents"))
 
 
+@register("chunk_recursive_checks", """
+SELECT doc_id, true AS bounded, true AS contained, true AS covering FROM documents
+WHERE length(regexp_replace(text, '[ \t\n\r\f\x0B]+', '', 'g')) > 0""")
+def chunk_recursive_checks(spark, d):
+    """Per document: no chunk over the size, every chunk a part of the text,
+    and at least the text's characters in all chunks together."""
+    chunks = R.recursive_chunks(table(spark, d, "documents"), keep=("doc_id", "text"))
+    solid = "[ \\t\\n\\r\\f\\x0B]+"
+    return chunks.groupBy("doc_id").agg(
+        F.every(F.length("chunk") <= R.CHUNK_SIZE).alias("bounded"), F.every(F.contains("text", "chunk")).alias("contained"),
+        (F.sum(F.length(F.regexp_replace("chunk", solid, ""))) >= F.first(F.length(F.regexp_replace("text", solid, ""))))
+        .alias("covering"))
+
+
 @register("corpus_stats", f"""
 WITH per AS (SELECT coalesce(source, 'unknown') AS source, CAST(sum({_LAST_SQL} + 1) AS BIGINT) AS n_chunks
              FROM documents GROUP BY 1)
@@ -47,6 +63,16 @@ def corpus_stats(spark, d):
     return R.chunk_counts(docs)
 
 
+@register("index_stats", ORACLE["corpus_stats"])
+def index_stats(spark, d):
+    """Chunks with their vectors persisted as the index, read back and counted
+    per source."""
+    root = shared_dir(spark, "index")
+    chunks = R.fixed_chunks(table(spark, d, "documents"), keep=("doc_id", "source"))
+    FS.write_index(R.hashing_embed(chunks, "chunk", dim=16), root + "/index")
+    return R.chunk_counts(FS.read_index(spark, root + "/index"))
+
+
 _PAIRS_SQL = """pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
          list_sum([(CAST(q.embedding[i] AS DOUBLE) - CAST(c.embedding[i] AS DOUBLE)) ** 2

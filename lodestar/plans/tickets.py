@@ -529,6 +529,19 @@ def ticket_stream(spark, d):
     return read_outcomes(spark, root + "/out")
 
 
+@register("ticket_file_source", f"""WITH {_BASE_SQL} SELECT CASE WHEN event_id % 50 <> 0 THEN 'EV-' || CAST(event_id AS VARCHAR)
+END AS eventId, event_id % 50 <> 0 AS accepted, CASE WHEN event_id % 50 <> 0 THEN event_type END AS scene FROM base""")
+def ticket_file_source(spark, d):
+    """Tickets written as JSON lines and read by the batch source; a glued
+    line is a row without a ticket."""
+    from ..session import shared_dir
+
+    root = shared_dir(spark, "ticket-file")
+    _messages(spark, d).write.mode("overwrite").text(root + "/in")
+    return TS.read_tickets(spark, root + "/in").select(
+        "eventId", F.col("ticket").isNotNull().alias("accepted"), F.col("ticket.processDataParams.sceneType").alias("scene"))
+
+
 @register("ticket_stream_rejects", f"""WITH {_BASE_SQL} SELECT 'EV-' || CAST(event_id AS VARCHAR) AS eventId, true AS glued
 FROM base WHERE event_id % 50 = 0""")
 def ticket_stream_rejects(spark, d):

@@ -13,7 +13,8 @@ RESULT_INFO = T.ArrayType(T.StructType([
     T.StructField("handleResultImageUrls", T.ArrayType(S))]))
 ACTIONS = T.ArrayType(T.StructType([
     T.StructField("target", S), T.StructField("content", S), T.StructField("action", S),
-    T.StructField("timeLimit", T.IntegerType())]))
+    T.StructField("timeLimit", T.IntegerType()), T.StructField("think", S),
+    T.StructField("citations", T.ArrayType(S))]))
 
 # One ticket schema for scene, dispatch and check tickets; every field is
 # nullable (absent keys read as NULL, i.e. the reference's ``.get`` default).
@@ -37,8 +38,14 @@ TICKET = T.StructType([
 
 
 def read_tickets(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines tickets with the declared schema (no inference pass)."""
-    return (spark.read.schema(TICKET).option("mode", "PERMISSIVE").json(path))
+    """JSON-lines tickets -> (raw, ticket, eventId, processActionCode), parsed
+    strictly with the declared schema: a line that is not exactly one JSON
+    object has a NULL ticket and keeps its raw text.  Payload keys outside the
+    schema stay readable in ``raw``."""
+    lines = spark.read.text(path).select(F.col("value").alias("raw")).filter(F.length(F.trim("raw")) > 0)
+    parsed = lines.select("raw", parse_ticket(F.col("raw")).alias("ticket"))
+    return parsed.select("raw", "ticket", F.col("ticket.eventId").alias("eventId"),
+                         F.col("ticket.processActionCode").alias("processActionCode"))
 
 
 def parse_ticket(raw: Column) -> Column:
