@@ -9,7 +9,7 @@ from lodestar.llm.chunk_dedup import chunk_ends, cut_spans, repeated_spans
 from lodestar.llm.components import connected_components
 from lodestar.llm.embed_dedup import embedding_links, fit_axes, linked, unit_rows
 from lodestar.llm.line_dedup import dedup_lines
-from lodestar.llm.weighted_minhash import consistent_samples, near_duplicates, shingles
+from lodestar.llm.weighted_minhash import CELLS, all_similarities, consistent_samples, near_duplicates, shingles, weights_of
 
 
 def prose(rng, n, vocabulary=4000):
@@ -96,6 +96,22 @@ def test_consistent_samples_agree_as_often_as_weights_are_similar():
     assert abs((one[0] == one[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.03
 
 
+def test_tiles_and_pairs_measure_alike():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("a b c d e f".split()) for _ in range(rng.randrange(3, 60))) for _ in range(20)] + ["", "a"]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    row, value, count = shingles(raw, np.cumsum([0] + [len(t) for t in texts]), 2)
+    idf = np.linspace(1, 5, 1 << CELLS).astype(np.float32)
+    got = all_similarities(row, value, count, idf, len(texts), step=7)
+    weight = weights_of(value, count, idf)
+    held = [dict(zip(value[row == i].tolist(), weight[row == i])) for i in range(len(texts))]
+    for i, a in enumerate(held):
+        for j, b in enumerate(held):
+            both = sum(min(a[s], b[s]) for s in a.keys() & b.keys())
+            if i != j:
+                assert got[i, j] == pytest.approx(both / max(sum(a.values()) + sum(b.values()) - both, 1e-300))
+
+
 def test_shingles_see_rows_apart():
     texts = ["  a B c d e f ", "", "x", "a b c d e f", " \n"]
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
