@@ -170,10 +170,11 @@ class Sampler:
             if not len(at):
                 continue
             reach = steps[:min(d, widest)]
-            after = np.where(reach == d, 0.0, total[np.minimum(at[:, None] + reach, base[-1])])
-            value = weight[at, :len(reach)] + after
+            value = weight[at, :len(reach)]
+            for k in reach[reach < d]:  # a piece to the unit's very end has nothing after it
+                value[:, k - 1] += total[at + k]
             most = value.max(1)
-            value = np.exp(value - most[:, None])
+            np.exp(np.subtract(value, most[:, None], out=value), out=value)
             share = value.sum(1)
             total[at] = most + np.log(share)
             weight[at, :len(reach)] = value / share[:, None]
@@ -217,12 +218,13 @@ def sample_texts(lat: Lattice, chars: np.ndarray, offsets: np.ndarray, seeds: np
     text = np.repeat(np.arange(n), np.diff(offsets))
     heads = offsets[:-1][np.diff(offsets) > 0]
     full = np.diff(offsets) > 0
-    place = np.arange(size) - offsets[:-1][text]
+    every = np.arange(size)
+    place = every - offsets[:-1][text]
     lats = Sampler(lat, chars, heads)
-    key = seeds[text] ^ (place.astype(np.uint64) << np.uint64(20))
+    key = mix64(seeds[text] ^ (place.astype(np.uint64) << np.uint64(20)))
 
     def draws(at: np.ndarray, sample: int, kind: int) -> np.ndarray:
-        return unit(mix64(mix64(key[at]) ^ np.uint64(sample << 3 | kind)))
+        return unit(mix64(key[at] ^ np.uint64(sample << 3 | kind)))
 
     def per_text(values: np.ndarray, how, empty: float) -> np.ndarray:
         out = np.full(n, empty)
@@ -267,10 +269,9 @@ def sample_texts(lat: Lattice, chars: np.ndarray, offsets: np.ndarray, seeds: np
                 hit = hit[np.append(True, text[hit][1:] != text[hit][:-1])] if len(hit) else hit
                 at = hit
                 pick, p = lats.choose(at, draws(at, j, 1), used_bits[s][at])
-                prefix = np.flatnonzero(np.isin(text, text[at]))
                 cut = np.zeros(n, np.int64)
                 cut[text[at]] = at
-                prefix = prefix[prefix < cut[text[prefix]]]
+                prefix = np.flatnonzero(every < cut[text])
                 new_taken[prefix], new_prob[prefix] = found[s][0][prefix], found[s][4][prefix]
                 new_taken[at], new_prob[at] = pick, p
                 branch[text[at]] = at
@@ -293,7 +294,7 @@ def sample_texts(lat: Lattice, chars: np.ndarray, offsets: np.ndarray, seeds: np
         rest = np.where(taken >= 0, 1.0 - prob, 0.0)
         open_ = taken >= 0
         if j:  # what lies before the branch, and the branch itself, belongs to the sample it left
-            open_ &= np.arange(size) > branch[text]
+            open_ &= every > branch[text]
         front = np.full(size, -np.inf)
         at = np.flatnonzero(open_)
         front[at] = siblings(at, before[at], rest[at], score[text[at]], j, 3)
