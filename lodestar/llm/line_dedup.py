@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 # The ASCII white space that a line's key is stripped of.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,8 +33,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     counted line.  Rows that repeat an id count as one document, and each row
     stays.
 
-    Lines are exploded once as (id, position, 128-bit key hash): the texts
-    cross the network one time, to meet their list of dropped positions.
+    Lines are exploded once as (id, position, 128-bit key hash), a small table
+    that is written for its two readers: the texts cross the network one time,
+    to meet their list of dropped positions.
     Distinct counting spreads a frequent line over (key, id) first; the join
     back to lines has one row per frequent key on its other side."""
     n_lines, n_dropped = "n_lines", "n_dropped"
@@ -45,6 +48,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     keys = (cut.select("__ld_id", "__ld_row", "__ld_pos", line_key(F.col("__ld_line")).alias("__ld_key"))
             .filter(F.char_length("__ld_key") >= min_chars)
             .select("__ld_id", "__ld_row", "__ld_pos", F.unhex(F.md5("__ld_key")).alias("__ld_hash")))
+    keys = materialize(keys, "line-keys")  # read twice below
     frequent = (keys.groupBy("__ld_hash").agg(F.countDistinct("__ld_id").alias("__ld_docs"), F.max("__ld_id").alias("__ld_keeper"))
                 .filter(F.col("__ld_docs") >= min_docs).select("__ld_hash", "__ld_keeper"))
     dropped = (keys.join(frequent, "__ld_hash").filter(~F.col("__ld_id").eqNullSafe(F.col("__ld_keeper")))
