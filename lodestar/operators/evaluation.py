@@ -367,7 +367,8 @@ def detection_map(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS) ->
     counts, precision and recall at IoU 0.5; then an ``all`` row with
     mAP@0.5 and mAP@0.5:0.95 (means over classes)."""
     nt = len(thresholds)
-    matches = match_detections(gt, preds, thresholds).cache()
+    ensure_checkpoint_dir(gt.sparkSession)
+    matches = match_detections(gt, preds, thresholds).checkpoint()  # read twice below
     ap = average_precision(matches, gt, nt)
     n_gt = gt.groupBy(F.col("class_id").cast("long").alias("class_id")).agg(F.count(F.lit(1)).alias("n_gt"))
     at50 = matches.groupBy(F.col("class_id").cast("long").alias("class_id")).agg(

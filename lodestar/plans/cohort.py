@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cohort as C
+from ..session import ensure_checkpoint_dir
 from . import standins as S
 from .registry import register
 
@@ -62,9 +63,10 @@ UNION ALL SELECT 'admissions_control', count(*) FROM orders WHERE o_custkey IN (
 UNION ALL SELECT 'notes_case', count(*) FROM notes WHERE subject_id IN (SELECT subject_id FROM cases)
 UNION ALL SELECT 'notes_control', count(*) FROM notes WHERE subject_id IN (SELECT subject_id FROM controls)""")
 def cohort_counts(spark, d):
-    cases = _cases(spark, d).persist()
+    ensure_checkpoint_dir(spark)  # ids read several times below; Spark drops the files with the frames
+    cases = _cases(spark, d).checkpoint()
     controls = C.control_sample(C.exclude(S.patients(spark, d).select("subject_id"), cases),
-                                cases.count(), seed=42).persist()
+                                cases.count(), seed=42).checkpoint()
     pats, adm, nts = S.patients(spark, d), S.admissions(spark, d), S.notes(spark, d)
     # cases and controls are disjoint: one join and one scan per table
     return C.count_by_membership([("patients", pats), ("admissions", adm), ("notes", nts)],
