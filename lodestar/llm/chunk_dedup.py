@@ -7,12 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import mix64, row_slices, text_bytes
+from .common import materialize, mix64, row_slices, text_bytes
 
 WINDOW = 32  # bytes that a 32-bit gear hash remembers
 SLICE = 4 << 20
@@ -109,6 +109,79 @@ def chunk_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return source.mapInArrow(run, schema)
 
 
+def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str, reach: int) -> DataFrame:
+    """(id, twin, run, side, more): how many code points next to an edge
+    (id, twin, run, side, pos, and the other place pid, ptwin, ppos) are the
+    same at both places, before the two positions (side 0) or after (side 1).
+
+    ``reach`` code points are compared first; edges that are equal all the
+    way go on with eight times as many, so no length is a limit."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("__id"), F.pmod(F.xxhash64(text_col), F.lit(1 << TWIN_BITS)).alias("__twin"),
+                        F.col(text_col).cast("string").alias("text"))
+    kind = edges.schema.simpleString()[len("struct<"):-1]
+    todo, done = edges.withColumn("more", F.lit(0).cast("long")), None
+    while True:
+        step = F.when(F.col("side") == 1, F.col("more")).otherwise(-F.col("more"))
+        sides = [("id", "twin", "pos"), ("pid", "ptwin", "ppos")]
+        asks = [todo.select(F.col(i).alias("id"), F.col(t).alias("twin"), (F.col(p) + step).alias("at"), "side") for i, t, p in sides]
+        asks = asks[0].unionByName(asks[1]).distinct().groupBy("id", "twin").agg(F.collect_list(F.struct("at", "side")).alias("asks"))
+
+        def cut(batches: Iterator[pa.RecordBatch], reach: int = reach) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row, at, side, near = [], [], [], []
+                for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                    for ask in wanted:
+                        x = ask["at"]
+                        row.append(i)
+                        at.append(x)
+                        side.append(ask["side"])
+                        near.append(text[x:x + reach] if ask["side"] else text[max(0, x - reach):x][::-1])
+                pick = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(at, pa.int64()),
+                     pa.array(side, pa.int32()), pa.array(near, pa.string())], names=["id", "twin", "at", "side", "near"])
+
+        near = materialize(
+            texts.join(asks, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__twin") == F.col("twin")))
+            .select("id", "twin", "text", "asks").mapInArrow(cut, f"id {id_type}, twin long, at long, side int, near string")
+            .dropDuplicates(["id", "twin", "at", "side"]), "contexts")
+        joined = todo
+        for (i, t, p), name in zip(sides, ("a", "b")):
+            joined = joined.join(near.select(F.col("id").alias("__i"), F.col("twin").alias("__t"), F.col("at").alias("__a"),
+                                             F.col("side").alias("__s"), F.col("near").alias(name)),
+                                 F.col(i).eqNullSafe(F.col("__i")) & (F.col(t) == F.col("__t"))
+                                 & (F.col(p) + step == F.col("__a")) & (F.col("side") == F.col("__s"))).drop("__i", "__t", "__a", "__s")
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                a, b = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-2], pa.array([common_prefix(x, y) for x, y in zip(a, b)], pa.int64())],
+                    names=[*batch.schema.names[:-2], "same"])
+
+        seen = materialize(joined.mapInArrow(compare, f"{kind}, more long, same long"), "extensions")
+        grown = seen.withColumn("more", F.col("more") + F.col("same"))
+        todo = grown.filter(F.col("same") == reach).drop("same")
+        ended = grown.filter(F.col("same") < reach).select("id", "twin", "run", "side", "more")
+        done = ended if done is None else done.unionByName(ended)
+        if todo.isEmpty():
+            return done
+        reach *= 8
+
+
+def common_prefix(a: str, b: str) -> int:
+    """Code points that two strings share from their beginning on."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 100,
                    every: int = 24) -> DataFrame:
     """One row per input row: (id, text_hash, ``n_chars``, ``repeated_chars``
@@ -116,41 +189,83 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ``dropped_spans``, sorted (start, end) code points).
 
     A passage is a run of adjoining chunks whose digests all occur more than
-    once, of ``min_chars`` code points at least; shorter runs (common
-    phrases) are left alone.  The first place of a chunk, by id and then by
-    position, stays; its other places are dropped, in the same document too.
-    Null and empty texts have no chunks.  Null ids come first.  Rows that
-    repeat an id with one text are one document, and each gets its row.
+    once, with the text on both sides that is the same at another place of
+    its first and last chunk (the first place; for that one, the next).  It
+    has ``min_chars`` code points at least; shorter ones (common phrases) are
+    left alone.  The first place of a chunk, by id and then by position,
+    stays; its other places are dropped with the text beside them, in the
+    same document too.  Null and empty texts have no chunks.  Null ids come
+    first.  Rows that repeat an id with one text are one document, and each
+    gets its row.
 
     Chunk rows cross the network once, ordered by digest (a window that
-    streams and spills); only repeated ones travel on."""
+    streams and spills); only repeated ones travel on.  Texts cross it once
+    more for the ``min_chars`` code points on either side of a run."""
     rows = chunk_rows(docs, id_col=id_col, text_col=text_col, every=every)
     order = Window.partitionBy("hi", "lo").orderBy("id", "at")
-    place = rows.withColumns({"n": F.row_number().over(order), "next": F.lead(F.lit(1)).over(order)})
+    own = F.struct("id", "at")
+    place = rows.withColumns({"n": F.row_number().over(order), "next": F.lead(own).over(order), "first": F.first(own).over(order)})
+    place = place.withColumn("other", F.when(F.col("n") > 1, F.col("first")).otherwise(F.coalesce(
+        F.get(F.filter("others", lambda o: o != own), F.lit(0)), F.col("next"))))
     found = place.filter((F.col("n") > 1) | F.col("next").isNotNull() | (F.size("others") > 0)).select(F.explode(F.concat(
-        F.array(F.struct("id", "at", (F.col("n") > 1).alias("later"))),
-        F.transform("others", lambda o: F.struct(o["id"].alias("id"), o["at"].alias("at"), F.lit(True).alias("later"))))
-    ).alias("c")).select(
-        F.col("c.id").alias("id"), F.shiftright("c.at", TWIN_BITS + LENGTH_BITS).alias("start"),
-        F.shiftright("c.at", LENGTH_BITS).bitwiseAND(F.lit((1 << TWIN_BITS) - 1)).alias("twin"),
-        F.col("c.at").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).alias("chars"), "c.later")
+        F.array(F.struct("id", "at", (F.col("n") > 1).alias("later"), "other")),
+        F.transform("others", lambda o: F.struct(o["id"].alias("id"), o["at"].alias("at"), F.lit(True).alias("later"),
+                                                 F.col("first").alias("other"))))).alias("c"))
+    twin_of = lambda at: F.shiftright(at, LENGTH_BITS).bitwiseAND(F.lit((1 << TWIN_BITS) - 1))
+    start_of = lambda at: F.shiftright(at, TWIN_BITS + LENGTH_BITS)
+    here = F.col("c.other").isNull() | (F.col("c.other") == F.struct("c.id", "c.at"))
+    found = found.select(
+        F.col("c.id").alias("id"), start_of("c.at").alias("start"), twin_of("c.at").alias("twin"),
+        F.col("c.at").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).alias("chars"), "c.later",
+        F.struct(here.alias("here"), F.col("c.other.id").alias("pid"), twin_of("c.other.at").alias("ptwin"),
+                 start_of("c.other.at").alias("pstart")).alias("other"))
     # rows that repeat an id and a text give the same places: once is enough
-    found = found.groupBy("id", "twin", "start", "chars").agg(F.min("later").alias("later"))
+    found = found.groupBy("id", "twin", "start", "chars").agg(F.min("later").alias("later"), F.min("other").alias("other"))
     per_doc = Window.partitionBy("id", "twin").orderBy("start")
+    fresh = F.coalesce((F.col("start") != F.lag(F.col("start") + F.col("chars")).over(per_doc)).cast("int"), F.lit(1))
+    found = materialize(found.withColumn("__new", fresh).withColumn("run", F.sum("__new").over(per_doc)).drop("__new"), "chunks")
+
+    end = F.col("start") + F.col("chars")
+    edge = F.struct("start", "chars", "other")
+    run = materialize(found.groupBy("id", "twin", "run").agg(
+        F.min("start").alias("start"), F.max(end).alias("end"), F.min(edge).alias("head"), F.max(edge).alias("tail")), "runs")
+    sides = [run.select("id", "twin", "run", F.lit(side).alias("side"), F.col(pos).alias("pos"), f"{chunk}.other.pid",
+                        f"{chunk}.other.ptwin", (F.col(f"{chunk}.other.pstart") + past).alias("ppos"))
+             .filter(~F.col(f"{chunk}.other.here") & (F.lit(side == 1) | (F.least("pos", "ppos") > 0)))
+             for side, pos, chunk, past in ((0, "start", "head", F.lit(0)), (1, "end", "tail", F.col("tail.chars")))]
+    grown = extensions(docs, sides[0].unionByName(sides[1]), id_col=id_col, text_col=text_col, reach=max(1, min_chars))
+    grown = grown.groupBy("id", "twin", "run").agg(*[
+        F.max(F.when(F.col("side") == side, F.col("more"))).alias(name) for side, name in ((0, "before"), (1, "after"))])
+
+    def same_run(a: str, b: str) -> Column:
+        return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.twin") == F.col(f"{b}.twin")) & (
+            F.col(f"{a}.run") == F.col(f"{b}.run"))
+
+    before, after = F.coalesce("g.before", F.lit(0)), F.coalesce("g.after", F.lit(0))
+    long = run.alias("r").join(grown.alias("g"), same_run("r", "g"), "left").filter(
+        F.col("r.end") - F.col("r.start") + before + after >= min_chars).select(
+        "r.id", "r.twin", "r.run", F.col("r.start").alias("first"), F.col("r.end").alias("last"),
+        before.alias("before"), after.alias("after"))
+    marked = found.alias("f").join(long.alias("l"), same_run("f", "l")).select(
+        "f.id", "f.twin", "f.later",
+        (F.col("start") - F.when(F.col("start") == F.col("first"), F.col("before")).otherwise(0)).alias("start"),
+        (end + F.when(end == F.col("last"), F.col("after")).otherwise(0)).alias("end"))
+    marked = materialize(marked, "marked")
+
+    def merged(df: DataFrame) -> DataFrame:
+        """Spans that touch or overlap become one."""
+        reached = F.max("end").over(per_doc.rowsBetween(Window.unboundedPreceding, -1))
+        new = F.coalesce((F.col("start") > reached).cast("int"), F.lit(1))
+        return (df.withColumn("__new", new).withColumn("cut", F.sum("__new").over(
+            per_doc.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "twin", "cut")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end")))
 
-    def runs(df: DataFrame, name: str) -> DataFrame:
-        fresh = F.coalesce((F.col("start") != F.lag(F.col("start") + F.col("chars")).over(per_doc)).cast("int"), F.lit(1))
-        return df.withColumn("__new", fresh).withColumn(name, F.sum("__new").over(per_doc))
-
-    run = Window.partitionBy("id", "twin", "run")
-    long = (runs(found, "run").withColumn("run_chars", F.sum("chars").over(run))
-            .filter(F.col("run_chars") >= min_chars).select("id", "twin", "start", "chars", "later"))
-    spans = (runs(long.filter("later"), "cut").groupBy("id", "twin", "cut")
-             .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("chars")).alias("end")))
-    per_row = long.groupBy("id", "twin").agg(F.sum("chars").alias("repeated_chars")).join(
-        spans.groupBy("id", "twin").agg(
-            F.array_sort(F.collect_list(F.struct("start", "end"))).alias("dropped_spans"),
-            F.sum(F.col("end") - F.col("start")).alias("dropped_chars")), ["id", "twin"], "left")
+    per_row = merged(marked).groupBy("id", "twin").agg(F.sum(F.col("end") - F.col("start")).alias("repeated_chars")).alias("m")
+    spans = merged(marked.filter("later")).groupBy("id", "twin").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("dropped_spans"),
+        F.sum(F.col("end") - F.col("start")).alias("dropped_chars")).alias("s")
+    per_row = per_row.join(spans, F.col("m.id").eqNullSafe(F.col("s.id")) & (F.col("m.twin") == F.col("s.twin")), "left").select(
+        "m.id", "m.twin", "m.repeated_chars", "s.dropped_spans", "s.dropped_chars")
     base = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("text_hash"),
                        F.coalesce(F.char_length(text_col), F.lit(0)).cast("long").alias("n_chars"))
     twin = F.pmod(F.col("b.text_hash"), F.lit(1 << TWIN_BITS))

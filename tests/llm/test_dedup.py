@@ -155,6 +155,28 @@ def test_repeated_passages_are_found_and_clean_rows_left_alone(spark):
     assert all(len(cut[i]) == len(text[i]) - got[i]["dropped_chars"] for i in range(30))
 
 
+def planted_passages(words, trials=60):
+    """Documents 2i and 2i + 1 share a passage; its place in each."""
+    rng = random.Random(words)
+    rows, place = [], {}
+    for i in range(trials):
+        passage = prose(rng, words)
+        for doc, mark in ((2 * i, "x"), (2 * i + 1, "y")):
+            before = f"{prose(rng, rng.randrange(5, 40))} {mark}"
+            rows.append((doc, f"{before}{passage}{mark} {prose(rng, rng.randrange(5, 40))}"))
+            place[doc] = (len(before), len(before) + len(passage))
+    return rows, place
+
+
+def test_passages_are_marked_from_end_to_end(spark):
+    rows, place = planted_passages(30)
+    got = {r["doc_id"]: r for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, (a, b) in place.items():
+        near = [(s["start"], s["end"]) for s in got[doc]["dropped_spans"]]
+        assert got[doc]["repeated_chars"] == b - a
+        assert near == ([(a, b)] if doc % 2 else [])
+
+
 def test_repeated_spans_of_odd_tables(spark):
     assert repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     text = "some words that stand here twice, in rows of one id " * 3
