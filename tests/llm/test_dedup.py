@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -9,7 +10,8 @@ from lodestar.llm.chunk_dedup import chunk_ends, cut_spans, repeated_spans
 from lodestar.llm.components import connected_components
 from lodestar.llm.embed_dedup import embedding_links, fit_axes, linked, unit_rows
 from lodestar.llm.line_dedup import dedup_lines
-from lodestar.llm.weighted_minhash import CELLS, all_similarities, consistent_samples, near_duplicates, shingles, weights_of
+from lodestar.llm.weighted_minhash import (CELLS, all_similarities, consistent_samples, document_frequencies, near_duplicates,
+                                           shingles, weights_of)
 
 
 def prose(rng, n, vocabulary=4000):
@@ -78,6 +80,22 @@ def test_near_duplicates_match_all_pairs(spark):
     assert {r["doc_id"] for r in got if r["kept"]} == set(want)
 
 
+def test_rare_and_common_shingles_keep_their_weights_in_a_large_table(spark):
+    """1.5 M shingles that one row holds beside some that many rows hold."""
+    rng = random.Random(8)
+    common = [prose(rng, 5, 10 ** 9) for _ in range(20)]
+    texts = [prose(rng, 500, 10 ** 9) + " " + common[i % 20] for i in range(3000)]
+    kept = prose(rng, 60, 10 ** 9)
+    texts += [common[i] + " " + kept for i in range(2)] + [kept + " " + common[i] for i in range(2, 4)]
+    got = document_frequencies(spark.createDataFrame([(t,) for t in texts] + [(texts[0],), (None,), ("",)], "text string"), "text", 5)
+    by_text = {r["key"]: sorted(n for h in r["held"] for n in h["df"]) for r in got.collect()}
+    twin = {r["text"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts], "text string").selectExpr(
+        "text", "xxhash64(text) & 4294967295L h").collect()}
+    holders = Counter(s for t in texts + [texts[0]] for s in brute.shingle_counts(t))
+    for t in texts[::97] + texts[:21] + texts[-4:]:
+        assert by_text[twin[t]] == sorted(holders[s] for s in brute.shingle_counts(t) if holders[s] > 1)
+
+
 def test_near_duplicates_rows_that_repeat_and_empty_table(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(2, text, "x"), (2, text, "y"), (1, text, "z"), (None, text, None), (2, "other words", "k")],
