@@ -4,10 +4,12 @@ become one training text with a loss mask.  Native column functions only."""
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 # Word joiner: put behind the first character of a control string inside a
@@ -16,6 +18,9 @@ ESCAPE = "⁠"
 # Strings that chat templates give a meaning.
 CONTROL = ["<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]"]
 CONTROL_RE = r"(<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\])"
+# A variant takes no string of more characters than this, and no record over 128 MiB.
+VARIANT_MOST = 20_000_000
+LONG_TEXTS = {"maxStringLen": str(2 ** 31 - 1)}
 TURN_TYPE = "array<struct<role:string,text:string>>"
 
 
@@ -83,11 +88,46 @@ def field_paths(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column
     return F.array_sort(F.flatten(F.array(*found)))
 
 
+def record_paths(kind: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> list[str]:
+    """``field_paths`` of the records of a schema."""
+    roots = {p.split("[].")[0] for x in layouts for p in x.paths}
+    inner = {p.split("[].")[1] for x in layouts for p in x.paths if "[]." in p}
+    found = []
+    for f in kind.fields:
+        if f.name not in roots:
+            continue
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            found += [f"{f.name}[].{n}" for n in f.dataType.elementType.names if n in inner]
+        else:
+            found.append(f"{f.name}[]" if isinstance(f.dataType, T.ArrayType) else f.name)
+    return sorted(found)
+
+
+def _long_paths(record: Column, layouts: tuple[Layout, ...]) -> Column:
+    """``field_paths`` of a record that is too long for a variant, read as a
+    map of JSON texts."""
+    roots = sorted({p.split("[].")[0] for x in layouts for p in x.paths})
+    inner = sorted({p.split("[].")[1] for x in layouts for p in x.paths if "[]." in p})
+    found = []
+    for root in roots:
+        text = record[root]
+        rows = F.from_json(text, "array<map<string,string>>", LONG_TEXTS)
+        names = F.array_distinct(F.flatten(F.transform(rows, lambda m: F.map_keys(m))))
+        names = F.filter(names, lambda n: n.isin(inner))
+        objects = (F.size(rows) > 0) & F.forall(rows, lambda m: m.isNotNull())
+        found.append(F.when(~F.array_contains(F.map_keys(record), root), F.array().cast("array<string>"))
+                     .when(objects, F.transform(names, lambda n: F.concat(F.lit(f"{root}[]."), n)))
+                     .when(F.ltrim(text).startswith("["), F.array(F.lit(f"{root}[]")))
+                     .otherwise(F.array(F.lit(root))))
+    return F.array_sort(F.flatten(F.array(*found)))
+
+
 def fingerprint(paths: Column) -> Column:
     return F.sha2(F.array_join(paths, "\n"), 256)
 
 
-def _turns_of(record: Column, layout: Layout) -> Column:
+def _turns_of(get: Callable[[str, str], Column], layout: Layout) -> Column:
+    """``get`` reads a field of the record as a type."""
     def named(role: Column) -> Column:
         if not layout.roles:
             return role
@@ -96,12 +136,13 @@ def _turns_of(record: Column, layout: Layout) -> Column:
 
     if layout.each:
         root, role, text = layout.each
-        rows = F.try_variant_get(record, f"$.{root}", f"array<struct<`{role}`:string,`{text}`:string>>")
+        rows = get(root, f"array<struct<`{role}`:string,`{text}`:string>>")
         return F.transform(rows, lambda m: F.struct(
-            F.coalesce(named(m[role]), F.lit("")).alias("role"), F.coalesce(m[text], F.lit("")).alias("text")))
+            F.coalesce(named(m[role].cast("string")), F.lit("")).alias("role"),
+            F.coalesce(m[text].cast("string"), F.lit("")).alias("text")))
     turns = []
     for role, names in layout.fixed:
-        parts = F.array(*[F.try_variant_get(record, f"$.{n}", "string") for n in names])
+        parts = F.array(*[get(n, "string") for n in names])
         body = F.array_join(F.filter(parts, lambda x: x.isNotNull() & (x != "")), "\n\n")
         turns.append(F.struct(F.lit(role).alias("role"), body.alias("text")))
     return F.array(*turns)
@@ -116,19 +157,46 @@ def canonical_turns(records: DataFrame, raw_col: str, layouts: tuple[Layout, ...
     null ``layout`` and no turns; it stays as a row, so nothing is lost
     unseen.  Null roles and texts are empty; an empty message list is the
     layout of its array and has no turns.  Input columns of the three names
-    are replaced."""
+    are replaced.  Records too long for a variant (a text of over 20 million
+    characters, or over 128 MiB) are read as maps of JSON texts."""
     own = ("fingerprint", "layout", "turns")
     base = records.select(*[F.col(f"`{c}`") for c in records.columns if c.lower() not in own])
-    with_paths = base.withColumn("__record", F.try_parse_json(F.col(raw_col))).withColumn(
-        "fingerprint", fingerprint(field_paths(F.col("__record"), layouts)))
+    raw, record, large = F.col(raw_col), F.col("__record"), F.col("__large")
+    read = base.withColumn("__record", F.try_parse_json(raw))
+    read = read.withColumn("__large", F.when(record.isNull() & (F.octet_length(raw) >= VARIANT_MOST),
+                                             F.from_json(raw, "map<string,string>", LONG_TEXTS)))
+    with_paths = read.withColumn("fingerprint", fingerprint(
+        F.when(large.isNotNull(), _long_paths(large, layouts)).otherwise(field_paths(record, layouts))))
+
+    def of_variant(name: str, kind: str) -> Column:
+        return F.try_variant_get(record, f"$.{name}", kind)
+
+    def of_map(name: str, kind: str) -> Column:
+        return large[name] if kind == "string" else F.from_json(large[name], kind, LONG_TEXTS)
+
     layout, turns = F.lit(None).cast("string"), F.array().cast(TURN_TYPE)
     for x in layouts:
         hit = F.col("fingerprint") == x.fingerprint
         if x.each:  # an empty list has no fields to tell by
             hit = hit | (F.col("fingerprint") == hashlib.sha256(f"{x.each[0]}[]".encode()).hexdigest())
         layout = F.when(hit & layout.isNull(), F.lit(x.name)).otherwise(layout)
-        turns = F.when(hit, F.coalesce(_turns_of(F.col("__record"), x), F.array().cast(TURN_TYPE))).otherwise(turns)
-    return with_paths.withColumns({"layout": layout, "turns": turns}).drop("__record")
+        found = F.when(large.isNotNull(), _turns_of(of_map, x)).otherwise(_turns_of(of_variant, x))
+        turns = F.when(hit, F.coalesce(found, F.array().cast(TURN_TYPE))).otherwise(turns)
+    return with_paths.withColumns({"layout": layout, "turns": turns}).drop("__record", "__large")
+
+
+def typed_turns(records: DataFrame, record_col: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """``canonical_turns`` of records that are structs: the fingerprint of
+    their schema selects one mapping for all, and no JSON is written or read,
+    so no text is too long for it."""
+    own = ("fingerprint", "layout", "turns")
+    base = records.select(*[F.col(f"`{c}`") for c in records.columns if c.lower() not in own])
+    mark = hashlib.sha256("\n".join(record_paths(records.schema[record_col].dataType, layouts)).encode()).hexdigest()
+    layout = next((x for x in layouts if x.fingerprint == mark), None)
+    none = F.array().cast(TURN_TYPE)
+    record = F.col(f"`{record_col}`")
+    turns = F.coalesce(_turns_of(lambda n, kind: record[n].cast(kind) if kind == "string" else record[n], layout), none) if layout else none
+    return base.withColumns({"fingerprint": F.lit(mark), "layout": F.lit(layout.name if layout else None).cast("string"), "turns": turns})
 
 
 def format_chat(df: DataFrame, turns_col: str = "turns") -> DataFrame:
@@ -157,14 +225,18 @@ def read_chat(formatted: Column) -> Column:
     return F.zip_with(roles, texts, lambda r, t: F.struct(unescape(r).alias("role"), unescape(t).alias("text")))
 
 
-def conversation_records(turn_rows: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text) rows -> one ``messages`` JSON record per
+def conversation_structs(turn_rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) rows -> one ``messages`` record per
     conversation, rows by turn (null turn last; ties by role, then text;
     repeated rows stay).  A conversation is one training text, so its rows
     meet in one output row."""
     row = F.struct(F.col("turn").isNull().alias("late"), "turn", F.coalesce("role", F.lit("")).alias("role"),
                    F.coalesce("text", F.lit("")).alias("content"))
     rows = F.array_sort(F.collect_list(row))
-    return turn_rows.groupBy("conv_id").agg(F.to_json(F.struct(F.transform(
-        rows, lambda r: F.struct(r["role"].alias("role"), r["content"].alias("content"))).alias("messages"))
-    ).alias("record"))
+    return turn_rows.groupBy("conv_id").agg(F.struct(F.transform(
+        rows, lambda r: F.struct(r["role"].alias("role"), r["content"].alias("content"))).alias("messages")).alias("record"))
+
+
+def conversation_records(turn_rows: DataFrame) -> DataFrame:
+    """``conversation_structs`` with the records as JSON."""
+    return conversation_structs(turn_rows).select("conv_id", F.to_json("record").alias("record"))

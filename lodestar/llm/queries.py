@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chat_format import canonical_turns, conversation_records, format_chat, read_chat
+from .chat_format import conversation_structs, format_chat, read_chat, typed_turns
 from .chunk_dedup import repeated_spans
 from .common import bounded_batches
 from .embed_dedup import embedding_links
@@ -82,7 +82,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"),
                  F.lit("</s>[INST] ok [/INST]").alias("text")) for i, role in enumerate(("user", "assistant"))]))
         .alias("r")).select("conv_id", "r.*")
-    chats = format_chat(canonical_turns(conversation_records(rows.unionByName(probe)), "record"))
+    chats = format_chat(typed_turns(conversation_structs(rows.unionByName(probe)), "record"))
     back = chats.select("conv_id", "formatted", "layout", read_chat(F.col("formatted")).alias("back"))
     line = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.array_join(F.transform(F.filter("back", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")

@@ -71,6 +71,23 @@ def test_conversation_rows_in_turn_order(spark):
     assert C.conversation_records(df.limit(0)).count() == 0
 
 
+def test_texts_over_the_limit_of_a_variant_stay(spark):
+    n = 21_000_000
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (2, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    rows = rows.unionByName(spark.range(1).select(F.lit(1).cast("long").alias("conv_id"), F.lit(1).cast("long").alias("turn"),
+                                                  F.lit("assistant").alias("role"), F.repeat(F.lit("x"), n).alias("text")))
+    size = F.transform("turns", lambda t: F.struct(t["role"], F.char_length(t["text"])))
+    want = {1: ("messages", [("user", 1), ("assistant", n)]), 2: ("messages", [("user", 1)])}
+    for chats in (C.typed_turns(C.conversation_structs(rows), "record"),
+                  C.canonical_turns(C.conversation_records(rows), "record")):
+        got = chats.select("conv_id", "layout", "fingerprint", size.alias("size")).collect()
+        assert {r["conv_id"]: (r["layout"], [tuple(t) for t in r["size"]]) for r in got} == want
+        assert {r["fingerprint"] for r in got} == {C.LAYOUTS[0].fingerprint}
+    pair = spark.range(1).select(F.to_json(F.struct(F.lit("q").alias("question"), F.repeat(F.lit("y"), n).alias("answer"))).alias("r"))
+    got = C.canonical_turns(pair, "r").select("layout", size.alias("size")).first()
+    assert got["layout"] == "question_answer" and [tuple(t) for t in got["size"]] == [("user", 1), ("assistant", n)]
+
+
 def test_length_histogram_matches_plain_counting(spark):
     rng = random.Random(3)
     lengths = [rng.choice([0, 1, 5, 5, 1023, 1024, 1025, rng.randrange(9000)]) for _ in range(400)]
