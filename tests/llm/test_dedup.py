@@ -43,6 +43,23 @@ def test_embedding_links_match_all_pairs(spark, tile):
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, brute.embedding_rows(rows)))
 
 
+@pytest.mark.parametrize("tile", [16, 4096])
+def test_vectors_of_every_length_link_with_their_own(spark, tile):
+    rng = np.random.default_rng(6)
+    rows = vectors(rng)
+    for dim, start in ((7, 1000), (3, 2000)):
+        base = rng.normal(size=dim)
+        rows += [(start + i, (base + 0.3 * rng.normal(size=dim)).tolist()) for i in range(40)]
+        rows += [(start + 100, rows[-1][1]), (start + 101, rng.normal(size=dim).tolist())]
+    want = [r for dim in (3, 7) for r in brute.embedding_rows([x for x in rows if x[1] is not None and len(x[1]) == dim])]
+    got = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tile=tile, sample=64).collect()
+    assert sorted(tuple(r) for r in got if r["vec_id"] is not None and r["vec_id"] >= 1000) == sorted(want)
+    assert sum(r[1] for r in want) > 0
+    rest = [x for x in rows if x[0] is None or x[0] < 1000]
+    assert sorted(map(str, (tuple(r) for r in got if r["vec_id"] is None or r["vec_id"] < 1000))) == sorted(
+        map(str, brute.embedding_rows(rest)))
+
+
 def test_embedding_links_without_usable_rows(spark):
     for rows in ([], [(1, None), (2, [0.0])]):
         got = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
