@@ -44,7 +44,8 @@ def chunk_ends(raw: np.ndarray, offsets: np.ndarray, every: int, least: int, mos
     starts_char[:-1] = (raw & 0xC0) != 0x80
     hit = np.flatnonzero((h[place] < np.uint32((1 << 32) // every)) & starts_char[1:]) + 1
     if len(hit):
-        hit = hit[np.concatenate([[True], np.diff(hit) >= least])]
+        of_row = np.searchsorted(offsets, hit - 1, side="right")
+        hit = hit[np.concatenate([[True], (np.diff(hit) >= least) | (np.diff(of_row) > 0)])]
     ends = np.union1d(hit, offsets[1:][lengths > 0])
     begins = np.concatenate([[0], ends[:-1]])
     long = np.flatnonzero(ends - begins > most)

@@ -190,6 +190,15 @@ def test_repeated_passages_are_found_and_clean_rows_left_alone(spark):
     assert all(len(cut[i]) == len(text[i]) - got[i]["dropped_chars"] for i in range(30))
 
 
+def test_chunks_do_not_depend_on_the_row_before():
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(97, 123, n).astype(np.uint8) for n in rng.integers(0, 120, 400)]
+    alone = [chunk_ends(x, np.array([0, len(x)]), 4, 8, 512) for x in texts]
+    offsets = np.cumsum([0] + [len(x) for x in texts])
+    together = chunk_ends(np.concatenate(texts), offsets, 4, 8, 512)
+    assert together.tolist() == [int(e + o) for ends, o in zip(alone, offsets) for e in ends]
+
+
 def planted_passages(words, trials=60):
     """Documents 2i and 2i + 1 share a passage; its place in each."""
     rng = random.Random(words)
