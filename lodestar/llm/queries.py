@@ -19,6 +19,7 @@ from .token_counts import length_histogram, token_lengths
 from .topk_search import exact_topk, finite_vectors
 from .toxicity import fit_severity, score_severity
 from .weighted_minhash import near_duplicates
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,3 +156,8 @@ FROM marked GROUP BY doc_id""")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
