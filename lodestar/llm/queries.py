@@ -12,6 +12,7 @@ from .chat_format import conversation_structs, format_chat, read_chat, typed_tur
 from .chunk_dedup import repeated_spans
 from .common import bounded_batches
 from .embed_dedup import embedding_links
+from .hard_negatives import hard_negatives
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .piece_sampling import sample_segmentations
@@ -158,6 +159,31 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op12_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * e::DOUBLE) FOR e IN embedding] AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+                  CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+           FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+          SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+          FROM scored WHERE same) WHERE place <= 5),
+neg AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER)
+                 AS rank
+        FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = finite_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), "vec_id", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = rows.select("vec_id", label.alias("label"), F.transform(
+        "embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long")).alias("vector"))
+    return hard_negatives(whole, F.col("vec_id") % 100 == 0)
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
