@@ -16,6 +16,7 @@ from .hard_negatives import hard_negatives
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .piece_sampling import sample_segmentations
+from .secret_scan import fit_secrets, scan_secrets, span_text
 from .token_counts import length_histogram, token_lengths
 from .topk_search import exact_topk, finite_vectors
 from .toxicity import fit_severity, score_severity
@@ -159,6 +160,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = scan_secrets(docs, fit_secrets(docs, file_col="source"), file_col="source")
+
+    def many(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", many("assign"), many("access"), many("hex"),
+                        F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
 @query("op12_hard_negatives", """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   [floor(256 * e::DOUBLE) FOR e IN embedding] AS x FROM embeddings
