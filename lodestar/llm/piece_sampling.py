@@ -17,7 +17,9 @@ from .common import mix64, row_slices, text_bytes, unit
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE, LITERAL = 0x2581, 0x110000  # the piece alphabet's blank; a text's own U+2581
 FALLBACK = 1 << 22  # ids from here stand for one code point in byte pieces
-SLICE = 1 << 20
+SLICE = 1 << 20  # bytes of text, and code points, that are in work at once
+PARTS = 2.0 ** 36
+UNIT = 256  # code points; longer runs without a blank are cut
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -90,27 +92,32 @@ class Lattice:
             live, slot = live[go], (slot[go] + 1) & self.mask
         return out
 
-    def edges(self, chars: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """Piece ids by place and length - 1 (-1: no piece); ``left`` code
-        points remain in the unit.  A character that is no piece of its own
-        gets one edge of byte pieces."""
-        ids = np.full((len(chars), self.longest), -1, np.int32)
-        at, state = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+    def edges(self, chars: np.ndarray, at: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces that begin at places of ``chars``: the place's number, the
+        piece's length - 1 and its id, by length and then by place; ``left``
+        code points remain in the place's unit.  A character that is no piece
+        of its own gets one edge of byte pieces."""
+        place, state = np.arange(len(at)), np.zeros(len(at), np.int64)
+        found = []
         for n in range(self.longest):
-            inside = left[at] > n
-            at, state = at[inside], state[inside]
-            state = self.step(state, chars[at + n])
-            at, state = at[state >= 0], state[state >= 0]
-            if not len(at):
+            if n:
+                inside = left[place] > n
+                place, state = place[inside], state[inside]
+            state = self.step(state, chars[at[place] + n])
+            go = state >= 0
+            piece = np.where(go, self.ends[state], -1).astype(np.int64)
+            if n == 0:
+                bare = piece < 0
+                piece[bare] = FALLBACK + chars[at[bare]]
+            some = piece >= 0
+            found.append((place[some], np.full(some.sum(), n, np.int8), piece[some]))
+            place, state = place[go], state[go]
+            if not len(place):
                 break
-            ids[at, n] = self.ends[state]
-        bare = ids[:, 0] < 0
-        ids[bare, 0] = FALLBACK + chars[bare]
-        return ids[:, :int(np.flatnonzero((ids >= 0).any(0))[-1]) + 1]
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def weights(self, ids: np.ndarray) -> np.ndarray:
-        table = np.append(self.log_weight, [self.log_fallback, -np.inf])  # -1 takes the last
-        return table[np.minimum(ids, self.size)]
+        return np.append(self.log_weight, self.log_fallback)[np.minimum(ids, self.size)]
 
 
 @lru_cache(maxsize=4)
@@ -120,12 +127,19 @@ def lattice(model: str, alpha: float) -> Lattice:
 
 def _units(chars: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Begins of the units that pieces stay within: blanks and what follows
-    up to the next blank; a line feed stands alone."""
+    up to the next blank, cut every ``UNIT`` code points; a line feed stands
+    alone."""
     begin = np.zeros(len(chars), bool)
     begin[heads] = True
     blank, feed = chars == SPACE, chars == 10
     begin[1:] |= (blank[1:] & ~blank[:-1]) | feed[1:] | feed[:-1]
-    return np.flatnonzero(begin)
+    at = np.flatnonzero(begin)
+    sizes = np.diff(np.append(at, len(chars)))
+    if len(at) and sizes.max() > UNIT:
+        parts = -(-sizes // UNIT)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        at = np.repeat(at, parts) + nth * UNIT
+    return at
 
 
 def _distinct(chars: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,58 +160,179 @@ def _distinct(chars: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class Sampler:
-    """The lattice of a batch of texts, as conditional probabilities of the
-    next piece at every place of every distinct unit."""
+    """The lattice of a window of texts: for every place of every distinct
+    unit the pieces that begin there, with their conditional probabilities.
+    Places stand in the order of what is left of their unit, and a place's
+    edges (``first`` to ``last``) in the order of their lengths."""
 
-    def __init__(self, lat: Lattice, chars: np.ndarray, heads: np.ndarray):
-        begins = _units(chars, heads)
+    def __init__(self, lat: Lattice, chars: np.ndarray, begins: np.ndarray):
         first, number = _distinct(chars, begins)
         sizes = np.diff(np.append(begins, len(chars)))
         size = sizes[first]
         base = np.concatenate([[0], np.cumsum(size)])
-        own = np.repeat(begins[first], size) + np.arange(base[-1]) - np.repeat(base[:-1], size)
+        own = np.repeat(begins[first] - base[:-1], size) + np.arange(base[-1])
         left = np.repeat(base[1:], size) - np.arange(base[-1])
-        self.ids = lat.edges(chars[own], left)
-        weight = lat.weights(self.ids)
+        order = np.argsort(left.astype(np.int16), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        place, length, ids = lat.edges(chars, own[order], left[order])
+        count = np.bincount(place, minlength=len(order))
+        self.first = np.cumsum(count) - count
+        self.last = self.first + count - 1
+        slot = np.argsort(place, kind="stable")
+        self.length, self.ids = length[slot], ids[slot]
+        place = place[slot]
+        after = order[place] + self.length + 1
+        self.ends = self.length + 1 == left[order][place]
+        to = np.where(self.ends, len(order), rank[np.minimum(after, len(order) - 1)])
+        value = lat.weights(self.ids)
         # sums of weights to the unit's end, from the last place on
-        total = np.zeros(base[-1] + 1)
-        by_left = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[by_left], np.arange(1, int(size.max()) + 2))
-        widest = self.ids.shape[1]
-        steps = np.arange(1, widest + 1)
-        for d in range(1, int(size.max()) + 1):
-            at = by_left[cuts[d - 1]:cuts[d]]
-            if not len(at):
+        total = np.zeros(len(order) + 1)
+        cuts = np.searchsorted(left[order], np.arange(1, int(size.max()) + 2))
+        edge = np.append(self.first, len(place))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
                 continue
-            reach = steps[:min(d, widest)]
-            value = weight[at, :len(reach)]
-            for k in reach[reach < d]:  # a piece to the unit's very end has nothing after it
-                value[:, k - 1] += total[at + k]
-            most = value.max(1)
-            np.exp(np.subtract(value, most[:, None], out=value), out=value)
-            share = value.sum(1)
-            total[at] = most + np.log(share)
-            weight[at, :len(reach)] = value / share[:, None]
-            weight[at, len(reach):] = 0.0
-        self.p, self.sums = weight, np.cumsum(weight, 1)
-        self.where = np.repeat(base[:-1][number], sizes) + np.arange(len(chars)) - np.repeat(begins, sizes)
-        self.begins, self.unit_end = begins, np.repeat(np.append(begins[1:], len(chars)), sizes)
-
-    def choose(self, at: np.ndarray, draw: np.ndarray, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Length - 1 of the piece taken at each place, and its probability;
-        edges in the bit set ``used`` are out."""
+            e0, e1, many = edge[a], edge[b], count[a:b]
+            w = value[e0:e1] + total[to[e0:e1]]
+            starts = self.first[a:b] - e0
+            most = np.maximum.reduceat(w, starts)
+            w = np.exp(w - np.repeat(most, many))
+            share = np.add.reduceat(w, starts)
+            total[a:b] = most + np.log(share)
+            value[e0:e1] = w / np.repeat(share, many)
+        self.p, self.sums = value, value.copy()
+        nth = np.arange(len(place)) - self.first[place]
+        for n in range(1, int(count.max())):
+            e = np.flatnonzero(nth == n)
+            self.sums[e] += self.sums[e - 1]
+        self.most = int(count.max())
+        self.where = rank[np.repeat(base[:-1][number] - begins, sizes) + np.arange(len(chars))]
+
+    def choose(self, at: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        """The edge taken at each place."""
         state = self.where[at]
-        if used is None:
-            sums = self.sums[state]
-            pick = (sums <= (draw * sums[:, -1])[:, None]).sum(1)
-            return pick, self.p[state, pick]
-        p = np.where(used[:, None] >> np.arange(self.p.shape[1]) & 1, 0.0, self.p[state])
+        edge, last = self.first[state], self.last[state]
+        live = np.flatnonzero((draw >= self.sums[edge]) & (edge < last))
+        while len(live):
+            edge[live] += 1
+            e = edge[live]
+            live = live[(draw[live] >= self.sums[e]) & (e < last[live])]
+        return edge
+
+    def unused(self, at: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Edges of some places as rows, and their probabilities, 0 for those
+        whose length is in the bit set ``used``."""
+        state = self.where[at]
+        edge = np.minimum(self.first[state][:, None] + np.arange(self.most), self.last[state][:, None])
+        real = np.arange(self.most) <= (self.last - self.first)[state][:, None]
+        out = real & (used[:, None] >> self.length[edge].astype(np.int64) & 1 == 0)
+        return edge, np.where(out, self.p[edge], 0.0)
+
+    def choose_unused(self, at: np.ndarray, draw: np.ndarray, used: np.ndarray) -> np.ndarray:
+        edge, p = self.unused(at, used)
         sums = np.cumsum(p, 1)
-        pick = np.minimum((sums <= (draw * sums[:, -1])[:, None]).sum(1), p.shape[1] - 1)
-        lost = p[np.arange(len(at)), pick] <= 0
-        if lost.any():
-            pick[lost] = p[lost].argmax(1)
-        return pick, self.p[state, pick]
+        pick = np.minimum((sums <= (draw * sums[:, -1])[:, None]).sum(1), self.most - 1)
+        row = np.arange(len(at))
+        pick = np.where(p[row, pick] > 0, pick, p.argmax(1))
+        return edge[row, pick]
+
+
+class Paths:
+    """Draws whole segmentations of the texts of a slice.  Lattices are built
+    for windows of whole units, ``SLICE`` code points at most, so a long text
+    costs no more memory for them than a short one; what stays for each code
+    point is the piece taken and the log probability so far."""
+
+    def __init__(self, lat: Lattice, chars: np.ndarray, offsets: np.ndarray, seeds: np.ndarray):
+        self.lat, self.chars, self.offsets, self.seeds = lat, chars, offsets, seeds
+        sizes = np.diff(offsets)
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.begins = _units(chars, offsets[:-1][sizes > 0])
+        self.cuts = [0]
+        while self.cuts[-1] < len(chars):
+            ends = np.append(self.begins[1:], len(chars))
+            last = np.searchsorted(ends, self.cuts[-1] + SLICE, side="right") - 1
+            self.cuts.append(int(ends[max(last, np.searchsorted(ends, self.cuts[-1], side="right"))]))
+        self._held: tuple[int, Sampler | None] = (-1, None)
+
+    def lattices(self, w: int) -> Sampler:
+        if self._held[0] != w:
+            a, b = self.cuts[w], self.cuts[w + 1]
+            self._held = (w, Sampler(self.lat, self.chars[a:b], self.begins[slice(*np.searchsorted(self.begins, (a, b)))] - a))
+        return self._held[1]
+
+    def draws(self, at: np.ndarray, sample: int, kind: int) -> np.ndarray:
+        """Uniform numbers of places: they hash the text's seed and the place
+        within the text, so neither slices nor windows matter."""
+        text = self.text[at]
+        key = mix64(self.seeds[text] ^ ((at - self.offsets[text]).astype(np.uint64) << np.uint64(20)))
+        return unit(mix64(key ^ np.uint64(sample << 3 | kind)))
+
+    def walk(self, sample: int, branch: np.ndarray | None = None, base: "Path | None" = None,
+             used: np.ndarray | None = None) -> "Path":
+        """A path through every text; with ``branch`` (a place per text, -1:
+        none), a path that keeps ``base`` up to there, takes a piece out of
+        the unused there, and goes on anew."""
+        size = len(self.chars)
+        taken, log_p, ids = np.full(size, -1, np.int8), np.zeros(size), np.full(size, -1, np.int32)
+        branching = np.zeros(0, np.int64)
+        if branch is not None:
+            branching, bits = branch[branch >= 0], used[branch >= 0]
+            spans = _ranges(self.offsets[:-1], np.maximum(branch, self.offsets[:-1]))
+            taken[spans], log_p[spans], ids[spans] = base.taken[spans], base.log_p[spans], base.ids[spans]
+        for w, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:])):
+            at = self.begins[slice(*np.searchsorted(self.begins, (a, b)))]
+            if branch is not None:
+                owner = branch[self.text[at]]
+                at = at[(owner >= 0) & (at > owner)]
+            some = (branching >= a) & (branching < b)
+            mine = branching[some]
+            if not len(at) and not len(mine):
+                continue
+            lats = self.lattices(w)
+            edges = np.full(b - a, -1, np.int64)
+            if len(mine):
+                e = lats.choose_unused(mine - a, self.draws(mine, sample, 1), bits[some])
+                edges[mine - a] = e
+                at = np.concatenate([(mine + lats.length[e] + 1)[~lats.ends[e]], at])
+            while len(at):
+                e = lats.choose(at - a, self.draws(at, sample, 0))
+                edges[at - a] = e
+                at = (at + lats.length[e] + 1)[~lats.ends[e]]
+            here = np.flatnonzero(edges >= 0)
+            e = edges[here]
+            taken[here + a], log_p[here + a], ids[here + a] = lats.length[e], np.log(lats.p[e]), lats.ids[e]
+        return Path(taken, log_p, ids)
+
+    def rest(self, at: np.ndarray, used: np.ndarray, alive: np.ndarray) -> np.ndarray:
+        """Probability of the unused pieces at one place of each text."""
+        out = np.zeros(len(at))
+        for w, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:])):
+            mine = np.flatnonzero(alive & (at >= a) & (at < b))
+            if len(mine):
+                out[mine] = self.lattices(w).unused(at[mine] - a, used[mine])[1].sum(1)
+        return out
+
+
+class Path:
+    """One segmentation of every text: by place the piece taken (its length
+    less one, or -1), its log probability, its id."""
+
+    def __init__(self, taken: np.ndarray, log_p: np.ndarray, ids: np.ndarray):
+        self.taken, self.log_p, self.ids = taken, log_p, ids
+        # sums of -log_p in whole parts of 1 / PARTS, so that the texts before in a slice change nothing
+        self.through = np.concatenate([[0], np.cumsum(np.rint(log_p * -PARTS).astype(np.int64))])
+
+    def minus_log(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """-log probability of what the path takes between places."""
+        return (self.through[high] - self.through[low]) / PARTS
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All integers of the ranges, one after the other."""
+    sizes = np.maximum(ends - starts, 0)
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 def sample_texts(lat: Lattice, chars: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, k: int
@@ -207,116 +342,98 @@ def sample_texts(lat: Lattice, chars: np.ndarray, offsets: np.ndarray, seeds: np
     perturbed score, log inclusion probability); a text with fewer
     segmentations has score -inf in the rest.
 
-    Best-first search over perturbed maxima: a node's best leaf carries the
-    node's own perturbed score, so the first sample is an ordinary draw with
-    score Gumbel(0).  Every place on its way holds the other pieces as one
-    sibling node, whose score is a Gumbel of the siblings' mass, truncated at
-    the parent's.  The frontier's best sibling is the next sample: its prefix
-    is shared, its piece drawn among the unused, its rest drawn anew.  All
-    texts of the batch take their step together."""
-    n, size = len(offsets) - 1, len(chars)
-    text = np.repeat(np.arange(n), np.diff(offsets))
-    heads = offsets[:-1][np.diff(offsets) > 0]
-    full = np.diff(offsets) > 0
-    every = np.arange(size)
-    place = every - offsets[:-1][text]
-    lats = Sampler(lat, chars, heads)
-    key = mix64(seeds[text] ^ (place.astype(np.uint64) << np.uint64(20)))
-
-    def draws(at: np.ndarray, sample: int, kind: int) -> np.ndarray:
-        return unit(mix64(key[at] ^ np.uint64(sample << 3 | kind)))
-
-    def per_text(values: np.ndarray, how, empty: float) -> np.ndarray:
-        out = np.full(n, empty)
-        if size:
-            out[full] = how.reduceat(values, heads)
-        return out
-
-    def walk(start: np.ndarray, taken: np.ndarray, prob: np.ndarray, sample: int) -> None:
-        at = start
-        while len(at):
-            pick, p = lats.choose(at, draws(at, sample, 0))
-            taken[at], prob[at] = pick, p
-            after = at + pick + 1
-            at = after[after < lats.unit_end[at]]
-
-    def siblings(at: np.ndarray, before: np.ndarray, rest: np.ndarray, score: np.ndarray, sample: int, kind: int) -> np.ndarray:
-        """Perturbed scores of what is left at places: truncated Gumbels."""
+    Best-first search over perturbed maxima: a node is a set of segmentations
+    not drawn yet, and its score the maximum of their perturbed scores.  The
+    first sample is an ordinary draw with score Gumbel(0).  All segmentations
+    that leave its path within a range of places are one node: their mass is
+    the difference of two prefix probabilities, their maximum a Gumbel of that
+    mass truncated at the path's own score.  The frontier's best node is the
+    next sample, and only then is it split: the place where it leaves the path
+    comes by the inverse of the cumulative mass, its piece is drawn among the
+    unused, its rest anew; what remains are the ranges on both sides, the
+    other pieces at the place, and what leaves the new path later.  All texts
+    of the slice take their step together."""
+    n = len(offsets) - 1
+    start, end = offsets[:-1], offsets[1:]
+    score = -np.log(-np.log(unit(mix64(seeds ^ np.uint64(1)))))
+    if not len(chars):  # nothing but empty texts: one empty segmentation each
+        gone = np.full(n, -np.inf)
+        return [(np.full(0, -1, np.int32), np.zeros(n), gone if j else score, np.zeros(n)) for j in range(k)]
+    paths = Paths(lat, chars, offsets, seeds)
+    drawn: list[Path] = []
+    totals, scores = [], []
+    # nodes by text: (path, first place, end of places, used pieces or 0 for a range, log mass, score)
+    nodes: list[tuple[np.ndarray, ...]] = []
+
+    def add(path: np.ndarray, low: np.ndarray, high: np.ndarray, used: np.ndarray, mass: np.ndarray, top: np.ndarray,
+            alive: np.ndarray, step: int) -> None:
+        """A node per text, its score a Gumbel of its mass truncated at ``top``."""
+        draw = unit(mix64(mix64(seeds ^ np.uint64(2)) ^ np.uint64(step << 8 | len(nodes))))
+        with np.errstate(all="ignore"):
+            value = mass - np.log(np.exp(np.minimum(mass - top, 700.0)) - np.log(draw))
+        nodes.append((path, low, high, used, mass, np.where(alive & (mass > -np.inf), np.minimum(value, top), -np.inf)))
+
+    def leaving(path: Path, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Log mass of what leaves ``path`` between two places of each text."""
         with np.errstate(divide="ignore"):
-            loc = before + np.log(np.maximum(rest, 0.0))
-            value = loc - np.log(np.exp(np.minimum(loc - score, 700.0)) - np.log(draws(at, sample, kind)))
-        return np.where(rest > 1e-12, np.minimum(value, score), -np.inf)
+            share = np.log(-np.expm1(-path.minus_log(low, np.maximum(high, low))))
+        return share - path.minus_log(start, low)
 
-    score = -np.log(-np.log(unit(mix64(seeds ^ np.uint64(1)))))
-    taken, prob = np.full(size, -1, np.int8), np.ones(size)
-    walk(lats.begins, taken, prob, 0)
-    found, frontier, used_bits, rests, befores = [], [], [], [], []
+    none = np.zeros(n, np.int64)
     for j in range(k + 1):
-        if j:
-            best = np.stack([per_text(f, np.maximum, -np.inf) for f in frontier])
-            owner, score = best.argmax(0), best.max(0)
+        if j == 0:
+            drawn.append(paths.walk(0))
+            add(none, start, end, none, leaving(drawn[0], start, end), score, np.diff(offsets) > 0, 0)
+        else:
+            every = np.stack([x[5] for x in nodes])
+            best, score = every.argmax(0), every.max(0)
             if j == k:
                 break
-            alive = np.flatnonzero(np.isfinite(score))
-            new_taken, new_prob = np.full(size, -1, np.int8), np.ones(size)
-            branch = np.zeros(n, np.int64)
-            starts = []
-            for s in range(j):
-                mine = alive[owner[alive] == s]
-                if not len(mine):
-                    continue
-                hit = np.flatnonzero(frontier[s] == np.where(owner == s, score, np.inf)[text])
-                hit = hit[np.append(True, text[hit][1:] != text[hit][:-1])] if len(hit) else hit
-                at = hit
-                pick, p = lats.choose(at, draws(at, j, 1), used_bits[s][at])
-                cut = np.zeros(n, np.int64)
-                cut[text[at]] = at
-                prefix = np.flatnonzero(every < cut[text])
-                new_taken[prefix], new_prob[prefix] = found[s][0][prefix], found[s][4][prefix]
-                new_taken[at], new_prob[at] = pick, p
-                branch[text[at]] = at
-                used_bits[s][at] |= 1 << pick
-                rests[s][at] -= p
-                frontier[s][at] = siblings(at, befores[s][at], rests[s][at], score[text[at]], j, 2)
-                after = at + pick + 1
-                starts.append(after[after < lats.unit_end[at]])
-            whole = np.zeros(n, bool)
-            whole[alive] = True
-            later = lats.begins[whole[text[lats.begins]] & (lats.begins > branch[text[lats.begins]])]
-            taken, prob = new_taken, new_prob
-            walk(np.concatenate([*starts, later]) if starts else later, taken, prob, j)
-        log_p = np.where(taken >= 0, np.log(prob), 0.0)
-        through = np.cumsum(log_p)
-        start = np.concatenate([[0.0], through])[offsets[:-1]]
-        before = through - log_p - start[text]
-        total = per_text(log_p, np.add, 0.0)
-        used = np.where(taken >= 0, 1 << np.maximum(taken, 0).astype(np.int64), 0)
-        rest = np.where(taken >= 0, 1.0 - prob, 0.0)
-        open_ = taken >= 0
-        if j:  # what lies before the branch, and the branch itself, belongs to the sample it left
-            open_ &= every > branch[text]
-        front = np.full(size, -np.inf)
-        at = np.flatnonzero(open_)
-        front[at] = siblings(at, before[at], rest[at], score[text[at]], j, 3)
-        frontier.append(front)
-        used_bits.append(used)
-        rests.append(rest)
-        befores.append(before)
-        found.append((taken, total, score.copy(), None, prob))
+            path, low, high, used, mass, _ = (np.stack([x[f] for x in nodes])[best, np.arange(n)] for f in range(6))
+            alive = np.isfinite(score)
+            branch, bits = np.full(n, -1, np.int64), used.copy()
+            base = _mixed(drawn, path, offsets)
+            ranged = np.flatnonzero(alive & (used == 0))
+            if len(ranged):
+                a, b = low[ranged], high[ranged]
+                u = unit(mix64(mix64(seeds[ranged] ^ np.uint64(3)) ^ np.uint64(j)))
+                goal = base.through[a] + np.rint(-np.log1p(u * np.expm1(-base.minus_log(a, b))) * PARTS).astype(np.int64)
+                goal = np.minimum(np.maximum(goal, base.through[a] + 1), base.through[b])
+                at = np.searchsorted(base.through, goal, side="left") - 1
+                branch[ranged], bits[ranged] = at, 1 << base.taken[at].astype(np.int64)
+            pointed = np.flatnonzero(alive & (used != 0))
+            branch[pointed] = low[pointed]
+            drawn.append(paths.walk(j, branch, base, bits))
+            new = drawn[j]
+            for place, node in enumerate(nodes):  # the node drawn from is split
+                node[5][best == place] = -np.inf
+            there = np.where(alive, branch, start)
+            more = bits | 1 << np.maximum(new.taken[np.minimum(there, len(chars) - 1)], 0).astype(np.int64)
+            left = paths.rest(there, more, alive)
+            with np.errstate(divide="ignore"):
+                point = np.where(left > 1e-12, np.log(left) - base.minus_log(start, there), -np.inf)
+            is_range = alive & (used == 0)
+            add(path, low, there, none, leaving(base, low, np.where(is_range, there, low)), score, is_range, j)
+            add(path, there + 1, high, none, leaving(base, np.minimum(there + 1, high), high), score, is_range, j)
+            add(path, there, there + 1, more, point, score, alive, j)
+            add(np.full(n, j), there + 1, end, none, leaving(new, np.minimum(there + 1, end), end), score, alive, j)
+        totals.append(-drawn[j].minus_log(start, end))
+        scores.append(score)
     out = []
-    for taken, total, value, _, _ in found:
+    for path, total, value in zip(drawn, totals, scores):
         gap = np.where(np.isfinite(score), total - score, np.inf)
         with np.errstate(over="ignore", divide="ignore"):
             inclusion = np.where(gap < -30, gap, np.log(-np.expm1(-np.exp(np.minimum(gap, 700.0)))))
-        out.append((_ids(lats, taken), total, value, inclusion))
+        out.append((path.ids, total, value, inclusion))
     return out
 
 
-def _ids(lats: Sampler, taken: np.ndarray) -> np.ndarray:
-    out = np.full(len(taken), -1, np.int64)
-    at = np.flatnonzero(taken >= 0)
-    out[at] = lats.ids[lats.where[at], taken[at]]
-    return out
+def _mixed(drawn: list[Path], which: np.ndarray, offsets: np.ndarray) -> Path:
+    """For each text the one of the paths drawn that ``which`` names."""
+    if len(drawn) == 1 or not which.any():
+        return drawn[0]
+    of = np.repeat(which, np.diff(offsets))
+    return Path(*(np.choose(of, [getattr(p, f) for p in drawn]) for f in ("taken", "log_p", "ids")))
 
 
 def _spell(lat: Lattice, ids: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,7 +465,8 @@ def sample_segmentations(docs: DataFrame, *, key_col: str = "doc_id", text_col:
     they do not depend on partitions; rows that repeat a key and a text get
     the same samples.  Null and empty texts have one empty segmentation of
     probability 1.  A text has fewer samples only if it has fewer
-    segmentations.  ``model`` is a path that every executor can open."""
+    segmentations.  No piece crosses a blank, a line feed or the end of 256
+    code points without one.  ``model`` is a path that every executor can open."""
     key_type = docs.schema[key_col].dataType
     schema = T.StructType([
         T.StructField(key_col, key_type), T.StructField("sample", T.IntegerType()),

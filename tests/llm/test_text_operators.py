@@ -124,8 +124,10 @@ def every_segmentation(lat, text):
     """Probability of each segmentation of one short unit."""
     chars, cuts = P._codes(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), True)
     n = len(chars)
-    ids = lat.edges(chars, n - np.arange(n))
-    weight = lat.weights(ids)
+    ids = np.full((n, n), -1)
+    place, length, piece = lat.edges(chars, np.arange(n), n - np.arange(n))
+    ids[place, length] = piece
+    weight = lat.weights(np.maximum(ids, 0))
 
     def ways(at):
         if at == n:
@@ -196,6 +198,24 @@ def test_segmentations_decode_to_their_texts(spark):
     assert P.sample_segmentations(df.limit(0)).count() == 0
 
 
+def test_batches_without_text_and_long_texts_in_windows(spark, lat, monkeypatch):
+    for texts in ([None], [""], [None, ""], ["x" * 2000, None, ""], ["", "a b"]):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        got = P.decode_column(P.sample_segmentations(df, samples=2)).collect()
+        assert all(r["exact"] and r["decoded"] == (texts[r["doc_id"]] or "") for r in got)
+        assert {r["doc_id"] for r in got if r["sample"] == 0} == set(range(len(texts)))
+        assert all(r["sample"] == 0 and r["log_prob"] == 0 for r in got if not texts[r["doc_id"]])
+    # one window or many: the same samples
+    raw = np.frombuffer(("there is more of it " * 40 + "word\n" * 30).encode(), np.uint8)
+    chars, cuts = P._codes(raw, np.array([0, 300, 300, len(raw)]), True)
+    seeds = np.array([3, 4, 5], np.uint64)
+    whole = P.sample_texts(lat, chars, cuts, seeds, 5)
+    monkeypatch.setattr(P, "SLICE", 64)
+    parts = P.sample_texts(lat, chars, cuts, seeds, 5)
+    for a, b in zip(whole, parts):
+        assert all((x == y).all() for x, y in zip(a, b))
+
+
 def training(n=600, seed=1):
     rng = random.Random(seed)
     rows = []
