@@ -102,10 +102,20 @@ _TRUTH_LINE = ("CASE WHEN l_linenumber = 2 AND o_orderkey % 3 = 0 THEN '' "
                "ELSE CAST(l_partkey % 11 AS STRING) || ' 0.5 0.5 0.1 0.1' END")
 
 
+# the fence forms: language word and line feed, carriage return too, JSON on the mark's own line, a first block
+# that is no JSON, no word; every 8th ends without its closing mark (read as a whole, it is no JSON)
+_FENCED = ("CASE o_orderkey % 8 WHEN 0 THEN 'Result:' || chr(10) || '```json' || chr(10) || {items} || chr(10) || '```' "
+           "WHEN 1 THEN '```json' || chr(13) || chr(10) || {items} || chr(13) || chr(10) || '```' "
+           "WHEN 2 THEN 'so: ```json' || {items} || '``` done' WHEN 3 THEN '```' || {items} || '```' "
+           "WHEN 4 THEN '```python' || chr(10) || 'x = 1' || chr(10) || '```' || chr(10) || '```json ' || {items} || '```' "
+           "WHEN 5 THEN '```' || chr(10) || {items} || chr(10) || '```' || chr(10) || '```[]```' "
+           "WHEN 6 THEN '```json' || chr(10) || {items} ELSE '```json  ' || {items} || chr(9) || '```' END").replace(
+    "{items}", "'{{\"results\": [{{\"detections\": [' || {items} || ']}}]}}'")
+
+
 def _wrap_sql(items: str, glued: str) -> str:
     return ("CASE o_orderkey % 5 WHEN 0 THEN '[' || " + items + " || ']' WHEN 1 THEN " + glued + " "
-            "WHEN 2 THEN 'Result:' || chr(10) || '```json' || chr(10) || '{\"results\": [{\"detections\": [' || "
-            + items + " || ']}]}' || chr(10) || '```' "
+            "WHEN 2 THEN " + _FENCED.format(items=items) + " "
             "WHEN 3 THEN '{\"detections\": [' || " + items + " || ']}' "
             "ELSE '{\"meta\": \"v1\", \"items\": [' || " + items + " || ', 7]}' END")
 
@@ -121,8 +131,11 @@ def _files(spark, d):
                      F.array_join(F.transform("_xs", lambda x: x["item"]), "").alias("glued"))
     per = per.selectExpr("o_orderkey", "truth", f"{_wrap_sql('items', 'glued')} AS pred")
     truth = per.selectExpr("'img_' || CAST(o_orderkey AS STRING) || '.txt' AS name", "truth AS content")
+    # every 11th image has an earlier file of the same stem, which the later name replaces
     preds = per.filter("o_orderkey % 13 <> 0").selectExpr(
-        "'img_' || CAST(o_orderkey AS STRING) || '.json' AS name", "pred AS content")
+        "o_orderkey", "explode(CASE WHEN o_orderkey % 11 = 0 THEN array('.json', '.bak') ELSE array('.json') END) AS ext",
+        "pred").selectExpr("'img_' || CAST(o_orderkey AS STRING) || ext AS name",
+                           "CASE WHEN ext = '.json' THEN pred ELSE '[{\"cls\": \"Fluke\"}]' END AS content")
     return truth, preds
 
 
@@ -153,9 +166,14 @@ tl AS (SELECT stem, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM (
 truth AS (SELECT stem, CAST(pos AS INTEGER) AS pos,
                  TRY_CAST(regexp_split_to_array({_st('line')}, '\\s+')[1] AS INTEGER) AS true_id FROM tl),
 p0 AS (SELECT stem, {_st('content')} AS c FROM predf),
-p1 AS (SELECT stem, c, list_filter(list_transform(regexp_extract_all(c, '{EV.FENCE_RE}', 1), lambda b: {_st('b')}),
-                                   lambda b: {_valid('b')})[1] AS fenced,
-              '[' || replace(c, '}}{{', '}},{{') || ']' AS glued FROM p0),
+pb AS (SELECT stem, c, string_split(c, '```') AS parts FROM p0),
+pw AS (SELECT stem, c, [CASE WHEN starts_with(parts[2 * i], 'json') THEN substr(parts[2 * i], 5)
+                             WHEN length(regexp_extract(parts[2 * i], '^[A-Za-z]+[ \\t\\r\\n]')) > 0
+                             THEN substr(parts[2 * i], length(regexp_extract(parts[2 * i], '^[A-Za-z]+')) + 1)
+                             ELSE parts[2 * i] END
+                        FOR i IN range(1, CAST((len(parts) - 1) // 2 + 1 AS BIGINT))] AS blocks FROM pb),
+p1 AS (SELECT stem, c, list_filter(list_transform(blocks, lambda b: {_st('b')}), lambda b: {_valid('b')})[1] AS fenced,
+              '[' || replace(c, '}}{{', '}},{{') || ']' AS glued FROM pw),
 p2 AS (SELECT stem, CASE WHEN c = '' THEN NULL WHEN contains(c, '```') AND fenced IS NOT NULL THEN fenced
                          WHEN {_valid('c')} THEN c WHEN {_valid('glued')} THEN glued END AS js FROM p1),
 p3 AS (SELECT stem, js, json_type(js) AS jt FROM p2 WHERE js IS NOT NULL),

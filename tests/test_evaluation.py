@@ -67,3 +67,16 @@ def test_detection_map_golden(spark):
     assert rows["0"].ap50 == pytest.approx(0.5 + 0.5 * 2 / 3)
     assert rows["all"].ap50 == pytest.approx(0.5 + 0.5 * 2 / 3)
     assert rows["0"].n_gt == 2 and rows["0"].n_pred == 3
+
+
+def test_fence_forms(spark):
+    body = '[{"cls": "Fluke"}]'
+    forms = [f"```json\n{body}\n```", f"```json\r\n{body}\r\n```", f"```json{body}```", f"```{body}```", f"```json {body} ```",
+             f"x\n```python\ny = 1\n```\nthen ```json\n{body}\n``` end", f"```\n\n{body}```", f"```JSON\t{body}```",
+             f"```\nnot json\n``` {body} ```{body}```"]
+    p, rejects = EV.parse_predictions(files(spark, [(f"{i}.json", c) for i, c in enumerate(forms)]))
+    assert sorted((int(r.stem), r.pred_id) for r in p.collect()) == [(i, 5) for i in range(len(forms))]
+    assert rejects.count() == 0
+    bad = [f"```json\n{body}", "``````", "```json```", "``` ```"]
+    p, rejects = EV.parse_predictions(files(spark, [(f"{i}.json", c) for i, c in enumerate(bad)]))
+    assert p.count() == 0 and {r.reason for r in rejects.collect()} == {"no JSON"} and rejects.count() == len(bad)
