@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import retrieval as R
+from ..operators import vector_index as VI
 from ..session import shared_dir
 from ..sources import files as FS
 from ..sources.tables import table
@@ -95,6 +96,18 @@ def knn_topk(spark, d):
     return _knn(spark, d, K_SEARCH).withColumn("distance", F.round("distance", 6))
 
 
+@register("index_search", ORACLE["knn_topk"])
+def index_search(spark, d):
+    """The vectors stored as an index, and the same search through it after
+    it was opened again."""
+    path = shared_dir(spark, "vector-index")
+    e = table(spark, d, "embeddings")
+    VI.build_index(e.select(F.col("vec_id").alias("id"), "label", "embedding"), path, block_rows=64)
+    hits = VI.search_index(VI.read_chunks(spark, path).select(F.col("id").alias("query_id"), "embedding"), path, K_SEARCH,
+                           exclude_self=True)
+    return hits.withColumn("distance", F.round("distance", 6))
+
+
 SHIFT = 1_000_000_000
 
 
