@@ -144,6 +144,24 @@ def hashing_embed(df: DataFrame, text_col: str = "text", dim: int = 64,
     return nz.withColumn(out_col, vector_to_array("_nv", "float32")).drop("_tok", "_tf", "_nv")
 
 
+def token_hash_embed(df: DataFrame, text_col: str = "text", dim: int = 64, out_col: str = "embedding",
+                     normalize: bool = True) -> DataFrame:
+    """Text -> term counts by a bucket of each token's md5, a hash that every
+    engine has; of unit length if ``normalize`` (a text without tokens stays
+    zero), else whole numbers.  NULL text has no tokens."""
+    bucket = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))), lambda t: (
+        F.conv(F.substring(F.md5(t.cast("binary")), 1, 4), 16, 10).cast("int") % dim))
+    tmp = df.withColumn("__buckets", bucket)
+    # counts by the codegen'd array_remove: one pass over the tokens a bucket, no row leaves its place
+    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (
+        F.size("__buckets") - F.size(F.array_remove("__buckets", i))).cast("double"))
+    tmp = tmp.withColumn(out_col, counts).drop("__buckets")
+    if not normalize:
+        return tmp
+    norm = F.sqrt(F.aggregate(out_col, F.lit(0.0), lambda a, x: a + x * x))
+    return tmp.withColumn(out_col, F.transform(out_col, lambda x: F.when(norm > 0, x / norm).otherwise(x)))
+
+
 def embed_with(df: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, text_col: str = "text",
                out_col: str = "embedding", normalize: bool = True, error_col: str = "embed_error") -> DataFrame:
     """User model hook: ``load`` runs once per partition inside the task and

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from ..functions import tickets as TK
 from ..functions.text import strip
 from . import retrieval as R
+from . import vector_index as VI
+from .places import look_up_each, with_row_key
 
 # Per-lane requested actions (target, action, time limit,
 # whether think/summary are kept, retrieval query suffix), as in the
@@ -129,6 +131,38 @@ def dispatch_prompts(tickets: DataFrame, ticket_col: str = "ticket", contexts_co
     return tickets.withColumn(out_col, F.coalesce(F.transform(acts, ask), F.array().cast("array<string>")))
 
 
+def dispatch_queries(ticket: Column) -> Column:
+    """Retrieval query texts of a ticket's lane actions, in their order:
+    description, image text, lane suffix; no actions, no queries."""
+    p, route = ticket["processDataParams"], TK.dispatch_route(ticket)
+    ok = (F.size(TK.dispatch_missing(ticket)) == 0) & (route["route_status"] == "routed")
+    said = F.concat(F.coalesce(p["description"], F.lit("")), F.lit("\n"),
+                    F.coalesce(ticket["context"]["imageDescription"], F.lit("")))
+    acts = F.when(ok, F.try_element_at(_lane_actions(), route["lane"]))
+    return F.coalesce(F.transform(acts, lambda a: F.concat(said, a["suffix"])), F.array().cast("array<string>"))
+
+
+def dispatch_contexts(tickets: DataFrame, index_path: str, embed: Callable[[DataFrame, str], DataFrame], k: int = 10,
+                      ticket_col: str = "ticket", out_col: str = "contexts") -> DataFrame:
+    """Adds the rules that each lane action of a ticket asks for, as an array
+    of (law_context, citations) in the order of the actions: what
+    ``dispatch_prompts`` and ``dispatch_result_tickets`` take as
+    ``contexts_col``.  Tickets without actions have an empty array, and two
+    tickets of one event, or two equal ones, stay two.
+
+    The rules come from a stored index (``vector_index.build_index`` over
+    chunks with id, text, source).  Every distinct query text is embedded
+    (``embed(df, text_col)`` adds ``embedding``) and searched once; the ``k``
+    nearest chunks' texts are joined in rank order and their distinct sources
+    cited."""
+    rows = with_row_key(tickets.withColumn("__queries", dispatch_queries(F.col(ticket_col))))
+    asked = rows.select(F.explode("__queries").alias("__q")).distinct().withColumn("query_id", F.xxhash64("__q"))
+    hits = VI.search_index(embed(asked, "__q"), index_path, k)
+    found = R.assemble_context(hits, VI.read_chunks(tickets.sparkSession, index_path), doc_id="id").join(
+        asked, "query_id").select("__q", F.col("context").alias("law_context"), "citations")
+    return look_up_each(rows, "__queries", found, "__q", ["law_context", "citations"], out_col).drop("__row", "__queries")
+
+
 def dispatch_requests(tickets: DataFrame, ticket_col: str = "ticket") -> DataFrame:
     """Validate and route each dispatch ticket, then emit one request row per
     action its lane asks for, with the retrieval query text (description,
@@ -262,9 +296,10 @@ def _action(target: str, action: str | None = None) -> Column:
                     F.lit(action).cast("string").alias("action"), F.lit(None).cast("int").alias("timeLimit"))
 
 
-def check_result_tickets(checked: DataFrame, ticket_col: str = "ticket") -> DataFrame:
+def check_result_tickets(checked: DataFrame, ticket_col: str = "ticket", keep: Sequence[Column] = ()) -> DataFrame:
     """Result ticket per checked event.  Pass-through lanes forward the ticket
-    without a result; an unknown lane or an invalid ticket says why."""
+    without a result; an unknown lane or an invalid ticket says why.  Columns
+    in ``keep`` stay beside the result."""
     why = (F.when(F.col("status") == "unroutable", F.lit("no lane for the dispatch target"))
            .when(F.col("status") == "invalid", F.lit("ticket lacks required fields")))
     data = F.struct("completed", F.when(F.col("closed"), F.lit(True)).alias("closed"), "reason", "think",
@@ -272,7 +307,7 @@ def check_result_tickets(checked: DataFrame, ticket_col: str = "ticket") -> Data
                     F.col("next_actions").alias("actions"), why.alias("error"))
     return stamped(checked.select(F.col(ticket_col)["eventId"].alias("eventId"), F.col("result_code").alias("processResultCode"),
                                   F.lit("CheckHandleResult").alias("processActionCode"),
-                                  F.when(F.col("status") != "pass", data).alias("processResultData")))
+                                  F.when(F.col("status") != "pass", data).alias("processResultData"), *keep))
 
 
 def scene_result_tickets(scenes: DataFrame, ticket_col: str = "ticket") -> DataFrame:
@@ -403,8 +438,8 @@ def stamped(df: DataFrame, start: Column | None = None, end: Column | None = Non
 
 
 def dispatch_result_tickets(tickets: DataFrame, ticket_col: str = "ticket", responses_col: str = "responses",
-                            contexts_col: str | None = None) -> DataFrame:
-    """Result ticket per dispatch ticket row: an error for invalid and
+                            contexts_col: str | None = None, keep: Sequence[Column] = ()) -> DataFrame:
+    """Result ticket per dispatch ticket row, with the columns in ``keep``: an error for invalid and
     unroutable tickets, a single forwarded action for one-action lanes, an
     action list with citations plus summary lines for lanes that keep think
     text.  ``responses_col`` holds the model's answers in the order of the
@@ -417,7 +452,7 @@ def dispatch_result_tickets(tickets: DataFrame, ticket_col: str = "ticket", resp
     base = tickets.select(t.alias("_t"), F.col(responses_col).alias("_r"),
                           (F.col(contexts_col) if contexts_col else F.lit(None)).alias("_x"),
                           TK.dispatch_error(missing).alias("_bad"), route["lane"].alias("_lane"),
-                          route["route_status"].alias("_status"))
+                          route["route_status"].alias("_status"), F.struct(F.lit(0).alias("_"), *keep).alias("_keep"))
     ok = F.col("_bad").isNull() & (F.col("_status") == "routed")
     asked = F.when(ok, F.try_element_at(_lane_actions(), F.col("_lane")))
 
@@ -439,7 +474,8 @@ def dispatch_result_tickets(tickets: DataFrame, ticket_col: str = "ticket", resp
                     F.when(multi, summary).alias("summary"))
     code = F.when(error.isNotNull(), F.lit(1)).when(multi, F.lit(0))
     return stamped(acts.select(F.col("_t.eventId").alias("eventId"), code.alias("processResultCode"),
-                               F.col("_t.processActionCode").alias("processActionCode"), data.alias("processResultData")))
+                               F.col("_t.processActionCode").alias("processActionCode"), data.alias("processResultData"),
+                               "_keep.*").drop("_"))
 
 
 def retrieve_rules(requests: DataFrame, chunks: DataFrame, embed: Callable[[DataFrame, str], DataFrame], k: int = 10,

@@ -167,6 +167,26 @@ def embed_hashing(spark, d):
     return R.hashing_embed(docs).select("doc_id", "embedding")
 
 
+_BUCKETS_SQL = ("[CAST('0x' || substr(md5(t), 1, 4) AS INTEGER) % {dim} FOR t IN "
+                "list_filter(regexp_split_to_array(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0)]")
+_COUNTS_SQL = "[CAST(len(list_filter({b}, lambda x: x = i)) AS DOUBLE) FOR i IN range(0, {dim})]"
+
+
+def token_vector_ctes(name: str, source: str, keys: str, text: str, dim: int) -> str:
+    """CTEs ``name``_b and ``name``: (keys, v) term counts by md5 bucket."""
+    return (f"{name}_b AS (SELECT {keys}, {_BUCKETS_SQL.format(dim=dim, text=text)} AS b FROM {source}), "
+            f"{name} AS (SELECT {keys}, {_COUNTS_SQL.format(b='b', dim=dim)} AS v FROM {name}_b)")
+
+
+@register("embed_tokens", f"""WITH {token_vector_ctes('e', 'documents', 'doc_id', 'text', 64)},
+n AS (SELECT doc_id, v, sqrt(list_sum([x * x FOR x IN v])) AS norm FROM e)
+SELECT doc_id, [round(CASE WHEN norm > 0 THEN x / norm ELSE x END, 9) FOR x IN v] AS embedding FROM n""")
+def embed_tokens(spark, d):
+    """Unit vectors of whole documents by token buckets."""
+    docs = R.token_hash_embed(table(spark, d, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.transform("embedding", lambda x: F.round(x, 9)).alias("embedding"))
+
+
 _ST = "regexp_replace({x}, '^[ \\t\\n\\r\\f\\x0B\\x{{3000}}]+|[ \\t\\n\\r\\f\\x0B\\x{{3000}}]+$', '', 'g')"
 
 

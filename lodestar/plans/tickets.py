@@ -8,10 +8,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import tickets as TK
+from ..operators import model_answers as MA
+from ..operators import retrieval as R
 from ..operators import tickets as OT
+from ..operators import vector_index as VI
+from ..session import shared_dir
 from ..sources import tickets as TS
 from ..sources.tables import table
 from .registry import ORACLE, register
+from .retrieval import token_vector_ctes
 
 _NAMES = list(TK.LANES)  # trigger names in lane order
 
@@ -392,6 +397,92 @@ def ticket_dispatch_actions(spark, d):
                       "query", "prompt", "content", "think", "summary_line")
 
 
+# ---------------------------------------------------------------- dispatch with rules
+_DIM, _TOP = 32, 10
+
+
+def _stand_in_model():
+    """A deterministic stand-in for a text model: it fails on every prompt
+    whose md5 starts with 0."""
+    import hashlib
+
+    def answer(prompts: list[str]) -> list[str]:
+        marks = [hashlib.md5(p.encode()).hexdigest() for p in prompts]
+        if any(m[0] == "0" for m in marks):
+            raise TimeoutError("late")
+        return [f"<think>{m[:6]}</think>\n1. 责任主体：甲\n2. 决策理由：\n依据 {m}" for m in marks]
+
+    return answer
+
+
+_RULES_SQL = ("rules AS (SELECT item_id * 1000 + p AS id, CASE WHEN item_id % 10 = 0 THEN '' ELSE 'rule-' || (item_id % 9) END "
+              "AS source, substr(text, CAST(p * 100 + 1 AS BIGINT), 120) AS text FROM (SELECT item_id, text, unnest(generate_series(0, "
+              "CASE WHEN length(text) <= 120 THEN 0 ELSE CAST(ceil((length(text) - 120) / 100.0) AS BIGINT) END)) AS p FROM benchmark))")
+_CONTEXT_PROMPT_SQL = _PROMPT_SQL.replace("'Rules: '", "'Rules: ' || coalesce(cx.context, '')", 1)
+
+
+@register("ticket_dispatch_context", f"""WITH {_BASE_SQL}, {_ROUTE_SQL}, {_lanes_values_sql()}, {_RULES_SQL},
+dv AS (SELECT b.*, {_MISSING_SQL} AS missing, route.lane, route.route_status
+       FROM base b JOIN route ON route.eventId = b.eventId),
+rq AS (SELECT dv.*, l.action_pos, l.target, l.keep_think,
+              coalesce(description, '') || chr(10) || coalesce(imageDescription, '') || l.suffix AS query
+       FROM dv JOIN lanes l ON dv.missing = '' AND dv.route_status = 'routed' AND l.lane = dv.lane),
+qs AS (SELECT DISTINCT query FROM rq),
+{token_vector_ctes('qv', 'qs', 'query', 'query', _DIM)}, {token_vector_ctes('rv', 'rules', 'id, source, text', 'text', _DIM)},
+far AS (SELECT query, id, source, text, list_sum([(a.v[i] - b.v[i]) ** 2 FOR i IN range(1, {_DIM + 1})]) AS dist
+        FROM qv a, rv b),
+top AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY dist, id) AS rank FROM far QUALIFY rank <= {_TOP}),
+cx AS (SELECT query, string_agg(text, chr(10) ORDER BY rank) AS context,
+              coalesce(string_agg(DISTINCT source, ',' ORDER BY source) FILTER (WHERE source <> ''), '') AS citations
+       FROM top GROUP BY query),
+asked AS (SELECT rq.*, cx.citations, {_CONTEXT_PROMPT_SQL} AS prompt FROM rq JOIN cx ON cx.query = rq.query),
+told AS (SELECT *, md5(prompt) AS mark, substr(md5(prompt), 1, 1) = '0' AS late FROM asked),
+acts AS (SELECT eventId, string_agg(md5(prompt), '|' ORDER BY action_pos) AS prompts,
+                string_agg(CASE WHEN late THEN 'TimeoutError: late' ELSE '' END, '|' ORDER BY action_pos) AS errors,
+                string_agg(CASE WHEN late THEN '' ELSE '依据 ' || mark END, '|' ORDER BY action_pos) AS contents,
+                string_agg(citations, '|' ORDER BY action_pos) FILTER (WHERE keep_think) AS cited,
+                string_agg(CASE WHEN late THEN '' ELSE '<think>' || substr(mark, 1, 6) END, '|' ORDER BY action_pos)
+                  FILTER (WHERE keep_think) AS thinks
+         FROM told GROUP BY eventId)
+SELECT dv.eventId, CASE WHEN dv.missing <> '' OR dv.route_status <> 'routed' THEN 1 WHEN dv.lane IN ({_NAMED_SQL}) THEN 0 END
+         AS result_code, coalesce(prompts, '') AS prompts, coalesce(errors, '') AS errors,
+       CASE WHEN dv.lane NOT IN ({_NAMED_SQL}) THEN contents END AS content,
+       CASE WHEN dv.lane IN ({_NAMED_SQL}) THEN contents END AS contents,
+       CASE WHEN dv.lane IN ({_NAMED_SQL}) THEN cited END AS citations,
+       CASE WHEN dv.lane IN ({_NAMED_SQL}) THEN thinks END AS thinks
+FROM dv LEFT JOIN acts ON acts.eventId = dv.eventId""")
+def ticket_dispatch_context(spark, d):
+    """Dispatch from ticket to result ticket: rules from a stored index for
+    each lane action, prompts with them, model answers (by a stand-in model,
+    each distinct prompt asked once), citations on the actions."""
+    items = table(spark, d, "benchmark").select("item_id", "text")
+    chunks = R.fixed_chunks(items, size=120, overlap=20, keep=("item_id",)).select(
+        (F.col("item_id") * 1000 + F.col("pos")).alias("id"), F.col("chunk").alias("text"),
+        F.when(F.col("item_id") % 10 == 0, "").otherwise(F.concat(F.lit("rule-"), F.col("item_id") % 9)).alias("source"))
+
+    def embed(df, text_col):
+        return R.token_hash_embed(df, text_col, _DIM, normalize=False)
+
+    index, answers = shared_dir(spark, "rules"), shared_dir(spark, "answers")
+    VI.build_index(embed(chunks, "text"), index, block_rows=256)
+    t = _tickets(spark, d).select("eventId", "ticket")
+    asked = OT.dispatch_prompts(OT.dispatch_contexts(t, index, embed, _TOP), contexts_col="contexts")
+    told = MA.ask_list_once(asked, _stand_in_model, answers)
+    told = told.withColumn("responses", F.transform("answers", lambda a: a["response"]))
+    kept = [F.array_join(F.transform("prompts", lambda p: F.md5(p.cast("binary"))), "|").alias("prompts"),
+            F.array_join(F.transform("answers", lambda a: F.coalesce(a["error"], F.lit(""))), "|").alias("errors")]
+    res = OT.dispatch_result_tickets(told, contexts_col="contexts", keep=kept)
+    r = F.col("processResultData")
+
+    def joined(c):
+        return F.when(r["actions"].isNotNull(), F.array_join(F.transform(r["actions"], lambda a: F.coalesce(c(a), F.lit(""))), "|"))
+
+    return res.select("eventId", F.col("processResultCode").alias("result_code"), "prompts", "errors", r["content"].alias("content"),
+                      joined(lambda a: a["content"]).alias("contents"),
+                      joined(lambda a: F.array_join(a["citations"], ",")).alias("citations"),
+                      joined(lambda a: a["think"]).alias("thinks"))
+
+
 # ---------------------------------------------------------------- completion check
 _CS_KW, _CH_KW = OT.CHECK_LANES["construction_site"][1], OT.CHECK_LANES["city_housekeeper"][1]
 _MERGED_SQL = "concat_ws(' ', " + ", ".join(
@@ -491,16 +582,14 @@ FROM ({_CHECK_SQL})""")
 def ticket_check_ticket(spark, d):
     """Result tickets of the completion check: verdict, captions of the result
     images and the full follow-up actions."""
-    checked = _checked(spark, d)
-    need = checked.select("eventId", F.col("required_content").alias("required"))
     r = F.col("processResultData")
     acts = F.array_join(F.transform(r["actions"], lambda a: F.concat_ws(
         "|", *[F.coalesce(a[c].cast("string"), F.lit("")) for c in ("target", "content", "action", "timeLimit")])), ";")
-    res = OT.check_result_tickets(checked).select(
+    return OT.check_result_tickets(_checked(spark, d), keep=[F.col("required_content").alias("required")]).select(
         "eventId", F.col("processResultCode").alias("result_code"), F.col("processActionCode").alias("action_code"),
         r["completed"].alias("completed"), r["closed"].alias("closed"), r["reason"].alias("reason"), r["think"].alias("think"),
-        r["handleResultImageDescription"].alias("image_text"), acts.alias("actions"), r["error"].alias("error"))
-    return res.join(need, "eventId")
+        r["handleResultImageDescription"].alias("image_text"), acts.alias("actions"), r["error"].alias("error"),
+        "required")
 
 
 # ---------------------------------------------------------------- message stream
@@ -520,7 +609,6 @@ def ticket_stream(spark, d):
     """Tickets written as JSON-line messages (every 50th line corrupted by a
     glued second object, which the strict parser must reject), drained by a
     Structured Streaming run, read back from its Parquet sink."""
-    from ..session import shared_dir
     from ..streaming.tickets import read_outcomes, run_dispatch
 
     root = shared_dir(spark, "ticket-stream")
@@ -534,8 +622,6 @@ END AS eventId, event_id % 50 <> 0 AS accepted, CASE WHEN event_id % 50 <> 0 THE
 def ticket_file_source(spark, d):
     """Tickets written as JSON lines and read by the batch source; a glued
     line is a row without a ticket."""
-    from ..session import shared_dir
-
     root = shared_dir(spark, "ticket-file")
     _messages(spark, d).write.mode("overwrite").text(root + "/in")
     return TS.read_tickets(spark, root + "/in").select(
@@ -546,7 +632,6 @@ def ticket_file_source(spark, d):
 FROM base WHERE event_id % 50 = 0""")
 def ticket_stream_rejects(spark, d):
     """The raw lines that the stream did not accept."""
-    from ..session import shared_dir
     from ..streaming.tickets import read_rejects, run_dispatch
 
     root = shared_dir(spark, "ticket-rejects")
