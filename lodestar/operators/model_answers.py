@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from ..sources.files import existing
 from .places import look_up_each, with_row_key
 
@@ -65,8 +66,8 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
 def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], path: str, *,
              prompt_col: str = "prompt", batch: int = 64, retries: int = 2) -> DataFrame:
     """Ask the distinct texts of ``prompt_col`` that ``path`` holds no answer
-    to, append the answers there, and return all stored answers
-    (``read_answers``).
+    to, append the answers there, and return the stored answers to the texts
+    (as ``read_answers``).
 
     ``load`` runs in the task, once per partition, and returns a function from
     a list of prompts to a list of answers; it sees ``batch`` prompts at a
@@ -76,6 +77,7 @@ def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[s
     after a lost executor repeats its own calls alone, and only the committed
     run's rows are kept."""
     spark = prompts.sparkSession
+    ensure_checkpoint_dir(spark)
     asked = prompts.select(F.col(prompt_col).alias("prompt")).filter("prompt is not null").distinct().withColumn(
         "prompt_hash", F.sha2("prompt", 256))
     known = read_answers(spark, path).filter("error is null").select("prompt_hash", "prompt")
@@ -95,7 +97,9 @@ def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[s
                                     "attempts": pd.Series(cells[4], dtype="int32"), "run": run})
 
     todo.mapInPandas(call, ANSWERS).write.mode("append").parquet(path)
-    return read_answers(spark, path)
+    # read at once: Spark takes scans of one path for equal, so a plan that holds two of them, from before and
+    # after a further append, would read the older files for both
+    return read_answers(spark, path).join(asked, ["prompt_hash", "prompt"], "left_semi").checkpoint()
 
 
 def ask_list_once(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], path: str, *,

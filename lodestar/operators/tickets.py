@@ -202,6 +202,57 @@ def _no_results() -> Column:
                     F.lit(NO_RESULTS_THINK).alias("think"), F.lit("no_results").alias("parse_status"))
 
 
+def _original_actions(ticket: Column) -> Column:
+    return F.coalesce(F.transform(ticket["context"]["actions"], lambda a: F.struct(
+        *[a[c].alias(c) for c in ("target", "content", "action", "timeLimit")])), F.array().cast(ACTION_TYPE))
+
+
+def _by_lane(lane: Column, value: Callable[[str], Column], none: Column) -> Column:
+    out = none
+    for ln in CHECK_LANES:
+        out = F.when(lane == ln, value(ln)).otherwise(out)
+    return out
+
+
+def check_image_urls(ticket: Column) -> Column:
+    """Image URLs of the results that a check lane looks at: the first
+    result's, or all of them."""
+    ri = ticket["resultInfo"]
+    return _by_lane(TK.check_route(ticket), lambda ln: F.coalesce(TK.result_image_urls(
+        ri if CHECK_LANES[ln][0] == "merged" else F.slice(ri, 1, 1)), F.array().cast("array<string>")),
+        F.array().cast("array<string>"))
+
+
+def check_prompts(tickets: DataFrame, ticket_col: str = "ticket", out_col: str = "prompts") -> DataFrame:
+    """Adds the completion question of a check ticket as an array: one prompt
+    where its lane asks a model and results are there, else none.  Captions
+    come from ``result_captions`` and ``result_caption_errors``, if there."""
+    t = F.col(ticket_col)
+    p, ri, lane = t["processDataParams"], t["resultInfo"], TK.check_route(t)
+    captions = [F.col(c) if c in tickets.columns else F.lit(None).cast("array<string>")
+                for c in ("result_captions", "result_caption_errors")]
+
+    def ask(ln: str) -> Column:
+        evidence = TK.merged_results(ri) if CHECK_LANES[ln][0] == "merged" else F.coalesce(
+            F.try_element_at(ri, F.lit(1))["handleResult"], F.lit(""))
+        return F.array(check_prompt(p["description"], t["context"]["imageDescription"],
+                                    TK.required_content(_original_actions(t), CHECK_LANES[ln][3]), evidence,
+                                    TK.caption_text(check_image_urls(t), *captions), CHECK_LANES[ln][3]))
+
+    none = F.array().cast("array<string>")
+    asked = F.coalesce(F.size(ri) > 0, F.lit(False))
+    return tickets.withColumn(out_col, F.when(asked, _by_lane(lane, ask, none)).otherwise(none))
+
+
+def scene_prompts(tickets: DataFrame, ticket_col: str = "ticket", captions_col: str = "captions",
+                  errors_col: str = "caption_errors", out_col: str = "prompts") -> DataFrame:
+    """Adds the scene question of every ticket, as an array of one."""
+    p = F.col(ticket_col)["processDataParams"]
+    urls = F.coalesce(p["imageUrls"], F.array().cast("array<string>"))
+    return tickets.withColumn(out_col, F.array(scene_prompt(p["sceneType"], TK.caption_text(
+        urls, F.col(captions_col), F.col(errors_col)))))
+
+
 def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col: str = "response") -> DataFrame:
     """Completion check per ticket, routed on the exact dispatch target.
 
@@ -216,8 +267,7 @@ def check_results(tickets: DataFrame, ticket_col: str = "ticket", response_col:
     has_results = F.coalesce(F.size(ri) > 0, F.lit(False))
     first = F.coalesce(F.try_element_at(ri, F.lit(1))["handleResult"], F.lit(""))
     merged = TK.merged_results(ri)
-    orig = F.coalesce(F.transform(t["context"]["actions"], lambda a: F.struct(
-        *[a[c].alias(c) for c in ("target", "content", "action", "timeLimit")])), F.array().cast(ACTION_TYPE))
+    orig = _original_actions(t)
     caption_cols = [F.col(c) if c in tickets.columns else F.lit(None).cast("array<string>")
                     for c in ("result_captions", "result_caption_errors")]
     error = F.col("model_error") if "model_error" in tickets.columns else None

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import retrieval as R
+from ..operators import tickets as OT
 from ..operators import vector_index as VI
 from ..session import shared_dir
 from ..sources import files as FS
@@ -142,6 +143,17 @@ def retrieval_context(spark, d):
     return ctx.select("query_id", "context", F.array_join("citations", ",").alias("citations"))
 
 
+@register("law_prompt", f"""SELECT c.query_id, 'Rules:' || chr(10) || c.context || chr(10) || 'Question: ' || coalesce(q.text, '')
+  || chr(10) || 'Reply as JSON: {{"answer": "...", "citations": ["..."]}}' AS prompt
+FROM ({ORACLE["retrieval_context"]}) c LEFT JOIN documents q ON q.doc_id = c.query_id""")
+def law_prompt(spark, d):
+    """Questions with their retrieved rules, asking for a JSON answer."""
+    docs = table(spark, d, "documents")
+    ctx = R.assemble_context(_knn(spark, d, K_CONTEXT), docs)
+    asked = ctx.join(docs.select(F.col("doc_id").alias("query_id"), F.col("text").alias("question")), "query_id", "left")
+    return asked.select("query_id", OT.law_prompt(F.col("question"), F.col("context")).alias("prompt"))
+
+
 _TOK_SQL = "list_distinct(list_filter(regexp_split_to_array(lower({t}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0))"
 
 

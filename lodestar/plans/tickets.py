@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import tickets as TK
+from ..operators import flows as FL
 from ..operators import model_answers as MA
 from ..operators import retrieval as R
 from ..operators import tickets as OT
@@ -614,7 +615,144 @@ def ticket_stream(spark, d):
     root = shared_dir(spark, "ticket-stream")
     _messages(spark, d).write.mode("overwrite").text(root + "/in")
     run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
-    return read_outcomes(spark, root + "/out")
+    return read_outcomes(spark, root + "/out").drop("payload")
+
+
+@register("ticket_intake", f"""WITH {_BASE_SQL} SELECT eventId, 'EventHandlerLookup' AS code, k AS n, 'v' || user_id AS deep,
+  CASE WHEN event_id % 2 = 0 THEN 'old' END AS old, 3 + CAST(event_id % 2 = 0 AS INTEGER) AS keys FROM base WHERE event_id % 50 <> 0""")
+def ticket_intake(spark, d):
+    """Messages with keys that the ticket schema does not know, nested ones
+    too, through the intake: the payload that goes on holds them all."""
+    from ..streaming.tickets import read_outcomes, run_dispatch
+
+    root = shared_dir(spark, "ticket-intake")
+    extra = F.struct(F.col("k").alias("n"), F.array(F.struct(F.concat(F.lit("v"), F.col("user_id")).alias("deep"))).alias("list"))
+    old = F.when(F.col("event_id") % 2 == 0, "old")
+    line = F.to_json(F.struct("eventId", old.alias("processActionCode"), old.alias("note"), extra.alias("vendorData")))
+    glued = F.when(F.col("event_id") % 50 == 0, F.concat(line, F.lit("{}"))).otherwise(line)
+    _base(spark, d).select(glued.alias("value")).write.mode("overwrite").text(root + "/in")
+    run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
+    v = F.parse_json("payload")
+    return read_outcomes(spark, root + "/out").select(
+        "eventId", F.variant_get(v, "$.processActionCode", "string").alias("code"), F.variant_get(v, "$.vendorData.n", "int").alias("n"),
+        F.variant_get(v, "$.vendorData.list[0].deep", "string").alias("deep"), F.variant_get(v, "$.note", "string").alias("old"),
+        F.size(F.json_object_keys("payload")).alias("keys"))
+
+
+def _plain_model():
+    """A stand-in model that answers by the kind of question alone."""
+    def answer(prompts: list[str]) -> list[str]:
+        return ["是，一致" if "Do they agree?" in p else '{"completed": true, "reason": "好"}' if "Reply with one JSON" in p
+                else "1. 责任主体：甲\n2. 决策理由：\n依据" for p in prompts]
+
+    return answer
+
+
+def _shown_sql(i: int) -> str:
+    return (f"CASE WHEN cap{i} IS NOT NULL THEN '[' || substr(split_part(string_split(url{i}, '/')[-1], '?', 1), 1, 12) || ': ' || "
+            f"{_strip(f'cap{i}')} || ']' ELSE '[image_{i + 1}: {TK.CAPTION_FAILURE}: ' || coalesce(err{i}, '') || ']' END")
+
+
+_FLOW_SQL = "CASE WHEN event_id % 50 = 0 OR event_id % 47 = 1 THEN 3 ELSE event_id % 3 END"
+
+
+@register("stream_results", f"""WITH {_BASE_SQL}, {_ROUTE_SQL}, {_lanes_values_sql()},
+flow AS (SELECT eventId, CAST(k AS VARCHAR) AS vendor, {_FLOW_SQL} AS f FROM base),
+d0 AS (SELECT b.eventId, {_MISSING_SQL} AS missing, route.lane, route.route_status,
+              (SELECT count(*) FROM lanes l WHERE l.lane = route.lane) AS n FROM base b JOIN route ON route.eventId = b.eventId),
+dispatched AS (SELECT eventId, CASE WHEN missing <> '' OR route_status <> 'routed' THEN '1' WHEN lane IN ({_NAMED_SQL}) THEN '0' END
+                 AS code, CASE WHEN missing <> '' THEN '{TK.MISSING_FIELDS_PREFIX}' || missing
+                               WHEN route_status <> 'routed' THEN 'no lane: ' || route_status
+                               ELSE array_to_string(list_resize(CAST([] AS VARCHAR[]), n, '依据'), '|') END AS said FROM d0),
+checked AS (SELECT eventId, status, CAST(result_code AS VARCHAR) AS code,
+                   CASE status WHEN 'unroutable' THEN 'no lane for the dispatch target' WHEN 'invalid' THEN 'ticket lacks required fields'
+                   ELSE CAST(completed AS VARCHAR) || ':' || coalesce(reason, '') END AS said
+            FROM ({{check_sql}})),
+s0 AS (SELECT eventId, CASE n_img WHEN 0 THEN '' WHEN 1 THEN {_shown_sql(0)} ELSE {_shown_sql(0)} || ' ' || {_shown_sql(1)} END
+         AS shown FROM base),
+scenes AS (SELECT eventId, CASE WHEN contains(' ' || shown, ' {TK.CAPTION_FAILURE}') THEN '1' ELSE '0' END AS code,
+                  shown || ':true' AS said FROM s0)
+SELECT 'results' AS sink, x.eventId, code, said FROM dispatched x JOIN flow ON flow.eventId = x.eventId AND f = 0
+UNION ALL SELECT CASE status WHEN 'pass' THEN 'forwards' ELSE 'results' END, x.eventId, CASE WHEN status <> 'pass' THEN code END,
+  CASE status WHEN 'pass' THEN vendor ELSE said END FROM checked x JOIN flow ON flow.eventId = x.eventId AND f = 1
+UNION ALL SELECT 'results', x.eventId, code, said FROM scenes x JOIN flow ON flow.eventId = x.eventId AND f = 2
+UNION ALL SELECT 'rejects', eventId, NULL, NULL FROM flow WHERE f = 3""".replace("{check_sql}", _CHECK_SQL.replace(
+    _VERDICT_SQL, """'{"completed": true, "reason": "好"}'""")))
+def stream_results(spark, d):
+    """Messages of all three flows drained by one streaming run into its
+    three sinks; lines without one JSON object and unknown codes are rejects."""
+    from ..streaming.tickets import read_flow, run_flows
+
+    root = shared_dir(spark, "flows")
+    items = table(spark, d, "benchmark").select("item_id", "text")
+
+    def embed(df, text_col):
+        return R.token_hash_embed(df, text_col, _DIM, normalize=False)
+
+    VI.build_index(embed(items.select(F.col("item_id").alias("id"), "text", F.lit("rules").alias("source")), "text"), root + "/rules")
+    b = _tickets(spark, d)
+    seen = [b.select(F.col(f"url{i}").alias("url"), F.col(f"cap{i}").alias("caption"), F.col(f"err{i}").alias("error")) for i in range(2)]
+    once = spark.range(1).select(F.lit("http://img.example.com/r.jpg").alias("url"), F.lit("路面").alias("caption"),
+                                 F.lit(None).cast("string").alias("error"))
+    captions = seen[0].unionByName(seen[1]).unionByName(once)
+    code = F.when(F.col("event_id") % 47 == 1, "Other").otherwise(F.element_at(F.array(*[F.lit(c) for c in (
+        FL.DISPATCH, FL.CHECK, FL.SCENE)]), (F.col("event_id") % 3 + 1).cast("int")))
+    ticket = F.when(F.col("event_id") % 3 == 1, F.col("check_ticket")).otherwise(F.col("ticket"))
+    line = F.to_json(ticket.withField("processActionCode", code).withField("vendor", F.col("k").cast("string")))
+    b.select(F.when(F.col("event_id") % 50 == 0, F.concat(line, F.lit("{}"))).otherwise(line).alias("value")).write.text(root + "/in")
+    run_flows(spark, root + "/in", root + "/out", root + "/ckpt",
+              FL.Tools(root + "/rules", embed, captions, _plain_model, root + "/answers", k=3))
+    v = F.parse_json("value")
+
+    def text(path: str):
+        return F.variant_get(v, "$." + path, "string")
+
+    acts = F.variant_get(v, "$.processResultData.actions", "array<struct<content:string>>")
+    said = (F.when(text("processActionCode") == FL.SCENE, F.concat(text("processResultData.imageDescription"), F.lit(":"),
+                                                                    text("processResultData.isConsistency")))
+            .when(text("processActionCode") == FL.CHECK, F.coalesce(text("processResultData.error"), F.concat(
+                text("processResultData.completed"), F.lit(":"), F.coalesce(text("processResultData.reason"), F.lit("")))))
+            .otherwise(F.coalesce(text("processResultData.error"), text("processResultData.content"),
+                                  F.array_join(F.transform(acts, lambda a: a["content"]), "|"))))
+    none = F.lit(None).cast("string")
+    results = read_flow(spark, root + "/out", "results").select(
+        F.lit("results").alias("sink"), text("eventId").alias("eventId"), text("processResultCode").alias("code"), said.alias("said"))
+    forwards = read_flow(spark, root + "/out", "forwards").select(
+        F.lit("forwards").alias("sink"), text("eventId").alias("eventId"), none.alias("code"), text("vendor").alias("said"))
+    rejects = read_flow(spark, root + "/out", "rejects").select(
+        F.lit("rejects").alias("sink"), F.regexp_extract("value", '"eventId":"([^"]*)"', 1).alias("eventId"), none.alias("code"),
+        none.alias("said"))
+    return results.unionByName(forwards).unionByName(rejects)
+
+
+_ASK_SQL = ("concat_ws(chr(10), 'Has ' || {target} || ' finished the work below?', 'Work: ' || {required}, 'Reported: ' || "
+            "coalesce(description, ''), 'Photo then: ' || coalesce(imageDescription, ''), 'Done: ' || {evidence}, 'Photo now: ' || {shown}, "
+            "'Reply with one JSON object: {{\"completed\": true or false, \"reason\": \"why\"}}')")
+
+
+def _ask_sql(target: str, evidence: str, shown: str) -> str:
+    return _ASK_SQL.format(target=f"'{target}'", required=f"CASE WHEN act_kind = 2 AND act_target = '{target}' THEN '整改' ELSE '' END",
+                           evidence=evidence, shown=shown)
+
+
+@register("ticket_prompts", f"""WITH {_BASE_SQL}, p AS (SELECT *, {_lane_key('checkTarget')} AS lane FROM base)
+SELECT eventId, CASE WHEN n_res = 0 THEN NULL WHEN lane = 'construction_site' THEN {_ask_sql('工地企业', 'res0', "''")}
+  WHEN lane = 'city_housekeeper' THEN {_ask_sql('城市管家', _MERGED_SQL, _SHOWN_SQL)} END AS check_prompt,
+  'Photos: ' || CASE n_img WHEN 0 THEN '' WHEN 1 THEN {_shown_sql(0)} ELSE {_shown_sql(0)} || ' ' || {_shown_sql(1)} END || chr(10)
+  || 'Reported scene: ' || coalesce(event_type, '') || chr(10) || 'Do they agree? Begin with 是 or 否, then one reason.' AS scene_prompt,
+  'Sum up these orders in two sentences:' || chr(10) || CASE WHEN act_kind = 2 THEN '- ' || coalesce(act_target, '')
+  || '：整改...，60分钟内完成' ELSE '' END AS summary_prompt FROM p""")
+def ticket_prompts(spark, d):
+    """Questions to the model: completion check, scene, summary of orders."""
+    shown = [F.array(*[F.lit(x).cast("string") for x in xs]) for xs in (("清洁", None, "路面"), (None, "late", None))]
+    t = _tickets(spark, d).select("eventId", F.col("check_ticket").alias("ticket"), shown[0].alias("result_captions"),
+                                  shown[1].alias("result_caption_errors"), F.array("cap0", "cap1").alias("captions"),
+                                  F.array("err0", "err1").alias("caption_errors"))
+    asked = OT.scene_prompts(OT.check_prompts(t, out_col="check"), out_col="scene")
+    lines = F.coalesce(F.transform("ticket.context.actions", lambda a: TK.summary_line(a["target"], a["content"], a["timeLimit"])),
+                       F.array().cast("array<string>"))
+    return asked.select("eventId", F.try_element_at("check", F.lit(1)).alias("check_prompt"),
+                        F.try_element_at("scene", F.lit(1)).alias("scene_prompt"), OT.summary_prompt(lines).alias("summary_prompt"))
 
 
 @register("ticket_file_source", f"""WITH {_BASE_SQL} SELECT CASE WHEN event_id % 50 <> 0 THEN 'EV-' || CAST(event_id AS VARCHAR)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,17 @@ def parse_ticket(raw: Column) -> Column:
     return F.when(strict_json_object(raw), F.from_json(raw, TICKET))
 
 
+def with_action_code(raw: Column, code: str) -> Column:
+    """The JSON object's text with ``processActionCode`` set (overwritten, or
+    added) and every other key carried through, those outside the ticket
+    schema too; NULL unless the text is exactly one JSON object."""
+    from ..functions.tickets import strict_json_object
+    fields = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
+    kept = F.map_filter(fields, lambda k, _: k != "processActionCode")
+    said = F.create_map(F.lit("processActionCode"), F.parse_json(F.lit(json.dumps(code))))
+    return F.when(strict_json_object(raw), F.to_json(F.map_concat(kept, said)))
+
+
 def to_json_text(c: Column) -> Column:
     """JSON text with non-ASCII characters kept literal (UTF-8)."""
     return F.to_json(c)

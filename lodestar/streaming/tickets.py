@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tickets as TK
-from ..sources.tickets import parse_ticket
+from ..operators.flows import Tools, process_tickets
+from ..sources.tickets import parse_ticket, with_action_code
 
 
 def dispatch_outcome(messages: DataFrame) -> DataFrame:
@@ -26,7 +27,8 @@ def dispatch_outcome(messages: DataFrame) -> DataFrame:
     miss = TK.dispatch_missing(t)
     route = TK.dispatch_route(t)
     ok = t.isNotNull()
-    return messages.select(ok.alias("accepted"), F.when(~ok, F.col("raw")).alias("raw"),
+    payload = [F.col("payload")] if "payload" in messages.columns else []
+    return messages.select(ok.alias("accepted"), F.when(~ok, F.col("raw")).alias("raw"), *payload,
                            t["eventId"].alias("eventId"), t["processActionCode"].alias("processActionCode"),
                            F.when(ok, F.size(miss) == 0).alias("valid"),
                            F.when(ok, TK.dispatch_error(miss)).alias("error"),
@@ -34,11 +36,16 @@ def dispatch_outcome(messages: DataFrame) -> DataFrame:
 
 
 def parse_messages(raw: DataFrame, action_code: str | None = None) -> DataFrame:
-    """(raw, ticket) from a DataFrame of raw JSON lines (batch or stream)."""
+    """(raw, payload, ticket) from a DataFrame of raw JSON lines (batch or
+    stream).  The payload is the accepted message whole, keys outside the
+    ticket schema too, with the action code set (overwritten) if one is
+    given; it is what goes on."""
     t = parse_ticket(F.col("raw"))
+    payload = F.when(t.isNotNull(), F.col("raw"))
     if action_code is not None:
         t = F.when(t.isNotNull(), t.withField("processActionCode", F.lit(action_code)))
-    return raw.select("raw", t.alias("ticket"))
+        payload = with_action_code(F.col("raw"), action_code)
+    return raw.select("raw", payload.alias("payload"), t.alias("ticket"))
 
 
 def run_dispatch(spark: SparkSession, in_folder: str, out_path: str, checkpoint: str,
@@ -78,3 +85,30 @@ def read_outcomes(spark: SparkSession, out_path: str) -> DataFrame:
 
 def read_rejects(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.parquet(out_path).filter(F.col("accepted").cast("string") == "false").select("raw")
+
+
+def write_flows(batch: DataFrame, batch_id: int, out_path: str, tools: Tools) -> None:
+    """One micro-batch of raw lines through the three flows into the sinks
+    results, forwards and rejects, each a folder of text lines under the batch
+    id: a batch that comes again overwrites its own files, and asks the model
+    nothing that its answer table holds."""
+    for name, rows in process_tickets(parse_messages(batch.select("raw")), tools).items():
+        rows.filter("value is not null").write.mode("overwrite").text(f"{out_path}/{name}/batch={batch_id}")
+
+
+def run_flows(spark: SparkSession, in_folder: str, out_path: str, checkpoint: str, tools: Tools) -> None:
+    """Drain the message folder once (``availableNow``) through ``write_flows``;
+    a restarted run goes on where the checkpoint says.  The rule index and the
+    captions are static tables that every micro-batch joins."""
+    raw = spark.readStream.format("text").load(in_folder).select(F.col("value").alias("raw"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.optimizer.enableJsonExpressionOptimization", "false")  # see run_dispatch
+        write_flows(batch, batch_id, out_path, tools)
+
+    raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_flow(spark: SparkSession, out_path: str, name: str) -> DataFrame:
+    """Lines of one sink over all micro-batches."""
+    return spark.read.text(f"{out_path}/{name}").select("value")
