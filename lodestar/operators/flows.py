@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tickets as TK
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sources.tickets import to_json_text
 from . import model_answers as MA
 from . import tickets as OT
@@ -81,16 +81,15 @@ def process_tickets(messages: DataFrame, tools: Tools) -> dict[str, DataFrame]:
     tickets whose lane passes them on, whole), ``rejects`` (lines without a
     ticket, and tickets whose code names no flow, as they came).
 
-    The messages are checkpointed once; a flow reads its own rows of them.
+    The messages are written once; a flow reads its own rows of them.
     Every ticket is in exactly one output."""
-    ensure_checkpoint_dir(messages.sparkSession)
-    rows = messages.checkpoint()
+    rows = materialize(messages, "messages")
     code = F.col("ticket.processActionCode")
 
     def of(flow: str) -> DataFrame:
         return rows.filter(code == flow).select("payload", "ticket")
 
-    checked = check_flow(of(CHECK), tools)
+    checked = materialize(check_flow(of(CHECK), tools), "checked")  # two outputs read it
     passed = F.col("status") == "pass"
     stamps = ("processStartAt", "processStartEnd")
     results = [dispatch_flow(of(DISPATCH), tools), OT.check_result_tickets(checked.filter(~passed)), scene_flow(of(SCENE), tools)]

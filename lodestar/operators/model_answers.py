@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sources.files import existing
 from .places import look_up_each, with_row_key
 
@@ -77,7 +77,6 @@ def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[s
     after a lost executor repeats its own calls alone, and only the committed
     run's rows are kept."""
     spark = prompts.sparkSession
-    ensure_checkpoint_dir(spark)
     asked = prompts.select(F.col(prompt_col).alias("prompt")).filter("prompt is not null").distinct().withColumn(
         "prompt_hash", F.sha2("prompt", 256))
     known = read_answers(spark, path).filter("error is null").select("prompt_hash", "prompt")
@@ -99,7 +98,7 @@ def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[s
     todo.mapInPandas(call, ANSWERS).write.mode("append").parquet(path)
     # read at once: Spark takes scans of one path for equal, so a plan that holds two of them, from before and
     # after a further append, would read the older files for both
-    return read_answers(spark, path).join(asked, ["prompt_hash", "prompt"], "left_semi").checkpoint()
+    return materialize(read_answers(spark, path).join(asked, ["prompt_hash", "prompt"], "left_semi"), "answers")
 
 
 def ask_list_once(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], path: str, *,

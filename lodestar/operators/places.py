@@ -8,17 +8,16 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 ROW = "__row"
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
     """Adds ``__row``, a key of the row itself: rows that are equal in every
-    column keep apart.  The rows are checkpointed, so the keys stay the same
-    however often they are read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.withColumn(ROW, F.monotonically_increasing_id()).checkpoint()
+    column keep apart.  The rows are written and read back, so the keys stay
+    the same however often they are read."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
 def look_up_each(df: DataFrame, keys_col: str, table: DataFrame, table_key: str, values: Sequence[str], out_col: str) -> DataFrame:

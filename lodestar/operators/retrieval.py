@@ -152,9 +152,9 @@ def token_hash_embed(df: DataFrame, text_col: str = "text", dim: int = 64, out_c
     bucket = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))), lambda t: (
         F.conv(F.substring(F.md5(t.cast("binary")), 1, 4), 16, 10).cast("int") % dim))
     tmp = df.withColumn("__buckets", bucket)
-    # counts by the codegen'd array_remove: one pass over the tokens a bucket, no row leaves its place
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (
-        F.size("__buckets") - F.size(F.array_remove("__buckets", i))).cast("double"))
+    # one plain expression a bucket: inside a lambda the optimizer would take the buckets in, and hash every token again
+    # for each of them
+    counts = F.array(*[(F.size("__buckets") - F.size(F.array_remove("__buckets", i))).cast("double") for i in range(dim)])
     tmp = tmp.withColumn(out_col, counts).drop("__buckets")
     if not normalize:
         return tmp

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import tickets as TK
 from ..functions.text import strip
+from ..session import materialize
 from . import retrieval as R
 from . import vector_index as VI
 from .places import look_up_each, with_row_key
@@ -157,7 +158,8 @@ def dispatch_contexts(tickets: DataFrame, index_path: str, embed: Callable[[Data
     cited."""
     rows = with_row_key(tickets.withColumn("__queries", dispatch_queries(F.col(ticket_col))))
     asked = rows.select(F.explode("__queries").alias("__q")).distinct().withColumn("query_id", F.xxhash64("__q"))
-    hits = VI.search_index(embed(asked, "__q"), index_path, k)
+    asked = materialize(embed(asked, "__q"), "asked")  # the search reads the vectors more than once
+    hits = VI.search_index(asked, index_path, k)
     found = R.assemble_context(hits, VI.read_chunks(tickets.sparkSession, index_path), doc_id="id").join(
         asked, "query_id").select("__q", F.col("context").alias("law_context"), "citations")
     return look_up_each(rows, "__queries", found, "__q", ["law_context", "citations"], out_col).drop("__row", "__queries")

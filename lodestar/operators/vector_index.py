@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .retrieval import _nearest, valid_vectors
 
 SLACK = 1e-9
@@ -93,8 +93,7 @@ def build_index(chunks: DataFrame, path: str, *, id_col: str = "id", vec_col: st
             near = _squares(v, known.value).argmin(1) if len(batch) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int64())], names=["id", "v", "c"])
 
-    ensure_checkpoint_dir(spark)
-    dealt = rows.mapInArrow(deal, "id long, v array<double>, c long").checkpoint()
+    dealt = materialize(rows.mapInArrow(deal, "id long, v array<double>, c long"), "dealt")
     parts = dealt.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("parts"))
     split = dealt.join(parts, "c").withColumn("block", F.col("c") * (1 << 32) + F.pmod(F.xxhash64("id", "v"), F.col("parts")))
 
@@ -197,16 +196,15 @@ def search_pairs(queries: DataFrame, path: str, k: int, *, query_id: str = "quer
     """(first, more, found): the (q, block) pairs that are read first, those
     that the triangle inequality leaves after them, and the candidates."""
     spark = queries.sparkSession
-    ensure_checkpoint_dir(spark)
     blocks = open_blocks(spark, path)
     head = blocks.select("dim").limit(1).collect()
-    q = _queries(queries, query_id, query_vec, head[0][0] if head else -1).checkpoint()
+    q = materialize(_queries(queries, query_id, query_vec, head[0][0] if head else -1), "queries")
     gap = F.row_number().over(Window.partitionBy("q").orderBy("gap", "block"))
-    first = _meet_centres(q, blocks, None, probe).withColumn("place", gap).filter(F.col("place") <= probe).select(
-        "q", "block").checkpoint()
-    near = _scan(first, q, blocks, k, exclude_self).checkpoint()
+    first = materialize(_meet_centres(q, blocks, None, probe).withColumn("place", gap).filter(F.col("place") <= probe).select(
+        "q", "block"), "pairs")
+    near = materialize(_scan(first, q, blocks, k, exclude_self), "near")
     limits = _ranked(near, k).filter(F.col("rank") == k).select("q", F.col("distance").alias("kth"))
-    more = _meet_centres(q, blocks, limits, probe).select("q", "block").join(first, ["q", "block"], "left_anti").checkpoint()
+    more = materialize(_meet_centres(q, blocks, limits, probe).select("q", "block").join(first, ["q", "block"], "left_anti"), "pairs")
     return first, more, near.unionByName(_scan(more, q, blocks, k, exclude_self))
 
 

@@ -8,7 +8,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "lodestar",
@@ -71,6 +71,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: the
+    lineage is cut, and unlike ``checkpoint()`` the plan runs once."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _drop_all() -> None:
     for spark, path in _made:
         if spark.sparkContext._jsc is not None:
