@@ -73,5 +73,5 @@ def test_empty_tables(spark, folder, tmp_path):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
