@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-import pandas as pd
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
+from .boxes import match_detections
 
 # The class vocabulary (name -> id in list order), as in the
 # reference.
@@ -250,103 +249,6 @@ def missing_files(truth_files: DataFrame, pred_files: DataFrame, name_col: str =
 # ---------------------------------------------------------------- detection mAP
 IOU_THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]
 
-def _match_schema(n: int) -> str:
-    return "image long, class_id int, pred_id long, score double, " + ", ".join(f"tp_{i} int" for i in range(n))
-
-
-def _greedy(thresholds, loop_above: int = 64):
-    import numpy as np
-
-    cols = ["image", "class_id", "pred_id", "score"] + [f"tp_{i}" for i in range(len(thresholds))]
-
-    def iou(p, g):
-        ix = np.clip(np.minimum(p[..., 2], g[..., 2]) - np.maximum(p[..., 0], g[..., 0]), 0, None)
-        iy = np.clip(np.minimum(p[..., 3], g[..., 3]) - np.maximum(p[..., 1], g[..., 1]), 0, None)
-        inter = ix * iy
-        union = (p[..., 2] - p[..., 0]) * (p[..., 3] - p[..., 1]) + (g[..., 2] - g[..., 0]) * (g[..., 3] - g[..., 1]) - inter
-        return inter / np.maximum(union, 1e-12)
-
-    def fn(gt: pd.DataFrame, pr: pd.DataFrame) -> pd.DataFrame:
-        if pr.empty:
-            return pd.DataFrame({c: [] for c in cols})
-        pr = pr.sort_values(["image", "class_id", "score", "pred_id"],
-                            ascending=[True, True, False, True]).reset_index(drop=True)
-        # truth rows arrive in shuffle-fetch order; a fixed order makes IoU
-        # ties resolve the same way when a task is re-executed
-        gt = gt.sort_values(["image", "class_id", "x1", "y1", "x2", "y2"], kind="mergesort").reset_index(drop=True)
-        n, nt = len(pr), len(thresholds)
-        tp = np.zeros((nt, n), np.int32)
-        pb = pr[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        gb = gt[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        keys = pr[["image", "class_id"]].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-        sizes = np.diff(np.r_[starts, n])
-        gid = np.repeat(np.arange(len(starts)), sizes)
-        rank = np.arange(n) - np.repeat(starts, sizes)
-        big = np.repeat(sizes > loop_above, sizes)
-        # candidate pairs inside each (image, class) group of ordinary size
-        left = pd.DataFrame({"image": keys[:, 0], "class_id": keys[:, 1], "pi": np.arange(n)})[~big]
-        right = pd.DataFrame({"image": gt["image"].to_numpy(), "class_id": gt["class_id"].to_numpy(),
-                              "gj": np.arange(len(gt))})
-        pairs = left.merge(right, on=["image", "class_id"])
-        pi, gj = pairs["pi"].to_numpy(), pairs["gj"].to_numpy()
-        v = iou(pb[pi], gb[gj]) if len(pairs) else np.zeros(0)
-        order = np.lexsort((gj, -v, pi))  # per prediction: best IoU first, ties on truth order
-        pi, gj, v, rk = pi[order], gj[order], v[order], rank[pi[order]]
-        for ti, t in enumerate(thresholds):
-            used = np.zeros(len(gt), bool)
-            ok = v >= t - 1e-12
-            for r in range(int(rk.max()) + 1 if len(rk) else 0):  # rounds: r-th prediction of every group
-                sel = np.flatnonzero((rk == r) & ok & ~used[gj])
-                if not len(sel):
-                    continue
-                first = sel[np.r_[True, pi[sel][1:] != pi[sel][:-1]]]
-                used[gj[first]] = True
-                tp[ti, pi[first]] = 1
-        # very large groups: one prediction at a time, IoU row computed on the fly
-        if big.any():
-            gidx = gt.groupby(["image", "class_id"], sort=False).indices
-            for s0, sz in zip(starts[sizes > loop_above], sizes[sizes > loop_above]):
-                g = gidx.get((keys[s0][0], keys[s0][1]))
-                if g is None:
-                    continue
-                boxes = gb[g]
-                for ti, t in enumerate(thresholds):
-                    used = np.zeros(len(g), bool)
-                    for i in range(s0, s0 + sz):
-                        row = iou(pb[i][None, :], boxes)
-                        cand = np.where(~used & (row >= t - 1e-12), row, -1.0)
-                        j = int(cand.argmax())
-                        if cand[j] >= 0:
-                            used[j] = True
-                            tp[ti, i] = 1
-        out = pd.DataFrame({"image": pr["image"].to_numpy(), "class_id": pr["class_id"].to_numpy(),
-                            "pred_id": pr["pred_id"].to_numpy(), "score": pr["score"].to_numpy()})
-        for ti in range(nt):
-            out[f"tp_{ti}"] = tp[ti]
-        return out
-    return fn
-
-
-def match_detections(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS,
-                     rows_per_bucket: int = 200_000) -> DataFrame:
-    """TP flag per prediction for every IoU threshold (``tp_<i>`` columns).  Truth and predictions
-    are co-grouped by a hash bucket of (image, class) (bucket count from the
-    prediction count, so a bucket stays a bounded pandas batch); inside a
-    bucket each (image, class) group is matched greedily: predictions in
-    score order take their best unmatched truth box (a sequential rule,
-    hence the pandas step)."""
-    import math
-    n = preds.count()
-    spark = preds.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_bucket))
-    b = F.pmod(F.xxhash64("image", F.col("class_id").cast("int")), F.lit(buckets))
-    g = gt.select(b.alias("_b"), "image", "class_id", "x1", "y1", "x2", "y2")
-    p = preds.select(b.alias("_b"), "image", "class_id", "pred_id", "score", "x1", "y1", "x2", "y2")
-    return g.groupBy("_b").cogroup(p.groupBy("_b")).applyInPandas(_greedy(list(thresholds)),
-                                                                    _match_schema(len(thresholds)))
-
-
 def average_precision(matches: DataFrame, gt: DataFrame, n_thresholds: int) -> DataFrame:
     """AP per (class, threshold index): cumulative TP in score order gives
     precision; the precision envelope (max precision at this or any lower
@@ -377,8 +279,7 @@ def detection_map(gt: DataFrame, preds: DataFrame, thresholds=IOU_THRESHOLDS) ->
     counts, precision and recall at IoU 0.5; then an ``all`` row with
     mAP@0.5 and mAP@0.5:0.95 (means over classes)."""
     nt = len(thresholds)
-    ensure_checkpoint_dir(gt.sparkSession)
-    matches = match_detections(gt, preds, thresholds).checkpoint()  # read twice below
+    matches = materialize(match_detections(gt, preds, thresholds), "box-matches")  # read twice below
     ap = average_precision(matches, gt, nt)
     n_gt = gt.groupBy(F.col("class_id").cast("long").alias("class_id")).agg(F.count(F.lit(1)).alias("n_gt"))
     at50 = matches.groupBy(F.col("class_id").cast("long").alias("class_id")).agg(

@@ -233,24 +233,66 @@ def detections_missing(spark, d):
 
 
 # ---------------------------------------------------------------- detection mAP
-# Boxes composed from line items: truth box per line item, a jittered
-# prediction with a score, sometimes with the neighbouring class.
-_GT_BOX = ["l_orderkey AS image", "CAST(l_partkey % 11 AS INT) AS class_id",
+# Boxes composed from line items (one row a key): an image is 32 order keys, truth
+# box per line item, a jittered prediction with a score, sometimes with the neighbouring class.
+_BOX_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_IMAGE = "CAST(floor(l_orderkey / 32) AS BIGINT) AS image"
+_GT_BOX = [_IMAGE, "CAST(l_partkey % 11 AS INT) AS class_id",
            "CAST((l_suppkey % 50) * 10 AS DOUBLE) AS x1", "CAST((l_partkey % 40) * 10 AS DOUBLE) AS y1",
            "CAST((l_suppkey % 50) * 10 + 20 + l_quantity AS DOUBLE) AS x2",
            "CAST((l_partkey % 40) * 10 + 20 + l_quantity AS DOUBLE) AS y2"]
-_PRED_BOX = ["l_orderkey AS image",
+_PRED_BOX = [_IMAGE,
              "CAST((l_partkey + CASE WHEN l_suppkey % 5 = 0 THEN 1 ELSE 0 END) % 11 AS INT) AS class_id",
-             "l_orderkey * 8 + l_linenumber AS pred_id", "1.0 - l_discount + l_tax AS score",
+             "((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS pred_id", "CAST(1.0 - l_discount + l_tax AS DOUBLE) AS score",
              "CAST((l_suppkey % 50) * 10 + (l_linenumber % 4) * 3 AS DOUBLE) AS x1",
              "CAST((l_partkey % 40) * 10 + (l_linenumber % 3) * 2 AS DOUBLE) AS y1",
              "CAST((l_suppkey % 50) * 10 + 20 + l_quantity + (l_linenumber % 5) AS DOUBLE) AS x2",
              "CAST((l_partkey % 40) * 10 + 20 + l_quantity AS DOUBLE) AS y2"]
 
-
-@register("detection_map")
+_INTER = ("greatest(least(p.x2, g.x2) - greatest(p.x1, g.x1), 0.0) * greatest(least(p.y2, g.y2) - greatest(p.y1, g.y1), 0.0)")
+_AREAS = "(p.x2 - p.x1) * (p.y2 - p.y1) + (g.x2 - g.x1) * (g.y2 - g.y1)"
+
+
+# every pair of an image and class; one prediction a step takes the first box on its list that is free
+@register("detection_map", f"""WITH RECURSIVE
+li AS (SELECT {", ".join(_BOX_KEY)}, max(l_quantity) AS l_quantity, max(l_discount) AS l_discount, max(l_tax) AS l_tax
+       FROM lineitem GROUP BY {", ".join(_BOX_KEY)}),
+g0 AS (SELECT {", ".join(_GT_BOX)} FROM li),
+gt AS (SELECT *, row_number() OVER (PARTITION BY image, class_id ORDER BY x1, y1, x2, y2) AS gid FROM g0),
+pr AS (SELECT {", ".join(_PRED_BOX)} FROM li),
+th AS (SELECT unnest(range(0, 10)) AS t),
+cand AS (SELECT p.image, p.class_id, p.pred_id, p.score, g.gid, {_INTER} / ({_AREAS} - {_INTER}) AS iou
+         FROM pr p JOIN gt g ON g.image = p.image AND g.class_id = p.class_id),
+want AS (SELECT t, image, class_id, pred_id, score, list(gid ORDER BY iou DESC, gid) AS boxes
+         FROM cand, th WHERE iou >= 0.5 + 0.05 * t - 1e-12 GROUP BY ALL),
+line AS (SELECT *, row_number() OVER (PARTITION BY t, image, class_id ORDER BY score DESC, pred_id) AS turn FROM want),
+walk AS (SELECT t, image, class_id, pred_id, turn, boxes[1] AS took, [boxes[1]] AS used FROM line WHERE turn = 1
+  UNION ALL
+  SELECT t, image, class_id, pred_id, turn, took, CASE WHEN took IS NULL THEN used ELSE list_append(used, took) END
+  FROM (SELECT l.t, l.image, l.class_id, l.pred_id, l.turn, w.used,
+               list_filter(l.boxes, lambda b: NOT list_contains(w.used, b))[1] AS took
+        FROM walk w JOIN line l ON l.t = w.t AND l.image = w.image AND l.class_id = w.class_id AND l.turn = w.turn + 1)),
+tp AS (SELECT th.t, pr.class_id, pr.image, pr.pred_id, pr.score, CASE WHEN w.took IS NULL THEN 0 ELSE 1 END AS hit
+       FROM pr CROSS JOIN th LEFT JOIN walk w
+       ON w.t = th.t AND w.image = pr.image AND w.class_id = pr.class_id AND w.pred_id = pr.pred_id),
+prec AS (SELECT *, sum(hit) OVER o / row_number() OVER o AS precision FROM tp
+         WINDOW o AS (PARTITION BY t, class_id ORDER BY score DESC, image, pred_id)),
+env AS (SELECT *, max(precision) OVER (PARTITION BY t, class_id ORDER BY score, image DESC, pred_id DESC
+                                       ROWS UNBOUNDED PRECEDING) AS envelope FROM prec),
+ngt AS (SELECT class_id, count(*) AS n_gt FROM gt GROUP BY 1),
+ap AS (SELECT t, class_id, sum(hit * envelope) / any_value(n_gt) AS ap FROM env JOIN ngt USING (class_id) GROUP BY 1, 2),
+per AS (SELECT class_id, n_gt, coalesce((SELECT ap FROM ap a WHERE a.class_id = n.class_id AND t = 0), 0.0) AS ap50,
+               coalesce((SELECT sum(ap) / 10 FROM ap a WHERE a.class_id = n.class_id), 0.0) AS ap50_95,
+               (SELECT count(*) FROM tp WHERE t = 0 AND tp.class_id = n.class_id) AS n_pred,
+               (SELECT coalesce(sum(hit), 0) FROM tp WHERE t = 0 AND tp.class_id = n.class_id) AS tp50 FROM ngt n),
+alls AS (SELECT CAST(class_id AS VARCHAR) AS class, ap50, ap50_95, n_gt, n_pred, tp50 FROM per
+         UNION ALL SELECT 'all', avg(ap50), avg(ap50_95), sum(n_gt), sum(n_pred), sum(tp50) FROM per)
+SELECT class, round(ap50, 6) AS ap50, round(ap50_95, 6) AS ap50_95, CAST(n_gt AS BIGINT) AS n_gt,
+       CAST(n_pred AS BIGINT) AS n_pred, round(CASE WHEN n_pred > 0 THEN tp50 / n_pred ELSE 0.0 END, 6) AS precision,
+       round(tp50 / n_gt, 6) AS recall FROM alls""")
 def detection_map(spark, d):
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem").groupBy(*_BOX_KEY).agg(
+        *[F.max(c).alias(c) for c in ("l_quantity", "l_discount", "l_tax")])
     gt = li.selectExpr(*_GT_BOX)
     preds = li.selectExpr(*_PRED_BOX)
     out = EV.detection_map(gt, preds)
