@@ -74,13 +74,15 @@ def classification_report(spark, d):
     return EV.classification_report(_pairs(spark, d), EV.vocabulary(spark))
 
 
-@register("confusion_matrix_csv", "SELECT * EXCLUDE (true_name) FROM (" + ORACLE["confusion_matrix"] + ")")
+@register("confusion_matrix_csv", "SELECT * EXCLUDE (true_name), CAST(true_id AS BIGINT) AS row_no FROM ("
+          + ORACLE["confusion_matrix"] + ")")
 def confusion_matrix_csv(spark, d):
-    """The matrix written as a CSV without header, read back by position."""
+    """The matrix written by class over three CSV files without header, read
+    back in the order of the files: row i is class i."""
     root = shared_dir(spark, "confusion-matrix")
     matrix = EV.confusion_dense(_pairs(spark, d), EV.vocabulary(spark), len(EV.CLASS_NAMES)).drop("true_name")
-    FS.write_csv(matrix, root + "/matrix", header=False)
-    return spark.read.schema(matrix.schema).csv(root + "/matrix")
+    FS.write_ordered_csv(matrix, root + "/matrix", ["true_id"], header=False, parts=3)
+    return FS.in_file_order(spark.read.schema(matrix.schema).csv(root + "/matrix")).drop("path")
 
 
 # ---------------------------------------------------------------- detection files

@@ -53,6 +53,28 @@ def document_scan(spark, d):
     return per.groupBy("src").agg(F.sum(F.length("text")).cast("long").alias("n_chars"))
 
 
+_SECTION = 500  # lines
+
+
+@register("text_sections", f"""
+WITH whole AS (SELECT source, string_split(string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id), chr(10)) AS ls
+               FROM documents WHERE source IS NOT NULL GROUP BY source),
+line AS (SELECT source, unnest(range(0, len(ls))) AS n, unnest(ls) AS l FROM whole)
+SELECT source AS src, CAST(n // {_SECTION} AS BIGINT) AS section, count(*) AS n_lines,
+       sha256(string_agg(l, chr(10) ORDER BY n)) AS text_sha256
+FROM line GROUP BY 1, 2""")
+def text_sections(spark, d):
+    """Documents written as one long text file per source, read in pieces and
+    put together as sections of 500 lines."""
+    root = shared_dir(spark, "text-sections")
+    docs = table(spark, d, "documents").filter("source IS NOT NULL").select("source", "doc_id", "text")
+    docs.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text") \
+        .write.partitionBy("source").text(root + "/docs", lineSep="\n")
+    found = FS.text_sections(spark, root + "/docs", _SECTION)
+    return found.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("src"), "section", "n_lines",
+                        F.sha2("text", 256).alias("text_sha256"))
+
+
 @register("image_data_url", """
 SELECT item_id, 'data:image/jpeg;base64,' || to_base64(encode(text || chr(10))) AS data_url FROM benchmark""")
 def image_data_url(spark, d):

@@ -7,10 +7,12 @@ from __future__ import annotations
 from typing import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # Document extensions the folder scan dispatches on.
 BINARY_DOC_EXTENSIONS = [".pdf", ".docx", ".xlsx", ".xls"]
 TEXT_DOC_EXTENSIONS = [".txt", ".md"]
@@ -63,6 +65,47 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
      .option("encoding", "UTF-8").csv(path))
 
 
+def write_ordered_csv(df: DataFrame, path: str, order: Sequence[str], header: bool = True, parts: int | None = None) -> None:
+    """``write_csv`` whose files, by name, hold the rows in ``order``: one range of the order a file."""
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    write_csv(ranged.sortWithinPartitions(*order), path, header)
+
+
+def in_file_order(read: DataFrame, per_file: bool = False) -> DataFrame:
+    """The columns of a file scan, ``path`` and ``row_no`` (long, from 0): the
+    row's place in its file, or over all files by name.
+
+    Rows carry the piece of the file that they come from and their turn in its
+    task; they are written once, as another scan may cut its files elsewhere (the
+    cut follows the cores at hand).  A piece is read in one go, so the turn less
+    the piece's first is the place in the piece; what went before comes from a
+    table with one row a piece.  No row is sorted, and a file of any length is as
+    many tasks as it has pieces."""
+    rows = materialize(read.select(*read.columns, F.col("_metadata.file_path").alias("path"),
+                                   F.col("_metadata.file_block_start").alias("_piece"),
+                                   F.monotonically_increasing_id().alias("_turn")), "file-order")
+    pieces = rows.groupBy("path", "_piece").agg(F.min("_turn").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # one row a piece of a file; all files together when their rows are numbered through
+    order = Window.partitionBy("path").orderBy("_piece") if per_file else Window.orderBy("path", "_piece")
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(pieces.withColumn("_before", before).drop("_n"), ["path", "_piece"]).select(
+        *read.columns, "path", (F.col("_before") + F.col("_turn") - F.col("_first")).alias("row_no"))
+
+
+def text_sections(spark: SparkSession, path: str, lines: int = 2000, line_sep: str = "\n") -> DataFrame:
+    """Text files of any length below ``path`` -> (path, section, n_lines, text):
+    every ``lines`` lines of a file are a section, joined by ``line_sep`` again.
+    Sections depend on the file alone, not on how it was cut for reading; a file
+    is never one row.  A last line without its separator counts; an empty file
+    has no section."""
+    read = spark.read.option("recursiveFileLookup", True).option("lineSep", line_sep).text(path)
+    placed = in_file_order(read, per_file=True)
+    return (placed.withColumn("section", F.floor(F.col("row_no") / lines)).groupBy("path", "section")
+            .agg(F.array_sort(F.collect_list(F.struct("row_no", "value"))).alias("_l"))
+            .select("path", "section", F.size("_l").cast("long").alias("n_lines"),
+                    F.array_join(F.col("_l.value"), line_sep).alias("text")))
+
+
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: (name, path, content)."""
     df = spark.read.text(path, wholetext=True).select(
