@@ -66,6 +66,25 @@ def test_embedding_links_without_usable_rows(spark):
         assert [tuple(r) for r in got] == [(i, 0, i, True) for i, _ in rows]
 
 
+def test_extreme_components(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 0.99e200]), (3, [1e-200, 1e-200]), (4, [5e-324, 0.0]), (5, [1e308, 0.0]),
+            (6, [-1e308, 1e-300])]
+    got = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 4, True),
+                                             (5, 1, 4, False), (6, 0, 6, True)]
+
+
+def test_axes_are_used_from_a_few_dozen_vectors_on(spark, monkeypatch):
+    from lodestar.llm import embed_dedup
+    fitted = []
+    monkeypatch.setattr(embed_dedup, "fit_axes", lambda sample, leaves: fitted.append((len(sample), leaves)) or fit_axes(sample, leaves))
+    x = np.random.default_rng(8).normal(size=(100, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert fitted == [(100, 4)]
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, brute.embedding_rows(rows)))
+
+
 def test_staged_products_prune_nothing_that_links():
     rng = np.random.default_rng(3)
     x = unit_rows(np.concatenate([rng.normal(size=(300, 24)), rng.normal(size=24) + 0.3 * rng.normal(size=(80, 24))]))
