@@ -7,6 +7,7 @@ import atexit
 import os
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,8 @@ def build_session(master: str | None = None, app: str = "lodestar",
 
 
 _made: list[tuple[SparkSession, str]] = []
+_tables: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _root(spark: SparkSession) -> str:
@@ -73,17 +76,44 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: the
-    lineage is cut, and unlike ``checkpoint()`` the plan runs once."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage is cut, a lost executor costs no recomputation, and unlike
+    ``checkpoint()`` the plan runs once.  The shuffle files of the write have no
+    further reader and are removed with its end; the folder is removed by
+    ``release`` or when the driver ends."""
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _tables[table] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of ``materialize``d tables that nothing reads again."""
+    for table in tables:
+        path = _tables.pop(table, None)
+        if path is not None:
+            _drop(table.sparkSession, path)
+            _made[:] = [(spark, other) for spark, other in _made if other != path]
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def _drop_all() -> None:
     for spark, path in _made:
         if spark.sparkContext._jsc is not None:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _drop(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
