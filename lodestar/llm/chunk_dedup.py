@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import materialize, mix64, row_slices, text_bytes
+from .common import materialize, mix64, release, row_slices, text_bytes
 
 WINDOW = 32  # bytes that a 32-bit gear hash remembers
 SLICE = 4 << 20
@@ -110,8 +110,9 @@ def chunk_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return source.mapInArrow(run, schema)
 
 
-def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str, reach: int) -> DataFrame:
-    """(id, twin, run, side, more): how many code points next to an edge
+def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str, reach: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, twin, run, side, more), and the tables that hold it, for
+    ``release`` after its last reader: how many code points next to an edge
     (id, twin, run, side, pos, and the other place pid, ptwin, ppos) are the
     same at both places, before the two positions (side 0) or after (side 1).
 
@@ -121,7 +122,7 @@ def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str,
     texts = docs.select(F.col(id_col).alias("__id"), F.pmod(F.xxhash64(text_col), F.lit(1 << TWIN_BITS)).alias("__twin"),
                         F.col(text_col).cast("string").alias("text"))
     kind = edges.schema.simpleString()[len("struct<"):-1]
-    todo, done = edges.withColumn("more", F.lit(0).cast("long")), None
+    todo, done, tables = edges.withColumn("more", F.lit(0).cast("long")), None, []
     while True:
         step = F.when(F.col("side") == 1, F.col("more")).otherwise(-F.col("more"))
         sides = [("id", "twin", "pos"), ("pid", "ptwin", "ppos")]
@@ -162,12 +163,14 @@ def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str,
                     names=[*batch.schema.names[:-2], "same"])
 
         seen = materialize(joined.mapInArrow(compare, f"{kind}, more long, same long"), "extensions")
+        release(near)
+        tables.append(seen)
         grown = seen.withColumn("more", F.col("more") + F.col("same"))
         todo = grown.filter(F.col("same") == reach).drop("same")
         ended = grown.filter(F.col("same") < reach).select("id", "twin", "run", "side", "more")
         done = ended if done is None else done.unionByName(ended)
         if todo.isEmpty():
-            return done
+            return done, tables
         reach *= 8
 
 
@@ -234,7 +237,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         f"{chunk}.other.ptwin", (F.col(f"{chunk}.other.pstart") + past).alias("ppos"))
              .filter(~F.col(f"{chunk}.other.here") & (F.lit(side == 1) | (F.least("pos", "ppos") > 0)))
              for side, pos, chunk, past in ((0, "start", "head", F.lit(0)), (1, "end", "tail", F.col("tail.chars")))]
-    grown = extensions(docs, sides[0].unionByName(sides[1]), id_col=id_col, text_col=text_col, reach=max(1, min_chars))
+    grown, tables = extensions(docs, sides[0].unionByName(sides[1]), id_col=id_col, text_col=text_col, reach=max(1, min_chars))
     grown = grown.groupBy("id", "twin", "run").agg(*[
         F.max(F.when(F.col("side") == side, F.col("more"))).alias(name) for side, name in ((0, "before"), (1, "after"))])
 
@@ -252,6 +255,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         (F.col("start") - F.when(F.col("start") == F.col("first"), F.col("before")).otherwise(0)).alias("start"),
         (end + F.when(end == F.col("last"), F.col("after")).otherwise(0)).alias("end"))
     marked = materialize(marked, "marked")
+    release(found, run, *tables)
 
     def merged(df: DataFrame) -> DataFrame:
         """Spans that touch or overlap become one."""

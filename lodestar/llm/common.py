@@ -7,25 +7,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from ..session import shared_dir
+from ..session import materialize, release
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back: the
-    lineage is cut and a lost executor costs no recomputation.  The folder is
-    removed when the driver ends."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["bounded_batches", "materialize", "mix64", "release", "row_slices", "text_bytes", "unit"]
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches are counted in rows; whole texts can be long, so a
-    session that runs these operators gets smaller batches than the default."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: int = 32 << 20) -> None:
+    """Whole texts can be long, so a session that runs these operators gets
+    Arrow batches of fewer rows than the default, and of ``size`` bytes (one
+    row at least)."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

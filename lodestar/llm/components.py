@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -43,7 +43,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
             F.struct(F.col("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = materialize(orient(small), "components")
+        before, now = now, materialize(orient(small), "components")
+        release(before)
         after = mark(now)
         if after == seen:
             break

@@ -11,7 +11,7 @@ from lodestar.llm.components import connected_components
 from lodestar.llm.embed_dedup import embedding_links, fit_axes, linked, unit_rows
 from lodestar.llm.line_dedup import dedup_lines
 from lodestar.llm.weighted_minhash import (CELLS, all_similarities, consistent_samples, document_frequencies, near_duplicates,
-                                           shingles, weights_of)
+                                           shingles, unpacked, weights_of)
 
 
 def prose(rng, n, vocabulary=4000):
@@ -124,7 +124,7 @@ def test_rare_and_common_shingles_keep_their_weights_in_a_large_table(spark):
     kept = prose(rng, 60, 10 ** 9)
     texts += [common[i] + " " + kept for i in range(2)] + [kept + " " + common[i] for i in range(2, 4)]
     got = document_frequencies(spark.createDataFrame([(t,) for t in texts] + [(texts[0],), (None,), ("",)], "text string"), "text", 5)
-    by_text = {r["key"]: sorted(n for h in r["held"] for n in h["df"]) for r in got.collect()}
+    by_text = {r["key"]: sorted(n for h in r["held"] for n in unpacked(h)[1].tolist()) for r in got.collect()}
     twin = {r["text"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts], "text string").selectExpr(
         "text", "xxhash64(text) & 4294967295L h").collect()}
     holders = Counter(s for t in texts + [texts[0]] for s in brute.shingle_counts(t))
