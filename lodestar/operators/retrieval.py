@@ -10,18 +10,21 @@ emits all pairs."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from typing import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 # Fixed values taken from the reference's chunking setup.
 CHUNK_SIZE = 500
@@ -148,18 +151,23 @@ def token_hash_embed(df: DataFrame, text_col: str = "text", dim: int = 64, out_c
                      normalize: bool = True) -> DataFrame:
     """Text -> term counts by a bucket of each token's md5, a hash that every
     engine has; of unit length if ``normalize`` (a text without tokens stays
-    zero), else whole numbers.  NULL text has no tokens."""
-    bucket = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))), lambda t: (
-        F.conv(F.substring(F.md5(t.cast("binary")), 1, 4), 16, 10).cast("int") % dim))
-    tmp = df.withColumn("__buckets", bucket)
-    # one plain expression a bucket: inside a lambda the optimizer would take the buckets in, and hash every token again
-    # for each of them
-    counts = F.array(*[(F.size("__buckets") - F.size(F.array_remove("__buckets", i))).cast("double") for i in range(dim)])
-    tmp = tmp.withColumn(out_col, counts).drop("__buckets")
-    if not normalize:
-        return tmp
-    norm = F.sqrt(F.aggregate(out_col, F.lit(0.0), lambda a, x: a + x * x))
-    return tmp.withColumn(out_col, F.transform(out_col, lambda x: F.when(norm > 0, x / norm).otherwise(x)))
+    zero), else whole numbers.  NULL text has no tokens.  Tokens are cut in the
+    JVM and counted a batch at a time."""
+
+    @F.arrow_udf("array<double>")
+    def vectors(words: pa.Array) -> pa.Array:
+        known = words.flatten().cast(pa.binary()).dictionary_encode()  # each distinct token of a batch is hashed once
+        marks = (hashlib.md5(w).digest() for w in known.dictionary.to_pylist())
+        bucket = np.fromiter((((m[0] << 8) | m[1]) % dim for m in marks), np.int64, len(known.dictionary))
+        row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        counts = np.bincount(row * dim + bucket[known.indices.to_numpy()], minlength=len(words) * dim).astype(np.float64)
+        counts = counts.reshape(len(words), dim)
+        if normalize:
+            norm = np.sqrt((counts * counts).sum(1))[:, None]
+            counts = np.divide(counts, norm, out=counts, where=norm > 0)
+        return pa.ListArray.from_arrays(np.arange(len(words) + 1, dtype=np.int32) * dim, counts.reshape(-1))
+
+    return df.withColumn(out_col, vectors(tokens(F.coalesce(F.col(text_col), F.lit("")))))
 
 
 def embed_with(df: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, text_col: str = "text",
@@ -197,54 +205,117 @@ def vector_rejects(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFr
     return df.select(F.col(id_col).alias("id"), reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def _nearest(qkey: np.ndarray, qid: np.ndarray, Q: np.ndarray, cid: np.ndarray, C: np.ndarray, k: int,
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+class _Vectors:
+    """Distinct vectors of a piece of the corpus, each with the ids that can be
+    answers.
+
+    After at most ``k`` rows of one id, the 2 k smallest ids of a vector are
+    all that can be answers to a query, its own id left out."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int):
+        rows = rows + 0.0  # one zero
+        keys = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * rows.shape[1])))[:, 0]
+        _, first, group = np.unique(keys, return_index=True, return_inverse=True)
+        order = np.lexsort((ids, group))
+        group, ids = group[order], ids[order]
+
+        def turn(new: np.ndarray) -> np.ndarray:
+            start = np.flatnonzero(new)
+            return np.arange(len(new)) - np.repeat(start, np.diff(np.append(start, len(new))))
+        fresh = np.append(True, group[1:] != group[:-1])
+        keep = turn(fresh | np.append(True, ids[1:] != ids[:-1])) < k
+        group, ids = group[keep], ids[keep]
+        keep = turn(np.append(True, group[1:] != group[:-1])) < 2 * k
+        group, self.ids = group[keep], ids[keep]
+        self.n = np.bincount(group, minlength=len(first))
+        self.start = np.cumsum(self.n) - self.n
+        self.rows = rows[first]
+        self.squares = (self.rows ** 2).sum(1)
+        self.sole = self.ids[self.start] == self.ids[self.start + self.n - 1]  # vectors of one id
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+
+class _Best:
+    """The k nearest (distance, id) of every query of a block so far."""
+
+    def __init__(self, qid: np.ndarray, Q: np.ndarray, k: int, exclude_self: bool):
+        self.qid, self.Q, self.k, self.exclude_self = qid, Q, k, exclude_self
+        self.squares = (Q * Q).sum(1)
+        self.distance = np.full((len(qid), k), np.inf)
+        self.ids = np.full((len(qid), k), np.iinfo(np.int64).max)
+
+    def add(self, row: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
+        at, place = np.unique(row, return_inverse=True)
+        r = np.concatenate([np.repeat(np.arange(len(at)), self.k), place])
+        d, i = np.concatenate([self.distance[at].reshape(-1), distance]), np.concatenate([self.ids[at].reshape(-1), ids])
+        order = np.lexsort((i, d, r))
+        r = r[order]
+        kept = order[np.arange(len(r)) - np.searchsorted(r, np.arange(len(at)))[r] < self.k]
+        self.distance[at], self.ids[at] = d[kept].reshape(-1, self.k), i[kept].reshape(-1, self.k)
+
+    def meet(self, seen: np.ndarray, v: _Vectors, part: int = 512, cut: int = 2048) -> None:
+        """Queries ``seen`` (indices) against the vectors, exactly.
+
+        The matrix form only shortlists: what lies within the k-th distance
+        known so far plus a bound on its rounding error stays, and the
+        differences themselves decide."""
+        for s in range(0, len(seen), part):
+            at = seen[s:s + part]
+            qq, wide = self.squares[at], np.column_stack([self.Q[at], np.ones(len(at))])
+            for c in range(0, len(v), cut):
+                C, cc = v.rows[c:c + cut], v.squares[c:c + cut]
+                approx = wide @ np.column_stack([-2.0 * C, cc]).T  # less the query's own square
+                limit = self.distance[at, -1] - qq
+                slack = 1e-9 * (qq + cc.max()) + 1e-300
+                new = np.flatnonzero(np.isinf(limit))
+                if len(new) and len(C) >= self.k:
+                    far = approx[new]
+                    if self.exclude_self:
+                        own = v.ids[v.start[c:c + cut]]
+                        far[(self.qid[at[new]][:, None] == own[None, :]) & v.sole[None, c:c + cut]] = np.inf
+                    limit[new] = np.partition(far, self.k - 1, axis=1)[:, self.k - 1]
+                row, col = np.divmod(np.flatnonzero(approx <= (limit + 2 * slack)[:, None]), len(C))
+                for i in range(0, len(row), 32768):
+                    r, w = row[i:i + 32768], col[i:i + 32768]
+                    exact = ((self.Q[at[r]] - C[w]) ** 2).sum(1)
+                    n = v.n[c + w]
+                    spread = np.repeat(np.arange(len(r)), n)
+                    ids = v.ids[np.repeat(v.start[c + w], n) + np.arange(len(spread)) - np.repeat(np.cumsum(n) - n, n)]
+                    near = at[r[spread]]
+                    keep = ids != self.qid[near] if self.exclude_self else slice(None)
+                    self.add(near[keep], exact[spread][keep], ids[keep])
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the query, neighbour id, distance)."""
+        row, col = np.nonzero(np.isfinite(self.distance))
+        return row, self.ids[row, col], self.distance[row, col]
+
+
+def _nearest(qid: np.ndarray, Q: np.ndarray, cid: np.ndarray, C: np.ndarray, k: int,
              exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query key, neighbour id, distance): the k nearest rows of one corpus
-    block for every query, ties on neighbour id, exactly.
-
-    Copies of one vector beyond the k + 1 smallest ids can be no answer and
-    drop out first.  The matrix form only shortlists: every row within the
-    k-th approximate distance plus a bound on its rounding error stays, and
-    the differences themselves decide."""
-    order = np.argsort(cid, kind="stable")
-    cid, C = cid[order], C[order]
-    _, group = np.unique(C, axis=0, return_inverse=True)
-    by_group = np.argsort(group.reshape(-1), kind="stable")
-    sizes = np.bincount(group.reshape(-1))
-    nth = np.empty(len(cid), np.int64)
-    nth[by_group] = np.arange(len(cid)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    cid, C = cid[nth <= k], C[nth <= k]
-    out = []
-    cc = (C * C).sum(1)
-    for s in range(0, len(qid), 512):
-        q, ids = Q[s:s + 512], qid[s:s + 512]
-        qq = (q * q).sum(1)
-        approx = qq[:, None] + cc[None, :] - 2.0 * (q @ C.T)
-        if exclude_self:
-            approx[ids[:, None] == cid[None, :]] = np.inf
-        kth = np.partition(approx, min(k, len(cid)) - 1, axis=1)[:, min(k, len(cid)) - 1]
-        slack = 1e-9 * (qq + (cc.max() if len(cc) else 0.0)) + 1e-300
-        row, col = np.nonzero((approx <= (kth + 2 * slack)[:, None]) & np.isfinite(approx))
-        exact = np.concatenate([((q[row[i:i + 32768]] - C[col[i:i + 32768]]) ** 2).sum(1)
-                                for i in range(0, len(row), 32768)] or [np.zeros(0)])
-        best = np.lexsort((cid[col], exact, row))
-        row, col, exact = row[best], col[best], exact[best]
-        first = np.searchsorted(row, np.arange(len(q)))
-        keep = np.arange(len(row)) - first[row] < k
-        out.append((qkey[s:s + 512][row[keep]], cid[col[keep]], exact[keep]))
-    return tuple(np.concatenate(c) for c in zip(*out))
+    """(index of the query, neighbour id, distance): the k nearest rows of one
+    corpus block for every query, ties on neighbour id, exactly."""
+    best = _Best(qid, Q, k, exclude_self)
+    if len(qid) and len(cid):
+        best.meet(np.arange(len(qid)), _Vectors(cid, C, k))
+    return best.found()
 
 
 _CAND = "q long, neighbor_id long, distance double"
 
 
-def _frame(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip(("q", "neighbor_id", "distance"), found)))
-
-
 def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id",
         query_vec: str = "embedding", corpus_id: str = "id", corpus_vec: str = "embedding",
-        exclude_self: bool = False, block_rows: int = 4096, broadcast_bytes: int = 64 << 20,
+        exclude_self: bool = False, block_rows: int = 4096, broadcast_bytes: int = 2 << 20,
         candidate_rows: int = 20_000_000) -> DataFrame:
     """Exact top-k by squared L2 distance, ties on neighbour id:
     ``query_id, rank, neighbor_id, distance``.
@@ -258,9 +329,12 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id
     queries are few (their bytes, and the k rows a query that every corpus
     partition returns, within ``broadcast_bytes`` and ``candidate_rows``),
     they are broadcast and each corpus partition is scored where it lies.
-    Otherwise both sides are cut into blocks of about ``block_rows`` and each
-    pair of blocks meets in one task; a side is copied once per block of the
-    other, the inherent cost of an exact search."""
+    Otherwise copies of a vector are brought together first, with the ids that
+    can be answers; then both sides are cut into blocks and each pair of
+    blocks meets in one task.  A block holds ``block_rows`` rows, up to
+    ``BLOCKS`` blocks a side, beyond that as many more as keep to that number
+    of blocks, and ``MOST_ROWS`` at most: a side is copied once per block of
+    the other, the inherent cost of an exact search."""
     spark = queries.sparkSession
     usable = queries.filter(F.col(query_id).isNotNull() & valid_vectors(queries, query_vec))
     head = usable.select(F.size(query_vec)).limit(1).collect()
@@ -268,9 +342,9 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id
         return spark.createDataFrame([], "query_id long, rank int, neighbor_id long, distance double")
     dim = head[0][0]
     q = usable.filter(F.size(query_vec) == dim).select(
-        F.col(query_id).cast("long").alias("qid"), F.col(query_vec).cast("array<double>").alias("qv")).distinct()
+        F.col(query_id).cast("long").alias("qid"), _exact(queries, query_vec).alias("qv")).distinct()
     c = corpus.filter(F.col(corpus_id).isNotNull() & valid_vectors(corpus, corpus_vec, dim)).select(
-        F.col(corpus_id).cast("long").alias("cid"), F.col(corpus_vec).cast("array<double>").alias("cv"))
+        F.col(corpus_id).cast("long").alias("cid"), _exact(corpus, corpus_vec).alias("cv"))
     few = max(0, min(broadcast_bytes // (8 * dim), candidate_rows // (k * max(1, c.rdd.getNumPartitions()))))
     probe = q.limit(few + 1).toPandas() if few else None  # one bounded read; all of it is used if it is all there is
     if probe is not None and len(probe) <= few:
@@ -278,49 +352,72 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, query_id: str = "query_id
         ids = probe["qid"].to_numpy(np.int64)
         known = spark.sparkContext.broadcast((ids, vectors))
 
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            qid, Q = known.value
-            key = np.arange(len(qid))
-            best = None
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                found = _frame(_nearest(key, qid, Q, pdf["cid"].to_numpy(np.int64),
-                                        np.stack(pdf["cv"].to_numpy()).astype(np.float64), k, exclude_self))
-                best = found if best is None else pd.concat([best, found], ignore_index=True)
-                best = best.sort_values(["q", "distance", "neighbor_id"]).groupby("q").head(k)
-            if best is not None:
-                yield best
-
-        cand = c.mapInPandas(scan, _CAND)
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = _Best(*known.value, k, exclude_self)
+            every = np.arange(len(best.qid))
+            for batch in batches:
+                if len(batch):
+                    best.meet(every, _Vectors(batch.column(0).to_numpy(), _matrix(batch.column(1)), k))
+            found = best.found()
+            if len(found[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["q", "neighbor_id", "distance"])
+
+        cand = c.mapInArrow(scan, _CAND)
         names = spark.createDataFrame(pd.DataFrame({"q": np.arange(len(ids)), "query_id": ids}))
         named = _ranked(cand, k).join(F.broadcast(names), "q")  # bounded by the same check
         return named.select("query_id", "rank", "neighbor_id", "distance")
 
+    q = materialize(q.withColumn("q", F.xxhash64("qid", "qv")), "queries")
+    c = materialize(_copies_together(c, k), "corpus")
     nq, nc = q.count(), c.count()
-    qb, cb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nc / block_rows))
+    qb, cb = (_blocks(n, block_rows) for n in (nq, nc))
     # a query's key is a hash of all it is: two vectors of one id stay apart
-    left = (q.withColumn("q", F.xxhash64("qid", "qv")).withColumn("qb", F.pmod(F.col("q"), F.lit(qb)).cast("int"))
+    left = (q.withColumn("qb", F.pmod(F.col("q"), F.lit(qb)).cast("int"))
             .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
-    right = (c.withColumn("cb", F.pmod(F.xxhash64("cid"), F.lit(cb)).cast("int"))
+    right = (c.withColumn("cb", F.pmod(F.xxhash64("cv"), F.lit(cb)).cast("int"))
              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
 
-    def pair(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({"q": pd.Series(dtype="int64"), "query_id": pd.Series(dtype="int64"),
-                                 "neighbor_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-        qid = qpdf["qid"].to_numpy(np.int64)
-        row, near, dist = _nearest(np.arange(len(qid)), qid, np.stack(qpdf["qv"].to_numpy()).astype(np.float64),
-                                   cpdf["cid"].to_numpy(np.int64), np.stack(cpdf["cv"].to_numpy()).astype(np.float64),
-                                   k, exclude_self)
-        return pd.DataFrame({"q": qpdf["q"].to_numpy(np.int64)[row], "query_id": qid[row], "neighbor_id": near,
-                             "distance": dist})
-
-    cand = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(
+    def pair(a: pa.Table, b: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        if len(a) and len(b):
+            qid, lists = a["qid"].to_numpy(), b["cids"].combine_chunks()
+            vectors = np.repeat(_matrix(b["cv"]), np.diff(lists.offsets.to_numpy()), axis=0)
+            row, near, distance = _nearest(qid, _matrix(a["qv"]), lists.flatten().to_numpy(), vectors, k, exclude_self)
+            found = [a["q"].to_numpy()[row], qid[row], near, distance]
+        return pa.table([pa.array(x) for x in found], names=["q", "query_id", "neighbor_id", "distance"])
+
+    cand = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(
         pair, "q long, query_id long, neighbor_id long, distance double")
     return _ranked(cand, k, "query_id").select("query_id", "rank", "neighbor_id", "distance")
 
 
+BLOCKS, MOST_ROWS = 16, 32768
+
+
+def _blocks(rows: int, block_rows: int) -> int:
+    """Number of blocks of one side: of ``block_rows`` rows up to ``BLOCKS`` of
+    them, then of more rows each, ``MOST_ROWS`` at most."""
+    return max(1, min(math.ceil(rows / block_rows), max(BLOCKS, math.ceil(rows / MOST_ROWS))))
+
+
+def _exact(df: DataFrame, vec_col: str) -> Column:
+    """The vector as it is if its components are floats, else as doubles."""
+    kind = df.schema[vec_col].dataType
+    narrow = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col(vec_col) if narrow else F.col(vec_col).cast("array<double>")
+
+
+def _copies_together(corpus: DataFrame, k: int) -> DataFrame:
+    """(cv, cids): each distinct vector once, with the ids that can be answers:
+    of at most ``k`` rows of one id the 2 k smallest (see ``_Vectors``)."""
+    key = F.xxhash64("cv")  # sorts first, so that whole vectors are compared only with copies
+    of_id = Window.partitionBy("key", "cv", "cid").orderBy("key")
+    of_vector = Window.partitionBy("key", "cv").orderBy("cid")
+    rows = corpus.withColumn("key", key).withColumn("n", F.row_number().over(of_id)).filter(F.col("n") <= k)
+    rows = rows.withColumn("n", F.row_number().over(of_vector)).filter(F.col("n") <= 2 * k)
+    return rows.groupBy("key", "cv").agg(F.collect_list("cid").alias("cids")).select("cv", "cids")
+
+
 def _ranked(cand: DataFrame, k: int, *more: str) -> DataFrame:
     w = Window.partitionBy("q", *more).orderBy("distance", "neighbor_id")
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

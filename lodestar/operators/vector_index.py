@@ -19,23 +19,16 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import materialize
-from .retrieval import _nearest, valid_vectors
+from .retrieval import _Best, _matrix, _Vectors, _blocks, _exact, valid_vectors
 
 SLACK = 1e-9
-PAGE = 4096  # block centres that meet a block of queries in one task
+PAGE = 4096  # rows of a page of blocks, and of a tile of queries, as long as these are few
 _BLOCK = T.StructType([T.StructField("block", T.LongType()), T.StructField("n", T.LongType()),
                        T.StructField("dim", T.IntegerType()), T.StructField("centre", T.ArrayType(T.DoubleType())),
                        T.StructField("radius", T.DoubleType()), T.StructField("ids", T.BinaryType()),
                        T.StructField("vectors", T.BinaryType())])
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
-
-
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
 
@@ -112,69 +105,80 @@ def build_index(chunks: DataFrame, path: str, *, id_col: str = "id", vec_col: st
 
 def _queries(queries: DataFrame, query_id: str, query_vec: str, dim: int) -> DataFrame:
     q = queries.filter(F.col(query_id).isNotNull() & valid_vectors(queries, query_vec, dim)).select(
-        F.col(query_id).cast("long").alias("qid"), F.col(query_vec).cast("array<double>").alias("qv")).distinct()
+        F.col(query_id).cast("long").alias("qid"), _exact(queries, query_vec).alias("qv")).distinct()
     return q.withColumn("q", F.xxhash64("qid", "qv"))
 
 
-def _meet_centres(q: DataFrame, blocks: DataFrame, limits: DataFrame | None, probe: int) -> DataFrame:
-    """(q, block, gap) by blocks of queries against pages of centres: with
-    ``limits`` (q, kth) every block that may hold a row within the limit,
-    without them each query's ``probe`` nearest blocks of the page."""
-    nq, nb = (max(1, math.ceil(df.count() / PAGE)) for df in (q, blocks))
-    left = q if limits is None else q.join(limits, "q", "left")
-    left = left.select("q", "qv", F.lit(None).cast("double").alias("kth") if limits is None else "kth")
-    left = left.withColumn("qb", F.pmod("q", F.lit(nq)).cast("int")).withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    right = blocks.select("block", "centre", "radius").withColumn("page", F.pmod(F.xxhash64("block"), F.lit(nb)).cast("int"))
-    right = right.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    nearest = limits is None
-
-    def gaps(a: pa.Table, b: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+def _read_blocks(Q: np.ndarray, best: _Best, blocks: list[dict], probe: int, part: int = 4096):
+    """Brings a tile's queries together with the blocks of a page; gives the
+    (query index, block index) pairs that were read, of each step by itself.
+
+    First each query meets the ``probe`` blocks whose centres are nearest, then
+    the blocks that may hold a row within the k-th distance found."""
+    dim = Q.shape[1]
+    centre = np.array([b["centre"] for b in blocks])
+    radius = np.array([b["radius"] for b in blocks])
+    held = [_Vectors(np.frombuffer(b["ids"], np.int64), np.frombuffer(b["vectors"], np.float64).reshape(-1, dim), best.k)
+            for b in blocks]
+    probe = min(probe, len(blocks))
+    steps = [], []
+    for s in range(0, len(Q), part):
+        v = Q[s:s + part]
+        far = np.sqrt(_squares(v, centre))
+        # the squared form loses half the digits near zero: sqrt(rounding) of the vectors' size
+        size = np.sqrt((v ** 2).sum(1))[:, None] + np.sqrt((centre ** 2).sum(1))[None, :] + radius[None, :]
+        least = far - radius[None, :] - 1e-7 * size
+        first = np.zeros(far.shape, bool)
+        np.put_along_axis(first, np.argpartition(far, probe - 1, axis=1)[:, :probe], True, axis=1)
+        done = [], []
+        for j in np.flatnonzero(first.any(0)):
+            at = np.flatnonzero(first[:, j])
+            best.meet(s + at, held[j])
+            done[0].append((at, np.full(len(at), j)))
+        limit = np.sqrt(best.distance[s:s + part, -1]) * (1 + SLACK)
+        more = (least <= limit[:, None]) & ~first
+        for j in np.argsort(least.mean(0)):
+            at = np.flatnonzero(more[:, j])
+            if len(at):
+                best.meet(s + at, held[j])
+                done[1].append((at, np.full(len(at), j)))
+        for step, pairs in zip(steps, done):
+            step += [(s + at, block) for at, block in pairs]
+    return steps
+
+
+def _search(q: DataFrame, blocks: DataFrame, k: int, exclude_self: bool, probe: int, trace: bool = False) -> DataFrame:
+    """Candidates (q, query_id, neighbor_id, distance): tiles of queries meet
+    pages of blocks, and each page gives its k nearest rows of a query.  With
+    ``trace`` the pairs (q, block, step) that are read instead."""
+    tiles = _blocks(q.count(), PAGE)
+    pages = _blocks(blocks.agg(F.sum("n")).first()[0] or 0, PAGE)
+    left = q.withColumn("tile", F.pmod("q", F.lit(tiles)).cast("int")).withColumn(
+        "page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))))
+    right = blocks.select("block", "centre", "radius", "ids", "vectors").withColumn(
+        "page", F.pmod(F.xxhash64("block"), F.lit(pages)).cast("int")).withColumn(
+        "tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+
+    def read(a: pa.Table, b: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64)] * (3 if trace else 4)
         if len(a) and len(b):
-            key, block = a["q"].to_numpy(), b["block"].to_numpy()
-            v, centre, radius = _matrix(a["qv"]), _matrix(b["centre"]), b["radius"].to_numpy()
-            out = []
-            for s in range(0, len(key), 256):
-                far = np.sqrt(_squares(v[s:s + 256], centre))
-                if nearest:
-                    row = np.repeat(np.arange(len(far)), min(probe, far.shape[1]))
-                    col = np.argpartition(far, min(probe, far.shape[1]) - 1, axis=1)[:, :probe].reshape(-1)
-                else:
-                    size = np.sqrt((v[s:s + 256] ** 2).sum(1))[:, None] + np.sqrt((centre ** 2).sum(1))[None, :] + radius[None, :]
-                    kth = a["kth"].to_numpy(zero_copy_only=False)[s:s + 256].astype(np.float64)
-                    limit = np.sqrt(np.where(np.isnan(kth), np.inf, kth))[:, None]
-                    # the squared form loses half the digits near zero: sqrt(rounding) of the vectors' size
-                    row, col = np.nonzero(far - radius[None, :] - 1e-7 * size <= limit * (1 + SLACK))
-                out.append((key[s:s + 256][row], block[col], far[row, col]))
-            found = [np.concatenate(c) for c in zip(*out)]
-        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())],
-                        names=["q", "block", "gap"])
-
-    return left.groupBy("qb", "page").cogroup(right.groupBy("qb", "page")).applyInArrow(gaps, "q long, block long, gap double")
-
-
-def _scan(pairs: DataFrame, q: DataFrame, blocks: DataFrame, k: int, exclude_self: bool) -> DataFrame:
-    """The ``k`` nearest rows of every (q, block) pair.  A block that very many
-    queries ask for meets them in parts of about ``PAGE``."""
-    parts = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PAGE).cast("int").alias("parts"))
-    asked = pairs.join(parts, "block").join(q, "q").withColumn("part", F.pmod("q", F.col("parts")).cast("int"))
-    held = blocks.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-
-    def near(a: pa.Table, b: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
-        if len(a) and len(b):
-            row = b.to_pylist()[0]
-            ids = np.frombuffer(row["ids"], np.int64)
-            vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(ids), -1)
-            qid = a["qid"].to_numpy().astype(np.int64)
-            at, neighbour, distance = _nearest(np.arange(len(qid)), qid, _matrix(a["qv"]), ids, vectors, k, exclude_self)
-            found = [a["q"].to_numpy()[at], qid[at], neighbour, distance]
-        return pa.table([pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
-                        names=["q", "query_id", "neighbor_id", "distance"])
-
-    return asked.select("block", "part", "q", "qid", "qv").groupBy("block", "part").cogroup(
-        held.select("block", "part", "ids", "vectors").groupBy("block", "part")).applyInArrow(
-        near, "q long, query_id long, neighbor_id long, distance double")
+            key, rows = a["q"].to_numpy(), b.to_pylist()
+            Q = _matrix(a["qv"])
+            best = _Best(a["qid"].to_numpy(), Q, k, exclude_self)
+            steps = _read_blocks(Q, best, rows, probe)
+            if trace:
+                block = np.array([r["block"] for r in rows])
+                pairs = [(key[at], block[j], np.full(len(at), step)) for step in (0, 1) for at, j in steps[step]]
+                found = [np.concatenate(c) for c in zip(*pairs)]
+            else:
+                at, neighbour, distance = best.found()
+                found = [key[at], best.qid[at], neighbour, distance]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+        return pa.table([pa.array(c, t) for c, t in zip(found, types)],
+                        names=["q", "block", "step"] if trace else ["q", "query_id", "neighbor_id", "distance"])
+
+    return left.groupBy("tile", "page").cogroup(right.groupBy("tile", "page")).applyInArrow(
+        read, "q long, block long, step long" if trace else "q long, query_id long, neighbor_id long, distance double")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -194,18 +198,15 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 def search_pairs(queries: DataFrame, path: str, k: int, *, query_id: str = "query_id", query_vec: str = "embedding",
                  exclude_self: bool = False, probe: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(first, more, found): the (q, block) pairs that are read first, those
-    that the triangle inequality leaves after them, and the candidates."""
-    spark = queries.sparkSession
-    blocks = open_blocks(spark, path)
+    that the triangle inequality leaves after them, and the candidates.  The
+    pairs are listed for whoever looks at them only; the search keeps them
+    within its tasks."""
+    blocks = open_blocks(queries.sparkSession, path)
     head = blocks.select("dim").limit(1).collect()
     q = materialize(_queries(queries, query_id, query_vec, head[0][0] if head else -1), "queries")
-    gap = F.row_number().over(Window.partitionBy("q").orderBy("gap", "block"))
-    first = materialize(_meet_centres(q, blocks, None, probe).withColumn("place", gap).filter(F.col("place") <= probe).select(
-        "q", "block"), "pairs")
-    near = materialize(_scan(first, q, blocks, k, exclude_self), "near")
-    limits = _ranked(near, k).filter(F.col("rank") == k).select("q", F.col("distance").alias("kth"))
-    more = materialize(_meet_centres(q, blocks, limits, probe).select("q", "block").join(first, ["q", "block"], "left_anti"), "pairs")
-    return first, more, near.unionByName(_scan(more, q, blocks, k, exclude_self))
+    pairs = _search(q, blocks, k, exclude_self, probe, trace=True)
+    return (pairs.filter("step = 0").select("q", "block"), pairs.filter("step = 1").select("q", "block"),
+            _search(q, blocks, k, exclude_self, probe))
 
 
 def search_index(queries: DataFrame, path: str, k: int, *, query_id: str = "query_id", query_vec: str = "embedding",
@@ -216,10 +217,11 @@ def search_index(queries: DataFrame, path: str, k: int, *, query_id: str = "quer
     rows with a null id, an unusable vector or another length than the index
     holds take no part, and an empty index answers nothing.
 
-    Each query reads its ``probe`` nearest blocks; the k-th distance found
-    there (none, if they hold fewer rows) bounds which others can matter.
-    Queries and centres meet in pages, queries and blocks in parts, so no
-    task holds more than ``PAGE`` of either, however many queries ask for one
-    block."""
+    Tiles of queries meet pages of blocks.  In a page each query reads its
+    ``probe`` nearest blocks; the k-th distance found there (none, if they hold
+    fewer rows) bounds which others can matter.  Only tiles, pages and a page's
+    k best rows a query cross the network, never (query, block) pairs; tiles
+    and pages hold ``PAGE`` rows or more, ``MOST_ROWS`` at most, however many
+    queries ask for one block."""
     found = search_pairs(queries, path, k, query_id=query_id, query_vec=query_vec, exclude_self=exclude_self, probe=probe)[2]
     return _ranked(found, k).select("query_id", "rank", "neighbor_id", "distance")

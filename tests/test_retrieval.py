@@ -118,3 +118,38 @@ def test_knn_ties_repeated_queries_and_bad_vectors(spark, broadcast_bytes):
                           (59, 0.0, 1, 0), (59, 0.0, 2, 1), (59, 0.0, 3, 2)])
     bad = {r.id: r.reason for r in R.vector_rejects(c, "id", "embedding", 2).collect()}
     assert bad == {100: "no vector", 101: "other length", 102: "component not finite", 103: "component not finite", None: "no id"}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_knn_of_an_id_that_stands_often_beside_copies(spark, broadcast_bytes):
+    rows = [(1, [1.0, 0.0])] * 9 + [(2, [1.0, 0.0])] * 2 + [(3, [0.0, 1.0])]
+    c = spark.createDataFrame(rows, "id long, embedding array<float>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0])], "query_id long, embedding array<float>")
+    got = R.knn(q, c, 3, exclude_self=True, broadcast_bytes=broadcast_bytes).orderBy("query_id", "rank")
+    assert [(r.query_id, r.neighbor_id, r.distance) for r in got.collect()] == [
+        (1, 2, 0.0), (1, 2, 0.0), (1, 3, 2.0), (2, 1, 0.0), (2, 1, 0.0), (2, 1, 0.0)]
+
+
+def test_blocks_grow_with_the_rows_and_copies_meet_once(spark):
+    # (blocks of a side) x (rows of the other) cross the network: no more than BLOCKS times the rows as far as memory allows
+    assert [R._blocks(n, 4096) for n in (0, 4096, 100_000, 524_288, 5_242_880)] == [1, 1, 16, 16, 160]
+    rows = [(i + 100 * j, [float(i), 1.0]) for i in range(20) for j in range(21)]
+    c = spark.createDataFrame(rows, "cid long, cv array<float>")
+    got = {tuple(r.cv): sorted(r.cids) for r in R._copies_together(c, 5).collect()}
+    assert got == {(float(i), 1.0): [i + 100 * j for j in range(10)] for i in range(20)}
+
+
+def test_token_buckets_of_a_batch(spark):
+    import hashlib
+    texts = ["a b a", None, "", "Ünder b", "x" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    out = [r.embedding for r in R.token_hash_embed(df, dim=8, normalize=False).orderBy("id").collect()]
+    want = []
+    for t in texts:
+        v = [0.0] * 8
+        for w in (t or "").lower().split():
+            v[int(hashlib.md5(w.encode()).hexdigest()[:4], 16) % 8] += 1
+        want.append(v)
+    assert out == want
+    plan = R.token_hash_embed(df)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "md5" not in plan  # no hash and no pass over the tokens for each bucket

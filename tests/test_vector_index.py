@@ -62,3 +62,15 @@ def test_unusable_rows_and_an_empty_index(spark, tmp_dir):
 
 def test_centres_of_equal_rows():
     assert len(VI.fit_centres(np.ones((50, 3)), 8)) == 1
+
+
+def test_random_directions_move_tiles_and_no_pairs(spark, tmp_dir, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(300)]
+    VI.build_index(spark.createDataFrame(rows, "id long, embedding array<double>"), tmp_dir + "/d", block_rows=4)
+    monkeypatch.setattr(VI, "PAGE", 64)
+    queries = spark.createDataFrame(rows, "query_id long, embedding array<double>")
+    found = VI.search_index(queries, tmp_dir + "/d", 3, exclude_self=True)
+    # each page gives a query's k best rows; of a block each there would be 75 or more times as many
+    assert VI.search_pairs(queries, tmp_dir + "/d", 3, exclude_self=True)[2].count() == 300 * -(-300 // 64) * 3
+    assert [tuple(r) for r in found.orderBy("query_id", "rank").collect()] == plain(rows, rows, 3, True)
