@@ -20,6 +20,7 @@ _SIDES = ("x1", "y1", "x2", "y2")
 _GROUP = ["image", "class_id"]
 _ROUNDING = 1e-9  # slack of the grid's reach, so that rounding loses no pair
 _SALTS = 64
+_CROWD = 256  # boxes of one side from which on a group goes by cells
 
 
 def iou(p: str, g: str) -> Column:
@@ -73,15 +74,26 @@ def overlapping_pairs(truth: DataFrame, preds: DataFrame, least: float = 0.5) ->
     """All (truth, prediction) pairs of one image and class with IoU >=
     ``least``, each once.  ``truth``: image, class_id, g (struct of x1, y1, x2,
     y2) and further columns; ``preds``: image, class_id, p (struct) and further
-    columns; names must not clash.  Rows with a null key, or with a box that is
+    columns; names must not clash.  A group of up to ``_CROWD`` boxes a side meets
+    on its key; only larger ones are spread over cells, which copies a
+    prediction to each cell it may reach.  Both sides are read more than once.
+    Rows with a null key, or with a box that is
     null, not finite or without area, pair with nothing."""
     if not 0 < least <= 1:
         raise ValueError("least must be in (0, 1]")
-    left = truth.filter(_solid("g")).withColumn("_x", _own_cell("g", "x1", "x2")).withColumn("_y", _own_cell("g", "y1", "y2"))
-    right = (preds.filter(_solid("p")).withColumn("_x", F.explode(_near_cells("p", "x1", "x2", least)))
-             .withColumn("_y", F.explode(_near_cells("p", "y1", "y2", least))))
-    return (left.join(right, [*_GROUP, "_x", "_y"]).withColumn("iou", iou("p", "g"))
-            .filter(F.col("iou") >= least - 1e-12).drop("_x", "_y"))
+    left, right = truth.filter(_solid("g")), preds.filter(_solid("p"))
+    large = [side.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > _CROWD).select(*_GROUP)
+             for side in (left, right)]
+    crowds = materialize(large[0].unionByName(large[1]).distinct(), "crowds")
+    if crowds.isEmpty():
+        met = left.join(right, _GROUP)
+    else:
+        calm, full = ([side.join(crowds, _GROUP, how) for side in (left, right)] for how in ("left_anti", "left_semi"))
+        own = full[0].withColumn("_x", _own_cell("g", "x1", "x2")).withColumn("_y", _own_cell("g", "y1", "y2"))
+        near = (full[1].withColumn("_x", F.explode(_near_cells("p", "x1", "x2", least)))
+                .withColumn("_y", F.explode(_near_cells("p", "y1", "y2", least))))
+        met = calm[0].join(calm[1], _GROUP).unionByName(own.join(near, [*_GROUP, "_x", "_y"]).drop("_x", "_y"))
+    return met.withColumn("iou", iou("p", "g")).filter(F.col("iou") >= least - 1e-12)
 
 
 def match_detections(gt: DataFrame, preds: DataFrame, thresholds: Sequence[float]) -> DataFrame:
@@ -103,8 +115,8 @@ def match_detections(gt: DataFrame, preds: DataFrame, thresholds: Sequence[float
         .otherwise(F.col("score").cast("double"))
     p = materialize(preds.select(*_GROUP, "pred_id", "score", F.struct(*[F.col(c).cast("double").alias(c) for c in _SIDES]).alias("p"),
                                  F.monotonically_increasing_id().alias("_p")), "predicted-boxes")
-    nodes = gt.select(*_GROUP, F.struct(*[F.col(c).cast("double").alias(c) for c in _SIDES]).alias("g")) \
-        .groupBy(*_GROUP, "g").agg(F.count(F.lit(1)).alias("room"))
+    nodes = materialize(gt.select(*_GROUP, F.struct(*[F.col(c).cast("double").alias(c) for c in _SIDES]).alias("g")) \
+        .groupBy(*_GROUP, "g").agg(F.count(F.lit(1)).alias("room")), "truth-boxes")
     turn = F.struct((-score).alias("s"), F.col("pred_id").alias("i"), F.col("_p").alias("p"))
     pairs = materialize(overlapping_pairs(nodes, p.select(*_GROUP, "p", "_p", turn.alias("turn")), min(thresholds))
                         .drop("p"), "box-pairs")

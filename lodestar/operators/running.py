@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -35,9 +35,8 @@ def running(df: DataFrame, key: str, order: Sequence[str], sums: Sequence[str] =
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ocols = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, F.col(key), *ocols).withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    # in columns, and without the shuffle files of the write: marks and repeated values take next to no room
+    ranged = materialize(df.repartitionByRange(n, F.col(key), *ocols).withColumn("_pid", F.spark_partition_id()), "ranged")
 
     local = Window.partitionBy("_pid", key).orderBy(*ocols)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)

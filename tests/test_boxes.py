@@ -87,3 +87,16 @@ def test_unusable_boxes(spark):
     assert {r.pred_id: (r.tp_0, r.tp_1) for r in got} == {1: (0, 0), 2: (1, 1), 3: (0, 0), 4: (0, 0), 5: (0, 0), 6: (0, 0)}
     assert B.match_detections(spark.createDataFrame([], TRUTH), spark.createDataFrame(preds[:2], PREDS), [0.5]).count() == 2
     assert B.match_detections(spark.createDataFrame(truth, TRUTH), spark.createDataFrame([], PREDS), [0.5]).count() == 0
+
+
+def test_small_groups_meet_without_cells(spark, monkeypatch):
+    rows = [(i // 8, 0, 10.0 * (i % 8), 0.0, 10.0 * (i % 8) + 12.0, 9.0) for i in range(64)]
+    cols = "image int, class_id int, x1 double, y1 double, x2 double, y2 double"
+    t = spark.createDataFrame(rows, cols).selectExpr("image", "class_id", "struct(x1, y1, x2, y2) AS g")
+    p = spark.createDataFrame(rows, cols).selectExpr("image", "class_id", "struct(x1, y1, x2, y2) AS p")
+    calm = B.overlapping_pairs(t, p)
+    assert "Generate" not in calm._jdf.queryExecution().optimizedPlan().toString()  # no copies of a box
+    monkeypatch.setattr(B, "_CROWD", 4)
+    cells = B.overlapping_pairs(t, p)
+    assert "Generate" in cells._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, calm.collect())) == sorted(map(str, cells.collect())) and calm.count() == 64

@@ -80,3 +80,20 @@ def test_fence_forms(spark):
     bad = [f"```json\n{body}", "``````", "```json```", "``` ```"]
     p, rejects = EV.parse_predictions(files(spark, [(f"{i}.json", c) for i, c in enumerate(bad)]))
     assert p.count() == 0 and {r.reason for r in rejects.collect()} == {"no JSON"} and rejects.count() == len(bad)
+
+
+def test_rejects_and_missing_files_read_each_file_once(spark):
+    from lodestar.operators import evaluation as EV
+    preds = spark.createDataFrame([("a.json", '[{"cls": "??"}, {"cls": " "}]'), ("b.json", "no"), ("c.json", "null"), (None, "[]"),
+                                   ("d.json", '{"cls": "x"}{"class": "y"}')], "name string, content string")
+    preds = preds.repartition(2)
+    known, rejects = EV.parse_predictions(preds)
+    assert sorted(tuple(map(str, r)) for r in rejects.collect()) == [
+        ("a", "unknown class", "??"), ("b", "no JSON", "None"), ("d", "unknown class", "x"),
+        ("d", "unknown class", "y")]
+    assert rejects._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    labels = spark.createDataFrame([("a.txt", ""), ("e.txt", ""), (None, "")], "name string, content string").repartition(2)
+    missing = EV.missing_files(labels, preds)
+    assert sorted(tuple(map(str, r)) for r in missing.collect()) == [
+        ("None", "label"), ("None", "prediction"), ("b", "label"), ("c", "label"), ("d", "label"), ("e", "prediction")]
+    assert missing._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
