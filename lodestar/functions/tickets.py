@@ -11,7 +11,7 @@ from typing import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import falsy, strip
+from .text import _WS, falsy, strip
 
 # Fixed values that must equal the reference's: lane trigger names, lane keys,
 # validation and verdict texts, keyword lists, failure marker.
@@ -165,7 +165,7 @@ def strict_json_object(text) -> Column:
     trailing junk and bare lists are rejected)."""
     t = _c(text)
     arr = F.concat(F.lit("["), t, F.lit("]"))
-    return F.coalesce((F.json_array_length(arr) == 1) & strip(t).startswith("{"), F.lit(False))
+    return F.coalesce(t.rlike(f"^{_WS}*\\{{") & (F.json_array_length(arr) == 1), F.lit(False))
 
 
 def verdict(resp, evidence, fallback_keywords: Sequence[str], error=None, quote_evidence: bool = False) -> Column:

@@ -114,13 +114,18 @@ _SCENE_RESP_SQL = (f"CASE event_id % 5 WHEN 0 THEN '<think>对比</think>' || {_
 _BASE_SQL = "base AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _BASE_COLS) + " FROM events)"
 
 
-def _base(spark, d):
-    return table(spark, d, "events").selectExpr(*[f"{e} AS {n}" for n, e in _BASE_COLS])
+def _base(spark, d, spread=False):
+    """``spread`` deals the events to all tasks first: a file of few row groups
+    would have few tasks compose its messages."""
+    events = table(spark, d, "events")
+    if spread:
+        events = events.repartition("event_id", "user_id", "props")
+    return events.selectExpr(*[f"{e} AS {n}" for n, e in _BASE_COLS])
 
 
-def _tickets(spark, d):
+def _tickets(spark, d, spread=False):
     """Nested ticket structs built from the composed columns."""
-    b = _base(spark, d)
+    b = _base(spark, d, spread)
     slots = F.expr("slice(array(" + ", ".join(
         f"named_struct('handleEntity', ent{i}, 'handleResult', res{i}, "
         f"'handleResultImageUrls', array_repeat('http://img.example.com/r.jpg', {i}))" for i in range(3))
@@ -597,7 +602,7 @@ def ticket_check_ticket(spark, d):
 def _messages(spark, d):
     """JSON lines, every 50th with a second object glued to it."""
     raw = TS.to_json_text(F.col("ticket").withField("processActionCode", F.lit("Intake")))
-    return _tickets(spark, d).select(
+    return _tickets(spark, d, spread=True).select(
         F.when(F.col("event_id") % 50 == 0, F.concat(raw, F.lit('{"x": 1}'))).otherwise(raw).alias("value"))
 
 
@@ -630,7 +635,7 @@ def ticket_intake(spark, d):
     old = F.when(F.col("event_id") % 2 == 0, "old")
     line = F.to_json(F.struct("eventId", old.alias("processActionCode"), old.alias("note"), extra.alias("vendorData")))
     glued = F.when(F.col("event_id") % 50 == 0, F.concat(line, F.lit("{}"))).otherwise(line)
-    _base(spark, d).select(glued.alias("value")).write.mode("overwrite").text(root + "/in")
+    _base(spark, d, spread=True).select(glued.alias("value")).write.mode("overwrite").text(root + "/in")
     run_dispatch(spark, root + "/in", root + "/out", root + "/ckpt")
     v = F.parse_json("payload")
     return read_outcomes(spark, root + "/out").select(

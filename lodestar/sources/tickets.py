@@ -50,23 +50,25 @@ def read_tickets(spark: SparkSession, path: str) -> DataFrame:
                          F.col("ticket.processActionCode").alias("processActionCode"))
 
 
-def parse_ticket(raw: Column) -> Column:
+def parse_ticket(raw: Column, strict: Column | None = None) -> Column:
     """Strictly parse a JSON text into the ticket struct: NULL unless the
     text is exactly one JSON object (``from_json`` alone accepts glued
-    objects, so a strict single-object test guards it)."""
+    objects, so a strict single-object test guards it; ``strict`` is the
+    test's result, where a column holds it)."""
     from ..functions.tickets import strict_json_object
-    return F.when(strict_json_object(raw), F.from_json(raw, TICKET))
+    return F.when(strict_json_object(raw) if strict is None else strict, F.from_json(raw, TICKET))
 
 
-def with_action_code(raw: Column, code: str) -> Column:
+def with_action_code(raw: Column, code: str, strict: Column | None = None) -> Column:
     """The JSON object's text with ``processActionCode`` set (overwritten, or
     added) and every other key carried through, those outside the ticket
-    schema too; NULL unless the text is exactly one JSON object."""
+    schema too; NULL unless the text is exactly one JSON object (``strict``,
+    as in ``parse_ticket``)."""
     from ..functions.tickets import strict_json_object
     fields = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
     kept = F.map_filter(fields, lambda k, _: k != "processActionCode")
     said = F.create_map(F.lit("processActionCode"), F.parse_json(F.lit(json.dumps(code))))
-    return F.when(strict_json_object(raw), F.to_json(F.map_concat(kept, said)))
+    return F.when(strict_json_object(raw) if strict is None else strict, F.to_json(F.map_concat(kept, said)))
 
 
 def to_json_text(c: Column) -> Column:

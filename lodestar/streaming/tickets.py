@@ -39,12 +39,17 @@ def parse_messages(raw: DataFrame, action_code: str | None = None) -> DataFrame:
     """(raw, payload, ticket) from a DataFrame of raw JSON lines (batch or
     stream).  The payload is the accepted message whole, keys outside the
     ticket schema too, with the action code set (overwritten) if one is
-    given; it is what goes on."""
-    t = parse_ticket(F.col("raw"))
+    given; it is what goes on.
+
+    The strict test and the ticket are columns before anything reads them, so
+    a message is tested and parsed once."""
+    raw = raw.select("raw", TK.strict_json_object(F.col("raw")).alias("strict"))
+    raw = raw.select("raw", "strict", parse_ticket(F.col("raw"), F.col("strict")).alias("ticket"))
+    t = F.col("ticket")
     payload = F.when(t.isNotNull(), F.col("raw"))
     if action_code is not None:
         t = F.when(t.isNotNull(), t.withField("processActionCode", F.lit(action_code)))
-        payload = with_action_code(F.col("raw"), action_code)
+        payload = with_action_code(F.col("raw"), action_code, F.col("strict"))
     return raw.select("raw", payload.alias("payload"), t.alias("ticket"))
 
 

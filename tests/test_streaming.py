@@ -130,3 +130,17 @@ def test_payload_is_carried_whole(spark):
     assert json.loads(rows[0].payload) == json.loads(lines[0]) | {"processActionCode": "New"} and rows[0].ticket.processActionCode == "New"
     assert json.loads(rows[1].payload) == {"eventId": "2", "processActionCode": "New"}
     assert [r.payload for r in rows[2:]] == [None] * 4 and [r.ticket for r in rows[2:]] == [None] * 4
+
+
+def test_a_message_is_tested_and_parsed_once(spark):
+    from lodestar.streaming.tickets import parse_messages
+
+    lines = [_msg(1), " \n\t" + _msg(2), _msg(3) + "{}", "[" + _msg(4) + "]", "x" + _msg(5), "", None]
+    spark.conf.set("spark.sql.optimizer.enableJsonExpressionOptimization", "false")
+    try:
+        rows = dispatch_outcome(parse_messages(spark.createDataFrame([(x,) for x in lines], "raw string"), "New"))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("lengthOfJsonArray") + plan.count("json_array_length") == 1 and plan.count("from_json") == 1
+        assert [r.eventId for r in rows.collect()] == ["E1", "E2", None, None, None, None, None]
+    finally:
+        spark.conf.unset("spark.sql.optimizer.enableJsonExpressionOptimization")
