@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
-from typing import Callable, Iterator
+from typing import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -57,10 +57,13 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
     last, else its last failure."""
     if not existing(spark, [path]):
         return spark.createDataFrame([], ANSWERS)
+    return _best(spark.read.schema(ANSWERS).parquet(path), ["prompt_hash", "prompt"])
+
+
+def _best(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     fields = F.struct(*[c for c in ANSWERS.names if c not in ("prompt_hash", "prompt")])
     best = F.max_by(fields, F.struct(F.col("error").isNull(), "ended_at", "run"))
-    rows = spark.read.schema(ANSWERS).parquet(path)
-    return rows.groupBy("prompt_hash", "prompt").agg(best.alias("b")).select("prompt_hash", "prompt", "b.*")
+    return rows.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
 
 
 def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], path: str, *,
@@ -76,11 +79,20 @@ def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[s
     is read, so nothing downstream repeats a call; a task that is run again
     after a lost executor repeats its own calls alone, and only the committed
     run's rows are kept."""
+    return _ask(prompts, load, path, prompt_col, batch, retries, ANSWERS.names)
+
+
+def _ask(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], path: str, prompt_col: str, batch: int,
+         retries: int, keep: Sequence[str]) -> DataFrame:
+    """``ask_once``, and the columns in ``keep`` of its answers: prompts are
+    long, and a caller that goes by their hash need not move them again."""
     spark = prompts.sparkSession
     asked = prompts.select(F.col(prompt_col).alias("prompt")).filter("prompt is not null").distinct().withColumn(
         "prompt_hash", F.sha2("prompt", 256))
-    known = read_answers(spark, path).filter("error is null").select("prompt_hash", "prompt")
-    todo = asked.join(known, ["prompt_hash", "prompt"], "left_anti").select("prompt_hash", "prompt")
+    todo, held = asked.select("prompt_hash", "prompt"), bool(existing(spark, [path]))
+    if held:
+        known = read_answers(spark, path).filter("error is null").select("prompt_hash", "prompt")
+        todo = todo.join(known, ["prompt_hash", "prompt"], "left_anti")
     run = uuid.uuid4().hex
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,10 +107,18 @@ def ask_once(prompts: DataFrame, load: Callable[[], Callable[[list[str]], list[s
                                     "started_at": list(cells[2]), "ended_at": list(cells[3]),
                                     "attempts": pd.Series(cells[4], dtype="int32"), "run": run})
 
-    todo.mapInPandas(call, ANSWERS).write.mode("append").parquet(path)
+    todo.mapInPandas(call, ANSWERS).write.mode("append").option("compression", "zstd").parquet(path)
+    # what this run asked it has answered last; the other texts have an answer without an error from before
+    stored = spark.read.schema(ANSWERS).parquet(path)
+    found = stored.filter(F.col("run") == run).select(*keep)
+    if held:
+        texts = prompts.select(F.sha2(F.col(prompt_col), 256).alias("prompt_hash")).distinct()
+        older = _best(stored.filter(~F.col("run").eqNullSafe(run) & F.col("error").isNull()),
+                      [c for c in ("prompt_hash", "prompt") if c in keep])
+        found = found.unionByName(older.select(*keep).join(texts, "prompt_hash", "left_semi"))
     # read at once: Spark takes scans of one path for equal, so a plan that holds two of them, from before and
     # after a further append, would read the older files for both
-    return materialize(read_answers(spark, path).join(asked, ["prompt_hash", "prompt"], "left_semi"), "answers")
+    return materialize(found, "answers", "zstd")
 
 
 def ask_list_once(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]], path: str, *,
@@ -106,6 +126,7 @@ def ask_list_once(df: DataFrame, load: Callable[[], Callable[[list[str]], list[s
     """Adds ``out_col``: for each element of the array ``prompts_col`` a struct
     (response, error, started_at, ended_at, attempts), in the same places."""
     rows = with_row_key(df.withColumn("__hashes", F.transform(prompts_col, lambda p: F.sha2(p, 256))))
-    answers = ask_once(rows.select(F.explode(prompts_col).alias("prompt")), load, path, batch=batch, retries=retries)
     fields = ["response", "error", "started_at", "ended_at", "attempts"]
+    answers = _ask(rows.select(F.explode(prompts_col).alias("prompt")), load, path, "prompt", batch, retries,
+                   ["prompt_hash", *fields])
     return look_up_each(rows, "__hashes", answers, "prompt_hash", fields, out_col).drop("__row", "__hashes")

@@ -153,18 +153,25 @@ def dispatch_contexts(tickets: DataFrame, index_path: str, embed: Callable[[Data
 
     The rules come from a stored index (``vector_index.build_index`` over
     chunks with id, text, source).  Every distinct query text is embedded
-    (``embed(df, text_col)`` adds ``embedding``) and searched once; the ``k``
-    nearest chunks' texts are joined in rank order and their distinct sources
-    cited."""
+    (``embed(df, text_col)`` adds ``embedding``) once, and every distinct
+    vector searched once; the ``k`` nearest chunks' texts are joined in rank
+    order and their distinct sources cited."""
     rows = with_row_key(tickets.withColumn("__queries", dispatch_queries(F.col(ticket_col))))
-    asked = rows.select(F.explode("__queries").alias("__q")).distinct().withColumn("query_id", F.xxhash64("__q"))
-    asked = materialize(embed(asked, "__q"), "asked")  # the search reads the vectors more than once
-    hits = VI.search_index(asked, index_path, k)
-    found = R.assemble_context(hits, VI.read_chunks(tickets.sparkSession, index_path), doc_id="id").join(
-        asked, "query_id").select("__q", F.col("context").alias("law_context"), "citations")
+    asked = embed(rows.select(F.explode("__queries").alias("__q")).distinct(), "__q")
+    # written: the search reads the vectors more than once
+    asked = materialize(asked.withColumn("query_id", F.xxhash64("embedding")), "asked", "zstd")
+    hits = VI.search_index(asked.select("query_id", "embedding").distinct(), index_path, k)
+    contexts = materialize(R.assemble_context(hits, VI.read_chunks(tickets.sparkSession, index_path), doc_id="id"), "contexts", "zstd")
+    found = contexts.join(asked.select("query_id", "__q"), "query_id").select("__q", F.col("context").alias("law_context"), "citations")
     return look_up_each(rows, "__queries", found, "__q", ["law_context", "citations"], out_col).drop("__row", "__queries")
 
 
+def citations_only(contexts: str | Column) -> Column:
+    """``dispatch_contexts`` without the rules' texts, for what comes after the
+    prompts that hold them."""
+    return F.transform(contexts, lambda c: F.struct(c["citations"].alias("citations")))
+
+
 def dispatch_requests(tickets: DataFrame, ticket_col: str = "ticket") -> DataFrame:
     """Validate and route each dispatch ticket, then emit one request row per
     action its lane asks for, with the retrieval query text (description,

@@ -473,9 +473,11 @@ def ticket_dispatch_context(spark, d):
     VI.build_index(embed(chunks, "text"), index, block_rows=256)
     t = _tickets(spark, d).select("eventId", "ticket")
     asked = OT.dispatch_prompts(OT.dispatch_contexts(t, index, embed, _TOP), contexts_col="contexts")
+    marks = F.array_join(F.transform("prompts", lambda p: F.md5(p.cast("binary"))), "|")
+    asked = asked.withColumns({"contexts": OT.citations_only("contexts"), "marks": marks})
     told = MA.ask_list_once(asked, _stand_in_model, answers)
     told = told.withColumn("responses", F.transform("answers", lambda a: a["response"]))
-    kept = [F.array_join(F.transform("prompts", lambda p: F.md5(p.cast("binary"))), "|").alias("prompts"),
+    kept = [F.col("marks").alias("prompts"),
             F.array_join(F.transform("answers", lambda a: F.coalesce(a["error"], F.lit(""))), "|").alias("errors")]
     res = OT.dispatch_result_tickets(told, contexts_col="contexts", keep=kept)
     r = F.col("processResultData")
@@ -695,8 +697,8 @@ def stream_results(spark, d):
         return R.token_hash_embed(df, text_col, _DIM, normalize=False)
 
     VI.build_index(embed(items.select(F.col("item_id").alias("id"), "text", F.lit("rules").alias("source")), "text"), root + "/rules")
-    b = _tickets(spark, d)
-    seen = [b.select(F.col(f"url{i}").alias("url"), F.col(f"cap{i}").alias("caption"), F.col(f"err{i}").alias("error")) for i in range(2)]
+    b = _tickets(spark, d, spread=True)
+    seen = [_base(spark, d).select(F.col(f"url{i}").alias("url"), F.col(f"cap{i}").alias("caption"), F.col(f"err{i}").alias("error")) for i in range(2)]
     once = spark.range(1).select(F.lit("http://img.example.com/r.jpg").alias("url"), F.lit("路面").alias("caption"),
                                  F.lit(None).cast("string").alias("error"))
     captions = seen[0].unionByName(seen[1]).unionByName(once)
@@ -704,7 +706,8 @@ def stream_results(spark, d):
         FL.DISPATCH, FL.CHECK, FL.SCENE)]), (F.col("event_id") % 3 + 1).cast("int")))
     ticket = F.when(F.col("event_id") % 3 == 1, F.col("check_ticket")).otherwise(F.col("ticket"))
     line = F.to_json(ticket.withField("processActionCode", code).withField("vendor", F.col("k").cast("string")))
-    b.select(F.when(F.col("event_id") % 50 == 0, F.concat(line, F.lit("{}"))).otherwise(line).alias("value")).write.text(root + "/in")
+    b.select(F.when(F.col("event_id") % 50 == 0, F.concat(line, F.lit("{}"))).otherwise(line).alias("value")).write.option(
+        "compression", "gzip").option("maxRecordsPerFile", 100_000).text(root + "/in")
     run_flows(spark, root + "/in", root + "/out", root + "/ckpt",
               FL.Tools(root + "/rules", embed, captions, _plain_model, root + "/answers", k=3))
     v = F.parse_json("value")

@@ -110,3 +110,39 @@ def test_token_hash_embed(spark):
     assert abs(sum(x * x for x in rows[1]) - 1) < 1e-12 and set(rows[2]) == set(rows[3]) == {0.0}
     whole = R.token_hash_embed(df, dim=8, normalize=False).filter(F.col("id") == 1).first()["embedding"]
     assert sum(whole) == 4 and max(whole) >= 2
+
+
+def test_only_rows_with_elements_meet_their_answers(spark):
+    df = P.with_row_key(spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "id long, k array<string>"))
+    table = spark.createDataFrame([("a", 1)], "key string, v int")
+    out = P.look_up_each(df, "k", table, "key", ["v"], "out")
+    assert {r["id"]: [x["v"] for x in r["out"]] for r in out.collect()} == {1: [1, None], 2: [], 3: []}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("size(k#") >= 2  # the rows without elements are not joined
+
+
+def test_texts_of_one_vector_are_searched_once(spark, tmp_dir, monkeypatch):
+    def embed(df, text_col):
+        return R.token_hash_embed(df, text_col, 4, normalize=False)
+
+    seen = []
+    search = VI.search_index
+    monkeypatch.setattr(VI, "search_index", lambda q, *a, **b: seen.append(q.count()) or search(q, *a, **b))
+    VI.build_index(embed(spark.createDataFrame([(1, "x y", "b.txt")], "id long, text string, source string"), "text"), tmp_dir + "/rules")
+    t = "struct<eventId:string,processActionCode:string,processDataParams:struct<description:string,reportLocation:string," \
+        "sourceEntity:string>,context:struct<imageDescription:string,dispatchTarget:string>,processResultData:struct<target:string>>"
+    rows = [((f"E{i}", "c", (said, "here", "运输企业"), ("z", None), (None,)),) for i, said in enumerate(("x y", "y x", "x, y"))]
+    got = OT.dispatch_contexts(spark.createDataFrame(rows, f"ticket {t}"), tmp_dir + "/rules", embed, k=1).collect()
+    assert seen == [1] and [[c["law_context"] for c in r["contexts"]] for r in got] == [["x y"]] * 3
+
+
+def test_a_run_reads_its_own_answers_and_older_ones(spark, tmp_dir):
+    said, store = tmp_dir + "/said", tmp_dir + "/answers"
+    os.makedirs(said)
+    lists = "id long, prompts array<string>"
+    first = MA.ask_list_once(spark.createDataFrame([(1, ["a", "b"])], lists), counting_model(said, bad=["b"]), store, retries=0)
+    assert [(a["response"], a["error"]) for a in first.first()["answers"]] == [("A", None), (None, "ValueError: no b")]
+    again = MA.ask_list_once(spark.createDataFrame([(1, ["b", "a", "c"]), (2, ["a"])], lists), counting_model(said), store)
+    assert {r["id"]: [(a["response"], a["error"]) for a in r["answers"]] for r in again.collect()} == {
+        1: [("B", None), ("A", None), ("C", None)], 2: [("A", None)]}
+    assert MA.read_answers(spark, store).count() == 3
