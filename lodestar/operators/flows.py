@@ -49,6 +49,7 @@ def _captioned(tickets: DataFrame, urls: Column, captions: DataFrame, out: str)
 def dispatch_flow(tickets: DataFrame, tools: Tools) -> DataFrame:
     """Result tickets of dispatch tickets, citations of the rules on them."""
     asked = OT.dispatch_prompts(OT.dispatch_contexts(tickets, tools.index_path, tools.embed, tools.k), contexts_col="contexts")
+    asked = asked.withColumn("contexts", OT.citations_only("contexts"))
     told = MA.ask_list_once(asked, tools.load, tools.answers_path).withColumn(
         "responses", F.transform("answers", lambda a: a["response"]))
     return OT.dispatch_result_tickets(told, contexts_col="contexts")
@@ -81,20 +82,28 @@ def process_tickets(messages: DataFrame, tools: Tools) -> dict[str, DataFrame]:
     tickets whose lane passes them on, whole), ``rejects`` (lines without a
     ticket, and tickets whose code names no flow, as they came).
 
-    The messages are written once; a flow reads its own rows of them.
-    Every ticket is in exactly one output."""
-    rows = materialize(messages, "messages")
-    code = F.col("ticket.processActionCode")
-
-    def of(flow: str) -> DataFrame:
-        return rows.filter(code == flow).select("payload", "ticket")
-
-    checked = materialize(check_flow(of(CHECK), tools), "checked")  # two outputs read it
-    passed = F.col("status") == "pass"
-    stamps = ("processStartAt", "processStartEnd")
-    results = [dispatch_flow(of(DISPATCH), tools), OT.check_result_tickets(checked.filter(~passed)), scene_flow(of(SCENE), tools)]
-    texts = [r.select(to_json_text(F.struct(*[c for c in r.columns if c not in stamps], *stamps)).alias("value")) for r in results]
+    The messages are written once, each with the text that some output may
+    need: the payload of a check ticket that a lane without a verdict may pass
+    on, the line of a reject.  A flow reads its own rows of them.  Every ticket
+    is in exactly one output."""
+    code, lane = F.col("ticket.processActionCode"), TK.check_route("ticket")
     known = F.coalesce(code.isin(DISPATCH, CHECK, SCENE), F.lit(False))
-    return {"results": texts[0].unionByName(texts[1]).unionByName(texts[2]),
-            "forwards": checked.filter(passed).select(F.col("payload").alias("value")),
-            "rejects": rows.filter(~known).select(F.col("raw").alias("value"))}
+    text = F.when(~known, F.col("raw")).when((code == CHECK) & ~lane.isin(*OT.CHECK_LANES), F.col("payload"))
+    rows = materialize(messages.select("ticket", text.alias("text")), "messages", "zstd")
+    stamps = ("processStartAt", "processStartEnd")
+
+    def of(flow: str, *more: str) -> DataFrame:
+        return rows.filter(code == flow).select("ticket", *more)
+
+    def told(r: DataFrame, *less: str) -> Column:
+        return to_json_text(F.struct(*[c for c in r.columns if c not in (*stamps, *less)], *stamps))
+
+    own = ("__passed", "__text")
+    checked = OT.check_result_tickets(check_flow(of(CHECK, "text"), tools), keep=[
+        (F.col("status") == "pass").alias("__passed"), F.col("text").alias("__text")])
+    checked = materialize(checked.select("__passed", F.when(F.col("__passed"), F.col("__text")).otherwise(
+        told(checked, *own)).alias("value")), "checked", "zstd")  # two outputs read it
+    texts = [r.select(told(r).alias("value")) for r in (dispatch_flow(of(DISPATCH), tools), scene_flow(of(SCENE), tools))]
+    return {"results": texts[0].unionByName(checked.filter(~F.col("__passed")).select("value")).unionByName(texts[1]),
+            "forwards": checked.filter("__passed").select("value"),
+            "rejects": rows.filter(~known).select(F.col("text").alias("value"))}

@@ -144,3 +144,24 @@ def test_a_message_is_tested_and_parsed_once(spark):
         assert [r.eventId for r in rows.collect()] == ["E1", "E2", None, None, None, None, None]
     finally:
         spark.conf.unset("spark.sql.optimizer.enableJsonExpressionOptimization")
+
+
+def test_messages_are_written_once_without_a_second_text(spark, tmp_dir, monkeypatch):
+    from lodestar.operators import flows as FL
+    from lodestar.streaming.tickets import parse_messages
+
+    written = {}
+    plain = FL.materialize
+
+    def noted(df, purpose, *how):
+        written[purpose] = plain(df, purpose, *how)
+        return written[purpose]
+
+    monkeypatch.setattr(FL, "materialize", noted)
+    lines = _flow_messages()
+    raw = spark.createDataFrame([(x,) for x in lines], "raw string")
+    out = FL.process_tickets(parse_messages(raw), _flow_tools(spark, tmp_dir)[0])
+    assert written["messages"].columns == ["ticket", "text"]
+    texts = [r.text for r in written["messages"].filter("text is not null").collect()]
+    assert sorted(texts) == sorted([lines[3], *lines[5:]])  # the forward and the rejects
+    assert {n: df.count() for n, df in out.items()} == {"results": 4, "forwards": 1, "rejects": 3}
