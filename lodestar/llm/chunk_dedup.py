@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ WINDOW = 32  # bytes that a 32-bit gear hash remembers
 SLICE = 4 << 20
 GEAR = (mix64(np.arange(256, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 LENGTH_BITS, TWIN_BITS = 10, 22
+PARTS = 2  # turns in which the digests are shuffled, each a share of them
 
 
 def chunk_ends(raw: np.ndarray, offsets: np.ndarray, every: int, least: int, most: int) -> np.ndarray:
@@ -58,12 +60,13 @@ def chunk_ends(raw: np.ndarray, offsets: np.ndarray, every: int, least: int, mos
 
 
 def chunk_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", every: int = 24, least: int = 8,
-               most: int = 512) -> DataFrame:
+               most: int = 512, part: int = 0, parts: int = 1) -> DataFrame:
     """(hi, lo, id, at, others): 128-bit digest of a chunk, its row's id and
     ``at``, which packs the chunk's first code point, 22 bits of the text's
     hash (rows that repeat an id are told apart by it) and its code points.
     A digest that a batch holds more than once is one row, its later places
-    in ``others``, so a passage of a third of all rows is few rows."""
+    in ``others``, so a passage of a third of all rows is few rows.  Of
+    ``parts`` shares of the digests, ``part`` is returned."""
     id_type = docs.schema[id_col].dataType
     place = T.StructType([T.StructField("id", id_type), T.StructField("at", T.LongType())])
     schema = T.StructType([T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType()), *place.fields,
@@ -89,6 +92,10 @@ def chunk_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                 digest = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[s:e]) for s, e in
                                                  zip(begins.tolist(), ends.tolist())]), ">i8").reshape(-1, 2)
                 hi, lo = digest[:, 0].astype(np.int64), digest[:, 1].astype(np.int64)
+                mine = np.flatnonzero(hi % parts == part)
+                if not len(mine):
+                    continue
+                hi, lo, at, row = hi[mine], lo[mine], at[mine], row[mine]
                 # the ids' own order decides who is first; equal digests stand together
                 by_id = np.argsort(np.argsort(batch.column(0)[a:b].to_numpy(zero_copy_only=False), kind="stable"))
                 order = np.lexsort((at, by_id[row], lo, hi))
@@ -147,7 +154,7 @@ def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str,
         near = materialize(
             texts.join(asks, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__twin") == F.col("twin")))
             .select("id", "twin", "text", "asks").mapInArrow(cut, f"id {id_type}, twin long, at long, side int, near string")
-            .dropDuplicates(["id", "twin", "at", "side"]), "contexts")
+            .dropDuplicates(["id", "twin", "at", "side"]), "contexts", "zstd")
         joined = todo
         for (i, t, p), name in zip(sides, ("a", "b")):
             joined = joined.join(near.select(F.col("id").alias("__i"), F.col("twin").alias("__t"), F.col("at").alias("__a"),
@@ -162,7 +169,7 @@ def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str,
                     [*batch.columns[:-2], pa.array([common_prefix(x, y) for x, y in zip(a, b)], pa.int64())],
                     names=[*batch.schema.names[:-2], "same"])
 
-        seen = materialize(joined.mapInArrow(compare, f"{kind}, more long, same long"), "extensions")
+        seen = materialize(joined.mapInArrow(compare, f"{kind}, more long, same long"), "extensions", "zstd")
         release(near)
         tables.append(seen)
         grown = seen.withColumn("more", F.col("more") + F.col("same"))
@@ -186,6 +193,29 @@ def common_prefix(a: str, b: str) -> int:
     return low
 
 
+def repeated_places(rows: DataFrame) -> DataFrame:
+    """(id, start, twin, chars, later, other) of the places of ``chunk_rows``
+    whose digest occurs more than once: whether it is a ``later`` place than
+    the digest's first, and the ``other`` place to compare it with."""
+    order = Window.partitionBy("hi", "lo").orderBy("id", "at")
+    own = F.struct("id", "at")
+    place = rows.withColumns({"n": F.row_number().over(order), "next": F.lead(own).over(order), "first": F.first(own).over(order)})
+    place = place.withColumn("other", F.when(F.col("n") > 1, F.col("first")).otherwise(F.coalesce(
+        F.get(F.filter("others", lambda o: o != own), F.lit(0)), F.col("next"))))
+    found = place.filter((F.col("n") > 1) | F.col("next").isNotNull() | (F.size("others") > 0)).select(F.explode(F.concat(
+        F.array(F.struct("id", "at", (F.col("n") > 1).alias("later"), "other")),
+        F.transform("others", lambda o: F.struct(o["id"].alias("id"), o["at"].alias("at"), F.lit(True).alias("later"),
+                                                 F.col("first").alias("other"))))).alias("c"))
+    twin_of = lambda at: F.shiftright(at, LENGTH_BITS).bitwiseAND(F.lit((1 << TWIN_BITS) - 1))
+    start_of = lambda at: F.shiftright(at, TWIN_BITS + LENGTH_BITS)
+    here = F.col("c.other").isNull() | (F.col("c.other") == F.struct("c.id", "c.at"))
+    return found.select(
+        F.col("c.id").alias("id"), start_of("c.at").alias("start"), twin_of("c.at").alias("twin"),
+        F.col("c.at").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).alias("chars"), "c.later",
+        F.struct(here.alias("here"), F.col("c.other.id").alias("pid"), twin_of("c.other.at").alias("ptwin"),
+                 start_of("c.other.at").alias("pstart")).alias("other"))
+
+
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 100,
                    every: int = 24) -> DataFrame:
     """One row per input row: (id, text_hash, ``n_chars``, ``repeated_chars``
@@ -203,36 +233,25 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     gets its row.
 
     Chunk rows cross the network once, ordered by digest (a window that
-    streams and spills); only repeated ones travel on.  Texts cross it once
-    more for the ``min_chars`` code points on either side of a run."""
-    rows = chunk_rows(docs, id_col=id_col, text_col=text_col, every=every)
-    order = Window.partitionBy("hi", "lo").orderBy("id", "at")
-    own = F.struct("id", "at")
-    place = rows.withColumns({"n": F.row_number().over(order), "next": F.lead(own).over(order), "first": F.first(own).over(order)})
-    place = place.withColumn("other", F.when(F.col("n") > 1, F.col("first")).otherwise(F.coalesce(
-        F.get(F.filter("others", lambda o: o != own), F.lit(0)), F.col("next"))))
-    found = place.filter((F.col("n") > 1) | F.col("next").isNotNull() | (F.size("others") > 0)).select(F.explode(F.concat(
-        F.array(F.struct("id", "at", (F.col("n") > 1).alias("later"), "other")),
-        F.transform("others", lambda o: F.struct(o["id"].alias("id"), o["at"].alias("at"), F.lit(True).alias("later"),
-                                                 F.col("first").alias("other"))))).alias("c"))
-    twin_of = lambda at: F.shiftright(at, LENGTH_BITS).bitwiseAND(F.lit((1 << TWIN_BITS) - 1))
-    start_of = lambda at: F.shiftright(at, TWIN_BITS + LENGTH_BITS)
-    here = F.col("c.other").isNull() | (F.col("c.other") == F.struct("c.id", "c.at"))
-    found = found.select(
-        F.col("c.id").alias("id"), start_of("c.at").alias("start"), twin_of("c.at").alias("twin"),
-        F.col("c.at").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).alias("chars"), "c.later",
-        F.struct(here.alias("here"), F.col("c.other.id").alias("pid"), twin_of("c.other.at").alias("ptwin"),
-                 start_of("c.other.at").alias("pstart")).alias("other"))
+    streams and spills), in ``PARTS`` turns that each read the texts, so that
+    the disk holds one share of them at a time; only repeated ones travel on.
+    Texts cross it once more for the ``min_chars`` code points on either side
+    of a run."""
+    places = [materialize(repeated_places(chunk_rows(docs, id_col=id_col, text_col=text_col, every=every, part=i, parts=PARTS)),
+                          "places", "zstd") for i in range(PARTS)]
     # rows that repeat an id and a text give the same places: once is enough
-    found = found.groupBy("id", "twin", "start", "chars").agg(F.min("later").alias("later"), F.min("other").alias("other"))
+    found = reduce(DataFrame.unionByName, places).groupBy("id", "twin", "start", "chars").agg(
+        F.min("later").alias("later"), F.min("other").alias("other"))
     per_doc = Window.partitionBy("id", "twin").orderBy("start")
     fresh = F.coalesce((F.col("start") != F.lag(F.col("start") + F.col("chars")).over(per_doc)).cast("int"), F.lit(1))
-    found = materialize(found.withColumn("__new", fresh).withColumn("run", F.sum("__new").over(per_doc)).drop("__new"), "chunks")
+    found = materialize(found.withColumn("__new", fresh).withColumn("run", F.sum("__new").over(per_doc)).drop("__new"),
+                        "chunks", "zstd")
+    release(*places)
 
     end = F.col("start") + F.col("chars")
     edge = F.struct("start", "chars", "other")
     run = materialize(found.groupBy("id", "twin", "run").agg(
-        F.min("start").alias("start"), F.max(end).alias("end"), F.min(edge).alias("head"), F.max(edge).alias("tail")), "runs")
+        F.min("start").alias("start"), F.max(end).alias("end"), F.min(edge).alias("head"), F.max(edge).alias("tail")), "runs", "zstd")
     sides = [run.select("id", "twin", "run", F.lit(side).alias("side"), F.col(pos).alias("pos"), f"{chunk}.other.pid",
                         f"{chunk}.other.ptwin", (F.col(f"{chunk}.other.pstart") + past).alias("ppos"))
              .filter(~F.col(f"{chunk}.other.here") & (F.lit(side == 1) | (F.least("pos", "ppos") > 0)))
@@ -254,7 +273,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         "f.id", "f.twin", "f.later",
         (F.col("start") - F.when(F.col("start") == F.col("first"), F.col("before")).otherwise(0)).alias("start"),
         (end + F.when(end == F.col("last"), F.col("after")).otherwise(0)).alias("end"))
-    marked = materialize(marked, "marked")
+    marked = materialize(marked, "marked", "zstd")
     release(found, run, *tables)
 
     def merged(df: DataFrame) -> DataFrame:

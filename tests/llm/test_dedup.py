@@ -260,3 +260,24 @@ def test_lines_match_plain_python(spark):
     assert sorted(map(str, ((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in got.collect()))) == sorted(
         map(str, brute.dedup_lines(rows)))
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_digests_are_shuffled_in_shares_that_make_the_whole(spark, monkeypatch):
+    from lodestar.llm import chunk_dedup as CD
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    said = " ".join(words[:60])
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(80)) + said) for i in range(12)] + [
+        (12, None), (13, ""), (None, said)], "doc_id long, text string").coalesce(1)
+    cells = ("hi", "lo", "id", "at", "others")
+    whole = [tuple(r) for r in CD.chunk_rows(docs).select(*cells).collect()]
+    shares = [[tuple(r) for r in CD.chunk_rows(docs, part=i, parts=3).select(*cells).collect()] for i in range(3)]
+    assert all(shares) and sorted(map(repr, sum(shares, []))) == sorted(map(repr, whole))
+    written = []
+    plain = CD.materialize
+    monkeypatch.setattr(CD, "materialize", lambda df, purpose, *how: written.append(purpose) or plain(df, purpose, *how))
+    spans = sorted(map(repr, CD.repeated_spans(docs).collect()))
+    assert written.count("places") == CD.PARTS > 1 and written.index("chunks") == CD.PARTS
+    monkeypatch.setattr(CD, "PARTS", 1)
+    assert sorted(map(repr, CD.repeated_spans(docs).collect())) == spans and any("repeated_chars=0" not in s for s in spans)
