@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ WINDOW = 32  # bytes that a 32-bit gear hash remembers
 SLICE = 4 << 20
 GEAR = (mix64(np.arange(256, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 LENGTH_BITS, TWIN_BITS = 10, 22
-PARTS = 2  # turns in which the digests are shuffled, each a share of them
+PARTS = 2  # turns in which digests and texts are shuffled, each a share of them
 
 
 def chunk_ends(raw: np.ndarray, offsets: np.ndarray, every: int, least: int, most: int) -> np.ndarray:
@@ -65,7 +66,8 @@ def chunk_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     ``at``, which packs the chunk's first code point, 22 bits of the text's
     hash (rows that repeat an id are told apart by it) and its code points.
     A digest that a batch holds more than once is one row, its later places
-    in ``others``, so a passage of a third of all rows is few rows.  Of
+    in ``others``, so a passage of a third of all rows is few rows; one place
+    of rows that repeat an id and a text stands there twice at most.  Of
     ``parts`` shares of the digests, ``part`` is returned."""
     id_type = docs.schema[id_col].dataType
     place = T.StructType([T.StructField("id", id_type), T.StructField("at", T.LongType())])
@@ -97,10 +99,18 @@ def chunk_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                     continue
                 hi, lo, at, row = hi[mine], lo[mine], at[mine], row[mine]
                 # the ids' own order decides who is first; equal digests stand together
-                by_id = np.argsort(np.argsort(batch.column(0)[a:b].to_numpy(zero_copy_only=False), kind="stable"))
+                column = batch.column(0).slice(a, b - a)
+                ranked = pc.array_sort_indices(column).to_numpy()
+                name = column.dictionary_encode(null_encoding="encode").indices.to_numpy()[ranked]
+                by_id = np.empty(b - a, np.int64)
+                by_id[ranked] = np.cumsum(np.append(0, name[1:] != name[:-1]))
                 order = np.lexsort((at, by_id[row], lo, hi))
                 lead = np.ones(len(order), bool)
                 lead[1:] = (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)
+                again = ~lead  # the same place as the one before
+                again[1:] &= (np.diff(at[order]) == 0) & (np.diff(by_id[row[order]]) == 0)
+                once = np.append(True, ~(again[1:] & again[:-1]))
+                order, lead = order[once], lead[once]
                 heads = np.flatnonzero(lead)
                 sizes = np.diff(np.concatenate([heads, [len(order)]]))
                 ids = batch.column(0).slice(a, b - a).take(pa.array(row[order]))
@@ -126,41 +136,51 @@ def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str,
     ``reach`` code points are compared first; edges that are equal all the
     way go on with eight times as many, so no length is a limit."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("__id"), F.pmod(F.xxhash64(text_col), F.lit(1 << TWIN_BITS)).alias("__twin"),
+    # a struct is one key without nulls, whatever the id
+    texts = docs.select(F.struct(F.col(id_col).alias("id"), F.pmod(F.xxhash64(text_col), F.lit(1 << TWIN_BITS)).alias("twin")).alias("doc"),
                         F.col(text_col).cast("string").alias("text"))
     kind = edges.schema.simpleString()[len("struct<"):-1]
     todo, done, tables = edges.withColumn("more", F.lit(0).cast("long")), None, []
     while True:
         step = F.when(F.col("side") == 1, F.col("more")).otherwise(-F.col("more"))
         sides = [("id", "twin", "pos"), ("pid", "ptwin", "ppos")]
-        asks = [todo.select(F.col(i).alias("id"), F.col(t).alias("twin"), (F.col(p) + step).alias("at"), "side") for i, t, p in sides]
-        asks = asks[0].unionByName(asks[1]).distinct().groupBy("id", "twin").agg(F.collect_list(F.struct("at", "side")).alias("asks"))
+        asks = [todo.select(F.struct(F.col(i).alias("id"), F.col(t).alias("twin")).alias("doc"), (F.col(p) + step).alias("at"), "side")
+                for i, t, p in sides]
+        asks = materialize(asks[0].unionByName(asks[1]).distinct().groupBy("doc").agg(F.collect_list(F.struct("at", "side")).alias("asks")),
+                           "asks", "zstd")
 
         def cut(batches: Iterator[pa.RecordBatch], reach: int = reach) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 row, at, side, near = [], [], [], []
-                for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                for i, (text, wanted) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                     for ask in wanted:
                         x = ask["at"]
                         row.append(i)
                         at.append(x)
                         side.append(ask["side"])
                         near.append(text[x:x + reach] if ask["side"] else text[max(0, x - reach):x][::-1])
-                pick = pa.array(row, pa.int64())
+                doc = batch.column(0).take(pa.array(row, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(at, pa.int64()),
+                    [*doc.flatten(), pa.array(at, pa.int64()),
                      pa.array(side, pa.int32()), pa.array(near, pa.string())], names=["id", "twin", "at", "side", "near"])
 
-        near = materialize(
-            texts.join(asks, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__twin") == F.col("twin")))
-            .select("id", "twin", "text", "asks").mapInArrow(cut, f"id {id_type}, twin long, at long, side int, near string")
-            .dropDuplicates(["id", "twin", "at", "side"]), "contexts", "zstd")
-        joined = todo
-        for (i, t, p), name in zip(sides, ("a", "b")):
-            joined = joined.join(near.select(F.col("id").alias("__i"), F.col("twin").alias("__t"), F.col("at").alias("__a"),
-                                             F.col("side").alias("__s"), F.col("near").alias(name)),
-                                 F.col(i).eqNullSafe(F.col("__i")) & (F.col(t) == F.col("__t"))
-                                 & (F.col(p) + step == F.col("__a")) & (F.col("side") == F.col("__s"))).drop("__i", "__t", "__a", "__s")
+        def share(df: DataFrame, i: int) -> DataFrame:
+            return df.filter(F.pmod(F.xxhash64("doc"), F.lit(PARTS)) == i)
+
+        # rows that repeat an id and a text are cut once
+        contexts = [materialize(
+            share(texts, i).join(share(asks, i), "doc").dropDuplicates(["doc"]).select("doc", "text", "asks")
+            .mapInArrow(cut, f"id {id_type}, twin long, at long, side int, near string"), "contexts", "zstd") for i in range(PARTS)]
+        release(asks)
+        near = reduce(DataFrame.unionByName, contexts)
+        def facing(side: int) -> DataFrame:
+            joined, told = todo.filter(F.col("side") == side), near.filter(F.col("side") == side)
+            for (i, t, p), name in zip(sides, ("a", "b")):
+                joined = joined.join(told.select(F.col("id").alias("__i"), F.col("twin").alias("__t"), F.col("at").alias("__a"),
+                                                 F.col("near").alias(name)),
+                                     F.col(i).eqNullSafe(F.col("__i")) & (F.col(t) == F.col("__t"))
+                                     & (F.col(p) + step == F.col("__a"))).drop("__i", "__t", "__a")
+            return joined
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -169,10 +189,10 @@ def extensions(docs: DataFrame, edges: DataFrame, *, id_col: str, text_col: str,
                     [*batch.columns[:-2], pa.array([common_prefix(x, y) for x, y in zip(a, b)], pa.int64())],
                     names=[*batch.schema.names[:-2], "same"])
 
-        seen = materialize(joined.mapInArrow(compare, f"{kind}, more long, same long"), "extensions", "zstd")
-        release(near)
-        tables.append(seen)
-        grown = seen.withColumn("more", F.col("more") + F.col("same"))
+        seen = [materialize(facing(side).mapInArrow(compare, f"{kind}, more long, same long"), "extensions", "zstd") for side in (0, 1)]
+        release(*contexts)
+        tables += seen
+        grown = reduce(DataFrame.unionByName, seen).withColumn("more", F.col("more") + F.col("same"))
         todo = grown.filter(F.col("same") == reach).drop("same")
         ended = grown.filter(F.col("same") < reach).select("id", "twin", "run", "side", "more")
         done = ended if done is None else done.unionByName(ended)
@@ -199,12 +219,15 @@ def repeated_places(rows: DataFrame) -> DataFrame:
     the digest's first, and the ``other`` place to compare it with."""
     order = Window.partitionBy("hi", "lo").orderBy("id", "at")
     own = F.struct("id", "at")
-    place = rows.withColumns({"n": F.row_number().over(order), "next": F.lead(own).over(order), "first": F.first(own).over(order)})
+    place = rows.withColumns({"n": F.row_number().over(order), "next": F.lead(own).over(order), "first": F.first(own).over(order),
+                              "before": F.lag(own).over(order)})
+    # a place that rows repeat says the same from its second row on
+    said = F.when((F.col("n") > 2) & (F.col("before") == own), F.array()).otherwise(F.array(F.struct(
+        "id", "at", (F.col("n") > 1).alias("later"), "other")))
     place = place.withColumn("other", F.when(F.col("n") > 1, F.col("first")).otherwise(F.coalesce(
         F.get(F.filter("others", lambda o: o != own), F.lit(0)), F.col("next"))))
     found = place.filter((F.col("n") > 1) | F.col("next").isNotNull() | (F.size("others") > 0)).select(F.explode(F.concat(
-        F.array(F.struct("id", "at", (F.col("n") > 1).alias("later"), "other")),
-        F.transform("others", lambda o: F.struct(o["id"].alias("id"), o["at"].alias("at"), F.lit(True).alias("later"),
+        said, F.transform("others", lambda o: F.struct(o["id"].alias("id"), o["at"].alias("at"), F.lit(True).alias("later"),
                                                  F.col("first").alias("other"))))).alias("c"))
     twin_of = lambda at: F.shiftright(at, LENGTH_BITS).bitwiseAND(F.lit((1 << TWIN_BITS) - 1))
     start_of = lambda at: F.shiftright(at, TWIN_BITS + LENGTH_BITS)
@@ -234,13 +257,13 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     Chunk rows cross the network once, ordered by digest (a window that
     streams and spills), in ``PARTS`` turns that each read the texts, so that
-    the disk holds one share of them at a time; only repeated ones travel on.
-    Texts cross it once more for the ``min_chars`` code points on either side
-    of a run."""
+    the disk holds one share of them at a time; only repeated ones travel on,
+    once, to their documents.  Texts cross it once more, in as many turns, for
+    the ``min_chars`` code points on either side of a run."""
     places = [materialize(repeated_places(chunk_rows(docs, id_col=id_col, text_col=text_col, every=every, part=i, parts=PARTS)),
                           "places", "zstd") for i in range(PARTS)]
     # rows that repeat an id and a text give the same places: once is enough
-    found = reduce(DataFrame.unionByName, places).groupBy("id", "twin", "start", "chars").agg(
+    found = reduce(DataFrame.unionByName, places).repartition("id", "twin").groupBy("id", "twin", "start", "chars").agg(
         F.min("later").alias("later"), F.min("other").alias("other"))
     per_doc = Window.partitionBy("id", "twin").orderBy("start")
     fresh = F.coalesce((F.col("start") != F.lag(F.col("start") + F.col("chars")).over(per_doc)).cast("int"), F.lit(1))

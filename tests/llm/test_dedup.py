@@ -281,3 +281,45 @@ def test_digests_are_shuffled_in_shares_that_make_the_whole(spark, monkeypatch):
     assert written.count("places") == CD.PARTS > 1 and written.index("chunks") == CD.PARTS
     monkeypatch.setattr(CD, "PARTS", 1)
     assert sorted(map(repr, CD.repeated_spans(docs).collect())) == spans and any("repeated_chars=0" not in s for s in spans)
+
+
+def test_repeated_places_and_texts_cross_the_network_in_shares(spark, monkeypatch):
+    """Places go to their documents once, texts in shares, contexts without a shuffle of their own."""
+    from lodestar.llm import chunk_dedup as CD
+
+    rng = random.Random(8)
+    said = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 30)} {i} {said} {i} {prose(rng, 30)}") for i in range(12)]
+    rows += [rows[0]] * 3 + [(None, rows[1][1])] * 4 + [(None, said), (13, ""), (14, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, plain = [], CD.materialize
+
+    def kept(df, purpose, *how):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df, purpose, *how)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(CD, "materialize", kept)
+        spans = sorted(map(repr, CD.repeated_spans(docs).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    initial = lambda plan: plan.split("== Initial Plan ==")[-1]
+    assert all(initial(p).count("Exchange") == 1 for purpose, p in plans if purpose == "chunks")
+    contexts = [initial(p) for purpose, p in plans if purpose == "contexts"]
+    assert len(contexts) >= CD.PARTS > 1 and all(p.count("Exchange") == 2 for p in contexts)
+    monkeypatch.setattr(CD, "PARTS", 1)
+    assert sorted(map(repr, CD.repeated_spans(docs).collect())) == spans and len(spans) == len(rows)
+
+
+def test_a_place_of_equal_rows_stands_twice_in_a_batch_at_most(spark):
+    from lodestar.llm import chunk_dedup as CD
+
+    text = prose(random.Random(9), 60)
+    for id_type, ids in (("long", [5] * 6), ("string", [None] * 6), ("string", ["a", None, "b"] * 4)):
+        rows = CD.chunk_rows(spark.createDataFrame([(i, text) for i in ids], f"doc_id {id_type}, text string").coalesce(1)).collect()
+        assert rows
+        for r in rows:
+            places = [(r["id"], r["at"]), *map(tuple, r["others"])]
+            assert {p[0] for p in places} == set(ids) and max(map(places.count, places)) == 2
