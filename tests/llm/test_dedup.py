@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import brute
@@ -323,3 +324,27 @@ def test_a_place_of_equal_rows_stands_twice_in_a_batch_at_most(spark):
         for r in rows:
             places = [(r["id"], r["at"]), *map(tuple, r["others"])]
             assert {p[0] for p in places} == set(ids) and max(map(places.count, places)) == 2
+
+
+def test_words_are_hashed_in_blocks_like_plain_sums(monkeypatch):
+    from lodestar.llm import weighted_minhash as WM
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a", "B", "é", " ", "\n", "\x0b", "Q" * 90]) for _ in range(n)) for n in (0, 1, 3, 400, 0, 90)]
+    raw = b"".join(t.encode() for t in texts)
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    want = Counter()
+    for row, text in enumerate(texts):
+        found = [[int(WM.BYTE[b]) for b in w.encode()] for w in re.split("[ \t-\r]+", text) if w]
+        word = [int(WM.mix64(np.array([sum(b * int(WM.BASE) ** i for i, b in enumerate(w)) % 2 ** 64], np.uint64))[0]) for w in found]
+        for i in range(max(1, len(word) - 2) if word else 0):
+            said = sum(w * int(WM.STEP) ** j for j, w in enumerate(word[i:i + 3])) % 2 ** 64
+            want[row, int(WM.mix64(np.array([said], np.uint64))[0])] += 1
+    for block in (1, 64, 1 << 14):
+        monkeypatch.setattr(WM, "BLOCK", block)
+        row, value, count = WM.shingles(np.frombuffer(raw, np.uint8), offsets, 3)
+        assert {(r, v): c for r, v, c in zip(row.tolist(), value.tolist(), count.tolist())} == want
+    row, value = np.sort(np.array([rng.randrange(5) for _ in range(300)])), np.array([rng.randrange(40) for _ in range(300)], np.uint64)
+    for wide in (row, row * 70_000):  # above 16 bits another sort
+        order = WM.by_row(wide, value)
+        assert sorted(zip(wide.tolist(), value.tolist())) == list(zip(wide[order].tolist(), value[order].tolist()))
