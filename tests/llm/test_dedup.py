@@ -117,6 +117,21 @@ def test_near_duplicates_match_all_pairs(spark):
     assert {r["doc_id"] for r in got if r["kept"]} == set(want)
 
 
+def test_near_copies_in_a_large_group_link_as_in_a_small_one(spark):
+    """A group's text is in many rows, an edit's in one: TF-IDF must not weigh that against the group."""
+    rng = random.Random(12)
+    base = prose(rng, 60).split()
+    texts = [" ".join(base)] * 10 + [" ".join(base[:i] + ["changed"] + base[i + 1:]) for i in range(8, 52)]
+    texts += [prose(rng, 12) for _ in range(1500)]
+    other = prose(rng, 60).split()  # as far from its copy as the group's members from the first, in no group
+    texts += [" ".join(other), " ".join(other[:30] + ["changed"] + other[31:])]
+    got = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tile=8).collect()
+    of = {r["doc_id"]: r["class_id"] for r in got}
+    assert {of[i] for i in range(54)} == {0}
+    assert [of[i] for i in range(54, 1554)] == list(range(54, 1554))
+    assert of[1554] == of[1555] == 1554
+
+
 def test_rare_and_common_shingles_keep_their_weights_in_a_large_table(spark):
     """1.5 M shingles that one row holds beside some that many rows hold."""
     rng = random.Random(8)
