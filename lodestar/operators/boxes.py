@@ -9,6 +9,7 @@ and "best score first", so it is found in rounds over all groups at once."""
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -123,13 +124,15 @@ def match_detections(gt: DataFrame, preds: DataFrame, thresholds: Sequence[float
 
     per_pred = pairs.groupBy("_p").agg(F.count(F.lit(1)).alias("_np"))
     per_node = pairs.groupBy(*_GROUP, "g").agg(F.count(F.lit(1)).alias("_ng"))
-    marked = pairs.join(per_pred, "_p").join(per_node, [*_GROUP, "g"]).select(
-        *_GROUP, "g", "room", "_p", "turn", "iou", ((F.col("_np") == 1) & (F.col("_ng") <= F.col("room"))).alias("_free"),
-        F.explode(F.filter(F.array(*[F.lit(i) for i in range(len(thresholds))]),
-                           lambda i: F.col("iou") >= F.get(steps, i) - 1e-12)).alias("t"))
-    marked = materialize(marked, "box-pairs-marked")
-    hits = marked.filter("_free").select("t", "_p")
-    open_ = marked.filter("NOT _free").drop("_free")
+    reached = [F.col("iou") >= float(t) - 1e-12 for t in thresholds]
+    marked = materialize(pairs.join(per_pred, "_p").join(per_node, [*_GROUP, "g"]).select(
+        *_GROUP, "g", "room", "_p", "turn", "iou", ((F.col("_np") == 1) & (F.col("_ng") <= F.col("room"))).alias("_free")),
+        "box-pairs-marked")
+    # a settled pair is its prediction's only one: its marks are its IoU's, without a row a threshold
+    free = marked.filter("_free").select("_p", *[r.cast("int").alias(f"tp_{i}") for i, r in enumerate(reached)])
+    open_ = materialize(marked.filter("NOT _free").select(*_GROUP, "g", "room", "_p", "turn", "iou", F.explode(F.filter(
+        F.array(*[F.lit(i) for i in range(len(thresholds))]), lambda i: F.col("iou") >= F.get(steps, i) - 1e-12)).alias("t")), "box-open")
+    hits = []
     node = ["t", *_GROUP, "g"]
     while not open_.isEmpty():
         # the best scores for a node's places, over salted parts first: a box that many want is no single task
@@ -139,11 +142,14 @@ def match_detections(gt: DataFrame, preds: DataFrame, thresholds: Sequence[float
         best = open_.groupBy("t", "_p").agg(F.min(F.struct((-F.col("iou")).alias("far"), "g")).alias("_b")) \
             .select("t", "_p", F.col("_b.g").alias("g"))
         took = materialize(asked.join(best, ["t", "_p", "g"]).select(*node, "_p"), "box-round")
-        hits = hits.unionByName(took.select("t", "_p"))
+        hits.append(took.select("t", "_p"))
         gone = took.groupBy(*node).agg(F.count(F.lit(1)).alias("_n"))
         open_ = materialize(
             open_.join(took.select("t", "_p"), ["t", "_p"], "left_anti").join(gone, node, "left")
             .withColumn("room", F.col("room") - F.coalesce("_n", F.lit(0))).drop("_n").filter("room > 0"), "box-open")
-    flags = hits.groupBy("_p").agg(*[F.max((F.col("t") == i).cast("int")).alias(f"tp_{i}") for i in range(len(thresholds))])
+    flags = free
+    if hits:
+        flags = free.unionByName(reduce(DataFrame.unionByName, hits).groupBy("_p").agg(
+            *[F.max((F.col("t") == i).cast("int")).alias(f"tp_{i}") for i in range(len(thresholds))]))
     return p.join(flags, "_p", "left").select(
         *_GROUP, "pred_id", "score", *[F.coalesce(f"tp_{i}", F.lit(0)).alias(f"tp_{i}") for i in range(len(thresholds))])

@@ -100,3 +100,24 @@ def test_small_groups_meet_without_cells(spark, monkeypatch):
     cells = B.overlapping_pairs(t, p)
     assert "Generate" in cells._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(str, calm.collect())) == sorted(map(str, cells.collect())) and calm.count() == 64
+
+
+def test_settled_pairs_make_no_row_for_each_threshold(spark, monkeypatch):
+    from lodestar.operators import boxes
+    rows, keep = {}, boxes.materialize
+
+    def counting(df, purpose, *a):
+        out = keep(df, purpose, *a)
+        rows.setdefault(purpose, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(boxes, "materialize", counting)
+    side = [(i, 1, 0.0, 0.0, 10.0, 10.0) for i in range(20)]  # one box an image: no rivals
+    gt = spark.createDataFrame(side, "image long, class_id int, x1 double, y1 double, x2 double, y2 double")
+    preds = spark.createDataFrame([(i, 1, i, 0.5, 0.0, 0.0, 10.0, 10.0 - i % 5) for i in range(20)],
+                                  "image long, class_id int, pred_id long, score double, x1 double, y1 double, x2 double, y2 double")
+    steps = [0.5, 0.6, 0.7, 0.8, 0.9, 0.95]
+    got = boxes.match_detections(gt, preds, steps).collect()
+    for r in got:
+        assert [r[f"tp_{i}"] for i in range(6)] == [int((10.0 - r["pred_id"] % 5) / 10 >= t - 1e-12) for t in steps]
+    assert len(got) == 20 and rows["box-pairs-marked"] == [20] and sum(rows["box-open"]) == 0 and "box-round" not in rows
